@@ -40,7 +40,7 @@ def daily(spark, sf) -> DataFrame:
         F.col("o_orderdate").alias("ts"),
         F.col("o_orderkey").alias("row_id"),
         F.col("o_totalprice").alias("price"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 4).alias("settled"),
+        F.when(F.col("o_orderstatus") != "P", F.sqrt("o_totalprice")).alias("settled"),
     )
 
 
