@@ -46,6 +46,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS), lambda w: w != "")
 
 
+def first_words(text: Column, n: int) -> Column:
+    """The first ``n`` words, without cutting the rest of the text into words."""
+    parts = F.split(text, BLANKS, n + 2)
+    return F.slice(F.filter(parts, lambda w: w != ""), 1, n)
+
+
 def query_type(query: Column) -> Column:
     lower = F.lower(query)
     chain = F

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickwell.session import keep
 
-BROADCAST_KEYS = 100_000
+BROADCAST_KEYS = 1_000_000
 
 
 def join_on(
@@ -33,16 +33,18 @@ def attach(
     weight: str,
     limit: int | None = None,
     how: str = "left",
+    kept: bool = False,
 ) -> DataFrame:
     """Join ``table`` (one row per key) to ``rows`` without moving hot keys.
 
     The table is computed once and counted. Up to ``limit`` keys it is
     broadcast. Beyond that the ``limit`` heaviest keys are broadcast, and only
     the rows of the light keys, of which none can be hot, are shuffled.
-    ``weight`` names the column of ``table`` that holds the size of a key.
+    ``weight`` names the column of ``table`` that holds the size of a key;
+    ``kept`` says that the table has been written already.
     """
     limit = limit or BROADCAST_KEYS
-    table = keep(table)
+    table = table if kept else keep(table)
     if table.limit(limit + 1).count() <= limit:
         return join_on(rows, F.broadcast(table), on, how, null_safe=True)
     heavy = keep(table.orderBy(F.desc(weight), *on).limit(limit))

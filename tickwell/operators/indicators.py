@@ -24,6 +24,7 @@ from tickwell.fixed_values import (
     RSI_ROWS,
 )
 from tickwell.operators.timeline import RUN_IN, Timeline, earlier, fill_forward, join_chunks
+from tickwell.session import keep
 
 LOOKBACK = max(*MOVING_AVERAGES, RSI_ROWS + 1, BOLLINGER_ROWS) - 1
 # Weights below exp(-40) vanish in double precision.
@@ -78,40 +79,39 @@ def bollinger(t: Timeline, close: str = "close", n: int = BOLLINGER_ROWS) -> Tim
     )
 
 
-def decay_sum(df: DataFrame, keys: list[str], order: list[str], fade: str, add: str, name: str):
-    """Running sum that fades: s = s_before * exp(-fade) + add.
+def decay_sums(
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, tuple[str, str]]
+) -> DataFrame:
+    """Running sums that fade: s = s_before * exp(-fade) + add, one for every
+    ``{name: (fade, add)}``; the total fade so far is added as ``{name}_t``.
 
     A plain window sum of add * exp(total fade) would overflow, so the rows
     are cut into blocks over which the total fade grows by ``BLOCK``. A block
     needs the end of the block before it and nothing older.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    total, block, inner, ends = f"{name}_t", f"{name}_b", f"{name}_i", f"{name}_e"
-    df = df.withColumn(total, F.sum(fade).over(so_far)).withColumn(
-        block, F.floor(F.col(total) / BLOCK)
-    )
-    in_block = (
-        Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    rise = F.col(total) - F.col(f"{name}_f")
-    df = df.withColumn(f"{name}_f", F.first(total).over(in_block))
-    df = df.withColumn(
-        inner, F.exp(-rise) * F.sum(F.col(add) * F.exp(rise)).over(in_block)
-    )
-    following = F.lead(block).over(w)
-    is_end = following.isNull() | (following != F.col(block))
-    df = df.withColumn(ends, F.when(is_end, F.struct(inner, total)))
-    end = F.last(ends, ignorenulls=True).over(before)
-    df = df.withColumn(f"{name}_p", end)
-    prior = F.col(f"{name}_p")
-    value = F.col(inner) + F.coalesce(
-        prior[inner] * F.exp(prior[total] - F.col(total)), F.lit(0.0)
-    )
-    return df.withColumn(name, value).drop(
-        block, inner, ends, f"{name}_f", f"{name}_p"
-    )
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({f"{n}_t": F.sum(fade).over(w) for n, (fade, _) in sums.items()})
+    for name, (_, add) in sums.items():
+        total, block, inner, ends = f"{name}_t", f"{name}_b", f"{name}_i", f"{name}_e"
+        df = df.withColumn(block, F.floor(F.col(total) / BLOCK))
+        # Blocks follow one another in time, so all windows share one sort order.
+        along = Window.partitionBy(*keys).orderBy(block, *order)
+        in_block = Window.partitionBy(*keys, block).orderBy(*order)
+        in_block = in_block.rowsBetween(Window.unboundedPreceding, 0)
+        rise = F.col(total) - F.col(block) * BLOCK
+        df = df.withColumn(
+            inner, F.exp(-rise) * F.sum(F.col(add) * F.exp(rise)).over(in_block)
+        )
+        following = F.lead(block).over(along)
+        is_end = following.isNull() | (following != F.col(block))
+        df = df.withColumn(ends, F.when(is_end, F.struct(inner, total)))
+        before = along.rowsBetween(Window.unboundedPreceding, -1)
+        df = df.withColumn(f"{name}_p", F.last(ends, ignorenulls=True).over(before))
+        prior = F.col(f"{name}_p")
+        carried = prior[inner] * F.exp(prior[total] - F.col(total))
+        df = df.withColumn(name, F.col(inner) + F.coalesce(carried, F.lit(0.0)))
+        df = df.drop(block, inner, ends, f"{name}_p")
+    return df
 
 
 def _fade(gap: Column, alpha: float) -> Column:
@@ -140,14 +140,15 @@ def exponential_average(t: Timeline, column: str, spans: dict[str, int]) -> Time
     later = x.isNotNull() & F.col("_prev").isNotNull()
     # Rows before the first value of the chunk.
     df = df.withColumn("_blank", x.isNull() & F.col("_prev").isNull())
+    shares = {}
     for name, span in spans.items():
-        alpha = 2.0 / (span + 1)
         fade, add = f"_{name}_fade", f"_{name}_add"
-        df = df.withColumn(fade, F.when(later, _fade(gap, alpha)).otherwise(0.0))
+        df = df.withColumn(fade, F.when(later, _fade(gap, 2.0 / (span + 1))).otherwise(0.0))
         share = F.when(later, -F.expm1(-F.col(fade))).otherwise(1.0)
         df = df.withColumn(add, F.when(x.isNotNull(), share * x).otherwise(0.0))
-        df = decay_sum(df, t.keys, list(t.order), fade, add, f"_{name}")
-        df = df.drop(fade, add)
+        shares[f"_{name}"] = (fade, add)
+    df = decay_sums(df, t.keys, list(t.order), shares)
+    df = df.drop(*[c for pair in shares.values() for c in pair])
     if not t.chunked:
         for name in spans:
             df = df.withColumn(name, F.when(~F.col("_blank"), F.col(f"_{name}"))).drop(
@@ -155,6 +156,8 @@ def exponential_average(t: Timeline, column: str, spans: dict[str, int]) -> Time
             )
         return replace(t, df=df.drop("_n", "_prev", "_blank"))
 
+    # Read twice, for the summaries and for the result.
+    df = keep(df)
     t = replace(t, df=df)
     known = F.when(x.isNotNull(), F.col("_n"))
     chunks = df.groupBy(*t.keys).agg(
@@ -180,7 +183,8 @@ def exponential_average(t: Timeline, column: str, spans: dict[str, int]) -> Time
         start = F.when(gap.isNotNull(), F.col("_x") * F.exp(-F.col("_fade"))).otherwise(0.0)
         add = F.when(F.col("_lead").isNotNull(), F.col(f"_{name}_y") - start).otherwise(0.0)
         chunks = chunks.withColumn("_add", add)
-        chunks = decay_sum(chunks, list(t.by), ["_chunk"], "_fade", "_add", f"_{name}_s")
+        fading = {f"_{name}_s": ("_fade", "_add")}
+        chunks = decay_sums(chunks, list(t.by), ["_chunk"], fading)
         chunks = chunks.withColumn(f"_{name}_in", F.last(f"_{name}_s").over(up_to))
         carried += [link, f"_{name}_in"]
     t = join_chunks(t, chunks, carried)

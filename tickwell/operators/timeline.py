@@ -16,8 +16,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.operators.attach import attach, join_on
+from tickwell.operators.attach import attach
 from tickwell.schema import need_columns
+from tickwell.session import keep
 
 ROWS_PER_CHUNK = 1 << 20
 CHUNK, RUN_IN = "_chunk", "_run_in"
@@ -76,7 +77,8 @@ def split(
     """Cut every series into chunks of about ``rows_per_chunk`` rows.
 
     ``order`` has to tell all rows of a series apart, and every series needs
-    a name: a null in ``by`` is an error. The cut keys come from
+    a name: a null in ``by`` is an error. If all series are shorter than a
+    chunk they stay whole. The cut keys come from
     rows chosen by hash, so a repeated task finds the same cuts; results do
     not depend on where the cuts lie.
     """
@@ -107,8 +109,12 @@ def split(
         )
         .where(F.size("_cuts") > 0)
     )
+    cuts = keep(cuts)
+    if cuts.isEmpty():
+        # No series is longer than a chunk.
+        return whole(df, by, order)
     if by:
-        df = attach(df, cuts, list(by), weight="_weight")
+        df = attach(df, cuts, list(by), weight="_weight", kept=True)
     else:
         df = _attach_single(df, cuts)
     # Number of cuts at or before the row, by binary search.
@@ -171,7 +177,9 @@ def earlier(t: Timeline):
 
 
 def join_chunks(t: Timeline, chunks: DataFrame, columns: list[str]) -> Timeline:
-    return replace(t, df=join_on(t.df, chunks.select(*t.keys, *columns), t.keys, "left"))
+    """Add columns of the chunk summaries; the many rows do not move for it."""
+    chunks = chunks.select(*t.keys, *columns)
+    return replace(t, df=attach(t.df, chunks, t.keys, weight=CHUNK))
 
 
 def position(t: Timeline, name: str) -> Timeline:

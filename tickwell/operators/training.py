@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import BATCH_SIZE, SEQUENCE_LENGTH
-from tickwell.functions.text import words
+from tickwell.functions.text import first_words, words
 from tickwell.operators.attach import attach
 from tickwell.operators.timeline import ROWS_PER_CHUNK, position, split
 
@@ -41,7 +41,7 @@ def token_sequences(
     Longer texts are cut, shorter ones padded; labels repeat the ids, pads
     included. Words outside the vocabulary get the id for unknown ones.
     """
-    first = F.slice(words(F.lower(F.col(text))), 1, length)
+    first = first_words(F.lower(F.col(text)), length)
     tokens = df.select(id, F.posexplode_outer(first).alias("pos", "token"))
     numbered = attach(tokens, vocab, ["token"], weight="n")
     number = F.coalesce("token_id", F.lit(UNKNOWN))

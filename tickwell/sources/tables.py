@@ -19,6 +19,13 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan with fewer parts than the cluster has cores, spread by a
+    unique key, for work that takes long per row. Large scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def append_reports(reports: DataFrame, path: str) -> Observation:
     """Append to the report table; the commit of the job makes it all or nothing.
 

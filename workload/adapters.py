@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tickwell.fixed_values import CONCEPTS, TAXONOMY
 from tickwell.functions.numbers import full_cik
-from tickwell.functions.text import words
+from tickwell.functions.text import first_words
 from tickwell.operators.bars import DAY, bars, tick_prices
 from tickwell.operators.vectors import hash_vector
 from tickwell.schema import METRICS
 from tickwell.session import use_utc
+from tickwell.sources.tables import spread
 
 AS_OF = "2024-07-01 12:00:00"
 KEYWORDS = ["stock", "price", "Market trend", "forecast", ""]
@@ -50,17 +51,15 @@ def yearly_metrics(spark, sf) -> DataFrame:
     Lines are summed per order before any join, so an order of any length
     moves as one row.
     """
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    rate = lambda c: F.col(c).cast("decimal(18,2)")
-    one = F.lit(1).cast("decimal(18,2)")
+    # Whole cents and hundredths: sums of whole numbers are exact in any order.
+    hundredths = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    price, tax, discount = (hundredths(f"l_{c}") for c in ("extendedprice", "tax", "discount"))
     per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(price).alias("revenue"),
-        F.sum(price * (F.lit("0.01").cast("decimal(18,2)") + rate("l_tax") - rate("l_discount"))).alias(
-            "net_income"
-        ),
-        F.sum(price * (one + rate("l_tax"))).alias("total_assets"),
-        F.sum(F.when(F.col("l_returnflag") == "R", price)).alias("total_liabilities"),
-        F.sum(F.when(F.col("l_linestatus") == "F", price * (one - rate("l_discount")))).alias(
+        F.sum(price * 100).alias("revenue"),
+        F.sum(price * (1 + tax - discount)).alias("net_income"),
+        F.sum(price * (100 + tax)).alias("total_assets"),
+        F.sum(F.when(F.col("l_returnflag") == "R", price * 100)).alias("total_liabilities"),
+        F.sum(F.when(F.col("l_linestatus") == "F", price * (100 - discount))).alias(
             "operating_cash_flow"
         ),
     )
@@ -69,7 +68,7 @@ def yearly_metrics(spark, sf) -> DataFrame:
     )
     joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     sums = joined.groupBy(F.col("o_custkey").alias("custkey"), "fiscal_year").agg(
-        *[F.sum(m).cast("double").alias(m) for m in METRICS]
+        *[(F.sum(m) / 10_000).alias(m) for m in METRICS]
     )
     return sums.withColumn("total_liabilities", F.coalesce("total_liabilities", F.lit(0.0)))
 
@@ -132,7 +131,7 @@ def yearly_facts(spark, sf) -> DataFrame:
 
 def metadata():
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
-    title = F.array_join(F.slice(words(F.col("text")), 1, 5), " ")
+    title = F.array_join(first_words(F.col("text"), 5), " ")
     named = F.create_map(
         F.lit("title"), title, F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")
     )
@@ -140,8 +139,12 @@ def metadata():
     return F.when(F.col("doc_id") % 7 == 3, named).otherwise(F.map_concat(named, dated))
 
 
+def texts(spark, sf) -> DataFrame:
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 def documents(spark, sf, vectors: bool = True) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     columns = [F.col("doc_id").alias("id"), F.col("text").alias("content"), metadata().alias("metadata")]
     if vectors:
         columns.append(hash_vector(F.col("text")).alias("embedding"))

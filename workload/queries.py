@@ -338,7 +338,7 @@ def ivf_search(spark, sf):
 
 def hash_embedding(spark, sf):
     vector = vectors.hash_vector(F.col("text"))
-    rows = ad.table(spark, sf, "documents").select("doc_id", F.posexplode(vector))
+    rows = ad.texts(spark, sf).select("doc_id", F.posexplode(vector))
     rows = rows.toDF("doc_id", "bucket", "weight").where(F.col("weight") > 0)
     return rounded(rows)
 
@@ -432,7 +432,7 @@ def answer_context(spark, sf):
 
 
 def token_sequences(spark, sf):
-    docs = ad.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = ad.texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
     rows = training.token_sequences(docs, training.vocabulary(docs))
     return rows.select(
         "id",
