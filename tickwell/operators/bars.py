@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import MAX_POINTS
-from tickwell.operators.attach import attach, join_on
+from tickwell.operators.attach import attach
 from tickwell.schema import need_columns, numeric_columns
 
 SECOND = 1_000_000
@@ -148,8 +148,8 @@ def bars(
     )
 
 
-def _bucketed(df, by, ts, points, weekly) -> tuple[DataFrame, DataFrame]:
-    """Rows with their bucket, and one line per series that is resampled.
+def _bucketed(df, by, ts, row_id, points, weekly) -> tuple[DataFrame, list[str]]:
+    """Rows with their bucket, and the columns that name a bucket.
 
     Series of at most ``points`` rows keep their rows: for them ``_start`` is
     the time itself and ``_own`` the number that keeps equal times apart.
@@ -162,45 +162,56 @@ def _bucketed(df, by, ts, points, weekly) -> tuple[DataFrame, DataFrame]:
     rows = attach(df, plan, by, weight="_rows", how="inner")
     start = bucket_start(micros(ts), F.col("_first"), F.col("_width"), weekly)
     rows = rows.withColumn("_start", F.when(F.col("_many"), start).otherwise(micros(ts)))
-    return rows, plan.where("_many")
-
-
-def grid(plan: DataFrame, by: list[str], weekly: bool) -> DataFrame:
-    """All bucket labels of every series, from the first to the last."""
-    start = bucket_start(F.col("_first"), F.col("_first"), F.col("_width"), weekly)
-    end = bucket_start(F.col("_last"), F.col("_first"), F.col("_width"), weekly)
-    # Two steps keep the arrays short however long the series lasts.
-    stretch = F.col("_width") * 1000
-    return (
-        plan.withColumn("_end", end)
-        .withColumn("_from", F.explode(F.sequence(start, F.col("_end"), stretch)))
-        .withColumn("_to", F.least(F.col("_from") + stretch - F.col("_width"), F.col("_end")))
-        .select(
-            *by, F.explode(F.sequence("_from", "_to", "_width")).alias("_start")
-        )
-    )
+    rows = rows.withColumn("_own", F.when(~F.col("_many"), F.col(row_id)))
+    rows = rows.withColumn("_step", F.when(F.col("_many"), F.col("_width")))
+    return rows, [*by, "_start", "_own", "_step"]
 
 
 def fill_gaps(
-    table: DataFrame, plan: DataFrame, by: list[str], weekly: bool, zero: list[str]
+    table: DataFrame, by: list[str], values: list[str], zero: list[str]
 ) -> DataFrame:
-    """Add the empty buckets of the resampled series: sums are 0 there, all
-    else null. ``table`` has one row per series and bucket already."""
-    on = [*by, "_start"]
-    values = [c for c in table.columns if c not in (*on, "_own", "_many")]
-    kept = table.where(~F.col("_many")).select(*on, "_own", *values)
-    filled = join_on(
-        grid(plan, by, weekly),
-        table.where("_many").select(*on, *values),
-        on,
-        "left",
+    """Add the empty buckets between the buckets of every series.
+
+    ``table`` has a row per series and ``_start``; ``_step`` is the distance of
+    buckets, null for series to be left alone. Sums are 0 in empty buckets,
+    all else null. Only the few rows of the finished buckets are ordered.
+    """
+    order = Window.partitionBy(*by).orderBy("_start")
+    step = F.col("_step")
+    # Two steps keep the arrays short however wide a gap is.
+    stretch = step * 1000
+    last = F.coalesce(F.col("_next") - step, F.col("_start"))
+    table = table.withColumn("_next", F.lead("_start").over(order))
+    table = table.withColumn("_end", F.when(step.isNull(), F.col("_start")).otherwise(last))
+    table = table.withColumn(
+        "_from",
+        F.explode(
+            F.when(step.isNull(), F.array("_start")).otherwise(
+                F.sequence(F.col("_start"), F.col("_end"), stretch)
+            )
+        ),
     )
-    filled = filled.select(
-        *on,
-        F.lit(None).cast("bigint").alias("_own"),
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) if c in zero else F.col(c) for c in values],
+    to = F.least(F.col("_from") + stretch - step, F.col("_end"))
+    table = table.withColumn(
+        "_slot",
+        F.explode(
+            F.when(step.isNull(), F.array("_from")).otherwise(F.sequence(F.col("_from"), to, step))
+        ),
+    )
+    real = F.col("_slot") == F.col("_start")
+    empty = {c: F.lit(0.0) if c in zero else F.lit(None) for c in values}
+    filled = {c: F.when(real, F.col(c)).otherwise(e) for c, e in empty.items()}
+    filled["_start"] = F.col("_slot")
+    return table.withColumns(filled).drop("_next", "_end", "_from", "_slot")
+
+
+def _finished(table: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    return table.select(
+        *by,
+        moment(F.col("_start")).alias("ts"),
+        F.coalesce("_own", "_start").alias("row_id"),
+        *values,
     )
-    return kept.unionByName(filled)
 
 
 def auto_bars(
@@ -217,21 +228,13 @@ def auto_bars(
     Series of at most ``points`` rows come back as they are. No series has
     more than 2 * ``points`` + 1 rows afterwards, however many it had before.
     """
-    prices, by = prices or OWN, list(by)
+    prices, by, values = prices or OWN, list(by), list(OWN)
     need_columns(df, *by, ts, row_id, *prices.values())
-    rows, plan = _bucketed(df, by, ts, points, weekly=False)
-    own = F.when(~F.col("_many"), F.col(row_id))
-    table = rows.groupBy(*by, "_start", own.alias("_own"), "_many").agg(
-        *_ohlcv(ts, row_id, prices)
-    )
+    rows, bucket = _bucketed(df, by, ts, row_id, points, weekly=False)
+    table = rows.groupBy(*bucket).agg(*_ohlcv(ts, row_id, prices))
     if gaps:
-        table = fill_gaps(table, plan, by, weekly=False, zero=["volume"])
-    return table.select(
-        *by,
-        moment(F.col("_start")).alias("ts"),
-        F.coalesce("_own", "_start").alias("row_id"),
-        *OWN,
-    )
+        table = fill_gaps(table, by, values, zero=["volume"])
+    return _finished(table, by, values)
 
 
 def resample(
@@ -252,21 +255,18 @@ def resample(
     need_columns(df, *by, ts, row_id)
     values = values or numeric_columns(df, but=(*by, ts, row_id))
     need_columns(df, *values)
-    rows, plan = _bucketed(df, by, ts, points, weekly=True)
-    own = F.when(~F.col("_many"), F.col(row_id))
+    rows, bucket = _bucketed(df, by, ts, row_id, points, weekly=True)
     how = AGGREGATIONS[aggregation]
-    table = rows.groupBy(*by, "_start", own.alias("_own"), "_many").agg(
-        *[how(v).cast("double").alias(v) for v in values]
-    )
+    merged = {v: how(v).cast("double") for v in values}
+    if aggregation == "sum":
+        # A bucket without any value sums to 0; a row that stays as it is does not.
+        merged = {
+            v: F.coalesce(c, F.when(F.first("_many"), F.lit(0.0))) for v, c in merged.items()
+        }
+    table = rows.groupBy(*bucket).agg(*[c.alias(v) for v, c in merged.items()])
     if gaps:
-        zero = values if aggregation == "sum" else []
-        table = fill_gaps(table, plan, by, weekly=True, zero=zero)
-    return table.select(
-        *by,
-        moment(F.col("_start")).alias("ts"),
-        F.coalesce("_own", "_start").alias("row_id"),
-        *values,
-    )
+        table = fill_gaps(table, by, values, zero=values if aggregation == "sum" else [])
+    return _finished(table, by, values)
 
 
 def fixed_grid(
@@ -275,13 +275,6 @@ def fixed_grid(
     """Add the empty buckets between the first and the last bar of a series."""
     by = list(by)
     values = [c for c in table.columns if c not in (*by, ts)]
-    table = table.withColumn("_start", micros(ts)).drop(ts)
-    plan = spans(table.withColumn("_t", F.timestamp_micros("_start")), by, "_t").withColumn(
-        "_width", F.lit(width).cast("bigint")
-    )
-    joined = join_on(grid(plan, by, weekly=False), table, [*by, "_start"], "left")
-    return joined.select(
-        *by,
-        moment(F.col("_start")).alias(ts),
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) if c in zero else F.col(c) for c in values],
-    )
+    table = table.withColumn("_start", micros(ts)).withColumn("_step", F.lit(width).cast("bigint"))
+    filled = fill_gaps(table, by, values, list(zero))
+    return filled.select(*by, moment(F.col("_start")).alias(ts), *values)

@@ -153,23 +153,27 @@ def similar(
     k = k or TOP_K
     versions = "form" in queries.columns
     asked = F.coalesce(F.col("top_k"), F.lit(0)) if "top_k" in queries.columns else F.lit(0)
-    wanted = keep(
-        queries.select(
-            F.col(query_id).cast("bigint").alias("query_id"),
-            (F.col("form") if versions else F.lit(0)).cast("int").alias("form"),
-            F.when(asked > 0, asked).otherwise(k).cast("int").alias("limit"),
-            F.col(query_vector).alias("vector"),
-        ).where(F.col("vector").isNotNull())
+    wanted = queries.select(
+        F.col(query_id).cast("bigint").alias("query_id"),
+        (F.col("form") if versions else F.lit(0)).cast("int").alias("form"),
+        F.when(asked > 0, asked).otherwise(k).cast("int").alias("limit"),
+        F.col(query_vector).alias("vector"),
     )
-    passes = max(1, -(-wanted.count() // batch))
+    rows = wanted.limit(batch + 1).collect()
+    passes = 1
+    if len(rows) > batch:
+        wanted = keep(wanted)
+        passes = -(-wanted.count() // batch)
     columns = [F.col(id).cast("bigint").alias("id"), F.col(vector).alias("vector")]
     if cells:
         columns.append(F.col(cell).cast("int").alias("cell"))
     table = docs.select(*columns)
     found = docs.sparkSession.createDataFrame([], HITS)
     for i in range(passes):
-        share = F.pmod(F.xxhash64("query_id", "form", F.lit("pass")), F.lit(passes)) == i
-        rows = wanted.where(share).collect()
+        if passes > 1:
+            share = F.pmod(F.xxhash64("query_id", "form", F.lit("pass")), F.lit(passes)) == i
+            rows = wanted.where(share).collect()
+        rows = [r for r in rows if r["vector"] is not None]
         if not rows:
             continue
         vectors = np.array([r["vector"] for r in rows], dtype=float)
@@ -224,9 +228,13 @@ def assign_cells(
     lists: int = INDEX_LISTS,
     probes: int = 4,
     seed: int = 7,
+    train: DataFrame | None = None,
 ) -> tuple[DataFrame, Cells]:
     """Cluster the vectors and add the number of the cell of every document.
 
+    The centres come from all vectors, or from those of ``train``; clustering
+    reads its input some fifteen times.
+
     Written with ``partitionBy("cell")``, a search reads only probed cells.
     Documents with a zero vector are no hit of any query and get cell -1.
     """
@@ -235,10 +243,14 @@ def assign_cells(
 
     unit = unit_vector(F.col(vector))
     usable = F.col(vector).isNotNull() & ~F.exists(unit, lambda x: x.isNull())
-    points = docs.where(usable).withColumn("_point", array_to_vector(unit))
+
+    def points_of(df: DataFrame) -> DataFrame:
+        return df.where(usable).withColumn("_point", array_to_vector(unit))
+
+    points = points_of(docs)
     model = KMeans(
         k=lists, seed=seed, maxIter=10, featuresCol="_point", predictionCol="cell"
-    ).fit(points)
+    ).fit(points if train is None else points_of(train))
     centres = np.array(model.clusterCenters())
     placed = model.transform(points).drop("_point")
     rest = docs.where(~F.coalesce(usable, F.lit(False))).withColumn("cell", F.lit(-1))

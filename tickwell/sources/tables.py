@@ -29,17 +29,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def append_reports(reports: DataFrame, path: str) -> Observation:
     """Append to the report table; the commit of the job makes it all or nothing.
 
-    Rows are gathered by fiscal year and spread within it, so that neither
-    every task writes a file for every year nor one task writes a whole year.
+    Rows are gathered by fiscal year into files of an even size: years that
+    are too large for one task are cut up, small ones put together.
     """
     reports, seen = counted(reports, "loaded")
-    spread = F.pmod(F.xxhash64("cik"), F.lit(64))
-    (
-        reports.repartition("fiscal_year", spread)
-        .write.mode("append")
-        .partitionBy("fiscal_year")
-        .parquet(path)
-    )
+    reports.hint("rebalance", "fiscal_year").write.mode("append").partitionBy(
+        "fiscal_year"
+    ).parquet(path)
     return seen
 
 

@@ -169,19 +169,12 @@ def user_series(spark, sf) -> DataFrame:
     return days.select("user_id", "ts", fields.alias("fields"))
 
 
-def documents_with_series(spark, sf) -> DataFrame:
-    """Documents and, where there is a user of the same number, that user's
-    daily bars: one record per day, so their number is limited by the calendar."""
-    record = F.struct("ts", "fields")
-    per_user = user_series(spark, sf).groupBy("user_id").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col("ts").alias("t"), record.alias("r"))),
-                         lambda a, b: F.when(a["t"] < b["t"], -1).when(a["t"] > b["t"], 1).otherwise(0)),
-            lambda x: x["r"],
-        ).alias("financial_data")
-    )
-    docs = documents(spark, sf)
-    return docs.join(per_user, docs["id"] == per_user["user_id"], "left").drop("user_id")
+def attached_records(spark, sf) -> DataFrame:
+    """(user_id, financial_data): a user's daily bars in one array of records,
+    one record per day, so their number is limited by the calendar."""
+    by_time = lambda a, b: F.datediff(a["ts"], b["ts"])
+    records = F.array_sort(F.collect_list(F.struct("ts", "fields")), by_time)
+    return user_series(spark, sf).groupBy("user_id").agg(records.alias("financial_data"))
 
 
 def queries(spark, sf) -> DataFrame:

@@ -375,16 +375,13 @@ def expansion_union(spark, sf):
     return rounded(hits)
 
 
-def _retrieved(spark, sf, filtered=True, series_too=False):
-    docs = ad.documents_with_series(spark, sf) if series_too else ad.documents(spark, sf)
+def _retrieved(spark, sf, filtered=True):
     prepared = _prepared(spark, sf)
-    extra = ("financial_data",) if series_too else ()
     return retrieval.retrieve(
-        docs,
+        ad.documents(spark, sf),
         prepared if filtered else prepared.drop("filters"),
         ad.AS_OF,
         threshold=THRESHOLD,
-        keep_columns=extra,
     )
 
 
@@ -415,7 +412,9 @@ def series_classify(spark, sf):
 
 
 def answer_context(spark, sf):
-    hits = _retrieved(spark, sf, series_too=True)
+    # The series of the user whose number the document has.
+    records = ad.attached_records(spark, sf).withColumnRenamed("user_id", "id")
+    hits = _retrieved(spark, sf).join(records, "id", "left")
     table = answers.answer_contexts(ad.queries(spark, sf), hits, ad.AS_OF)
     return table.select(
         "query_id",
