@@ -139,9 +139,14 @@ def test_a_series_of_any_length_ends_up_short(spark):
 def test_wide_gaps(spark):
     rows = [("a", "2024-01-01 00:00:00", 1, 1.0, 1.0), ("a", "2024-01-01 01:00:00", 2, 2.0, 1.0)]
     per_second = br.bars(ticks(spark, rows), br.SECOND, prices=br.tick_prices("close", "volume"))
-    got = br.fixed_grid(per_second, br.SECOND)
-    assert got.count() == 3601
-    assert got.select("ts").distinct().count() == 3601
+    rows = [("b", f"2024-01-01 {m // 60:02d}:{m % 60:02d}:07", m, 1.0, 1.0) for m in range(0, 900, 3)]
+    per_second = per_second.unionByName(
+        br.bars(ticks(spark, rows), br.SECOND, prices=br.tick_prices("close", "volume")))
+    for size in (1, 1 << 20):
+        got = br.fixed_grid(per_second, br.SECOND, rows_per_chunk=size)
+        counts = got.groupBy("symbol").agg(F.countDistinct("ts"), F.count("*"), F.sum("volume"), F.count("close"))
+        assert sorted(tuple(r) for r in counts.collect()) == [
+            ("a", 3601, 3601, 2.0, 2), ("b", 897 * 60 + 1, 897 * 60 + 1, 300.0, 300)]
 
 
 def test_unknown_aggregation_and_missing_columns(spark):

@@ -58,7 +58,10 @@ SOURCE_DEFAULTS = {
     "date": "Unknown date",
     "source": "Unknown source",
 }
-OHLCV_CHARTS = ["price_chart", "technical_indicators"]
+OHLCV_CHARTS = {
+    "price_chart": "Price History",
+    "technical_indicators": "Technical Indicators",
+}
 RETRIEVED_HEADING = "Retrieved Information:"
 SERIES_HEADING = "\nFinancial Data Summary:"
 CHARTS_HEADING = "\nVisualizations Generated:"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import MAX_POINTS
+from tickwell.functions.order import micros, time_key
 from tickwell.operators.attach import attach
+from tickwell.operators.timeline import ROWS_PER_CHUNK, RUN_IN, Timeline, split, whole
 from tickwell.schema import need_columns, numeric_columns
+from tickwell.session import keep
 
 SECOND = 1_000_000
 HOUR = 3600 * SECOND
@@ -19,10 +22,6 @@ FIRST_SUNDAY = 3 * DAY
 AGGREGATIONS = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min}
 
 
-def micros(ts: str | Column) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts)
-
-
 def moment(us: Column) -> Column:
     return F.timestamp_micros(us).cast("timestamp_ntz")
 
@@ -94,16 +93,6 @@ def bucket_start(us: Column, first: Column, width: Column, weekly: bool) -> Colu
     return F.when(width >= WEEK, by_end).otherwise(by_start).cast("bigint")
 
 
-def time_key(ts: str, row_id: str | None) -> Column:
-    """Time, then row id, as one number: a struct would force Spark to sort
-    all rows before it aggregates them."""
-    if row_id is None:
-        return micros(ts)
-    place = F.expr("20000000000000000000BD")
-    key = micros(ts).cast("decimal(18,0)") * place + F.col(row_id).cast("decimal(19,0)")
-    return key.cast("decimal(38,0)")
-
-
 def first_last(value: str, ts: str, row_id: str | None) -> tuple[Column, Column]:
     """First and last non-null value by time."""
     key = F.when(F.col(value).isNotNull(), time_key(ts, row_id))
@@ -167,42 +156,30 @@ def _bucketed(df, by, ts, row_id, points, weekly) -> tuple[DataFrame, list[str]]
     return rows, [*by, "_start", "_own", "_step"]
 
 
-def fill_gaps(
-    table: DataFrame, by: list[str], values: list[str], zero: list[str]
-) -> DataFrame:
+def fill_gaps(t: Timeline, values: list[str], zero: list[str]) -> DataFrame:
     """Add the empty buckets between the buckets of every series.
 
-    ``table`` has a row per series and ``_start``; ``_step`` is the distance of
+    ``t`` has a row per series and ``_start``; ``_step`` is the distance of
     buckets, null for series to be left alone. Sums are 0 in empty buckets,
-    all else null. Only the few rows of the finished buckets are ordered.
+    all else null. Every bucket brings the empty ones since the bucket before.
     """
-    order = Window.partitionBy(*by).orderBy("_start")
-    step = F.col("_step")
-    # Two steps keep the arrays short however wide a gap is.
-    stretch = step * 1000
-    last = F.coalesce(F.col("_next") - step, F.col("_start"))
-    table = table.withColumn("_next", F.lead("_start").over(order))
-    table = table.withColumn("_end", F.when(step.isNull(), F.col("_start")).otherwise(last))
-    table = table.withColumn(
-        "_from",
-        F.explode(
-            F.when(step.isNull(), F.array("_start")).otherwise(
-                F.sequence(F.col("_start"), F.col("_end"), stretch)
-            )
-        ),
-    )
-    to = F.least(F.col("_from") + stretch - step, F.col("_end"))
-    table = table.withColumn(
-        "_slot",
-        F.explode(
-            F.when(step.isNull(), F.array("_from")).otherwise(F.sequence(F.col("_from"), to, step))
-        ),
-    )
-    real = F.col("_slot") == F.col("_start")
+    step, start = F.col("_step"), F.col("_start")
+    table = t.df.withColumn("_from", F.lag("_start").over(t.window()) + step)
+    if RUN_IN in table.columns:
+        table = table.where(~F.col(RUN_IN))
+    table = table.withColumn("_from", F.coalesce("_from", "_start"))
+    # Two steps keep the arrays short however wide a gap is; a series without
+    # a step keeps its single start.
+    width = F.coalesce(step, F.lit(1))
+    stretch = width * 1000
+    table = table.withColumn("_from", F.explode(F.sequence(F.col("_from"), start, stretch)))
+    to = F.least(F.col("_from") + stretch - width, start)
+    table = table.withColumn("_slot", F.explode(F.sequence(F.col("_from"), to, width)))
+    real = F.col("_slot") == start
     empty = {c: F.lit(0.0) if c in zero else F.lit(None) for c in values}
     filled = {c: F.when(real, F.col(c)).otherwise(e) for c, e in empty.items()}
     filled["_start"] = F.col("_slot")
-    return table.withColumns(filled).drop("_next", "_end", "_from", "_slot")
+    return table.withColumns(filled).drop("_from", "_slot")
 
 
 def _finished(table: DataFrame, by: list[str], values: list[str]) -> DataFrame:
@@ -233,7 +210,7 @@ def auto_bars(
     rows, bucket = _bucketed(df, by, ts, row_id, points, weekly=False)
     table = rows.groupBy(*bucket).agg(*_ohlcv(ts, row_id, prices))
     if gaps:
-        table = fill_gaps(table, by, values, zero=["volume"])
+        table = fill_gaps(whole(table, by, ("_start",)), values, zero=["volume"])
     return _finished(table, by, values)
 
 
@@ -265,16 +242,29 @@ def resample(
         }
     table = rows.groupBy(*bucket).agg(*[c.alias(v) for v, c in merged.items()])
     if gaps:
-        table = fill_gaps(table, by, values, zero=values if aggregation == "sum" else [])
+        zero = values if aggregation == "sum" else []
+        table = fill_gaps(whole(table, by, ("_start",)), values, zero)
     return _finished(table, by, values)
 
 
 def fixed_grid(
-    table: DataFrame, width: int, by=("symbol",), ts: str = "ts", zero=("volume",)
+    table: DataFrame,
+    width: int,
+    by=("symbol",),
+    ts: str = "ts",
+    zero=("volume",),
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Add the empty buckets between the first and the last bar of a series."""
+    """Add the empty buckets between the first and the last bar of a series.
+
+    Hourly and wider bars of a whole century are few enough for one task per
+    series; series of narrower bars are cut if they are long.
+    """
     by = list(by)
     values = [c for c in table.columns if c not in (*by, ts)]
     table = table.withColumn("_start", micros(ts)).withColumn("_step", F.lit(width).cast("bigint"))
-    filled = fill_gaps(table, by, values, list(zero))
-    return filled.select(*by, moment(F.col("_start")).alias(ts), *values)
+    if width >= HOUR:
+        t = whole(table, by, ("_start",))
+    else:
+        t = split(keep(table), by, ("_start",), lookback=1, rows_per_chunk=rows_per_chunk)
+    return fill_gaps(t, values, list(zero)).select(*by, moment(F.col("_start")).alias(ts), *values)

@@ -212,22 +212,11 @@ def returns(t: Timeline, close: str = "close") -> Timeline:
     values as they are; a previous value of zero gives null."""
     if RUN_IN in t.df.columns:
         raise ValueError("returns take a timeline without run-in")
-    t = t.with_columns({"_lag": F.lag(close).over(t.window())})
-    if t.chunked:
-        # The last value of each chunk, null or not, for the next chunk's first row.
-        order = F.struct(*t.order)
-        chunks = t.df.groupBy(*t.keys).agg(F.max_by(close, order).alias("_final"))
-        one_back = Window.partitionBy(*t.by).orderBy("_chunk")
-        chunks = chunks.withColumn("_final", F.lag("_final").over(one_back))
-        t = join_chunks(t, chunks, ["_final"])
-        first = F.row_number().over(t.window()) == 1
-        t = t.with_columns({"_lag": F.when(first, F.col("_final")).otherwise(F.col("_lag"))})
-        t = replace(t, df=t.df.drop("_final"))
     t = fill_forward(t, close, "_fill")
     simple = F.try_divide(F.col("_fill"), F.col("_fill_before")) - 1
-    log = F.ln(F.try_divide(F.col(close), F.col("_lag")))
+    log = F.ln(F.try_divide(F.col(close), F.col("_fill_previous")))
     df = t.df.withColumns({"simple_return": simple, "log_return": log})
-    return replace(t, df=df.drop("_lag", "_fill", "_fill_before"))
+    return replace(t, df=df.drop("_fill", "_fill_before", "_fill_previous"))
 
 
 def all_indicators(t: Timeline, close: str = "close") -> Timeline:

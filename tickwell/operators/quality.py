@@ -17,6 +17,10 @@ def violations(bound: float = METRIC_BOUND, metrics: list[str] = METRICS) -> Col
     )
 
 
+def metrics_only(df: DataFrame) -> DataFrame:
+    return df.select(*METRICS)
+
+
 def validate(df: DataFrame, bound: float = METRIC_BOUND) -> DataFrame:
     """Adds ``violations`` and ``valid``; infinities and NaN become null first."""
     checked = clean_numbers(df).withColumn("violations", violations(bound))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import TRADING_DAYS
-from tickwell.operators.bars import time_key
+from tickwell.functions.order import time_key
 from tickwell.operators.indicators import returns
 from tickwell.operators.timeline import Timeline
 from tickwell.schema import numeric_columns

@@ -16,12 +16,13 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwell.functions.order import order_key
 from tickwell.operators.attach import attach
 from tickwell.schema import need_columns
 from tickwell.session import keep
 
 ROWS_PER_CHUNK = 1 << 20
-CHUNK, RUN_IN = "_chunk", "_run_in"
+CHUNK, RUN_IN, ALL = "_chunk", "_run_in", "_all"
 
 
 @dataclass(frozen=True)
@@ -77,15 +78,17 @@ def split(
     """Cut every series into chunks of about ``rows_per_chunk`` rows.
 
     ``order`` has to tell all rows of a series apart, and every series needs
-    a name: a null in ``by`` is an error. If all series are shorter than a
-    chunk they stay whole. The cut keys come from
-    rows chosen by hash, so a repeated task finds the same cuts; results do
-    not depend on where the cuts lie.
+    a name: a null in ``by`` is an error. Without ``by`` the table is one
+    series. If all series are shorter than a
+    chunk they stay whole. The cut keys come from rows chosen by hash, so a
+    repeated task finds the same cuts; results do not depend on where they lie.
     """
     by, order = tuple(by), tuple(order)
     need_columns(df, *by, *order)
+    if not by:
+        by, df = (ALL,), df.withColumn(ALL, F.lit(0))
     unnamed = F.raise_error(F.lit("a series has no name"))
-    df = df.withColumns({b: F.coalesce(F.col(b), unnamed) for b in by}) if by else df
+    df = df.withColumns({b: F.coalesce(F.col(b), unnamed) for b in by})
     key = F.struct(*order)
     # A chunk holds exactly `marks` chosen rows, the run-in of the next chunk
     # the last `lookback` of them: hence never fewer rows than asked for.
@@ -113,10 +116,7 @@ def split(
     if cuts.isEmpty():
         # No series is longer than a chunk.
         return whole(df, by, order)
-    if by:
-        df = attach(df, cuts, list(by), weight="_weight", kept=True)
-    else:
-        df = _attach_single(df, cuts)
+    df = attach(df, cuts, list(by), weight="_weight", kept=True)
     # Number of cuts at or before the row, by binary search.
     span = F.size("_cuts")
     start = F.struct(F.lit(0).alias("lo"), span.alias("hi"))
@@ -153,12 +153,6 @@ def split(
     return Timeline(df.drop("_cuts", "_tails", "_weight"), by, order, chunked=True)
 
 
-def _attach_single(df: DataFrame, cuts: DataFrame) -> DataFrame:
-    """One series without a name: its only row of cuts comes as a scalar."""
-    row = cuts.select(F.struct("_cuts", "_tails", "_weight").alias("_all")).scalar()
-    return df.withColumn("_all", row).select("*", "_all.*").drop("_all")
-
-
 def carry(t: Timeline, summary: dict[str, Column], carried: dict[str, Column]) -> Timeline:
     """Hand values from chunk to chunk.
 
@@ -200,18 +194,32 @@ def position(t: Timeline, name: str) -> Timeline:
 
 
 def fill_forward(t: Timeline, value: str, name: str) -> Timeline:
-    """``name`` holds the latest non-null ``value`` up to the row, and
-    ``name_before`` the one up to the row before it."""
-    known = F.last(value, ignorenulls=True)
+    """Three columns about the rows up to each row: ``name`` is the latest
+    non-null ``value``, ``name_before`` the same for the row before, and
+    ``name_previous`` the value of the row before, null or not."""
+    known = F.last(value, ignorenulls=True).over(t.so_far())
+    before, previous = f"{name}_before", f"{name}_previous"
     if not t.chunked:
-        t = t.with_columns({name: known.over(t.so_far())})
-        return t.with_columns({f"{name}_before": F.lag(name).over(t.window())})
-    key = F.when(F.col(value).isNotNull(), F.struct(*t.order))
+        t = t.with_columns({name: known, previous: F.lag(value).over(t.window())})
+        return t.with_columns({before: F.lag(name).over(t.window())})
+    place = order_key(t.df, t.order)
     t = carry(
         t,
-        {"_latest": F.max_by(value, key)},
-        {"_filled": F.last("_latest", ignorenulls=True).over(earlier(t))},
+        {
+            "_known": F.max_by(value, F.when(F.col(value).isNotNull(), place)),
+            "_end": F.max_by(value, place),
+        },
+        {
+            "_filled": F.last("_known", ignorenulls=True).over(earlier(t)),
+            "_ended": F.last("_end").over(earlier(t)),
+        },
+    )
+    t = t.with_columns({name: F.coalesce(known, F.col("_filled"))})
+    first = F.row_number().over(t.window()) == 1
+    t = t.with_columns(
+        {
+            before: F.coalesce(F.lag(name).over(t.window()), F.col("_filled")),
+            previous: F.when(first, F.col("_ended")).otherwise(F.lag(value).over(t.window())),
+        }
     )
-    t = t.with_columns({name: F.coalesce(known.over(t.so_far()), F.col("_filled"))})
-    before = F.coalesce(F.lag(name).over(t.window()), F.col("_filled"))
-    return replace(t, df=t.df.withColumn(f"{name}_before", before).drop("_filled"))
+    return replace(t, df=t.df.drop("_filled", "_ended"))

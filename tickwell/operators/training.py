@@ -9,6 +9,7 @@ from tickwell.fixed_values import BATCH_SIZE, SEQUENCE_LENGTH
 from tickwell.functions.text import first_words, words
 from tickwell.operators.attach import attach
 from tickwell.operators.timeline import ROWS_PER_CHUNK, position, split
+from tickwell.session import keep
 
 PAD, UNKNOWN, FIRST_ID = 0, 1, 2
 
@@ -23,6 +24,8 @@ def vocabulary(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("rarity", -F.col("n"))
     )
+    # One row per word: far smaller than the texts, which are read only once.
+    counts = keep(counts)
     t = split(counts, by=(), order=("rarity", "token"), rows_per_chunk=rows_per_chunk)
     return position(t, "place").rows().select(
         "token", "n", (F.col("place") + FIRST_ID).cast("int").alias("token_id")

@@ -44,15 +44,21 @@ def classify(records: DataFrame, by: str = "query_id") -> DataFrame:
 
 
 def charts(classes: DataFrame, records: DataFrame, by: str = "query_id") -> DataFrame:
-    """Rows (query, place, name): price and indicator charts for OHLCV data,
-    else one line chart per metric."""
-    fixed_names = F.array(*[F.lit(c) for c in fixed.OHLCV_CHARTS])
-    ohlcv = classes.where("is_ohlcv").select(by, F.posexplode(fixed_names).alias("place", "name"))
+    """Rows (query, place, name, title): price and indicator charts for OHLCV
+    data, else one line chart per metric."""
+    named = [
+        F.struct(F.lit(n).alias("name"), F.lit(t).alias("title"))
+        for n, t in fixed.OHLCV_CHARTS.items()
+    ]
+    ohlcv = classes.where("is_ohlcv").select(by, F.posexplode(F.array(*named)).alias("place", "c"))
     metrics = metric_names(records, by).join(classes.where("not is_ohlcv").select(by), by)
     lines = metrics.select(by, F.posexplode("metrics").alias("place", "metric")).select(
-        by, "place", tx.chart_name(F.col("metric")).alias("name")
+        by,
+        "place",
+        tx.chart_name(F.col("metric")).alias("name"),
+        tx.metric_title(F.col("metric")).alias("title"),
     )
-    return ohlcv.unionByName(lines)
+    return ohlcv.select(by, "place", "c.*").unionByName(lines)
 
 
 def metric_names(records: DataFrame, by: str = "query_id") -> DataFrame:

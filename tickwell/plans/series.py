@@ -10,6 +10,7 @@ from tickwell.operators.bars import auto_bars, resample
 from tickwell.operators.indicators import all_indicators
 from tickwell.operators.stats import ohlcv_stats, series_stats, unpivot
 from tickwell.operators.timeline import Timeline, position, whole
+from tickwell.session import keep
 
 
 def ohlcv_view(
@@ -20,7 +21,7 @@ def ohlcv_view(
     After resampling no series has more than 2 * ``points`` + 1 bars, so each
     fits into one task.
     """
-    t = whole(auto_bars(df, by=by, points=points, prices=prices), by=by)
+    t = whole(keep(auto_bars(df, by=by, points=points, prices=prices)), by=by)
     return all_indicators(t).rows(), ohlcv_stats(t)
 
 
@@ -28,7 +29,7 @@ def timeseries_view(
     df: DataFrame, aggregation: str = "mean", values=None, by=("symbol",), points: int = MAX_POINTS
 ) -> tuple[DataFrame, DataFrame]:
     """Long rows (series, metric, ts, value) and statistics per metric."""
-    table = resample(df, aggregation, values, by=by, points=points)
+    table = keep(resample(df, aggregation, values, by=by, points=points))
     values = [c for c in table.columns if c not in (*by, "ts", "row_id")]
     return (
         unpivot(table, values, [*by, "ts", "row_id"]),

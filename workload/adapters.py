@@ -74,16 +74,12 @@ def yearly_metrics(spark, sf) -> DataFrame:
 
 
 def submissions(spark, sf) -> DataFrame:
-    """Submission documents: none for every eleventh customer, no name in every seventh."""
-    key = F.col("c_custkey")
-    doc = F.when(key % 7 == 3, F.lit("{}")).otherwise(
+    """Submission documents: none for customers in debt, no name in one segment."""
+    doc = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("{}")).otherwise(
         F.to_json(F.struct(F.col("c_name").alias("name")))
     )
-    return (
-        table(spark, sf, "customer")
-        .where(key % 11 != 5)
-        .select(full_cik(key).alias("cik"), doc.alias("doc"))
-    )
+    customers = table(spark, sf, "customer").where(F.col("c_acctbal") >= 0)
+    return customers.select(full_cik(F.col("c_custkey")).alias("cik"), doc.alias("doc"))
 
 
 def fact_documents(spark, sf) -> DataFrame:
@@ -119,13 +115,13 @@ def fact_documents(spark, sf) -> DataFrame:
 
 
 def yearly_facts(spark, sf) -> DataFrame:
-    """The metrics as records per company and year, one company in thirteen
-    without any facts."""
+    """The metrics as records per company and year; without a cash flow there
+    are no facts."""
     return yearly_metrics(spark, sf).select(
         full_cik(F.col("custkey")).alias("cik"),
         "fiscal_year",
         *METRICS,
-        (F.col("custkey") % 13 != 6).alias("has_facts"),
+        F.col("operating_cash_flow").isNotNull().alias("has_facts"),
     )
 
 

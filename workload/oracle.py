@@ -232,12 +232,12 @@ METRICS_CTE = """yearly AS (
 yearly_facts AS (
   SELECT lpad(CAST(custkey AS VARCHAR), 10, '0') AS cik, CAST(fiscal_year AS INTEGER) AS fiscal_year,
     revenue, net_income, total_assets, total_liabilities, operating_cash_flow,
-    custkey % 13 <> 6 AS has_facts, custkey
+    operating_cash_flow IS NOT NULL AS has_facts, custkey
   FROM yearly)"""
 REPORTS = f"""{METRICS_CTE}, reports AS (
   SELECT cik,
-    CASE WHEN c_custkey IS NULL OR custkey % 11 = 5 THEN 'Company ' || cik
-         WHEN custkey % 7 = 3 THEN 'Unknown' ELSE c_name END AS company_name,
+    CASE WHEN coalesce(c_acctbal < 0, true) THEN 'Company ' || cik
+         WHEN c_mktsegment = 'MACHINERY' THEN 'Unknown' ELSE c_name END AS company_name,
     '10-K' AS filing_type, TIMESTAMP '{AS_OF}' AS filing_date, fiscal_year, 'FY' AS fiscal_period,
     {', '.join(METRICS)},
     total_assets / nullif(total_liabilities, 0) AS current_ratio,
@@ -646,6 +646,16 @@ complete AS (
         USER_DAYS,
         "SELECT user_id, bool_and(full_bar) AS is_ohlcv, count(*) AS records FROM user_days GROUP BY user_id",
     ),
+    "chart_choice": plain(
+        f"""{USER_DAYS}, choice AS (
+  SELECT user_id, bool_and(full_bar) AS is_ohlcv FROM user_days GROUP BY user_id),
+titles AS (SELECT * FROM (VALUES
+  (true, 0, 'price_chart', 'Price History'), (true, 1, 'technical_indicators', 'Technical Indicators'),
+  (false, 0, 'open_chart', 'Open Trend'), (false, 1, 'high_chart', 'High Trend'),
+  (false, 2, 'low_chart', 'Low Trend'), (false, 3, 'close_chart', 'Close Trend')) AS v(kind, place, name, title))""",
+        "SELECT user_id, CAST(place AS INTEGER) AS place, name, title FROM choice JOIN titles ON is_ohlcv = kind",
+    ),
+    "metric_projection": plain(METRICS_CTE, f"SELECT {rnds(*METRICS)} FROM yearly_facts"),
     "answer_context": plain(
         CONTEXT,
         f"""SELECT query_id, context, md5('{_quoted(PROMPT_HEAD)}' || context || '{_quoted(PROMPT_TAIL)}') AS prompt_md5,

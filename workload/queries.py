@@ -163,6 +163,10 @@ def report_validation(spark, sf):
     )
 
 
+def metric_projection(spark, sf):
+    return rounded(quality.metrics_only(ad.yearly_facts(spark, sf)))
+
+
 def report_text(spark, sf):
     return _reports(spark, sf).select("cik", "fiscal_year", "text_content")
 
@@ -411,6 +415,11 @@ def series_classify(spark, sf):
     return answers.classify(ad.user_series(spark, sf), by="user_id")
 
 
+def chart_choice(spark, sf):
+    records = ad.user_series(spark, sf).withColumn("row_id", br.micros("ts"))
+    return answers.charts(answers.classify(records, "user_id"), records, "user_id")
+
+
 def answer_context(spark, sf):
     # The series of the user whose number the document has.
     records = ad.attached_records(spark, sf).withColumnRenamed("user_id", "id")
@@ -486,6 +495,7 @@ QUERIES = {
     "time_parse": time_parse,
     "financial_reports": financial_reports,
     "report_validation": report_validation,
+    "metric_projection": metric_projection,
     "report_text": report_text,
     "latest_fact": latest_fact,
     "latest_fact_rows": latest_fact_rows,
@@ -511,6 +521,7 @@ QUERIES = {
     "snippets_sources": snippets_sources,
     "freshness": freshness,
     "series_classify": series_classify,
+    "chart_choice": chart_choice,
     "answer_context": answer_context,
     "token_sequences": token_sequences,
     "token_batches": token_batches,
