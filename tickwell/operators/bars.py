@@ -72,9 +72,15 @@ def bucket_width(span: Column, points: int, weekly: bool) -> Column:
     return width.otherwise(whole_days(DAY))
 
 
+def _back_to(us: Column, origin: Column | int, width: Column | int) -> Column:
+    """The latest of origin, origin + width, ... that is not after a time."""
+    return us - F.pmod(us - origin, F.lit(width) if isinstance(width, int) else width)
+
+
 def _sunday(us: Column) -> Column:
     """The Sunday that ends the Monday-to-Sunday week of a time."""
-    return F.ceil((F.floor(us / DAY) * DAY - FIRST_SUNDAY) / WEEK) * WEEK + F.lit(FIRST_SUNDAY)
+    day = _back_to(us, 0, DAY)
+    return day + F.pmod(F.lit(FIRST_SUNDAY) - day, F.lit(WEEK))
 
 
 def bucket_start(us: Column, first: Column, width: Column, weekly: bool) -> Column:
@@ -84,13 +90,11 @@ def bucket_start(us: Column, first: Column, width: Column, weekly: bool) -> Colu
     and are named by their start; week buckets are named by the Sunday that
     ends them and count from the Sunday of the first week.
     """
-    origin = F.floor(first / DAY) * DAY
-    by_start = origin + F.floor((us - origin) / width) * width
+    by_start = _back_to(us, _back_to(first, 0, DAY), width)
     if not weekly:
-        return by_start.cast("bigint")
-    label = _sunday(first)
-    by_end = label + F.ceil((_sunday(us) - label) / width) * width
-    return F.when(width >= WEEK, by_end).otherwise(by_start).cast("bigint")
+        return by_start
+    by_end = _sunday(us) + F.pmod(_sunday(first) - _sunday(us), width)
+    return F.when(width >= WEEK, by_end).otherwise(by_start)
 
 
 def first_last(value: str, ts: str, row_id: str | None) -> tuple[Column, Column]:
@@ -129,7 +133,7 @@ def bars(
     1970-01-01): one partial and one final aggregation."""
     prices = prices or OWN
     need_columns(df, *by, ts, *prices.values())
-    start = (F.floor(micros(ts) / width) * width).cast("bigint")
+    start = _back_to(micros(ts), 0, width)
     return (
         df.groupBy(*by, start.alias("_start"))
         .agg(*_ohlcv(ts, row_id, prices))
