@@ -173,3 +173,28 @@ def test_ragged_records(spark):
     b = spark.sql("select 2 x, 3.5D y")
     got = sorted(tables.ragged_union([a, b]).select("x", "name", "y").collect())
     assert [tuple(r) for r in got] == [(1, "p", None), (2, None, 3.5)]
+
+
+def test_landed_files_to_report_table(spark, tmp_path):
+    names = {1: "Alpha", 2: None, 3: "Gamma", 4: "Delta"}
+    directory = {str(i): {"cik_str": n, "ticker": f"T{n}", "title": f"C{n}"} for i, n in enumerate([3, 1, 2, 9, 4])}
+    for folder in ("facts", "subs"):
+        (tmp_path / folder).mkdir()
+    (tmp_path / "directory.json").write_text(json.dumps(directory))
+    for n, name in names.items():
+        facts = facts_doc(Revenues=usd({"end": "2023", "val": n * 10}), NetIncomeLoss=usd({"end": "2023", "val": n}),
+                          Assets=usd({"end": "2023", "val": 1e13 if n == 3 else 6}), Liabilities=usd({"end": "2023", "val": 3}))
+        (tmp_path / "facts" / f"CIK{n:010d}.json").write_text(facts)
+        if name:
+            (tmp_path / "subs" / f"CIK{n:010d}.json").write_text(json.dumps({"name": name}))
+    table = str(tmp_path / "table")
+    seen = reports.load_landed(spark, str(tmp_path / "directory.json"), str(tmp_path / "facts"),
+                               str(tmp_path / "subs"), table, AS_OF, companies=4)
+    assert seen.get["rows"] == 2
+    back = {r["cik"]: r for r in tables.read_reports(spark, table).collect()}
+    assert {k: r["company_name"] for k, r in back.items()} == {
+        "0000000001": "Alpha", "0000000002": "Company 0000000002"}
+    row = back["0000000001"]
+    assert (row["current_ratio"], row["profit_margin"], row["fiscal_year"]) == (2.0, 0.1, 2024)
+    assert len(row["embeddings"]) == 384 and row["id"] is not None and str(row["created_at"])[:10] == "2024-06-30"
+    assert "Alpha (CIK: 0000000001)" in row["text_content"]

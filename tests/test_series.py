@@ -207,3 +207,12 @@ def test_attach_beyond_the_broadcast_limit(spark):
     got = attach(rows, table, ["k"], "n", limit=3).toPandas().sort_values("id", ignore_index=True)
     assert want["n"].notna().all()
     pd.testing.assert_frame_equal(got[want.columns], want)
+
+
+def test_long_exponential_average(spark):
+    pdf = random_series(8, [20000])
+    pdf.loc[pdf.row_id.between(7000, 8500), "close"] = np.nan
+    df = spark_rows(spark, pdf)
+    want = per_symbol(pdf, lambda c: c.ewm(span=26, adjust=False).mean())
+    for t in (tl.whole(df), tl.split(df, rows_per_chunk=5000)):
+        check(collect(ind.exponential_average(t, "close", {"e": 26}), ["e"])["e"], want)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.fixed_values import FILING_TYPE, FISCAL_PERIOD, METRIC_BOUND
+from tickwell.fixed_values import COMPANY_LIMIT, FILING_TYPE, FISCAL_PERIOD, METRIC_BOUND
 from tickwell.functions.numbers import clean_numbers
 from tickwell.functions.text import report_text
 from tickwell.operators.quality import accepted, validate
+from tickwell.operators.vectors import hash_vector
 from tickwell.schema import METRICS
+from tickwell.sources import filings
+from tickwell.sources.tables import append_reports
 
 
 def named(facts: DataFrame, submissions: DataFrame) -> DataFrame:
@@ -56,3 +59,35 @@ def finished_reports(
     """Valid reports with ratios and text, ready for the report table."""
     records = accepted(validate(report_records(facts, submissions, as_of), bound))
     return with_ratios(records).withColumn("text_content", report_text())
+
+
+def stored_reports(reports: DataFrame, as_of: str) -> DataFrame:
+    """Adds what the report table keeps besides: vector of the text, time of
+    the load and an id that follows from company, year and filing type."""
+    return reports.withColumns(
+        {
+            "embeddings": hash_vector(F.col("text_content")).cast("array<float>"),
+            "created_at": F.lit(as_of).cast("timestamp"),
+            "id": F.xxhash64("cik", "fiscal_year", "filing_type", "fiscal_period"),
+        }
+    )
+
+
+def load_landed(
+    spark: SparkSession,
+    directory: str,
+    facts: str,
+    submissions: str,
+    table: str,
+    as_of: str,
+    companies: int = COMPANY_LIMIT,
+) -> Observation:
+    """Landed files to the report table: the first companies of the directory,
+    their latest facts and names, checked, with ratios, text and vector."""
+    listed = filings.company_directory(filings.json_files(spark, directory))
+    wanted = filings.first_companies(listed, companies).select("cik")
+    parsed = filings.parse_facts(filings.company_files(spark, facts))
+    parsed = parsed.join(wanted, "cik", "left_semi")
+    names = filings.parse_submissions(filings.company_files(spark, submissions))
+    finished = finished_reports(parsed, names, as_of)
+    return append_reports(stored_reports(finished, as_of), table)

@@ -17,6 +17,12 @@ def json_files(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def company_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """JSON files named after their company: rows (cik, doc)."""
+    number = F.regexp_extract("file", r"CIK(\d+)\.json$", 1)
+    return json_files(spark, *paths).select(full_cik(number).alias("cik"), "doc")
+
+
 def company_directory(docs: DataFrame, file: str = "file", doc: str = "doc") -> DataFrame:
     """Companies of directory documents; ``file`` and ``pos`` give their order."""
     entries = F.map_entries(F.from_json(F.col(doc), schema.COMPANY_DIRECTORY))

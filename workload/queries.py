@@ -275,7 +275,8 @@ def csv_round_trip(spark, sf):
     full = _reports(spark, sf).drop(*RATIOS, "text_content")
     tables.write_report_csv(full, f"{folder}/csv")
     uploaded = reports.with_ratios(tables.read_report_csv(spark, f"{folder}/csv"))
-    tables.append_reports(uploaded, f"{folder}/reports")
+    uploaded = uploaded.withColumn("text_content", tx.report_text())
+    tables.append_reports(reports.stored_reports(uploaded, ad.AS_OF), f"{folder}/reports")
     back = tables.read_reports(spark, f"{folder}/reports")
     return rounded(back.select("cik", "company_name", "fiscal_year", *METRICS, *RATIOS))
 
@@ -283,7 +284,8 @@ def csv_round_trip(spark, sf):
 def load_counts(spark, sf):
     """How many reports were loaded and exported, counted on the way."""
     folder = _scratch(spark)
-    loaded = tables.append_reports(_reports(spark, sf), f"{folder}/reports")
+    finished = reports.stored_reports(_reports(spark, sf), ad.AS_OF)
+    loaded = tables.append_reports(finished, f"{folder}/reports")
     exported = tables.export_training(
         tables.read_reports(spark, f"{folder}/reports"), f"{folder}/training"
     )
@@ -330,11 +332,11 @@ def vector_cosine(spark, sf):
 
 def ivf_search(spark, sf):
     """Approximate search for the label means in the nearest cells only."""
-    placed, cells = vectors.assign_cells(
-        ad.table(spark, sf, "embeddings"), lists=20, probes=5
-    )
+    path = f"{_scratch(spark)}/cells"
+    placed, cells = vectors.assign_cells(ad.table(spark, sf, "embeddings"), lists=20, probes=5)
+    tables.write_cells(placed, path)
     hits = vectors.similar(
-        placed, label_centres(spark, sf), 5, LABEL_THRESHOLD, id="vec_id",
+        spark.read.parquet(path), label_centres(spark, sf), 5, LABEL_THRESHOLD, id="vec_id",
         query_id="label", query_vector="centre", cell="cell", cells=cells,
     )
     return rounded(hits)
