@@ -30,7 +30,7 @@ def attach(
     rows: DataFrame,
     table: DataFrame,
     on: list[str],
-    weight: str,
+    weight: str | None = None,
     limit: int | None = None,
     how: str = "left",
     kept: bool = False,
@@ -38,18 +38,22 @@ def attach(
     """Join ``table`` (one row per key) to ``rows`` without moving hot keys.
 
     The table is computed once and counted. Up to ``limit`` keys it is
-    broadcast. Beyond that the ``limit`` heaviest keys are broadcast, and only
-    the rows of the light keys, of which none can be hot, are shuffled.
-    ``weight`` names the column of ``table`` that holds the size of a key;
-    ``kept`` says that the table has been written already.
+    broadcast. Beyond that, ``weight`` names the column of ``table`` with the
+    number of rows of a key: keys with more than one part in ``limit`` of all
+    rows, fewer than ``limit`` keys, are broadcast, and only the rows of the
+    other keys, of which none can be hot, are shuffled. Without ``weight`` no
+    key is hot. ``kept`` says that the table has been written already.
     """
     limit = limit or BROADCAST_KEYS
     table = table if kept else keep(table)
     if table.limit(limit + 1).count() <= limit:
         return join_on(rows, F.broadcast(table), on, how, null_safe=True)
-    heavy = keep(table.orderBy(F.desc(weight), *on).limit(limit))
+    if weight is None:
+        return join_on(rows, table, on, how, null_safe=True)
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    is_heavy = F.coalesce(F.col(weight) * limit > total, F.lit(False))
+    heavy, light = table.where(is_heavy), table.where(~is_heavy)
     names = F.broadcast(heavy.select(*on))
-    light = join_on(table, names, on, "left_anti", null_safe=True)
     rest = join_on(rows, names, on, "left_anti", null_safe=True)
     near = join_on(rows, F.broadcast(heavy), on, "inner", null_safe=True)
     return near.unionByName(join_on(rest, light, on, how, null_safe=True))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickwell.fixed_values import MAX_POINTS
 from tickwell.functions.order import micros, time_key
 from tickwell.operators.attach import attach
-from tickwell.operators.timeline import ROWS_PER_CHUNK, RUN_IN, Timeline, split, whole
+from tickwell.operators.timeline import RUN_IN, Timeline, split, whole
 from tickwell.schema import need_columns, numeric_columns
 from tickwell.session import keep
 
@@ -257,7 +257,7 @@ def fixed_grid(
     by=("symbol",),
     ts: str = "ts",
     zero=("volume",),
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Add the empty buckets between the first and the last bar of a series.
 

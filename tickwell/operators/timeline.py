@@ -22,6 +22,7 @@ from tickwell.schema import need_columns
 from tickwell.session import keep
 
 ROWS_PER_CHUNK = 1 << 20
+MARKS = 64
 CHUNK, RUN_IN, ALL = "_chunk", "_run_in", "_all"
 
 
@@ -73,9 +74,10 @@ def split(
     by=("symbol",),
     order=("ts", "row_id"),
     lookback: int = 0,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = None,
 ) -> Timeline:
-    """Cut every series into chunks of about ``rows_per_chunk`` rows.
+    """Cut every series into chunks of about ``rows_per_chunk`` rows, by
+    default a million, or more where the run-in is long.
 
     ``order`` has to tell all rows of a series apart, and every series needs
     a name: a null in ``by`` is an error. Without ``by`` the table is one
@@ -92,7 +94,8 @@ def split(
     key = F.struct(*order)
     # A chunk holds exactly `marks` chosen rows, the run-in of the next chunk
     # the last `lookback` of them: hence never fewer rows than asked for.
-    marks = max(64, 8 * lookback)
+    marks = max(MARKS, 8 * lookback)
+    rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK * marks // MARKS
     one_in = max(1, rows_per_chunk // marks)
     chosen = df.select(*by, key.alias("_key")).where(
         F.pmod(F.xxhash64(*by, *order), F.lit(one_in)) == 0
@@ -108,7 +111,7 @@ def split(
             F.array_sort(
                 F.collect_list(F.when(turn == F.lit((marks - lookback) % marks), F.col("_key")))
             ).alias("_tails"),
-            F.max("_rank").alias("_weight"),
+            F.max("_rank").alias("_weight"),  # chosen rows: as good as the number of rows
         )
         .where(F.size("_cuts") > 0)
     )
@@ -173,7 +176,7 @@ def earlier(t: Timeline):
 def join_chunks(t: Timeline, chunks: DataFrame, columns: list[str]) -> Timeline:
     """Add columns of the chunk summaries; the many rows do not move for it."""
     chunks = chunks.select(*t.keys, *columns)
-    return replace(t, df=attach(t.df, chunks, t.keys, weight=CHUNK))
+    return replace(t, df=attach(t.df, chunks, t.keys))
 
 
 def position(t: Timeline, name: str) -> Timeline:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tickwell.fixed_values import BATCH_SIZE, SEQUENCE_LENGTH
 from tickwell.functions.text import first_words, words
 from tickwell.operators.attach import attach
-from tickwell.operators.timeline import ROWS_PER_CHUNK, position, split
+from tickwell.operators.timeline import position, split
 from tickwell.session import keep
 
 PAD, UNKNOWN, FIRST_ID = 0, 1, 2
 
 
 def vocabulary(
-    df: DataFrame, text: str = "text", rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, text: str = "text", rows_per_chunk: int | None = None
 ) -> DataFrame:
     """Words of all texts with their counts and ids, frequent words first."""
     counts = (
@@ -75,7 +75,7 @@ def shuffled_batches(
     id: str = "id",
     seed: int = 0,
     size: int = BATCH_SIZE,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """(epoch, batch, slot, id): all rows in a new order every epoch, cut into
     batches. The order follows from ids, epoch and seed alone."""

@@ -324,8 +324,10 @@ def similarity_topk(spark, sf):
 
 def vector_cosine(spark, sf):
     """Similarity of every vector to the mean vector of its label."""
-    sizes = label_centres(spark, sf).withColumn("n", F.size("centre"))
-    rows = attach(ad.table(spark, sf, "embeddings"), sizes, ["label"], weight="n")
+    points = ad.table(spark, sf, "embeddings")
+    sizes = points.groupBy("label").agg(F.count("*").alias("n"))
+    centres = label_centres(spark, sf).join(sizes, "label")
+    rows = attach(points, centres, ["label"], weight="n")
     sim = vectors.cosine(F.col("embedding"), F.col("centre"))
     return rounded(rows.select("vec_id", "label", sim.alias("similarity")))
 
