@@ -53,11 +53,10 @@ def first_words(text: Column, n: int) -> Column:
 
 
 def query_type(query: Column) -> Column:
+    """The first type one of whose words occurs in the query."""
     lower = F.lower(query)
-    chain = F
-    for name, terms in fixed.QUERY_TYPES:
-        chain = chain.when(_has_any(lower, terms), name)
-    return chain.otherwise(fixed.OTHER_QUERY_TYPE)
+    found = [F.when(_has_any(lower, terms), name) for name, terms in fixed.QUERY_TYPES]
+    return F.coalesce(*found, F.lit(fixed.OTHER_QUERY_TYPE))
 
 
 def snippet(content: Column, n: int = fixed.SNIPPET_LENGTH) -> Column:
@@ -149,7 +148,6 @@ def recency(moment: Column, as_of: Column) -> Column:
 
 def freshness(newest: Column, as_of: Column) -> Column:
     age = age_days(newest, as_of)
-    chain = F.when(newest.isNull(), fixed.NO_DATES)
-    for name, days in fixed.FRESHNESS_DAYS:
-        chain = chain.when(age < days, name)
-    return chain.otherwise(fixed.OLD_DATA)
+    none = F.when(newest.isNull(), fixed.NO_DATES)
+    young = [F.when(age < days, name) for name, days in fixed.FRESHNESS_DAYS]
+    return F.coalesce(none, *young, F.lit(fixed.OLD_DATA))

@@ -22,7 +22,7 @@ QUERY_BATCH = 4096
 def token_buckets(text: Column, size: int = VECTOR_SIZE) -> Column:
     """Bucket numbers of all words of a text, repeated as the words are."""
     number = lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint")
-    return F.transform(words(clean_query(text)), lambda w: F.pmod(number(w), F.lit(size)))
+    return F.transform(words(clean_query(text)), lambda w: F.pmod(number(w), F.lit(size)).cast("int"))
 
 
 def hash_vector(text: Column, size: int = VECTOR_SIZE) -> Column:
