@@ -182,7 +182,7 @@ def join_chunks(t: Timeline, chunks: DataFrame, columns: list[str]) -> Timeline:
 def position(t: Timeline, name: str) -> Timeline:
     """Number the rows of every series from 0."""
     if not t.chunked:
-        return t.with_columns({name: F.row_number().over(t.window()) - 1})
+        return t.with_columns({name: F.row_number().over(t.window()).cast("bigint") - 1})
     t = carry(
         t,
         {"_rows": F.count(F.lit(1))},

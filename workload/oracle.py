@@ -604,7 +604,7 @@ complete AS (
       list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.centre) AS similarity
     FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id, centres c)
   WHERE similarity > {LABEL_THRESHOLD})""",
-        f"SELECT label, id, {rnd('similarity')}, rank FROM pairs WHERE rank <= 5",
+        f"SELECT CAST(label AS BIGINT) AS label, id, {rnd('similarity')}, rank FROM pairs WHERE rank <= 5",
     ),
     "vector_cosine": plain(
         CENTRES,
