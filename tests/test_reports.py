@@ -124,7 +124,7 @@ def test_report_text(spark):
 def test_money_rounds_as_python(spark):
     values = [0.125, 2.675, -5.0, 1234.5, 0.005, 1.005, 99999.995, -0.5]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert [r[0] for r in df.select(tx.money(F.col("v"))).collect()] == [f"${v:,.2f}" for v in values]
+    assert [r[0] for r in df.select(tx.grouped_money(F.col("v"))).collect()] == [f"{v:,.2f}" for v in values]
 
 
 def test_impute_and_scale(spark):

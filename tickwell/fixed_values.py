@@ -12,20 +12,25 @@ TAXONOMY = "us-gaap"
 FILING_TYPE = "10-K"
 FISCAL_PERIOD = "FY"
 UNKNOWN_COMPANY = "Unknown"
+MADE_COMPANY_NAME = "Company {cik}"
 COMPANY_LIMIT = 500
 METRIC_BOUND = 1e12
 
 # ---- Fixed values: report text -------------------------------------------
-# One (label before the value, value name) pair per line; every line of the
-# text, blank ones included, is indented by eight blanks.
-REPORT_INDENT = "        "
-REPORT_METRIC_LABELS = {
-    "revenue": "Revenue",
-    "net_income": "Net Income",
-    "total_assets": "Total Assets",
-    "total_liabilities": "Total Liabilities",
-    "operating_cash_flow": "Operating Cash Flow",
-}
+# Names in braces stand for columns; every line is indented by eight blanks.
+REPORT_TEXT = """
+        Financial Report for {company_name} (CIK: {cik})
+        Filing Date: {filing_date}
+        Fiscal Year: {fiscal_year}
+        
+        Key Financial Metrics:
+        - Revenue: ${revenue}
+        - Net Income: ${net_income}
+        - Total Assets: ${total_assets}
+        - Total Liabilities: ${total_liabilities}
+        - Operating Cash Flow: ${operating_cash_flow}
+        """
+NO_VALUE = "nan"
 TRAINING_TYPE = "financial_report"
 
 # ---- Fixed values: retrieval ---------------------------------------------
@@ -62,6 +67,11 @@ OHLCV_CHARTS = {
     "price_chart": "Price History",
     "technical_indicators": "Technical Indicators",
 }
+LINE_CHART = "{metric}_chart"
+LINE_CHART_TITLE = "{metric} Trend"
+CHART_DESCRIPTION = "- {name}: {kind} chart showing {words}"
+PRICE_SUMMARY = "Price data available from {first} to {last}. Price range: ${low} - ${high}"
+SERIES_SUMMARY = "Time series data for {metrics} from {first} to {last}"
 RETRIEVED_HEADING = "Retrieved Information:"
 SERIES_HEADING = "\nFinancial Data Summary:"
 CHARTS_HEADING = "\nVisualizations Generated:"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -74,54 +75,50 @@ def plain_money(value: Column) -> Column:
     return F.replace(F.format_number(value, 2), F.lit(","), F.lit(""))
 
 
-def money(value: Column) -> Column:
-    """``$`` and two decimals with grouping; ``nan`` where there is no value."""
-    shown = F.coalesce(F.format_number(finite(value), 2), F.lit("nan"))
-    return F.concat(F.lit("$"), shown)
+def grouped_money(value: Column) -> Column:
+    """Two decimals with grouping; ``nan`` where there is no value."""
+    return F.coalesce(F.format_number(finite(value), 2), F.lit(fixed.NO_VALUE))
+
+
+def fill(template: str, **columns: Column) -> Column:
+    """A text with columns in place of the names in braces."""
+    parts = re.split(r"\{(\w+)\}", template)
+    filled = [columns[p] if i % 2 else F.lit(p) for i, p in enumerate(parts) if p]
+    return F.concat(*filled)
 
 
 def report_text() -> Column:
     """The text of a report from its columns."""
-    lines = [
-        F.concat(
-            F.lit("Financial Report for "), _shown("company_name"),
-            F.lit(" (CIK: "), _shown("cik"), F.lit(")"),
-        ),
-        F.concat(F.lit("Filing Date: "), _shown_time("filing_date")),
-        F.concat(F.lit("Fiscal Year: "), _shown("fiscal_year")),
-        F.lit(""),
-        F.lit("Key Financial Metrics:"),
-        *[
-            F.concat(F.lit(f"- {label}: "), money(F.col(m).cast("double")))
-            for m, label in fixed.REPORT_METRIC_LABELS.items()
-        ],
-        F.lit(""),
-    ]
-    indent = F.lit("\n" + fixed.REPORT_INDENT)
-    return F.concat(*[part for line in lines for part in (indent, line)])
-
-
-def _shown(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit("None"))
-
-
-def _shown_time(column: str) -> Column:
-    moment = F.date_format(F.col(column).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
-    return F.coalesce(F.concat(moment, F.lit("+00:00")), F.lit("None"))
+    shown = {c: _shown(F.col(c).cast("string")) for c in ("company_name", "cik", "fiscal_year")}
+    moment = F.date_format(F.col("filing_date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    return fill(
+        fixed.REPORT_TEXT,
+        **shown,
+        filing_date=_shown(F.concat(moment, F.lit("+00:00"))),
+        **{m: grouped_money(F.col(m).cast("double")) for m in fixed.CONCEPTS},
+    )
+
+
+def _shown(text: Column) -> Column:
+    return F.coalesce(text, F.lit("None"))
 
 
 def metric_title(metric: Column) -> Column:
-    return F.concat(F.initcap(F.replace(metric, F.lit("_"), F.lit(" "))), F.lit(" Trend"))
+    words = F.initcap(F.replace(metric, F.lit("_"), F.lit(" ")))
+    return fill(fixed.LINE_CHART_TITLE, metric=words)
 
 
 def chart_name(metric: Column) -> Column:
-    return F.concat(metric, F.lit("_chart"))
+    return fill(fixed.LINE_CHART, metric=metric)
 
 
 def chart_description(name: Column) -> Column:
-    return F.concat(
-        F.lit("- "), name, F.lit(": "), F.element_at(F.split(name, "_"), -1),
-        F.lit(" chart showing "), F.replace(name, F.lit("_"), F.lit(" ")),
+    kind = F.element_at(F.split(name, "_"), -1)
+    return fill(
+        fixed.CHART_DESCRIPTION,
+        name=name,
+        kind=kind,
+        words=F.replace(name, F.lit("_"), F.lit(" ")),
     )
 
 

@@ -81,15 +81,14 @@ def summaries(records: DataFrame, classes: DataFrame, points: int = fixed.MAX_PO
         "query_id", "ts", "row_id", *[F.col("fields")[c].alias(c) for c in OHLCV]
     )
     ranges = price_range(auto_bars(rows, by=["query_id"], points=points), by=["query_id"])
-    price = ranges.select(
-        "query_id",
-        F.concat(
-            F.lit("Price data available from "), _day_time("first_date"),
-            F.lit(" to "), _day_time("last_date"),
-            F.lit(". Price range: $"), tx.plain_money(F.col("low_close")),
-            F.lit(" - $"), tx.plain_money(F.col("high_close")),
-        ).alias("summary"),
+    price_text = tx.fill(
+        fixed.PRICE_SUMMARY,
+        first=_day_time("first_date"),
+        last=_day_time("last_date"),
+        low=tx.plain_money(F.col("low_close")),
+        high=tx.plain_money(F.col("high_close")),
     )
+    price = ranges.select("query_id", price_text.alias("summary"))
     generic = kinds.where("not is_ohlcv")
     # Only the times matter for the text, so one constant column stands for all.
     times = generic.select("query_id", "ts", "row_id", F.lit(0.0).alias("v"))
@@ -97,12 +96,14 @@ def summaries(records: DataFrame, classes: DataFrame, points: int = fixed.MAX_PO
     dates = dates.groupBy("query_id").agg(
         F.min("ts").alias("first_date"), F.max("ts").alias("last_date")
     )
+    series_text = tx.fill(
+        fixed.SERIES_SUMMARY,
+        metrics=F.array_join("metrics", ", "),
+        first=_day_time("first_date"),
+        last=_day_time("last_date"),
+    )
     other = dates.join(metric_names(generic), "query_id").select(
-        "query_id",
-        F.concat(
-            F.lit("Time series data for "), F.array_join("metrics", ", "),
-            F.lit(" from "), _day_time("first_date"), F.lit(" to "), _day_time("last_date"),
-        ).alias("summary"),
+        "query_id", series_text.alias("summary")
     )
     return price.unionByName(other)
 

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.fixed_values import COMPANY_LIMIT, FILING_TYPE, FISCAL_PERIOD, METRIC_BOUND
+from tickwell.fixed_values import (
+    COMPANY_LIMIT,
+    FILING_TYPE,
+    FISCAL_PERIOD,
+    MADE_COMPANY_NAME,
+    METRIC_BOUND,
+)
 from tickwell.functions.numbers import clean_numbers
-from tickwell.functions.text import report_text
+from tickwell.functions.text import fill, report_text
 from tickwell.operators.quality import accepted, validate
 from tickwell.operators.vectors import hash_vector
 from tickwell.schema import METRICS
@@ -22,7 +28,7 @@ def named(facts: DataFrame, submissions: DataFrame) -> DataFrame:
         F.col("cik").alias("_cik"), F.col("company_name").alias("_name")
     )
     joined = facts.join(names, F.col("cik") == F.col("_cik"), "left")
-    made = F.concat(F.lit("Company "), F.col("cik"))
+    made = fill(MADE_COMPANY_NAME, cik=F.col("cik"))
     name = F.when(F.col("_cik").isNull(), made).otherwise(F.col("_name"))
     return joined.withColumn("company_name", name).drop("_cik", "_name")
 
