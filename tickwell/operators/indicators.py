@@ -92,25 +92,21 @@ def decay_sums(
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({f"{n}_t": F.sum(fade).over(w) for n, (fade, _) in sums.items()})
     for name, (_, add) in sums.items():
-        total, block, inner, ends = f"{name}_t", f"{name}_b", f"{name}_i", f"{name}_e"
+        total, block, inner = f"{name}_t", f"{name}_b", f"{name}_i"
         df = df.withColumn(block, F.floor(F.col(total) / BLOCK))
-        # Blocks follow one another in time, so all windows share one sort order.
-        along = Window.partitionBy(*keys).orderBy(block, *order)
         in_block = Window.partitionBy(*keys, block).orderBy(*order)
         in_block = in_block.rowsBetween(Window.unboundedPreceding, 0)
         rise = F.col(total) - F.col(block) * BLOCK
         df = df.withColumn(
             inner, F.exp(-rise) * F.sum(F.col(add) * F.exp(rise)).over(in_block)
         )
-        following = F.lead(block).over(along)
-        is_end = following.isNull() | (following != F.col(block))
-        df = df.withColumn(ends, F.when(is_end, F.struct(inner, total)))
-        before = along.rowsBetween(Window.unboundedPreceding, -1)
-        df = df.withColumn(f"{name}_p", F.last(ends, ignorenulls=True).over(before))
-        prior = F.col(f"{name}_p")
-        carried = prior[inner] * F.exp(prior[total] - F.col(total))
+        # The end of the latest block before: rows of equal total have equal sums.
+        before = Window.partitionBy(*keys).orderBy(block)
+        before = before.rangeBetween(Window.unboundedPreceding, -1)
+        end, reached = F.max_by(inner, total).over(before), F.max(total).over(before)
+        carried = end * F.exp(reached - F.col(total))
         df = df.withColumn(name, F.col(inner) + F.coalesce(carried, F.lit(0.0)))
-        df = df.drop(block, inner, ends, f"{name}_p")
+        df = df.drop(block, inner)
     return df
 
 
