@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import tokenfile
+from tickwell.llm import fertility, prefixcounts, tokenfile
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
 
@@ -20,6 +21,18 @@ def op1_token_file(spark, sf):
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_prefix_counts(spark, sf):
+    """Tokens of all documents and how much of each fits 512 tokens."""
+    return prefixcounts.token_budgets(documents(spark, sf), BYTE_BPE, limit=512)
+
+
+def op8_fertility_rules(spark, sf):
+    """Counts, vocabulary figures and verdicts of all documents."""
+    return fertility.quality_rules(documents(spark, sf), PIECE_BPE)
+
+
 QUERIES = {
     "op1_token_file": op1_token_file,
+    "op4_prefix_counts": op4_prefix_counts,
+    "op8_fertility_rules": op8_fertility_rules,
 }
