@@ -35,7 +35,7 @@ class Encoder:
     without normaliser; any other tokenizer gets whole texts.
     """
 
-    def __init__(self, path: str, cache_limit: int = 200_000):
+    def __init__(self, path: str, cache_limit: int = 500_000):
         self.tokenizer = load(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import fertility, prefixcounts, tokenfile
+from tickwell.llm import compression, fertility, licenses, prefixcounts, tokenfile, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -15,24 +15,48 @@ def documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def labels(spark, sf):
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
 def op1_token_file(spark, sf):
     """Packed token ids of all documents, written and read back."""
     rows = tokenfile.token_file(documents(spark, sf), BYTE_BPE, END_ID)
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_license_templates(spark, sf):
+    """Licence phrases and templates in all documents."""
+    return licenses.scan(documents(spark, sf))
+
+
 def op4_prefix_counts(spark, sf):
     """Tokens of all documents and how much of each fits 512 tokens."""
     return prefixcounts.token_budgets(documents(spark, sf), BYTE_BPE, limit=512)
 
 
+def op6_compression_quality(spark, sf):
+    """Quality scores of all documents."""
+    docs = documents(spark, sf)
+    return compression.score_quality(docs, compression.fit(docs, labels(spark, sf)))
+
+
 def op8_fertility_rules(spark, sf):
     """Counts, vocabulary figures and verdicts of all documents."""
     return fertility.quality_rules(documents(spark, sf), PIECE_BPE)
 
 
+def op10_nearest_toxicity(spark, sf):
+    """Toxicity scores of all documents, with the nearest examples."""
+    docs = documents(spark, sf)
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, labels(spark, sf)))
+
+
 QUERIES = {
     "op1_token_file": op1_token_file,
+    "op3_license_templates": op3_license_templates,
     "op4_prefix_counts": op4_prefix_counts,
+    "op6_compression_quality": op6_compression_quality,
     "op8_fertility_rules": op8_fertility_rules,
+    "op10_nearest_toxicity": op10_nearest_toxicity,
 }
