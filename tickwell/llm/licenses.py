@@ -82,17 +82,14 @@ class Automaton:
         #: Every match contains this run of words.
         self.core = max(runs, key=lambda r: (len(b" ".join(r)), r))
         self.probe = b" " + b" ".join(self.core) + b" "
-        self.most_before = self._most_before()
+        #: No match has more words than the automaton has states.
+        self.most_before = len(self.steps)
 
     def _state(self) -> int:
         self.steps.append({})
         self.skips.append([])
         return len(self.steps) - 1
 
-    def _most_before(self) -> int:
-        """The most words a match can have before the run that it must contain."""
-        return len(self.steps)
-
     def _closed(self, states: set[int]) -> set[int]:
         todo = list(states)
         while todo:

@@ -1,3 +1,40 @@
 """SQL of those queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+OP5 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ')
+    ELSE array_to_string(words[i : i + 4], ' ') END AS shingle
+  FROM split, unnest(range(1, greatest(len(words) - 3, 2))) AS t(i)
+  WHERE len(words) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+  GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * s.n >= 75 * (p.n + q.n - s.n)
+),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS node, a AS other FROM edges
+  UNION
+  SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other
+),
+found AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(f.component, d.doc_id) AS component_id,
+  d.doc_id = coalesce(f.component, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN found f ON f.node = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_minhash_components": OP5,
+}

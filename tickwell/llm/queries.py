@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import compression, fertility, licenses, prefixcounts, tokenfile, toxicity
+from tickwell.llm import compression, fertility, licenses, neardup, prefixcounts, tokenfile, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -35,6 +35,11 @@ def op4_prefix_counts(spark, sf):
     return prefixcounts.token_budgets(documents(spark, sf), BYTE_BPE, limit=512)
 
 
+def op5_minhash_components(spark, sf):
+    """Components of near copies of all documents."""
+    return neardup.near_duplicates(documents(spark, sf))
+
+
 def op6_compression_quality(spark, sf):
     """Quality scores of all documents."""
     docs = documents(spark, sf)
@@ -56,6 +61,7 @@ QUERIES = {
     "op1_token_file": op1_token_file,
     "op3_license_templates": op3_license_templates,
     "op4_prefix_counts": op4_prefix_counts,
+    "op5_minhash_components": op5_minhash_components,
     "op6_compression_quality": op6_compression_quality,
     "op8_fertility_rules": op8_fertility_rules,
     "op10_nearest_toxicity": op10_nearest_toxicity,

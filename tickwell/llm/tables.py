@@ -48,12 +48,16 @@ def by_batch(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in work(small_pieces(batches)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
+                [_column(out[f.name], f.type) for f in arrow], schema=arrow
             )
 
     return df.mapInArrow(run, fields)
 
 
+def _column(values, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
+
 PIECE_BYTES = 4 << 20
 
 
