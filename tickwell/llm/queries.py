@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import compression, fertility, licenses, neardup, prefixcounts, tokenfile, toxicity
+from tickwell.llm import compression, fertility, leaks, licenses, neardup, prefixcounts, tokenfile, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -51,6 +51,11 @@ def op8_fertility_rules(spark, sf):
     return fertility.quality_rules(documents(spark, sf), PIECE_BPE)
 
 
+def op9_benchmark_leaks(spark, sf):
+    """Test items found in all documents."""
+    return leaks.find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 def op10_nearest_toxicity(spark, sf):
     """Toxicity scores of all documents, with the nearest examples."""
     docs = documents(spark, sf)
@@ -64,5 +69,6 @@ QUERIES = {
     "op5_minhash_components": op5_minhash_components,
     "op6_compression_quality": op6_compression_quality,
     "op8_fertility_rules": op8_fertility_rules,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_nearest_toxicity": op10_nearest_toxicity,
 }
