@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.tables import by_batch, id_and_text
+from tickwell.llm.tables import by_batch, filtered, id_and_text
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -155,6 +155,32 @@ RESULT = (
 )
 
 
+def indexes(
+    items: DataFrame,
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    question_col: str | None = None,
+    answer_col: str | None = None,
+) -> Iterator[Index]:
+    """An index for every ``ITEMS_AT_ONCE`` items; at least one, if an empty one."""
+    parts = [F.col(c).cast("string") for c in (question_col, answer_col) if c] or [F.col(item_text_col).cast("string")]
+    table = items.select(
+        F.col(item_id_col).cast("long").alias("item_id"),
+        F.array(*[F.coalesce(p, F.lit("")) for p in parts]).alias("parts"),
+    )
+    blocks = max(1, -(-table.count() // ITEMS_AT_ONCE))
+    numbered = table.withColumn("block", F.pmod(F.xxhash64("item_id", "parts"), F.lit(blocks)))
+    for b in range(blocks):
+        rows = numbered.where(F.col("block") == b).orderBy("item_id", "parts").collect()
+        yield Index([_item(r["item_id"], r["parts"]) for r in rows])
+
+
+def _item(item_id: int | None, parts: list[str]) -> Item:
+    if len(parts) == 2:
+        return Item(item_id, words_of(parts[0]), words_of(parts[1]))
+    return Item(item_id, *question_and_answer(parts[0]))
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -176,22 +202,8 @@ def find_leaks(
     they are indexed ``ITEMS_AT_ONCE`` at a time.
     """
     texts = id_and_text(docs, id_col, text_col)
-    parts = [F.col(c).cast("string") for c in (question_col, answer_col) if c] or [F.col(item_text_col).cast("string")]
-    table = items.select(
-        F.col(item_id_col).cast("long").alias("item_id"),
-        F.array(*[F.coalesce(p, F.lit("")) for p in parts]).alias("parts"),
-    )
-    blocks = max(1, -(-table.count() // ITEMS_AT_ONCE))
-    numbered = table.withColumn("block", F.pmod(F.xxhash64("item_id", "parts"), F.lit(blocks)))
     out = None
-    for b in range(blocks):
-        rows = numbered.where(F.col("block") == b).orderBy("item_id", "parts").collect()
-        index = Index(
-            [
-                Item(r["item_id"], *(map(words_of, r["parts"]) if len(parts) == 2 else question_and_answer(r["parts"][0])))
-                for r in rows
-            ]
-        )
+    for index in indexes(items, item_id_col, item_text_col, question_col, answer_col):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def work(pieces: Iterator[dict], shared=shared) -> Iterator[dict]:
@@ -208,3 +220,22 @@ def find_leaks(
         part = by_batch(texts, RESULT, work)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def drop_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = THRESHOLD,
+    least_overlap: float = OVERLAP,
+    text_col: str = "text",
+    **item_columns,
+) -> DataFrame:
+    """The rows of ``docs`` that contain no test item, with all their columns."""
+    for index in indexes(items, **item_columns):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def clean(texts: list[str], shared=shared) -> list[bool]:
+            return [not shared.value.leaks(t, threshold, least_overlap) for t in texts]
+
+        docs = filtered(docs, text_col, clean)
+    return docs

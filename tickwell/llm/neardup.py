@@ -246,6 +246,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group of near copies, with all its columns.
+
+    The row with the smallest id stays; of several rows with that id, any one.
+    Rows without an id or without words have no copies and all stay.
+    """
+    verdicts = near_duplicates(docs, id_col, text_col)
+    named = verdicts.where(F.col("doc_id").isNotNull())
+    by_id = named.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
+    by_id = written(by_id.where("not kept or n > 1"))
+
+    def ids(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("doc_id").alias("_id"))
+
+    same = F.col(id_col).cast("long") == F.col("_id")
+    single = docs.join(ids(by_id), same, "left_anti")
+    repeated = docs.join(ids(by_id.where("kept")), same, "left_semi").dropDuplicates([id_col])
+    return single.unionByName(repeated)
+
+
 def _between(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
     """Only the pairs whose ends are not in one component yet."""
     if found is None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import compression, fertility, leaks, licenses, neardup, prefixcounts, tokenfile, toxicity
+from tickwell.llm import compression, fertility, leaks, licenses, mixing, neardup, prefixcounts, tokenfile, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +25,12 @@ def op1_token_file(spark, sf):
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_temperature_mix(spark, sf):
+    """All documents, mixed to as many tokens with at most two uses of each."""
+    rows = mixing.mix(documents(spark, sf), most_repeats=2.0)
+    return rows.select("doc_id", "source", "mix_epoch", "mix_block", "mix_tokens", "mix_place")
+
+
 def op3_license_templates(spark, sf):
     """Licence phrases and templates in all documents."""
     return licenses.scan(documents(spark, sf))
@@ -64,6 +70,7 @@ def op10_nearest_toxicity(spark, sf):
 
 QUERIES = {
     "op1_token_file": op1_token_file,
+    "op2_temperature_mix": op2_temperature_mix,
     "op3_license_templates": op3_license_templates,
     "op4_prefix_counts": op4_prefix_counts,
     "op5_minhash_components": op5_minhash_components,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +54,24 @@ def by_batch(
     return df.mapInArrow(run, fields)
 
 
+def filtered(
+    df: DataFrame, text_col: str, keep: Callable[[list[str]], Iterable[bool]]
+) -> DataFrame:
+    """The rows whose text ``keep`` accepts, with all their columns; null texts are passed as empty."""
+    schema = df.schema
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, int(batch.num_rows * PIECE_BYTES / max(batch.nbytes, 1)))
+            for start in range(0, batch.num_rows, step):
+                piece = batch.slice(start, step)
+                texts = ["" if t is None else t for t in piece.column(at).to_pylist()]
+                yield piece.filter(pa.array(list(keep(texts)), type=pa.bool_()))
+
+    return df.mapInArrow(run, schema)
+
+
 def _column(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
 

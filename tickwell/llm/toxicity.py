@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.labelled import Logistic, fold, sample, shift
-from tickwell.llm.tables import by_batch, id_and_text
+from tickwell.llm.tables import by_batch, filtered, id_and_text
 
 K = 15
 BLOCK = 64
@@ -230,3 +230,8 @@ def score_toxicity(
         "neighbours",
         "cosines",
     )
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below the threshold, with all their columns."""
+    return filtered(docs, text_col, lambda texts: model.score(texts)[0] < threshold)
