@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import compression, fertility, leaks, licenses, mixing, neardup, prefixcounts, tokenfile, toxicity
+from tickwell.llm import compression, fertility, leaks, licenses, mixing, neardup, prefixcounts, repeats, tokenfile, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -52,6 +52,11 @@ def op6_compression_quality(spark, sf):
     return compression.score_quality(docs, compression.fit(docs, labels(spark, sf)))
 
 
+def op7_suffix_repeats(spark, sf):
+    """What repeats of 100 bytes leave of all documents."""
+    return repeats.remove_repeats(documents(spark, sf))
+
+
 def op8_fertility_rules(spark, sf):
     """Counts, vocabulary figures and verdicts of all documents."""
     return fertility.quality_rules(documents(spark, sf), PIECE_BPE)
@@ -75,6 +80,7 @@ QUERIES = {
     "op4_prefix_counts": op4_prefix_counts,
     "op5_minhash_components": op5_minhash_components,
     "op6_compression_quality": op6_compression_quality,
+    "op7_suffix_repeats": op7_suffix_repeats,
     "op8_fertility_rules": op8_fertility_rules,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_nearest_toxicity": op10_nearest_toxicity,
