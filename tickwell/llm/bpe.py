@@ -31,6 +31,7 @@ def load(path: str):
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
+    The cache holds up to twice ``cache_limit`` chunks of about 200 bytes each.
     Texts are cut into chunks only if the tokenizer is a plain byte-level BPE
     without normaliser; any other tokenizer gets whole texts.
     """
