@@ -133,7 +133,7 @@ class Index:
             table = self.postings[b]
             scores = table[self.rows[b][terms[first[i] : ends[i]]]].sum(0)
             start = int(passages[i]) * self.stride
-            for j in np.flatnonzero(scores >= threshold - 1e-4):
+            for j in np.flatnonzero(scores >= threshold - 1e-6):
                 yield start, start + 2 * self.stride, int(b * self.block + j), round(float(scores[j]), 6)
 
     def leaks(self, text: str, threshold: float, least: float) -> list[tuple]:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.components import components
-from tickwell.llm.tables import by_batch, id_and_text, written
+from tickwell.llm.tables import by_batch, id_and_text, unused, written
 
 SHINGLE = 5
 PERCENT = 75
@@ -257,10 +257,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     by_id = named.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
     by_id = written(by_id.where("not kept or n > 1"))
 
+    name = unused("_id", docs)
+
     def ids(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("doc_id").alias("_id"))
+        return rows.select(F.col("doc_id").alias(name))
 
-    same = F.col(id_col).cast("long") == F.col("_id")
+    same = F.col(id_col).cast("long") == F.col(name)
     single = docs.join(ids(by_id), same, "left_anti")
     repeated = docs.join(ids(by_id.where("kept")), same, "left_semi").dropDuplicates([id_col])
     return single.unionByName(repeated)

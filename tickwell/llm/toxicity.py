@@ -147,8 +147,10 @@ class Model:
         figures = self._figures(cosines, at)
         log_odds = shift(of, totals)
         self.calibrate = Logistic(figures, y[told].astype(float), ridge=0.5).moved(log_odds)
-        # Texts without any selected term have no neighbour; their share of toxic ones is their score.
-        odds = (y[~told].sum() + 0.5) / ((1 - y[~told]).sum() + 0.5) * math.exp(log_odds)
+        # Texts without any selected term have no neighbour; their share of toxic ones is their score
+        # (with one more half as toxic as the sample, so that few such examples say little).
+        rate = (y[~told].sum() + 0.5 * y.mean()) / ((~told).sum() + 1)
+        odds = rate / (1 - rate) * math.exp(log_odds)
         self.silent = odds / (1 + odds)
 
     def __getstate__(self):
