@@ -151,22 +151,26 @@ def test_search_with_own_depths(spark):
     assert got[0] == brute(d, q, 2, -1.0)[0]
 
 
-def test_cells_find_nearly_all(spark):
+@pytest.mark.parametrize("probes", [1, 3, 8])
+def test_cells_find_all(spark, probes):
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(8, 16)) * 3
     d = centres[rng.integers(0, 8, 800)] + rng.normal(size=(800, 16))
     docs = spark.createDataFrame(
         [(i, v.tolist()) for i, v in enumerate(d)] + [(900, [0.0] * 16)], "id long, embedding array<double>")
-    q = centres[rng.integers(0, 8, 20)] + rng.normal(size=(20, 16))
+    q = np.concatenate([centres[rng.integers(0, 8, 15)] + rng.normal(size=(15, 16)), rng.normal(size=(5, 16))])
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id long, embedding array<double>")
-    placed, cells = vc.assign_cells(docs, lists=8, probes=2)
+    placed, cells = vc.assign_cells(docs, lists=8)
     assert placed.count() == 801
-    got = found(vc.similar(placed, queries, 5, 0.0, cell="cell", cells=cells))
-    want = brute(d, q, 5, 0.0)
-    recall = sum(len(set(got[i]) & set(want[i])) for i in want) / sum(len(v) for v in want.values())
-    assert recall > 0.9
-    all_cells = vc.Cells(cells.centres, 8)
-    assert found(vc.similar(placed, queries, 5, 0.0, cell="cell", cells=all_cells)) == want
+    got = found(vc.similar_in_cells(placed, cells, queries, 5, 0.1, probes=probes, batch=7))
+    assert got == {k: v for k, v in brute(d, q, 5, 0.1).items() if v}
+
+
+def test_more_queries_than_a_task_should_hold(spark):
+    d, docs = vectors_table(spark, 300, 8, 1, "id")
+    q, queries = vectors_table(spark, 12_000, 8, 2, "query_id")
+    got = found(vc.similar(docs, queries, 2, 0.2))
+    assert got == {k: v for k, v in brute(d, q, 2, 0.2).items() if v}
 
 
 def corpus(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,13 @@ from tickwell.session import keep
 # Similarities that agree to this many digits count as equal, and the id
 # decides: the last bits of a product depend on the machine.
 RANK_DIGITS = 9
-QUERY_BATCH = 4096
+#: Vectors in a packed row of documents and of queries.
+BLOCK = 1024
+QUERY_BATCH = 1024
+#: Shares of the documents that queries are handed to, and in which hits are merged first.
+SHARES = 64
+MERGE_SHARES = 32
+BOUND_SLACK = 1e-9
 
 
 def token_buckets(text: Column, size: int = VECTOR_SIZE) -> Column:
@@ -67,64 +73,147 @@ def with_vectors(docs: DataFrame, vectors: DataFrame, id: str, vector_id: str) -
     return docs.join(vectors, docs[id] == vectors[vector_id])
 
 
-def _scorer(
-    keys: list[tuple[int, int]],
-    vectors: np.ndarray,
-    limits: np.ndarray,
-    threshold: float,
-    probes: np.ndarray | None,
-) -> Callable[[Iterator], Iterator]:
-    """A function for ``mapInArrow`` that scores documents against a batch of
-    queries and keeps the best of each query over all batches of its task."""
-    query_ids = np.array([k[0] for k in keys], dtype=np.int64)
-    forms = np.array([k[1] for k in keys], dtype=np.int32)
+HITS = "query_id long, form int, id long, similarity double, limit int"
+PACKED = "key long, n int, ids binary, forms binary, limits binary, vectors binary"
 
-    def score(batches):
+
+def _packed(rows: DataFrame, size: int) -> DataFrame:
+    """Rows ``(key, id, form, limit, vector)`` as blocks of at most ``size`` of one key.
+
+    Rows must be ordered by key within their partition. A block is one row, so
+    joining blocks pairs up as many vectors at once, and a task holds few of them.
+    """
+
+    def pack(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def best(q, s, d):
-            """Per query the first ``limits`` by similarity, then id."""
-            order = np.lexsort((d, -np.round(s, RANK_DIGITS), q))
-            q, s, d = q[order], s[order], d[order]
-            rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-            near = rank < limits[q]
-            return q[near], s[near], d[near]
-
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        kept = (np.empty(0, np.int64), np.empty(0, float), np.empty(0, np.int64))
-        step = 256
         for batch in batches:
             batch = batch.filter(batch.column("vector").is_valid())
-            matrix = np.asarray(batch.column("vector").flatten(), dtype=float)
-            matrix = matrix.reshape(batch.num_rows, vectors.shape[1])
-            doc_ids = batch.column("id").to_numpy(zero_copy_only=False)
-            lengths = np.sqrt((matrix * matrix).sum(axis=1))
-            if probes is not None:
-                cells = batch.column("cell").to_numpy(zero_copy_only=False)
-            found = [kept]
-            for start in range(0, len(vectors), step):
-                part = slice(start, start + step)
-                scale = norms[part, None] * lengths[None, :]
+            if not batch.num_rows:
+                continue
+            keys = batch.column("key").to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+            cuts = [c for a, b in zip(starts, starts[1:]) for c in range(a, b, size)] + [len(keys)]
+            out = []
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                vectors = np.asarray(part.column("vector").flatten(), dtype="<f8")
+                numbers = [part.column(c).to_numpy() for c in ("id", "form", "limit")]
+                out.append((int(keys[a]), int(b - a), *(x.tobytes() for x in (*numbers, vectors))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in zip(*out)],
+                names=["key", "n", "ids", "forms", "limits", "vectors"],
+            ).cast(schema)
+
+    schema = pa.schema(
+        [("key", pa.int64()), ("n", pa.int32())]
+        + [(c, pa.binary()) for c in ("ids", "forms", "limits", "vectors")]
+    )
+    return rows.mapInArrow(pack, PACKED)
+
+
+def _best(query_id, form, similarity, doc_id, limit):
+    """Of each query the first ``limit`` by similarity, then id."""
+    order = np.lexsort((doc_id, -np.round(similarity, RANK_DIGITS), form, query_id))
+    columns = [x[order] for x in (query_id, form, similarity, doc_id, limit)]
+    q, f = columns[:2]
+    new = np.ones(len(q), dtype=bool)
+    new[1:] = (q[1:] != q[:-1]) | (f[1:] != f[:-1])
+    rank = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
+    near = rank < columns[4]
+    return [c[near] for c in columns]
+
+
+HELD_HITS = 1 << 20
+
+
+def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Hits of pairs of a block of documents and a block of queries; each task
+    keeps the best of each query over all its pairs."""
+
+    def score(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        empty = [np.empty(0, t) for t in (np.int64, np.int32, float, np.int64, np.int32)]
+        found, waiting = [empty], 0
+
+        def merged():
+            return _best(*(np.concatenate(c) for c in zip(*found)))
+
+        def rows(columns):
+            q, f, s, d, limit = columns
+            return pa.RecordBatch.from_arrays(
+                [pa.array(q), pa.array(f), pa.array(d), pa.array(s), pa.array(limit)],
+                names=["query_id", "form", "id", "similarity", "limit"],
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                docs = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], -1)
+                queries = np.frombuffer(row["q_vectors"], "<f8").reshape(row["q_n"], -1)
+                ids = np.frombuffer(row["ids"], "<i8")
+                lengths = [np.sqrt((x * x).sum(axis=1)) for x in (queries, docs)]
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    sims = (vectors[part] @ matrix.T) / scale
+                    sims = (queries @ docs.T) / np.outer(*lengths)
                 # NaN, from a zero vector, passes no comparison.
-                hit = sims > threshold
-                if probes is not None:
-                    hit &= probes[part][:, cells]
-                q, d = np.nonzero(hit)
-                found.append(best(q + start, sims[q, d], doc_ids[d]))
-            kept = best(*[np.concatenate(x) for x in zip(*found)])
-        q, s, d = kept
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(query_ids[q]), pa.array(forms[q]), pa.array(d.astype(np.int64)), pa.array(s)],
-            names=["query_id", "form", "id", "similarity"],
-        )
+                q, d = np.nonzero(sims > threshold)
+                asked = [np.frombuffer(row[c], t) for c, t in (("q_ids", "<i8"), ("q_forms", "<i4"), ("q_limits", "<i4"))]
+                found.append(_best(asked[0][q], asked[1][q], sims[q, d], ids[d], asked[2][q]))
+                waiting += len(found[-1][0])
+                if waiting > HELD_HITS:
+                    found, waiting = [merged()], 0
+                    if len(found[0][0]) > HELD_HITS:
+                        yield rows(found[0])
+                        found = [empty]
+        yield rows(merged())
 
-    return score
+    return pairs.drop("key").mapInArrow(score, HITS)
 
 
-HITS = "query_id long, form int, id long, similarity double"
+def _joined(chunks: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pairs of blocks of the same key; Spark chooses how by the sizes it finds."""
+    named = blocks.withColumnsRenamed({c: f"q_{c}" for c in blocks.columns if c != "key"})
+    return chunks.join(named, "key")
+
+
+def _wanted(queries: DataFrame, k: int, query_id: str, query_vector: str) -> DataFrame:
+    versions = "form" in queries.columns
+    asked = F.coalesce(F.col("top_k"), F.lit(0)) if "top_k" in queries.columns else F.lit(0)
+    return queries.select(
+        F.col(query_id).cast("bigint").alias("id"),
+        (F.col("form") if versions else F.lit(0)).cast("int").alias("form"),
+        F.when(asked > 0, asked).otherwise(k).cast("int").alias("limit"),
+        F.col(query_vector).cast("array<double>").alias("vector"),
+    )
+
+
+def _documents(docs: DataFrame, id: str, vector: str, *columns: Column) -> DataFrame:
+    return docs.select(
+        *columns,
+        F.col(id).cast("bigint").alias("id"),
+        F.lit(0).alias("form"),
+        F.lit(0).alias("limit"),
+        F.col(vector).cast("array<double>").alias("vector"),
+    )
+
+
+def _ranked(hits: DataFrame, *others: str) -> DataFrame:
+    """The first ``limit`` hits of each query, in two steps: first among the hits
+    of a share of the documents, so that no task gets the hits of all tasks."""
+    order = [F.desc(F.round("similarity", RANK_DIGITS)), F.col("id")]
+    share = F.pmod(F.xxhash64("id"), F.lit(MERGE_SHARES))
+    first = Window.partitionBy("query_id", "form", "_share").orderBy(*order)
+    last = Window.partitionBy("query_id", "form").orderBy(*order)
+    rows = hits.withColumn("_share", share).withColumn("rank", F.row_number().over(first))
+    rows = rows.where(F.col("rank") <= F.col("limit")).drop("_share", "rank")
+    return rows.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= F.col("limit"))
+
+
+def _result(ranked: DataFrame, queries: DataFrame) -> DataFrame:
+    ranked = ranked.drop("limit")
+    return ranked if "form" in queries.columns else ranked.drop("form")
 
 
 def similar(
@@ -136,85 +225,113 @@ def similar(
     vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "embedding",
-    cell: str | None = None,
-    cells: Cells | None = None,
     batch: int = QUERY_BATCH,
 ) -> DataFrame:
     """Rows (query_id, id, similarity, rank): for every query the ``k``
     documents of greatest cosine similarity above ``threshold``.
 
-    The vectors of about ``batch`` queries travel with the task; documents
-    stay where they are and each task passes on at most ``k`` rows per query.
-    More queries take several passes over the documents. A column ``top_k`` of
-    ``queries`` overrides ``k`` where it is given and not 0. A column ``form``
-    tells versions of one query apart and comes back in the result. With
-    ``cells`` only documents in the cells near a query are compared to it.
+    Documents are packed where they are, ``BLOCK`` vectors a row, and queries
+    ``batch`` a row. Every block of queries is handed to every share of the
+    documents by an ordinary join, so Spark sends small query tables to the
+    documents and deals out both sides of large ones; nothing passes through
+    the driver, and documents are read once. A column ``top_k`` of ``queries``
+    overrides ``k`` where it is given and not 0. A column ``form`` tells
+    versions of one query apart and comes back in the result.
     """
     k = k or TOP_K
-    versions = "form" in queries.columns
-    asked = F.coalesce(F.col("top_k"), F.lit(0)) if "top_k" in queries.columns else F.lit(0)
-    wanted = queries.select(
-        F.col(query_id).cast("bigint").alias("query_id"),
-        (F.col("form") if versions else F.lit(0)).cast("int").alias("form"),
-        F.when(asked > 0, asked).otherwise(k).cast("int").alias("limit"),
-        F.col(query_vector).alias("vector"),
-    )
-    rows = wanted.limit(batch + 1).collect()
-    passes = 1
-    if len(rows) > batch:
-        wanted = keep(wanted)
-        passes = -(-wanted.count() // batch)
-    columns = [F.col(id).cast("bigint").alias("id"), F.col(vector).alias("vector")]
-    if cells:
-        columns.append(F.col(cell).cast("int").alias("cell"))
-    table = docs.select(*columns)
-    found = docs.sparkSession.createDataFrame([], HITS)
-    for i in range(passes):
-        if passes > 1:
-            share = F.pmod(F.xxhash64("query_id", "form", F.lit("pass")), F.lit(passes)) == i
-            rows = wanted.where(share).collect()
-        rows = [r for r in rows if r["vector"] is not None]
-        if not rows:
-            continue
-        vectors = np.array([r["vector"] for r in rows], dtype=float)
-        probes = cells.near(vectors) if cells else None
-        here = table
-        if cells:
-            here = table.where(F.col("cell").isin(np.flatnonzero(probes.any(axis=0)).tolist()))
-        score = _scorer(
-            [(r["query_id"], r["form"]) for r in rows],
-            vectors,
-            np.array([r["limit"] for r in rows]),
-            threshold,
-            probes,
-        )
-        hits = here.mapInArrow(score, HITS)
-        found = hits if passes == 1 else found.unionByName(hits)
-    order = Window.partitionBy("query_id", "form").orderBy(
-        F.desc(F.round("similarity", RANK_DIGITS)), "id"
-    )
-    ranked = found.withColumn("rank", F.row_number().over(order))
-    if "top_k" in queries.columns:
-        ranked = ranked.join(wanted.select("query_id", "form", "limit"), ["query_id", "form"])
-        ranked = ranked.where(F.col("rank") <= F.col("limit")).drop("limit")
-    else:
-        ranked = ranked.where(F.col("rank") <= k)
-    return ranked if versions else ranked.drop("form")
+    wanted = _wanted(queries, k, query_id, query_vector)
+    blocks = _packed(wanted.withColumn("key", F.lit(0).cast("long")), batch).drop("key")
+    shares = F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))
+    blocks = blocks.withColumn("key", F.explode(shares))
+    table = _documents(docs, id, vector, F.lit(0).cast("long").alias("key"))
+    chunks = _packed(table, BLOCK).withColumn("key", F.pmod(F.xxhash64("ids"), F.lit(SHARES)))
+    return _result(_ranked(_scored(_joined(chunks, blocks), threshold)), queries)
 
 
 class Cells:
-    """Centres of a k-means clustering of unit vectors, and what is near them."""
+    """Centres of a k-means clustering of unit vectors, as many as ``lists`` says,
+    and a table ``(cell, radius)``: the greatest angle of a cell's vectors from its centre."""
 
-    def __init__(self, centres: np.ndarray, probes: int):
+    def __init__(self, centres: np.ndarray, radii: DataFrame):
         self.centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-        self.probes = min(probes, len(centres))
+        self.radii = radii
+
+    def angles(self, wanted: DataFrame) -> DataFrame:
+        """``(key, angle, place)`` of all cells for each row: ``place`` counts from the nearest."""
+        centres = self.centres
+
+        @F.arrow_udf("array<struct<key:bigint,angle:double,place:int>>")
+        def measured(vectors: pa.Array) -> pa.Array:
+            import numpy as np
+            import pyarrow as pa
+
+            matrix = np.asarray(vectors.flatten(), dtype=float).reshape(len(vectors), centres.shape[1])
+            lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+            unit = matrix / np.where(lengths > 0, lengths, 1)
+            angles = np.arccos(np.clip(unit @ centres.T, -1, 1))
+            order = np.argsort(angles, axis=1, kind="stable")
+            place = np.empty_like(order)
+            np.put_along_axis(place, order, np.arange(angles.shape[1])[None, :], axis=1)
+            n, cells = angles.shape
+            rows = pa.StructArray.from_arrays(
+                [
+                    pa.array(np.tile(np.arange(cells, dtype=np.int64), n)),
+                    pa.array(angles.ravel()),
+                    pa.array(place.ravel().astype(np.int32)),
+                ],
+                names=["key", "angle", "place"],
+            )
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, n * cells + 1, cells, dtype=np.int32)), rows)
+
+        usable = wanted.where(F.col("vector").isNotNull())
+        return usable.withColumn("_cell", F.explode(measured("vector"))).select("*", "_cell.*").drop("_cell")
+
+
+def similar_in_cells(
+    placed: DataFrame,
+    cells: Cells,
+    queries: DataFrame,
+    k: int | None = TOP_K,
+    threshold: float = SIMILARITY_THRESHOLD,
+    id: str = "id",
+    vector: str = "embedding",
+    query_id: str = "query_id",
+    query_vector: str = "embedding",
+    cell: str = "cell",
+    probes: int = 4,
+    batch: int = QUERY_BATCH,
+) -> DataFrame:
+    """The rows of ``similar``, found cell by cell.
 
-    def near(self, vectors: np.ndarray) -> np.ndarray:
-        """Which cells each query looks into."""
-        order = np.argsort(-(vectors @ self.centres.T), axis=1, kind="stable")
-        wanted = np.zeros((len(vectors), len(self.centres)), dtype=bool)
-        np.put_along_axis(wanted, order[:, : self.probes], True, axis=1)
-        return wanted
+    The ``probes`` cells nearest to a query are searched first and give its
+    k-th best similarity. No vector of a cell can be nearer than its centre by
+    more than the cell's radius, so a further cell is searched only if the
+    bound that follows reaches both the threshold and that similarity.
+    """
+    k = k or TOP_K
+    wanted = _wanted(queries, k, query_id, query_vector)
+    asked = cells.angles(wanted)
+    radii = cells.radii.select(F.col("cell").cast("long").alias("key"), "radius")
+    # Rounding must not hide the last hit: a bound is a little too high.
+    bound = F.cos(F.greatest(F.lit(0.0), F.col("angle") - F.col("radius"))) + BOUND_SLACK
+    asked = asked.join(radii, "key").withColumn("bound", bound)
+    asked = asked.where(F.col("bound") > threshold)
+    table = _documents(placed, id, vector, F.col(cell).cast("long").alias("key"))
+    chunks = _packed(table.repartition("key").sortWithinPartitions("key"), BLOCK)
+
+    def searched(part: DataFrame) -> DataFrame:
+        rows = part.select("key", "id", "form", "limit", "vector")
+        blocks = _packed(rows.repartition("key").sortWithinPartitions("key"), batch)
+        return _scored(_joined(chunks, blocks), threshold)
+
+    near = _ranked(searched(asked.where(F.col("place") < probes)))
+    last = near.where(F.col("rank") == F.col("limit")).select(
+        F.col("query_id").alias("_q"), F.col("form").alias("_f"), F.col("similarity").alias("_last")
+    )
+    far = asked.where(F.col("place") >= probes)
+    far = far.join(last, (F.col("id") == F.col("_q")) & (F.col("form") == F.col("_f")), "left")
+    far = far.where(F.col("_last").isNull() | (F.col("bound") >= F.col("_last")))
+    return _result(_ranked(near.drop("rank").unionByName(searched(far))), queries)
 
 
 def unit_vector(vector: Column) -> Column:
@@ -226,32 +343,42 @@ def assign_cells(
     docs: DataFrame,
     vector: str = "embedding",
     lists: int = INDEX_LISTS,
-    probes: int = 4,
     seed: int = 7,
     train: DataFrame | None = None,
 ) -> tuple[DataFrame, Cells]:
     """Cluster the vectors and add the number of the cell of every document.
 
-    The centres come from all vectors, or from those of ``train``; clustering
-    reads its input some fifteen times.
-
-    Written with ``partitionBy("cell")``, a search reads only probed cells.
+    The centres come from all vectors, or from those of ``train``; unit
+    vectors are made once, in a table of the shared folder that clustering
+    reads again and again. Results of a search do not depend on the centres.
     Documents with a zero vector are no hit of any query and get cell -1.
     """
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     unit = unit_vector(F.col(vector))
     usable = F.col(vector).isNotNull() & ~F.exists(unit, lambda x: x.isNull())
 
     def points_of(df: DataFrame) -> DataFrame:
-        return df.where(usable).withColumn("_point", array_to_vector(unit))
+        return keep(df.where(usable).withColumn("_point", array_to_vector(unit)))
 
     points = points_of(docs)
     model = KMeans(
         k=lists, seed=seed, maxIter=10, featuresCol="_point", predictionCol="cell"
     ).fit(points if train is None else points_of(train))
     centres = np.array(model.clusterCenters())
-    placed = model.transform(points).drop("_point")
+    placed = model.transform(points)
+    normed = centres / np.linalg.norm(centres, axis=1, keepdims=True)
+
+    @F.arrow_udf("double")
+    def angle(vectors: pa.Array, cell: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+
+        matrix = np.asarray(vectors.flatten(), dtype=float).reshape(len(vectors), normed.shape[1])
+        own = normed[cell.to_numpy(zero_copy_only=False)]
+        return pa.array(np.arccos(np.clip((matrix * own).sum(axis=1), -1, 1)))
+
+    radii = placed.groupBy("cell").agg(F.max(angle(vector_to_array("_point"), "cell")).alias("radius"))
     rest = docs.where(~F.coalesce(usable, F.lit(False))).withColumn("cell", F.lit(-1))
-    return placed.unionByName(rest), Cells(centres, probes)
+    return placed.drop("_point").unionByName(rest), Cells(centres, radii)

@@ -603,6 +603,16 @@ complete AS (
   FROM (SELECT c.label, d.doc_id AS id,
       list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.centre) AS similarity
     FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id, centres c)
+  WHERE similarity > {LABEL_THRESHOLD})""",
+        f"SELECT CAST(label AS BIGINT) AS label, id, {rnd('similarity')}, rank FROM pairs WHERE rank <= 5",
+    ),
+    "ivf_search": plain(
+        f"""{CENTRES}, pairs AS (
+  SELECT label, id, similarity,
+    CAST(row_number() OVER (PARTITION BY label ORDER BY round(similarity, 9) DESC, id) AS INTEGER) AS rank
+  FROM (SELECT c.label, e.vec_id AS id,
+      list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.centre) AS similarity
+    FROM embeddings e, centres c)
   WHERE similarity > {LABEL_THRESHOLD})""",
         f"SELECT CAST(label AS BIGINT) AS label, id, {rnd('similarity')}, rank FROM pairs WHERE rank <= 5",
     ),

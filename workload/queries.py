@@ -333,15 +333,15 @@ def vector_cosine(spark, sf):
 
 
 def ivf_search(spark, sf):
-    """Approximate search for the label means in the nearest cells only."""
+    """The vectors nearest to the label means, searched cell by cell."""
     path = f"{_scratch(spark)}/cells"
-    placed, cells = vectors.assign_cells(ad.table(spark, sf, "embeddings"), lists=20, probes=5)
+    placed, cells = vectors.assign_cells(ad.table(spark, sf, "embeddings"), lists=20)
     tables.write_cells(placed, path)
-    hits = vectors.similar(
-        spark.read.parquet(path), label_centres(spark, sf), 5, LABEL_THRESHOLD, id="vec_id",
-        query_id="label", query_vector="centre", cell="cell", cells=cells,
+    hits = vectors.similar_in_cells(
+        spark.read.parquet(path), cells, label_centres(spark, sf), 5, LABEL_THRESHOLD, id="vec_id",
+        query_id="label", query_vector="centre",
     )
-    return rounded(hits)
+    return rounded(hits.withColumnRenamed("query_id", "label"))
 
 
 def hash_embedding(spark, sf):
