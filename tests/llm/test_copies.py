@@ -58,6 +58,18 @@ def test_near_copies_match_all_pairs(spark):
     assert got == plain_components(docs)
 
 
+def test_one_large_family_of_near_copies(spark, monkeypatch):
+    """Copies of one text whose edits put many of them just below and above the limit."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    pick = random.Random(9)
+    base = [f"w{i}" for i in range(160)]
+    docs = [(i, edited(base, pick.randint(0, 9), pick)) for i in range(260)]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(docs, DOCS)).collect()}
+    want = plain_components(docs)
+    assert len(set(want.values())) > 3
+    assert got == want
+
+
 def test_near_copies_on_messy_documents(spark):
     table = neardup.near_duplicates(messy(spark))
     found = plain_components([(i, t) for i, t, *_ in ROWS])

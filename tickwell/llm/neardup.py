@@ -8,9 +8,9 @@ estimates their similarity. What remains is confirmed on the full sets.
 
 Buckets of a band may be large. Their members are first compared with one
 pivot each, in two rounds with different pivots; what that links needs no
-further comparison. Only pairs of members that are still in different
-components are compared with each other, by their sketches inside the join,
-so that just the likely ones leave it. No candidate is left out.
+further comparison. Where a bucket still holds several components, the members
+outside its largest one are compared with all of that one's members in the
+bucket, block against block, and then with each other. No candidate is left out.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
+#: Texts on each side when blocks of texts are compared.
+BLOCK = 256
 #: Pairs whose sketches estimate less than this are not confirmed: five standard deviations below 0.75.
 LEAST_ESTIMATE = 0.5
 SAMPLES = BANDS * ROWS
@@ -161,6 +163,61 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return by_batch(rows.select("a", "b", "text_a", "text_b"), "a long, b long", work)
 
 
+def _hub_links(mixed: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the outsiders of buckets and the component that is largest there.
+
+    Outsiders and members of one component are dealt to blocks of about
+    ``BLOCK`` texts, and every block of outsiders meets every block of
+    members, so rows move once per block and not once per pair. One link to
+    a component is enough.
+    """
+    sides = {}
+    for side, test in (("a", "component <> hub"), ("b", "component = hub")):
+        rows = mixed.where(test).select("hub", "rep").distinct()
+        count = rows.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"n_{side}"))
+        sides[side] = (rows, count)
+    blocks = sides["a"][1].join(sides["b"][1], "hub")
+    dealt = None
+    for side, other in (("a", "b"), ("b", "a")):
+        rows = sides[side][0].join(blocks, "hub")
+        own = F.pmod(F.xxhash64("rep"), F.col(f"n_{side}")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1))
+        rows = rows.select("hub", "rep", F.lit(side).alias("side"), own.alias(side), every.alias(other))
+        dealt = rows if dealt is None else dealt.unionByName(rows)
+    rows = dealt.join(sketches, "rep").join(texts.select("rep", "text"), "rep")
+
+    def compared(table: pa.Table) -> pa.Table:
+        side = np.array(table.column("side").to_pylist())
+        reps = table.column("rep").to_numpy()
+        counts = table.column("n_shingles").to_numpy()
+        odd = np.column_stack([table.column(o).to_numpy() for o in SKETCH]).view(np.uint64)
+        texts = table.column("text")
+        sets: dict[int, np.ndarray] = {}
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(normal(texts[i].as_py()))
+            return sets[i]
+
+        inside = np.flatnonzero(side == "b")
+        found = []
+        for i in np.flatnonzero(side == "a").tolist():
+            differ = np.bitwise_count(odd[inside] ^ odd[i]).sum(1)
+            n, m = counts[i], counts[inside]
+            likely = (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (differ <= limit)
+            for j in inside[likely][np.argsort(differ[likely], kind="stable")].tolist():
+                both = len(np.intersect1d(of(i), of(j), assume_unique=True))
+                if 100 * both >= PERCENT * (len(of(i)) + len(of(j)) - both):
+                    found.append((reps[i], reps[j]))
+                    break
+        columns = list(zip(*found)) or [(), ()]
+        return pa.table({n: pa.array(c, type=pa.int64()) for n, c in zip(("a", "b"), columns)})
+
+    limit = most_different_bits()
+    columns = rows.withColumnsRenamed({"a": "block_a", "b": "block_b"})
+    return columns.groupBy("hub", "block_a", "block_b").applyInArrow(compared, "a long, b long")
+
+
 def _named(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members with the component they are in so far."""
     known = found.select(F.col("node").alias("rep"), "component")
@@ -207,12 +264,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = _next_links(links, _between(pairs, found), sketches, texts)
         found = written(components(links))
 
-    # Buckets that still hold more than one component: all pairs across them.
+    # Buckets that still hold more than one component, with the largest of them.
     named = _named(members.select("bucket", "rep"), found)
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = mixed.where("x <> y").select("bucket")
-    rows = named.join(mixed, "bucket", "left_semi").join(sketches, "rep")
-    rows = written(rows)
+    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    hubs = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "component")).alias("hub"), F.count("*").alias("components")
+    )
+    hubs = hubs.where("components > 1").select("bucket", F.col("hub.component").alias("hub"), F.col("hub.n").alias("n"))
+    mixed = written(named.join(hubs, "bucket"))
+    links = links.unionByName(written(_hub_links(mixed.where("n > 1"), sketches, texts)))
+    found = written(components(links))
+
+    # Members outside the largest component, or of buckets in which all stand alone.
+    rest = mixed.where("component <> hub or n = 1").select("bucket", "rep")
+    rows = written(_named(rest, found).join(sketches, "rep"))
     left, right = rows.alias("l"), rows.alias("r")
     across = left.join(
         right,
