@@ -7,7 +7,7 @@ import pytest
 
 import workload.queries as wq
 from tests.compare import connect, difference
-from tickwell.operators import attach, retrieval, timeline, vectors
+from tickwell.operators import retrieval, timeline, vectors
 from workload.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
@@ -38,18 +38,20 @@ def test_cut_series(spark, con, monkeypatch, name):
 @pytest.mark.parametrize(
     "name", ["daily_bars_auto_width", "series_resample_sum", "token_sequences", "vector_cosine", "returns"]
 )
-def test_more_keys_than_are_broadcast(spark, con, monkeypatch, name):
-    monkeypatch.setattr(attach, "BROADCAST_KEYS", 2)
-    monkeypatch.setattr(wq, "split", partial(timeline.split, rows_per_chunk=1))
-    assert same(spark, con, name) is None
+def test_tables_too_large_to_broadcast(spark, con, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert same(spark, con, name) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("name", ["expansion_union", "rerank", "similarity_topk", "answer_context"])
-def test_many_passes_and_many_hits(spark, con, monkeypatch, name):
+def test_many_blocks_of_queries(spark, con, monkeypatch, name):
     similar = partial(vectors.similar, batch=7)
     monkeypatch.setattr(retrieval, "similar", similar)
     monkeypatch.setattr(vectors, "similar", similar)
-    monkeypatch.setattr(retrieval, "BROADCAST_HITS", 3)
     assert same(spark, con, name) is None
 
 

@@ -86,10 +86,34 @@ def test_split_spreads_one_time_held_by_all_rows(spark):
     assert t.rows().where(F.col("x") != F.col("row_id")).count() == 0
 
 
-def test_a_series_without_name_is_refused(spark):
-    df = spark.sql("select cast(null as string) symbol, timestamp'2024-01-01' ts, 1L row_id")
-    with pytest.raises(Exception, match="a series has no name"):
-        tl.split(df).rows().collect()
+def test_rows_without_a_name_are_a_series(spark):
+    df = spark.range(500).select(
+        F.when(F.col("id") < 200, "A").alias("symbol"),
+        F.lit("2024-01-01").cast("timestamp").alias("ts"),
+        F.col("id").alias("row_id"),
+    )
+    t = tl.position(tl.split(df, rows_per_chunk=1), "x")
+    base = F.when(F.col("symbol") == "A", 0).otherwise(200)
+    assert t.rows().count() == 500
+    assert t.rows().where(F.col("x") != F.col("row_id") - base).count() == 0
+
+
+@pytest.mark.parametrize("fan", [1, 2])
+@pytest.mark.parametrize("lookback", [0, 1, 5])
+def test_run_ins_across_coarse_cuts(spark, monkeypatch, fan, lookback):
+    monkeypatch.setattr(tl, "FAN", fan)
+    df = spark.range(6_000).select(
+        F.lit("A").alias("symbol"),
+        F.lit("2024-01-01").cast("timestamp").alias("ts"),
+        F.col("id").alias("row_id"),
+        F.col("id").cast("double").alias("close"),
+    )
+    t = tl.split(df, lookback=lookback, rows_per_chunk=100)
+    assert t.df.select("_chunk").distinct().count() > 30
+    back = F.lag("row_id", lookback).over(t.window())
+    rows = t.with_columns({"back": back}).rows() if lookback else t.rows().withColumn("back", F.col("row_id"))
+    assert rows.count() == 6_000
+    assert rows.where(F.col("row_id") >= lookback).where("back is null or back <> row_id - " + str(lookback)).count() == 0
 
 
 def test_position(spark, series):

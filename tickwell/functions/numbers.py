@@ -33,3 +33,8 @@ def clean_numbers(df: DataFrame) -> DataFrame:
         f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     ]
     return df.withColumns({c: finite(F.col(c)) for c in floats}) if floats else df
+
+
+def exact_mean(value: Column, digits: int) -> Column:
+    """Mean of numbers of ``digits`` decimal digits, rounded half up to four digits more."""
+    return F.avg(value.cast(f"decimal({18 + digits},{digits})")).cast("double")

@@ -7,9 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.session import keep
-
-BROADCAST_KEYS = 1_000_000
+from tickwell.session import stored
 
 
 def join_on(
@@ -26,34 +24,11 @@ def join_on(
     )
 
 
-def attach(
-    rows: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    weight: str | None = None,
-    limit: int | None = None,
-    how: str = "left",
-    kept: bool = False,
-) -> DataFrame:
-    """Join ``table`` (one row per key) to ``rows`` without moving hot keys.
-
-    The table is computed once and counted. Up to ``limit`` keys it is
-    broadcast. Beyond that, ``weight`` names the column of ``table`` with the
-    number of rows of a key: keys with more than one part in ``limit`` of all
-    rows, fewer than ``limit`` keys, are broadcast, and only the rows of the
-    other keys, of which none can be hot, are shuffled. Without ``weight`` no
-    key is hot. ``kept`` says that the table has been written already.
+def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join ``table`` (one row per key) to ``rows``; nulls are keys like others.
+
+    The table is written once, so its size is known: below Spark's broadcast
+    threshold the rows stay where they are, above it both sides are dealt out
+    and adaptive execution splits the hot keys among the rows.
     """
-    limit = limit or BROADCAST_KEYS
-    table = table if kept else keep(table)
-    if table.limit(limit + 1).count() <= limit:
-        return join_on(rows, F.broadcast(table), on, how, null_safe=True)
-    if weight is None:
-        return join_on(rows, table, on, how, null_safe=True)
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    is_heavy = F.coalesce(F.col(weight) * limit > total, F.lit(False))
-    heavy, light = table.where(is_heavy), table.where(~is_heavy)
-    names = F.broadcast(heavy.select(*on))
-    rest = join_on(rows, names, on, "left_anti", null_safe=True)
-    near = join_on(rows, F.broadcast(heavy), on, "inner", null_safe=True)
-    return near.unionByName(join_on(rest, light, on, how, null_safe=True))
+    return join_on(rows, stored(table), on, how, null_safe=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import MAX_POINTS
+from tickwell.functions.numbers import exact_mean
 from tickwell.functions.order import micros, time_key
 from tickwell.operators.attach import attach
 from tickwell.operators.timeline import RUN_IN, Timeline, split, whole
@@ -152,7 +153,7 @@ def _bucketed(df, by, ts, row_id, points, weekly) -> tuple[DataFrame, list[str]]
         .withColumn("_width", bucket_width(F.col("_last") - F.col("_first"), points, weekly))
         .withColumn("_many", F.col("_rows") > points)
     )
-    rows = attach(df, plan, by, weight="_rows", how="inner")
+    rows = attach(df, plan, by, how="inner")
     start = bucket_start(micros(ts), F.col("_first"), F.col("_width"), weekly)
     rows = rows.withColumn("_start", F.when(F.col("_many"), start).otherwise(micros(ts)))
     rows = rows.withColumn("_own", F.when(~F.col("_many"), F.col(row_id)))
@@ -227,9 +228,15 @@ def resample(
     row_id: str = "row_id",
     points: int = MAX_POINTS,
     gaps: bool = True,
+    exact: dict[str, int] | None = None,
 ) -> DataFrame:
     """Every value column aggregated per bucket; width as in ``auto_bars``,
-    but with week buckets for spans of four weeks and more."""
+    but with week buckets for spans of four weeks and more.
+
+    ``exact`` names columns whose values have so many decimal digits, such as
+    prices in whole cents. Their means are sums of whole numbers over the
+    count, rounded half up to four digits more, whatever the order of rows.
+    """
     if aggregation not in AGGREGATIONS:
         raise ValueError(f"aggregation must be one of {sorted(AGGREGATIONS)}")
     by = list(by)
@@ -239,6 +246,8 @@ def resample(
     rows, bucket = _bucketed(df, by, ts, row_id, points, weekly=True)
     how = AGGREGATIONS[aggregation]
     merged = {v: how(v).cast("double") for v in values}
+    if aggregation == "mean":
+        merged |= {v: exact_mean(F.col(v), n) for v, n in (exact or {}).items()}
     if aggregation == "sum":
         # A bucket without any value sums to 0; a row that stays as it is does not.
         merged = {
@@ -259,16 +268,9 @@ def fixed_grid(
     zero=("volume",),
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
-    """Add the empty buckets between the first and the last bar of a series.
-
-    Hourly and wider bars of a whole century are few enough for one task per
-    series; series of narrower bars are cut if they are long.
-    """
+    """Add the empty buckets between the first and the last bar of a series."""
     by = list(by)
     values = [c for c in table.columns if c not in (*by, ts)]
     table = table.withColumn("_start", micros(ts)).withColumn("_step", F.lit(width).cast("bigint"))
-    if width >= HOUR:
-        t = whole(table, by, ("_start",))
-    else:
-        t = split(keep(table), by, ("_start",), lookback=1, rows_per_chunk=rows_per_chunk)
+    t = split(keep(table), by, ("_start",), lookback=1, rows_per_chunk=rows_per_chunk)
     return fill_gaps(t, values, list(zero)).select(*by, moment(F.col("_start")).alias(ts), *values)

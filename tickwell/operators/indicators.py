@@ -24,7 +24,6 @@ from tickwell.fixed_values import (
     RSI_ROWS,
 )
 from tickwell.operators.timeline import RUN_IN, Timeline, earlier, fill_forward, join_chunks
-from tickwell.session import keep
 
 LOOKBACK = max(*MOVING_AVERAGES, RSI_ROWS + 1, BOLLINGER_ROWS) - 1
 # Weights below exp(-40) vanish in double precision.
@@ -152,8 +151,7 @@ def exponential_average(t: Timeline, column: str, spans: dict[str, int]) -> Time
             )
         return replace(t, df=df.drop("_n", "_prev", "_blank"))
 
-    # Read twice, for the summaries and for the result.
-    df = keep(df)
+    # Computed twice: for the summaries, which read only keys, order and value, and for the result.
     t = replace(t, df=df)
     known = F.when(x.isNotNull(), F.col("_n"))
     chunks = df.groupBy(*t.keys).agg(

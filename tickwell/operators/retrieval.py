@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from tickwell import fixed_values as fixed
 from tickwell.functions import text as tx
 from tickwell.operators.vectors import similar
-from tickwell.session import keep
+from tickwell.session import stored
 
 DATE = "date"
-BROADCAST_HITS = 500_000
 
 
 def prepare(queries: DataFrame, encode, query: str = "query") -> DataFrame:
@@ -74,15 +73,10 @@ def base_hits(
 
 
 def with_documents(hits: DataFrame, docs: DataFrame, *columns: str, id: str = "id") -> DataFrame:
-    """Add document columns. The hits are few, at most 2 * k per query: they are
-    computed once and, up to a size, sent to the documents; beyond it Spark
-    shuffles both sides."""
-    hits = keep(hits)
-    few = hits.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS
+    """Add document columns. The hits, at most 2 * k per query, are computed
+    once; Spark sends them to the documents if their size allows."""
     table = docs.select(F.col(id).alias("_id"), *columns)
-    return table.join(
-        F.broadcast(hits) if few else hits, F.col("_id") == F.col("id")
-    ).drop("_id")
+    return table.join(stored(hits), F.col("_id") == F.col("id")).drop("_id")
 
 
 def _passes(metadata: Column, key: Column, value: Column) -> Column:

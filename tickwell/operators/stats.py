@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import TRADING_DAYS
+from tickwell.functions.numbers import exact_mean
 from tickwell.functions.order import time_key
 from tickwell.operators.indicators import returns
 from tickwell.operators.timeline import Timeline
@@ -20,14 +21,26 @@ def unpivot(df: DataFrame, values: list[str], keys: list[str]) -> DataFrame:
     return doubles.unpivot(keys, values, "metric", "value")
 
 
-def series_stats(df: DataFrame, values: list[str] | None = None, by=("symbol",), but=()):
-    """Mean, sample deviation, minimum and maximum of every value column."""
+def series_stats(
+    df: DataFrame,
+    values: list[str] | None = None,
+    by=("symbol",),
+    but=(),
+    exact: dict[str, int] | None = None,
+):
+    """Mean, sample deviation, minimum and maximum of every value column.
+
+    ``exact`` names columns of so many decimal digits, whose means are exact.
+    """
     values = values or numeric_columns(df, but=(*by, *but))
+    mean = F.avg("value")
+    for name, digits in (exact or {}).items():
+        mean = F.when(F.col("metric") == name, exact_mean(F.col("value"), digits)).otherwise(mean)
     return (
         unpivot(df, values, list(by))
         .groupBy(*by, "metric")
         .agg(
-            F.avg("value").alias("mean"),
+            mean.alias("mean"),
             F.stddev_samp("value").alias("std"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),

@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.functions.order import order_key
-from tickwell.operators.attach import attach
+from tickwell.operators.attach import attach, join_on
 from tickwell.schema import need_columns
-from tickwell.session import keep
+from tickwell.session import stored
 
 ROWS_PER_CHUNK = 1 << 20
 MARKS = 64
-CHUNK, RUN_IN, ALL = "_chunk", "_run_in", "_all"
+#: Chunks between two coarse cuts.
+FAN = 256
+CHUNK, RUN_IN, ALL, PART = "_chunk", "_run_in", "_all", "_part"
 
 
 @dataclass(frozen=True)
@@ -79,54 +81,80 @@ def split(
     """Cut every series into chunks of about ``rows_per_chunk`` rows, by
     default a million, or more where the run-in is long.
 
-    ``order`` has to tell all rows of a series apart, and every series needs
-    a name: a null in ``by`` is an error. Without ``by`` the table is one
-    series. If all series are shorter than a
-    chunk they stay whole. The cut keys come from rows chosen by hash, so a
-    repeated task finds the same cuts; results do not depend on where they lie.
+    ``order`` has to tell all rows of a series apart; rows without a name are
+    a series of their own. Without ``by`` the table is one series. The cut
+    keys come from rows chosen by hash, so a repeated task finds the same
+    cuts; results do not depend on where they lie.
+
+    Chosen rows are numbered and rows find their chunk in two steps, so that
+    neither the choice nor the search sees all cuts of a long series: first
+    among the few coarse cuts of the series, then among the cuts between two
+    of these.
     """
     by, order = tuple(by), tuple(order)
     need_columns(df, *by, *order)
     if not by:
-        by, df = (ALL,), df.withColumn(ALL, F.lit(0))
-    unnamed = F.raise_error(F.lit("a series has no name"))
-    df = df.withColumns({b: F.coalesce(F.col(b), unnamed) for b in by})
-    key = F.struct(*order)
+        # One series, by a key that is always 0 but not a constant to join on.
+        by, df = (ALL,), df.withColumn(ALL, F.pmod(F.xxhash64(*order), F.lit(1)))
     # A chunk holds exactly `marks` chosen rows, the run-in of the next chunk
     # the last `lookback` of them: hence never fewer rows than asked for.
     marks = max(MARKS, 8 * lookback)
     rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK * marks // MARKS
     one_in = max(1, rows_per_chunk // marks)
-    chosen = df.select(*by, key.alias("_key")).where(
-        F.pmod(F.xxhash64(*by, *order), F.lit(one_in)) == 0
+    lot, key = F.xxhash64(*by, *order), F.struct(*order)
+    chosen = df.where(F.pmod(lot, F.lit(one_in)) == 0).select(*by, *order)
+    wide = chosen.where(F.pmod(lot, F.lit(one_in * marks * FAN)) == 0)
+    coarse = wide.groupBy(*by).agg(F.array_sort(F.collect_list(key)).alias("_coarse"))
+    coarse = stored(coarse)
+
+    def parted(rows: DataFrame) -> DataFrame:
+        rows = join_on(rows, coarse, list(by), "left", null_safe=True)
+        return rows.withColumn(PART, _at_or_before("_coarse", key)).drop("_coarse")
+
+    # The number of a chosen row: those of the parts before, and its place in its own.
+    chosen = parted(chosen)
+    parts = chosen.groupBy(*by, PART).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    total = F.sum("_n").over(Window.partitionBy(*by))
+    parts = parts.withColumn("_total", F.floor(total / marks)).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*by, PART).orderBy(*order))
+    ranked = join_on(chosen.withColumn("_rank", inside), parts, [*by, PART], "inner", null_safe=True)
+    turn = F.pmod(F.col("_rank") + F.col("_offset"), F.lit(marks))
+    tail = (marks - lookback) % marks
+    # A part holds about FAN cuts, so these arrays stay short however long the series is.
+    cuts = ranked.groupBy(*by, PART, "_offset", "_total").agg(
+        F.array_sort(F.collect_list(F.when(turn == 0, key))).alias("_cuts"),
+        F.array_sort(F.collect_list(F.when(turn == tail, key))).alias("_tails"),
     )
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy("_key"))
-    turn = F.pmod(F.col("_rank"), F.lit(marks))
-    cuts = (
-        chosen.withColumn("_rank", rank)
-        .where(turn.isin(0, marks - lookback))
-        .groupBy(*by)
-        .agg(
-            F.array_sort(F.collect_list(F.when(turn == 0, F.col("_key")))).alias("_cuts"),
-            F.array_sort(
-                F.collect_list(F.when(turn == F.lit((marks - lookback) % marks), F.col("_key")))
-            ).alias("_tails"),
-            F.max("_rank").alias("_weight"),  # chosen rows: as good as the number of rows
+    df = attach(parted(df), cuts, [*by, PART])
+    chunk = F.floor(F.col("_offset") / marks) + _at_or_before("_cuts", key)
+    df = df.withColumn(CHUNK, F.coalesce(chunk, F.lit(0)).cast("long"))
+    if lookback:
+        tails = F.floor((F.col("_offset") + (marks - tail)) / marks) + _at_or_before("_tails", key)
+        # Between a tail and its cut there is one more tail than cuts.
+        in_tail = (tails > F.col(CHUNK)) & (F.col(CHUNK) < F.col("_total"))
+        here = F.struct(F.col(CHUNK).alias("c"), F.lit(False).alias("r"))
+        ahead = F.struct((F.col(CHUNK) + 1).alias("c"), F.lit(True).alias("r"))
+        places = F.when(in_tail, F.array(here, ahead)).otherwise(F.array(here))
+        df = (
+            df.withColumn("_place", F.explode(places))
+            .withColumn(CHUNK, F.col("_place.c"))
+            .withColumn(RUN_IN, F.col("_place.r"))
+            .drop("_place")
         )
-        .where(F.size("_cuts") > 0)
-    )
-    cuts = keep(cuts)
-    if cuts.isEmpty():
-        # No series is longer than a chunk.
-        return whole(df, by, order)
-    df = attach(df, cuts, list(by), weight="_weight", kept=True)
-    # Number of cuts at or before the row, by binary search.
-    span = F.size("_cuts")
+    df = df.drop(PART, "_offset", "_total", "_cuts", "_tails")
+    return Timeline(df, by, order, chunked=True)
+
+
+def _at_or_before(cuts: str, key: Column) -> Column:
+    """How many entries of a sorted array are at or before ``key``, by binary search; 0 for no array."""
+    span = F.size(cuts)
     start = F.struct(F.lit(0).alias("lo"), span.alias("hi"))
 
     def halve(acc, _):
         mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        right = F.get(F.col("_cuts"), mid) <= key
+        right = F.get(F.col(cuts), mid) <= key
         return F.when(
             acc["lo"] < acc["hi"],
             F.struct(
@@ -136,24 +164,8 @@ def split(
         ).otherwise(acc)
 
     steps = F.sequence(F.lit(1), F.ceil(F.log2(span + F.lit(1))).cast("int") + 1)
-    chunk = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        F.aggregate(steps, start, halve, lambda acc: acc["lo"])
-    )
-    df = df.withColumn(CHUNK, chunk)
-    if lookback:
-        here = F.struct(F.col(CHUNK).alias("c"), F.lit(False).alias("r"))
-        ahead = F.struct((F.col(CHUNK) + 1).alias("c"), F.lit(True).alias("r"))
-        in_tail = (F.col(CHUNK) < F.coalesce(span, F.lit(0))) & (
-            F.get(F.col("_tails"), F.col(CHUNK)) <= key
-        )
-        places = F.when(in_tail, F.array(here, ahead)).otherwise(F.array(here))
-        df = (
-            df.withColumn("_place", F.explode(places))
-            .withColumn(CHUNK, F.col("_place.c"))
-            .withColumn(RUN_IN, F.col("_place.r"))
-            .drop("_place")
-        )
-    return Timeline(df.drop("_cuts", "_tails", "_weight"), by, order, chunked=True)
+    found = F.aggregate(steps, start, halve, lambda acc: acc["lo"])
+    return F.when(F.coalesce(span, F.lit(0)) > 0, found).otherwise(0)
 
 
 def carry(t: Timeline, summary: dict[str, Column], carried: dict[str, Column]) -> Timeline:

@@ -46,7 +46,7 @@ def token_sequences(
     """
     first = first_words(F.lower(F.col(text)), length)
     tokens = df.select(id, F.posexplode_outer(first).alias("pos", "token"))
-    numbered = attach(tokens, vocab, ["token"], weight="n")
+    numbered = attach(tokens, vocab, ["token"])
     number = F.coalesce("token_id", F.lit(UNKNOWN))
     # Never more than `length` entries per text.
     listed = numbered.groupBy(id).agg(

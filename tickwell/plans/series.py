@@ -26,14 +26,19 @@ def ohlcv_view(
 
 
 def timeseries_view(
-    df: DataFrame, aggregation: str = "mean", values=None, by=("symbol",), points: int = MAX_POINTS
+    df: DataFrame,
+    aggregation: str = "mean",
+    values=None,
+    by=("symbol",),
+    points: int = MAX_POINTS,
+    exact: dict[str, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Long rows (series, metric, ts, value) and statistics per metric."""
-    table = keep(resample(df, aggregation, values, by=by, points=points))
+    table = keep(resample(df, aggregation, values, by=by, points=points, exact=exact))
     values = [c for c in table.columns if c not in (*by, "ts", "row_id")]
     return (
         unpivot(table, values, [*by, "ts", "row_id"]),
-        series_stats(table, values, by=by),
+        series_stats(table, values, by=by, exact={v: n + 4 for v, n in (exact or {}).items()}),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,15 @@ def keep(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and write it to the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a small table to the shared folder and read it again.
+
+    Read from files its size is known, so Spark decides by that size whether
+    a join sends it to the other side or deals out both.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tickwell-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

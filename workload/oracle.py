@@ -108,9 +108,17 @@ AUTO_DAILY = f"{DAILY}, " + resampled(
 )
 
 
+def exact_mean(value: str, digits: int) -> str:
+    """Mean of numbers with so many digits as a whole number of units four digits finer, halves up."""
+    total = f"sum(CAST(round({value} * 1e{digits}) AS HUGEINT))"
+    return f"((2 * {total} * 10000 + count({value})) // (2 * count({value})))"
+
+
 def resample(aggregation: str, points: int) -> str:
     how = {"mean": "avg"}.get(aggregation, aggregation)
     columns = ", ".join(f"CAST({how}({v}) AS DOUBLE) AS {v}" for v in ("price", "settled"))
+    if aggregation == "mean":
+        columns = f"CAST({exact_mean('price', 2)} AS DOUBLE) / 1e6 AS price, avg(settled) AS settled"
     zero = ["price", "settled"] if aggregation == "sum" else []
     return f"{DAILY}, " + resampled(
         "daily", columns, ["price", "settled"], zero, points, True
@@ -473,9 +481,10 @@ ORACLE = {
         resample("mean", 1000),
         "SELECT symbol, metric, {} FROM (SELECT symbol, 'price' AS metric, price AS v FROM final "
         "UNION ALL SELECT symbol, 'settled', settled FROM final) GROUP BY symbol, metric".format(
-            ", ".join(
-                rnd(f"{f}(v)", n)
-                for f, n in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max"))
+            f"CASE WHEN metric = 'price' THEN CAST(({exact_mean('v', 6)} + 5000) // 10000 AS DOUBLE) / 1e6 "
+            "ELSE round(avg(v), 6) END AS mean, "
+            + ", ".join(
+                rnd(f"{f}(v)", n) for f, n in (("stddev_samp", "std"), ("min", "min"), ("max", "max"))
             )
         ),
     ),

@@ -23,6 +23,9 @@ from workload import adapters as ad
 THRESHOLD = 0.6
 LABEL_THRESHOLD = 0.3
 METRIC_LIMIT = 400_000.0
+# So small that the given tables are cut as long series are on a cluster.
+CHUNK_ROWS = 512
+CENTS = {"price": 2}
 VALUES = ["price", "settled"]
 
 
@@ -53,7 +56,7 @@ def daily_bars_auto_width(spark, sf):
 
 def _resample(aggregation, points):
     def run(spark, sf):
-        table = br.resample(ad.daily(spark, sf), aggregation, VALUES, points=points)
+        table = br.resample(ad.daily(spark, sf), aggregation, VALUES, points=points, exact=CENTS)
         return rounded(table, *VALUES).drop("row_id")
 
     return run
@@ -65,11 +68,11 @@ def series_gap_fill(spark, sf):
 
 
 def series_stats(spark, sf):
-    return rounded(series.timeseries_view(ad.daily(spark, sf), "mean")[1])
+    return rounded(series.timeseries_view(ad.daily(spark, sf), "mean", exact=CENTS)[1])
 
 
 def _long_series(spark, sf, lookback=0):
-    return split(ad.ticks(spark, sf).drop("volume"), lookback=lookback)
+    return split(ad.ticks(spark, sf).drop("volume"), lookback=lookback, rows_per_chunk=CHUNK_ROWS)
 
 
 def moving_averages(spark, sf):
@@ -111,7 +114,7 @@ def ohlcv_stats(spark, sf):
 
 def tick_stats(spark, sf):
     t = ad.ticks(spark, sf).withColumns({"high": F.col("close"), "low": F.col("close")})
-    return rounded(stats.ohlcv_stats(split(t)))
+    return rounded(stats.ohlcv_stats(split(t, rows_per_chunk=CHUNK_ROWS)))
 
 
 def price_range(spark, sf):
@@ -325,9 +328,7 @@ def similarity_topk(spark, sf):
 def vector_cosine(spark, sf):
     """Similarity of every vector to the mean vector of its label."""
     points = ad.table(spark, sf, "embeddings")
-    sizes = points.groupBy("label").agg(F.count("*").alias("n"))
-    centres = label_centres(spark, sf).join(sizes, "label")
-    rows = attach(points, centres, ["label"], weight="n")
+    rows = attach(points, label_centres(spark, sf), ["label"])
     sim = vectors.cosine(F.col("embedding"), F.col("centre"))
     return rounded(rows.select("vec_id", "label", sim.alias("similarity")))
 
