@@ -56,22 +56,26 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _records(texts: DataFrame, length: int) -> DataFrame:
-    """One row per run of windows: anchor hash, hash of the bytes, and place."""
+    """One row per run of windows: anchor hash, hash of the bytes, place, and whether
+    it is known to be repeated, because an equal run before it came to the same task.
+    """
 
     def work(pieces: Iterator[dict]) -> Iterator[dict]:
         for piece in pieces:
             parts = [window_runs(t.encode(), length) for t in piece["text"]]
             sizes = [len(p[0]) for p in parts]
             grams, whole, first, last, anchor = (np.concatenate(x) for x in zip(*parts))
-            yield {
-                "gram": grams,
-                "whole": whole,
-                "doc": np.repeat(piece["doc"].to_numpy(), sizes),
-                "tag": np.repeat(piece["tag"].to_numpy(), sizes),
-                "span": first << 20 | (anchor - first) << 10 | (last - first),
-            }
-
-    schema = "gram long, whole long, doc long, tag long, span long"
+            doc = np.repeat(piece["doc"].to_numpy(), sizes)
+            tag = np.repeat(piece["tag"].to_numpy(), sizes)
+            span = first << 20 | (anchor - first) << 10 | (last - first)
+            # Of equal runs only the first at hand needs a look at the rest of the corpus.
+            order = np.lexsort((span, tag, doc, whole, grams))
+            columns = [c[order] for c in (grams, whole, doc, tag, span)]
+            same = [np.append([False], c[1:] == c[:-1]) for c in columns]
+            known = same[0] & same[1] & ~(same[2] & same[3] & same[4])
+            yield dict(zip(("gram", "whole", "doc", "tag", "span"), columns)) | {"known": known}
+
+    schema = "gram long, whole long, doc long, tag long, span long, known boolean"
     return by_batch(texts.select("doc", "tag", "text"), schema, work)
 
 
@@ -79,15 +83,25 @@ def _sorted_out(records: DataFrame, partitions: int) -> DataFrame:
     """``doc, tag, span, repeated``: runs with the bytes of an earlier run, and runs to be compared.
 
     Rows arrive ordered by anchor, bytes and place. Only the last row seen and
-    the first run of an anchor are remembered, however many rows it has.
+    the first run of an anchor are remembered, however many rows it has. Runs
+    known to be repeated pass through, dealt out by their place and not by
+    their anchor, which may be very frequent.
     """
-    ordered = records.repartition(partitions, "gram").sortWithinPartitions("gram", "whole", "doc", "tag", "span")
+    dealt = F.when(F.col("known"), F.xxhash64("doc", "span")).otherwise(F.col("gram"))
+    ordered = records.withColumn("dealt", dealt).repartition(partitions, "dealt").drop("dealt")
+    ordered = ordered.sortWithinPartitions("known", "gram", "whole", "doc", "tag", "span")
 
     def work(pieces: Iterator[dict]) -> Iterator[dict]:
         last: tuple | None = None
         first: tuple | None = None  # of the anchor, while no other bytes have been seen
         for piece in pieces:
+            known = piece["known"].to_numpy(zero_copy_only=False)
             gram, whole, doc, tag, span = (piece[c].to_numpy() for c in ("gram", "whole", "doc", "tag", "span"))
+            if known.any():
+                yield {c: x[known] for c, x in zip(("doc", "tag", "span"), (doc, tag, span))} | {"repeated": known[known]}
+                gram, whole, doc, tag, span = (x[~known] for x in (gram, whole, doc, tag, span))
+                if not len(gram):
+                    continue
             old_gram = np.append([gram[0] if last is None else last[0]], gram[:-1]) == gram
             old_whole = np.append([whole[0] if last is None else last[1]], whole[:-1]) == whole
             same_place = (
