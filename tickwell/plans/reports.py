@@ -68,13 +68,12 @@ def finished_reports(
 
 
 def stored_reports(reports: DataFrame, as_of: str) -> DataFrame:
-    """Adds what the report table keeps besides: vector of the text, time of
-    the load and an id that follows from company, year and filing type."""
+    """Adds what the report table keeps besides the id: vector of the text and
+    time of the load."""
     return reports.withColumns(
         {
             "embeddings": hash_vector(F.col("text_content")).cast("array<float>"),
             "created_at": F.lit(as_of).cast("timestamp"),
-            "id": F.xxhash64("cik", "fiscal_year", "filing_type", "fiscal_period"),
         }
     )
 
@@ -86,12 +85,14 @@ def load_landed(
     submissions: str,
     table: str,
     as_of: str,
-    companies: int = COMPANY_LIMIT,
+    companies: int | None = COMPANY_LIMIT,
 ) -> Observation:
     """Landed files to the report table: the first companies of the directory,
-    their latest facts and names, checked, with ratios, text and vector."""
+    or all for None, their latest facts and names, checked, with ratios, text
+    and vector."""
     listed = filings.company_directory(filings.json_files(spark, directory))
-    wanted = filings.first_companies(listed, companies).select("cik")
+    wanted = filings.first_companies(listed, companies) if companies else listed
+    wanted = wanted.select("cik")
     parsed = filings.parse_facts(filings.company_files(spark, facts))
     parsed = parsed.join(wanted, "cik", "left_semi")
     names = filings.parse_submissions(filings.company_files(spark, submissions))

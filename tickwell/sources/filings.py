@@ -18,8 +18,9 @@ def json_files(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def company_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON files named after their company: rows (cik, doc)."""
-    number = F.regexp_extract("file", r"CIK(\d+)\.json$", 1)
+    """JSON files named after their company, or folders so named with one file
+    each, as Spark writes them: rows (cik, doc)."""
+    number = F.regexp_extract("file", r"CIK(\d+)\.json(?:/[^/]+)?$", 1)
     return json_files(spark, *paths).select(full_cik(number).alias("cik"), "doc")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +29,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def append_reports(reports: DataFrame, path: str) -> Observation:
     """Append to the report table; the commit of the job makes it all or nothing.
+    Reports without an id get one that no stored report has.
 
     Rows are gathered by fiscal year into files of an even size: years that
     are too large for one task are cut up, small ones put together.
     """
+    reports = with_ids(reports, first_free_id(reports.sparkSession, path, reports))
     reports, seen = counted(reports, "loaded")
     reports.hint("rebalance", "fiscal_year").write.mode("append").partitionBy(
         "fiscal_year"
@@ -81,18 +84,41 @@ def export_training(reports: DataFrame, path: str) -> Observation:
     return seen
 
 
+def first_free_id(spark: SparkSession, path: str, given: DataFrame | None = None) -> int:
+    """One more than the largest id of a stored table and of the rows to be added."""
+    ids = []
+    try:
+        ids.append(spark.read.schema("id bigint").parquet(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if given is not None and "id" in given.columns:
+        ids.append(given.select(F.col("id").cast("bigint")))
+    if not ids:
+        return 0
+    largest = reduce(DataFrame.unionByName, ids).agg(F.max("id")).first()[0]
+    return 0 if largest is None else max(0, largest + 1)
+
+
+def with_ids(rows: DataFrame, start: int) -> DataFrame:
+    """Rows without an id get one of their own from ``start`` on, copies included."""
+    own = F.monotonically_increasing_id() + F.lit(start)
+    return rows.withColumn("id", F.coalesce("id", own) if "id" in rows.columns else own)
+
+
 def append_documents(docs: DataFrame, path: str, as_of: str, size: int | None = None):
-    """Append (id, content, embedding, metadata); a missing id comes from the
-    content, missing metadata is empty. ``size`` checks the vectors."""
+    """Append (id, content, embedding, metadata); every row without an id gets
+    an id that no stored row has, missing metadata is empty. ``size`` checks
+    the vectors."""
     vector = F.col("embedding").cast("array<float>")
     if size:
         wrong = F.raise_error(F.lit(f"a vector does not have {size} values"))
         vector = F.when(F.size("embedding") == size, vector).otherwise(wrong)
-    key = F.xxhash64("content")
     empty = F.create_map().cast("map<string,string>")
+    docs = with_ids(docs, first_free_id(docs.sparkSession, path, docs))
     docs, seen = counted(docs, "added")
     docs.select(
-        (F.coalesce(F.col("id"), key) if "id" in docs.columns else key).alias("id"),
+        "id",
         "content",
         vector.alias("embedding"),
         (F.coalesce(F.col("metadata"), empty) if "metadata" in docs.columns else empty).alias(

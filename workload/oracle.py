@@ -566,6 +566,21 @@ ORACLE = {
         REPORTS,
         f"SELECT {REPORT_TEXT} AS input, 'financial_report' AS type, {rnds(*METRICS, *RATIOS)} FROM reports",
     ),
+    "export_round_trip": plain(
+        REPORTS,
+        f"SELECT {REPORT_TEXT} AS input, 'financial_report' AS type, {rnds(*METRICS, *RATIOS)} FROM reports",
+    ),
+    "landed_reports": plain(
+        f"""{METRICS_CTE}, latest AS (
+  SELECT cik, custkey, {', '.join(f'arg_max({m}, fiscal_year) FILTER ({m} IS NOT NULL) AS {m}' for m in METRICS)}
+  FROM yearly_facts GROUP BY cik, custkey)""",
+        f"""SELECT cik, CASE WHEN coalesce(c_acctbal < 0, true) THEN 'Company ' || cik
+    WHEN c_mktsegment = 'MACHINERY' THEN 'Unknown' ELSE c_name END AS company_name,
+  '10-K' AS filing_type, CAST(year(TIMESTAMP '{AS_OF}') AS INTEGER) AS fiscal_year, 'FY' AS fiscal_period,
+  {rnds(*METRICS)}, {rnd('total_assets / nullif(total_liabilities, 0)', 'current_ratio')},
+  {rnd('net_income / nullif(revenue, 0)', 'profit_margin')}, true AS has_id
+  FROM latest LEFT JOIN customer ON custkey = c_custkey""",
+    ),
     "company_directory": DIRECTORY,
     "first_companies": f"{DIRECTORY} ORDER BY file, pos LIMIT 500",
     "identifiers": """SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik,
@@ -692,7 +707,13 @@ titles AS (SELECT * FROM (VALUES
     "document_store_round_trip": plain(
         f"{DOCS}, {buckets('docs', 'id', 'content', 'dv')}",
         """SELECT d.id, md5(content) AS content_md5, title, CAST(384 AS INTEGER) AS size,
-  CAST(coalesce(n, 0) AS INTEGER) AS used
-FROM docs d LEFT JOIN (SELECT id, count(*) AS n FROM dv GROUP BY id) v ON d.id = v.id""",
+  CAST(coalesce(n, 0) AS INTEGER) AS used, round(coalesce(places, 0.0), 4) AS checksum
+FROM docs d LEFT JOIN (
+  SELECT id, count(*) AS n, sum(CAST(CAST(weight AS FLOAT) AS DOUBLE) * (bucket + 1)) AS places
+  FROM dv GROUP BY id) v ON d.id = v.id""",
+    ),
+    "document_store_new_ids": plain(
+        DOCS,
+        "SELECT md5(content) AS content_md5, 2 * count(*) AS rows, 2 * count(*) AS ids FROM docs GROUP BY 1",
     ),
 }

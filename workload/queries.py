@@ -201,7 +201,7 @@ def training_examples(spark, sf):
     )
 
 
-def _directory(spark, sf):
+def _directory_documents(spark, sf):
     """One directory document per hundred customers."""
     customers = ad.table(spark, sf, "customer")
     company = F.struct(
@@ -214,8 +214,11 @@ def _directory(spark, sf):
         F.array_sort(F.collect_list(entry)).alias("entries")
     )
     pairs = F.transform("entries", lambda e: F.struct(e["n"].cast("string"), e["c"]))
-    docs = pages.select("file", F.to_json(F.map_from_entries(pairs)).alias("doc"))
-    return filings.company_directory(docs)
+    return pages.select("file", F.to_json(F.map_from_entries(pairs)).alias("doc"))
+
+
+def _directory(spark, sf):
+    return filings.company_directory(_directory_documents(spark, sf))
 
 
 def company_directory(spark, sf):
@@ -284,6 +287,40 @@ def csv_round_trip(spark, sf):
     return rounded(back.select("cik", "company_name", "fiscal_year", *METRICS, *RATIOS))
 
 
+def _land(docs, folder):
+    """One folder per company, named as its file would be."""
+    named = docs.select(F.concat(F.lit("CIK"), "cik", F.lit(".json")).alias("company"), "doc")
+    named.write.partitionBy("company").text(folder)
+    return folder
+
+
+def landed_reports(spark, sf):
+    """Landed directory, facts and submissions of all customers to the report table, and back."""
+    folder = _scratch(spark)
+    _directory_documents(spark, sf).write.partitionBy("file").text(f"{folder}/directory")
+    reports.load_landed(
+        spark,
+        f"{folder}/directory",
+        _land(ad.fact_documents(spark, sf), f"{folder}/facts"),
+        _land(ad.submissions(spark, sf), f"{folder}/submissions"),
+        f"{folder}/reports",
+        ad.AS_OF,
+        companies=None,
+    )
+    back = tables.read_reports(spark, f"{folder}/reports")
+    columns = ["cik", "company_name", "filing_type", "fiscal_year", "fiscal_period", *METRICS, *RATIOS]
+    return rounded(back.select(*columns, F.col("id").isNotNull().alias("has_id")))
+
+
+def export_round_trip(spark, sf):
+    """The training export, read back."""
+    path = f"{_scratch(spark)}/training"
+    full = _reports(spark, sf)
+    tables.export_training(full, path)
+    back = spark.read.schema(tables.training_examples(full).schema).json(path)
+    return rounded(back.select("input", F.col("output.type").alias("type"), "output.metrics.*"))
+
+
 def load_counts(spark, sf):
     """How many reports were loaded and exported, counted on the way."""
     folder = _scratch(spark)
@@ -461,16 +498,30 @@ def token_batches(spark, sf):
     return training.shuffled_batches(docs, epochs=3, seed=42)
 
 
+def document_store_new_ids(spark, sf):
+    """All texts appended twice without ids: every stored row has an id of its own."""
+    path = f"{_scratch(spark)}/documents"
+    docs = ad.documents(spark, sf).drop("id", "metadata")
+    for _ in range(2):
+        tables.append_documents(docs, path, ad.AS_OF, size=384)
+    back = tables.read_documents(spark, path)
+    return back.groupBy(F.md5("content").alias("content_md5")).agg(
+        F.count("*").alias("rows"), F.countDistinct("id").alias("ids")
+    )
+
+
 def document_store_round_trip(spark, sf):
     path = f"{_scratch(spark)}/documents"
     tables.append_documents(ad.documents(spark, sf), path, ad.AS_OF, size=384)
     back = tables.read_documents(spark, path)
+    places = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
     return back.select(
         "id",
         F.md5("content").alias("content_md5"),
         F.col("metadata")["title"].alias("title"),
         F.size("embedding").alias("size"),
         F.size(F.filter("embedding", lambda x: x > 0)).alias("used"),
+        F.round(F.aggregate(places, F.lit(0.0), lambda s, x: s + x), 4).alias("checksum"),
     )
 
 
@@ -513,6 +564,9 @@ QUERIES = {
     "metric_alignment": metric_alignment,
     "csv_round_trip": csv_round_trip,
     "load_counts": load_counts,
+    "landed_reports": landed_reports,
+    "export_round_trip": export_round_trip,
+    "document_store_new_ids": document_store_new_ids,
     "ragged_union": ragged_union,
     "similarity_topk": similarity_topk,
     "vector_cosine": vector_cosine,
