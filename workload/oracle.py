@@ -344,7 +344,10 @@ prepared AS (
   SELECT *, {EXPANDED} AS expanded FROM (
     SELECT *, {PREPARED} AS prepared FROM (
       SELECT *, {clean('query')} AS cleaned FROM queries)))"""
-HITS = f"""{DOCS}, {QUERIES},
+
+def hits(docs: str = DOCS, k: str = "5") -> str:
+    """Hits of both forms of each query; ``k`` may depend on query_id."""
+    return f"""{docs}, {QUERIES},
 forms AS (
   SELECT query_id * 2 AS key, prepared AS body FROM prepared
   UNION ALL
@@ -358,12 +361,15 @@ placed AS (
   SELECT key // 2 AS query_id, key % 2 AS form, id, similarity,
     row_number() OVER (PARTITION BY key ORDER BY round(similarity, 9) DESC, id) AS rank
   FROM pairs WHERE similarity > {THRESHOLD}),
-base AS (SELECT query_id, least(count(*), 5) AS n FROM placed WHERE form = 0 GROUP BY 1),
+base AS (SELECT query_id, least(count(*), any_value({k})) AS n FROM placed WHERE form = 0 GROUP BY 1),
 hits AS (
   SELECT p.query_id, p.id, p.similarity, p.form = 1 AS by_expansion,
     row_number() OVER (PARTITION BY p.query_id ORDER BY form, rank) AS place
   FROM placed p LEFT JOIN base b ON p.query_id = b.query_id
-  WHERE CASE WHEN form = 0 THEN rank <= 5 ELSE rank <= 5 - coalesce(b.n, 0) END)"""
+  WHERE CASE WHEN form = 0 THEN rank <= {k.replace('query_id', 'p.query_id')} ELSE rank <= {k.replace('query_id', 'p.query_id')} - coalesce(b.n, 0) END)"""
+
+
+HITS = hits()
 FOUND = f"""{HITS}, found AS (
   SELECT h.*, d.content, d.title, d.lang, d.source, d.day, q.query, q.prepared
   FROM hits h JOIN docs d ON h.id = d.id JOIN prepared q ON h.query_id = q.query_id)"""
@@ -513,6 +519,16 @@ ORACLE = {
         f"SELECT symbol, ts, {rnd('close')}, {AVERAGES}, {rnd('rsi')}, {BANDS}, {rnds(*MACD_NAMES)} FROM converging",
         recursive=True,
     ),
+    "auto_bar_indicators": plain(
+        f"{AUTO_BARS}, {rsi_ctes('final')}, {macd_ctes('relative')}",
+        f"SELECT symbol, ts, {rnd('close')}, {AVERAGES}, {rnd('rsi')}, {BANDS}, {rnds(*MACD_NAMES)} FROM converging",
+        recursive=True,
+    ),
+    "timeseries_long": plain(
+        resample("mean", 1000),
+        f"SELECT symbol, ts, row_id, 'price' AS metric, {rnd('price', 'value')} FROM final "
+        f"UNION ALL SELECT symbol, ts, row_id, 'settled', {rnd('settled', 'value')} FROM final",
+    ),
     "ohlcv_stats": plain(f"{AUTO_BARS}, {returns_ctes('final')}", STATS),
     "tick_stats": plain(
         f"{TICKS}, points AS (SELECT *, close AS high, close AS low FROM ticks), {returns_ctes('points')}",
@@ -657,6 +673,19 @@ complete AS (
     "expansion_union": plain(
         HITS, f"SELECT query_id, id, {rnd('similarity')}, CAST(place AS INTEGER) AS place, by_expansion FROM hits"
     ),
+    "search_depths": plain(
+        hits(k="(CASE WHEN query_id % 7 = 0 THEN 5 ELSE query_id % 7 END)"),
+        f"SELECT query_id, id, {rnd('similarity')}, CAST(place AS INTEGER) AS place, by_expansion FROM hits",
+    ),
+    "search_dedupe": plain(
+        HITS,
+        f"SELECT query_id, id, {rnd('similarity')}, CAST(place AS INTEGER) AS place, by_expansion FROM hits "
+        "QUALIFY row_number() OVER (PARTITION BY query_id, id ORDER BY place) = 1",
+    ),
+    "search_prefiltered": plain(
+        hits(DOCS.replace("FROM documents)", "FROM documents WHERE lang = 'en')")),
+        f"SELECT query_id, id, {rnd('similarity')}, CAST(place AS INTEGER) AS place FROM hits",
+    ),
     "retrieve_filtered": plain(
         FILTERED, f"SELECT query_id, id, {rnd('similarity')}, CAST(place AS INTEGER) AS place FROM chosen"
     ),

@@ -108,6 +108,17 @@ def bar_indicators(spark, sf):
     return rounded(ind.all_indicators(t).rows()).drop("open", "high", "low", "volume")
 
 
+def auto_bar_indicators(spark, sf):
+    """All indicators over the bars of automatic width."""
+    bars = series.ohlcv_view(ad.ticks(spark, sf), prices=ad.PRICES)[0]
+    return rounded(bars.drop("open", "high", "low", "volume", "row_id"))
+
+
+def timeseries_long(spark, sf):
+    """The resampled series as long rows."""
+    return rounded(series.timeseries_view(ad.daily(spark, sf), "mean", exact=CENTS)[0])
+
+
 def ohlcv_stats(spark, sf):
     return rounded(series.ohlcv_view(ad.ticks(spark, sf), prices=ad.PRICES)[1])
 
@@ -421,6 +432,29 @@ def expansion_union(spark, sf):
     return rounded(hits)
 
 
+def search_depths(spark, sf):
+    """Every query asks for its own number of hits; 0 stands for the default."""
+    prepared = _prepared(spark, sf).drop("filters").withColumn("top_k", (F.col("query_id") % 7).cast("int"))
+    return rounded(retrieval.base_hits(ad.documents(spark, sf), prepared, threshold=THRESHOLD))
+
+
+def search_dedupe(spark, sf):
+    """A document that both forms of a query find counts once."""
+    prepared = _prepared(spark, sf).drop("filters")
+    return rounded(
+        retrieval.base_hits(ad.documents(spark, sf), prepared, threshold=THRESHOLD, dedupe=True)
+    )
+
+
+def search_prefiltered(spark, sf):
+    """Only documents that pass the filter are searched."""
+    hits = retrieval.retrieve(
+        ad.documents(spark, sf), _prepared(spark, sf).drop("filters"), ad.AS_OF,
+        threshold=THRESHOLD, filters={"lang": "en"}, prefilter=True,
+    )
+    return rounded(hits.select("query_id", "id", "similarity", "place"))
+
+
 def _retrieved(spark, sf, filtered=True):
     prepared = _prepared(spark, sf)
     return retrieval.retrieve(
@@ -542,6 +576,8 @@ QUERIES = {
     "macd": macd,
     "returns": returns,
     "bar_indicators": bar_indicators,
+    "auto_bar_indicators": auto_bar_indicators,
+    "timeseries_long": timeseries_long,
     "ohlcv_stats": ohlcv_stats,
     "tick_stats": tick_stats,
     "price_range": price_range,
@@ -575,6 +611,9 @@ QUERIES = {
     "query_normalise": query_normalise,
     "query_type": query_type,
     "expansion_union": expansion_union,
+    "search_depths": search_depths,
+    "search_dedupe": search_dedupe,
+    "search_prefiltered": search_prefiltered,
     "retrieve_filtered": retrieve_filtered,
     "rerank": rerank,
     "snippets_sources": snippets_sources,
