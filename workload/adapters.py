@@ -147,10 +147,13 @@ def documents(spark, sf, vectors: bool = True) -> DataFrame:
     return docs.select(*columns)
 
 
-def user_series(spark, sf) -> DataFrame:
+def user_series(spark, sf, users: DataFrame | None = None) -> DataFrame:
     """Daily bars per user as records (ts, fields); users whose number divides
-    by three have no volume."""
-    events = table(spark, sf, "events").select(
+    by three have no volume. ``users`` (id) names the users that are needed."""
+    events = table(spark, sf, "events")
+    if users is not None:
+        events = events.join(users, F.col("user_id") == F.col("id"), "left_semi")
+    events = events.select(
         "user_id",
         "ts",
         F.col("event_id").alias("row_id"),
@@ -165,12 +168,12 @@ def user_series(spark, sf) -> DataFrame:
     return days.select("user_id", "ts", fields.alias("fields"))
 
 
-def attached_records(spark, sf) -> DataFrame:
+def attached_records(spark, sf, users: DataFrame | None = None) -> DataFrame:
     """(user_id, financial_data): a user's daily bars in one array of records,
     one record per day, so their number is limited by the calendar."""
     by_time = lambda a, b: F.datediff(a["ts"], b["ts"])
     records = F.array_sort(F.collect_list(F.struct("ts", "fields")), by_time)
-    return user_series(spark, sf).groupBy("user_id").agg(records.alias("financial_data"))
+    return user_series(spark, sf, users).groupBy("user_id").agg(records.alias("financial_data"))
 
 
 def queries(spark, sf) -> DataFrame:

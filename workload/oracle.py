@@ -428,7 +428,8 @@ texts AS (
   FROM classes),
 grouped AS (
   SELECT query_id, string_agg(content, E'\\n' ORDER BY position) AS contents,
-    string_agg(title || '|' || format('{{:.2f}}', similarity * 100) || '%', ';' ORDER BY position) AS sources,
+    string_agg(title || '|' || coalesce(CAST(day AS VARCHAR), 'Unknown date') || '|' || source || '|'
+      || format('{{:.2f}}', similarity * 100) || '%', ';' ORDER BY position) AS sources,
     max(day) AS newest
   FROM ranked GROUP BY query_id),
 joined AS (
@@ -723,7 +724,7 @@ titles AS (SELECT * FROM (VALUES
         CONTEXT,
         f"""SELECT query_id, context, md5('{_quoted(PROMPT_HEAD)}' || context || '{_quoted(PROMPT_TAIL)}') AS prompt_md5,
   array_to_string(list_sort(names), ',') AS visualizations, coalesce(sources, '') AS sources,
-  {QUERY_TYPE} AS query_type, {FRESHNESS} AS data_freshness FROM joined""",
+  '{AS_OF}' AS timestamp, {QUERY_TYPE} AS query_type, {FRESHNESS} AS data_freshness FROM joined""",
     ),
     "token_sequences": plain(
         TOKENS,

@@ -16,7 +16,7 @@ from tickwell.operators.attach import attach
 from tickwell.operators.timeline import split, whole
 from tickwell.plans import answers, reports, series
 from tickwell.schema import METRICS, OHLCV, RATIOS
-from tickwell.session import shared_folder
+from tickwell.session import shared_folder, stored
 from tickwell.sources import filings, tables
 from workload import adapters as ad
 
@@ -498,15 +498,19 @@ def chart_choice(spark, sf):
 
 def answer_context(spark, sf):
     # The series of the user whose number the document has.
-    records = ad.attached_records(spark, sf).withColumnRenamed("user_id", "id")
-    hits = _retrieved(spark, sf).join(records, "id", "left")
+    hits = stored(_retrieved(spark, sf))
+    # Only the events of users that were hit are read into series.
+    records = ad.attached_records(spark, sf, hits.select("id").distinct())
+    hits = hits.join(records.withColumnRenamed("user_id", "id"), "id", "left")
     table = answers.answer_contexts(ad.queries(spark, sf), hits, ad.AS_OF)
+    source = lambda s: F.concat_ws("|", s["title"], s["date"], s["source"], s["relevance"])
     return table.select(
         "query_id",
         "context",
         F.md5("prompt").alias("prompt_md5"),
         F.array_join("visualizations", ",").alias("visualizations"),
-        F.array_join(F.transform("sources", lambda s: F.concat(s["title"], F.lit("|"), s["relevance"])), ";").alias("sources"),
+        F.array_join(F.transform("sources", source), ";").alias("sources"),
+        "timestamp",
         "query_type",
         "data_freshness",
     )
