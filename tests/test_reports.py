@@ -198,3 +198,11 @@ def test_landed_files_to_report_table(spark, tmp_path):
     assert (row["current_ratio"], row["profit_margin"], row["fiscal_year"]) == (2.0, 0.1, 2024)
     assert len(row["embeddings"]) == 384 and row["id"] is not None and str(row["created_at"])[:10] == "2024-06-30"
     assert "Alpha (CIK: 0000000001)" in row["text_content"]
+
+
+def test_times_show_a_fraction_where_there_is_one(spark):
+    from tickwell.functions.text import shown_time
+
+    rows = spark.sql("select timestamp'2024-01-02 03:04:05' a, timestamp'2024-01-02 03:04:05.25' b")
+    got = rows.select(shown_time(F.col("a")), shown_time(F.col("b"))).first()
+    assert tuple(got) == ("2024-01-02 03:04:05", "2024-01-02 03:04:05.250000")

@@ -87,10 +87,19 @@ def fill(template: str, **columns: Column) -> Column:
     return F.concat(*filled)
 
 
+def shown_time(moment: Column) -> Column:
+    """Date and time; the fraction of a second only where there is one."""
+    moment = moment.cast("timestamp")
+    whole = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    return F.when(F.date_trunc("second", moment) == moment, whole).otherwise(
+        F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+
+
 def report_text() -> Column:
     """The text of a report from its columns."""
     shown = {c: _shown(F.col(c).cast("string")) for c in ("company_name", "cik", "fiscal_year")}
-    moment = F.date_format(F.col("filing_date").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    moment = shown_time(F.col("filing_date"))
     return fill(
         fixed.REPORT_TEXT,
         **shown,

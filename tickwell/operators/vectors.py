@@ -58,14 +58,31 @@ def hash_vector(text: Column, size: int = VECTOR_SIZE) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two vector columns; null for a zero vector."""
+    """Cosine similarity of two vector columns; null for a zero vector, for
+    vectors of different sizes and where a value is missing."""
 
-    def total(v: Column) -> Column:
-        return F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
+    @F.arrow_udf("double")
+    def measured(x: pa.Array, y: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sizes = [pc.fill_null(pc.list_value_length(v), -1).to_numpy() for v in (x, y)]
+        usable = (sizes[0] == sizes[1]) & (sizes[0] > 0)
+        out = np.full(len(x), np.nan)
+        for size in np.unique(sizes[0][usable]):
+            rows = np.flatnonzero(usable & (sizes[0] == size))
+            left, right = (
+                v.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), size)
+                for v in (x, y)
+            )
+            product = (left * right).sum(axis=1)
+            lengths = np.sqrt((left * left).sum(axis=1)) * np.sqrt((right * right).sum(axis=1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out[rows] = np.where(lengths > 0, product / lengths, np.nan)
+        return pa.array(out, mask=np.isnan(out))
 
-    product = total(F.zip_with(a, b, lambda x, y: x.cast("double") * y))
-    squares = [total(F.transform(v, lambda x: x.cast("double") * x)) for v in (a, b)]
-    return F.try_divide(product, F.sqrt(squares[0]) * F.sqrt(squares[1]))
+    return measured(a.cast("array<double>"), b.cast("array<double>"))
 
 
 def with_vectors(docs: DataFrame, vectors: DataFrame, id: str, vector_id: str) -> DataFrame:

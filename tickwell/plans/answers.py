@@ -70,10 +70,6 @@ def metric_names(records: DataFrame, by: str = "query_id") -> DataFrame:
     )
 
 
-def _day_time(moment: str) -> Column:
-    return F.date_format(F.col(moment).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
-
-
 def summaries(records: DataFrame, classes: DataFrame, points: int = fixed.MAX_POINTS) -> DataFrame:
     """One line of text about the series of each query."""
     kinds = records.join(classes.select("query_id", "is_ohlcv"), "query_id")
@@ -83,8 +79,8 @@ def summaries(records: DataFrame, classes: DataFrame, points: int = fixed.MAX_PO
     ranges = price_range(auto_bars(rows, by=["query_id"], points=points), by=["query_id"])
     price_text = tx.fill(
         fixed.PRICE_SUMMARY,
-        first=_day_time("first_date"),
-        last=_day_time("last_date"),
+        first=tx.shown_time(F.col("first_date")),
+        last=tx.shown_time(F.col("last_date")),
         low=tx.plain_money(F.col("low_close")),
         high=tx.plain_money(F.col("high_close")),
     )
@@ -99,8 +95,8 @@ def summaries(records: DataFrame, classes: DataFrame, points: int = fixed.MAX_PO
     series_text = tx.fill(
         fixed.SERIES_SUMMARY,
         metrics=F.array_join("metrics", ", "),
-        first=_day_time("first_date"),
-        last=_day_time("last_date"),
+        first=tx.shown_time(F.col("first_date")),
+        last=tx.shown_time(F.col("last_date")),
     )
     other = dates.join(metric_names(generic), "query_id").select(
         "query_id", series_text.alias("summary")

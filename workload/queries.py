@@ -394,10 +394,11 @@ def ivf_search(spark, sf):
 
 
 def hash_embedding(spark, sf):
-    vector = vectors.hash_vector(F.col("text"))
-    rows = ad.texts(spark, sf).select("doc_id", F.posexplode(vector))
-    rows = rows.toDF("doc_id", "bucket", "weight").where(F.col("weight") > 0)
-    return rounded(rows)
+    texts = ad.texts(spark, sf).select("doc_id", vectors.hash_vector(F.col("text")).alias("vector"))
+    # Zeros go before the rows are multiplied.
+    pairs = F.transform("vector", lambda x, i: F.struct(i.alias("bucket"), x.alias("weight")))
+    used = F.filter(pairs, lambda p: p["weight"] > 0)
+    return rounded(texts.select("doc_id", F.inline(used)))
 
 
 def _spoken(spark, sf):
