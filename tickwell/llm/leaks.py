@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.tables import by_batch, filtered, id_and_text
+from tickwell.llm.words import words_of
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -29,14 +30,9 @@ LEAST_WORDS = 5
 ITEM_BLOCK = 8
 #: Items are indexed and searched so many at a time; more items take more passes over the texts.
 ITEMS_AT_ONCE = 2_000
-_SEPARATORS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.lower().encode().translate(_SEPARATORS).split()
-
-
 def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     """The last sentence is the answer; of a single sentence, the last third of its words."""
     sentences = [s for s in map(words_of, _SENTENCE.split(text)) if s]

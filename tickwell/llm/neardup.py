@@ -256,13 +256,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes.join(involved, "rep", "left_semi").select("rep", "n_shingles", *SKETCH)
     )
 
-    links = None
     found = None
     for pivot in ("pivot_0", "pivot_1"):
         pairs = members.select(F.col("rep").alias("a"), F.col(pivot).alias("b")).where("a <> b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = _next_links(links, _between(pairs, found), sketches, texts)
-        found = written(components(links))
+        found = _joined(found, _next_links(_between(pairs, found), sketches, texts))
 
     # Buckets that still hold more than one component, with the largest of them.
     named = _named(members.select("bucket", "rep"), found)
@@ -272,8 +270,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     hubs = hubs.where("components > 1").select("bucket", F.col("hub.component").alias("hub"), F.col("hub.n").alias("n"))
     mixed = written(named.join(hubs, "bucket"))
-    links = links.unionByName(written(_hub_links(mixed.where("n > 1"), sketches, texts)))
-    found = written(components(links))
+    found = _joined(found, _hub_links(mixed.where("n > 1"), sketches, texts))
 
     # Members outside the largest component, or of buckets in which all stand alone.
     rest = mixed.where("component <> hub or n = 1").select("bucket", "rep")
@@ -287,8 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         & _likely("l", "r"),
     )
     pairs = across.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
-    links = links.unionByName(written(_confirmed(pairs, texts)))
-    found = written(components(links))
+    found = _joined(found, _confirmed(pairs, texts))
 
     named_classes = classes.select("words_hash", "rep").join(
         found.select(F.col("node").alias("rep"), "component"), "rep", "left"
@@ -343,7 +339,7 @@ def _between(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
     return pairs.where("in_a <> in_b").select("a", "b")
 
 
-def _next_links(links: DataFrame | None, pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+def _next_links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     left, right = sketches.alias("l"), sketches.alias("r")
     likely = (
         pairs.join(left, F.col("a") == F.col("l.rep"))
@@ -352,5 +348,12 @@ def _next_links(links: DataFrame | None, pairs: DataFrame, sketches: DataFrame,
         .select("a", "b")
         .distinct()
     )
-    new = written(_confirmed(likely, texts))
-    return new if links is None else links.unionByName(new)
+    return _confirmed(likely, texts)
+
+
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the links, with those found before as one star each."""
+    if found is not None:
+        stars = found.where("node <> component")
+        links = links.unionByName(stars.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    return written(components(links))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tickwell.llm.labelled import Logistic, fold, sample, shift
 from tickwell.llm.tables import by_batch, filtered, id_and_text
+from tickwell.llm.words import words_of
 
 K = 15
 BLOCK = 64
@@ -35,11 +36,6 @@ PER_CLASS = 3_000
 MAX_BYTES = 32 << 20
 WORDS_KEPT = 400_000
 ROUNDING = 1e-5
-_SEPARATORS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
-
-
-def words_of(text: str) -> list[bytes]:
-    return text.lower().encode().translate(_SEPARATORS).split()
 
 
 def terms_of(word: bytes) -> list[str]:
