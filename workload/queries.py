@@ -522,7 +522,7 @@ def answer_context(spark, sf):
 
 def token_sequences(spark, sf):
     docs = ad.texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    rows = training.token_sequences(docs, training.vocabulary(docs))
+    rows = training.token_sequences(docs, training.vocabulary(docs, rows_per_chunk=CHUNK_ROWS))
     return rows.select(
         "id",
         F.size("input_ids").alias("length"),
@@ -534,7 +534,7 @@ def token_sequences(spark, sf):
 
 def token_batches(spark, sf):
     docs = ad.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
-    return training.shuffled_batches(docs, epochs=3, seed=42)
+    return training.shuffled_batches(docs, epochs=3, seed=42, rows_per_chunk=CHUNK_ROWS)
 
 
 def document_store_new_ids(spark, sf):
