@@ -274,14 +274,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Members outside the largest component, or of buckets in which all stand alone.
     rest = mixed.where("component <> hub or n = 1").select("bucket", "rep")
-    rows = written(_named(rest, found).join(sketches, "rep"))
+    lists = rest.groupBy("rep").agg(F.collect_set("bucket").alias("buckets"))
+    rows = written(_named(rest, found).join(lists, "rep").join(sketches, "rep"))
     left, right = rows.alias("l"), rows.alias("r")
     across = left.join(
         right,
         (F.col("l.bucket") == F.col("r.bucket"))
         & (F.col("l.rep") < F.col("r.rep"))
         & (F.col("l.component") != F.col("r.component"))
-        & _likely("l", "r"),
+        & _likely("l", "r")
+        # A pair that shares several buckets leaves the first of them only.
+        & (F.col("l.bucket") == F.array_min(F.array_intersect("l.buckets", "r.buckets"))),
     )
     pairs = across.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
     found = _joined(found, _confirmed(pairs, texts))
