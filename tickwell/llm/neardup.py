@@ -356,7 +356,10 @@ def _next_links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> Data
 
 def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components of the links, with those found before as one star each."""
+    links = written(links)
     if found is not None:
+        if links.isEmpty():
+            return found
         stars = found.where("node <> component")
         links = links.unionByName(stars.select(F.col("component").alias("a"), F.col("node").alias("b")))
     return written(components(links))

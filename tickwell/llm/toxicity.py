@@ -13,7 +13,6 @@ calibrated on the examples themselves, each one left out of its own vote.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +34,7 @@ BEGINNINGS = (4, 5)
 PER_CLASS = 3_000
 MAX_BYTES = 32 << 20
 WORDS_KEPT = 400_000
+BIN_BITS = 22
 ROUNDING = 1e-5
 
 
@@ -56,6 +56,25 @@ def ratio(with_: np.ndarray, of: np.ndarray) -> np.ndarray:
     return out
 
 
+def _term_counts(texts: list[str], labels: np.ndarray) -> dict[str, list[int]]:
+    """Texts of either label that have a term, for terms that can be in enough of them.
+
+    Most terms occur once. A first pass counts hashed terms in a small array,
+    and only terms whose count there is high enough get an entry of their own.
+    """
+    bins = np.zeros(1 << BIN_BITS, dtype=np.int32)
+    mask = (1 << BIN_BITS) - 1
+    for text in texts:
+        terms = {t for w in set(words_of(text)) for t in terms_of(w)}
+        bins[np.unique(np.fromiter((hash(t) & mask for t in terms), np.int64, len(terms)))] += 1
+    counts: dict[str, list[int]] = {}
+    for text, label in zip(texts, labels.tolist()):
+        for term in {t for w in set(words_of(text)) for t in terms_of(w)}:
+            if bins[hash(term) & mask] >= LEAST_EXAMPLES:
+                counts.setdefault(term, [0, 0])[label] += 1
+    return counts
+
+
 class Index:
     """Postings of unit vectors by block, with the greatest weight of each term in each block."""
 
@@ -120,11 +139,7 @@ class Model:
         self.calibrate = None
         if not of.all():
             return
-        bags = [Counter(t for w in words_of(text) for t in terms_of(w)) for _, text, _ in rows]
-        counts: dict[str, list[int]] = {}
-        for bag, label in zip(bags, y):
-            for term in bag:
-                counts.setdefault(term, [0, 0])[label] += 1
+        counts = _term_counts([text for _, text, _ in rows], y)
         common = sorted(t for t, c in counts.items() if sum(c) >= LEAST_EXAMPLES)
         if common:
             with_ = np.array([counts[t] for t in common], dtype=float).T
@@ -136,7 +151,7 @@ class Model:
         if not self.columns:
             return
         ids = np.array([i for i, _, _ in rows], dtype=np.int64)
-        vectors = self._unit([{self.columns[t]: n for t, n in bag.items() if t in self.columns} for bag in bags])
+        vectors = self.vectors([text for _, text, _ in rows])
         told = vectors.any(1)
         self.index = Index(vectors[told], ids[told], y[told])
         cosines, at = self.index.nearest(vectors[told], k, skip=ids[told])
