@@ -221,17 +221,22 @@ def test_returns_fill_and_zero(spark):
     check(got, pd.Series([None, 0, 2, -1, None], dtype=float))
 
 
-def test_attach_beyond_the_broadcast_limit(spark):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_attach_by_broadcast_and_by_shuffle(spark, threshold):
     rows = spark.range(1000).select(
         F.when(F.col("id") < 600, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
         "id",
     ).withColumn("k", F.when(F.col("id") != 999, F.col("k")))
     table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
-    want = attach(rows, table, ["k"], "n").toPandas().sort_values("id", ignore_index=True)
-    assert want["n"].notna().all()
-    for weight in ("n", None):
-        got = attach(rows, table, ["k"], weight, limit=3).toPandas().sort_values("id", ignore_index=True)
-        pd.testing.assert_frame_equal(got[want.columns], want)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = attach(rows, table, ["k"]).toPandas().sort_values("id", ignore_index=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 1000 and got["n"].notna().all()
+    sizes = got.groupby("k", dropna=False)["id"].transform("size")
+    assert (got["n"] == sizes).all()
 
 
 def test_long_exponential_average(spark):
