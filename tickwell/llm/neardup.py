@@ -6,11 +6,11 @@ a bitmap in which every value of the signature toggles one bit, rules out
 most of the false ones: the number of set bits in the XOR of two sketches
 estimates their similarity. What remains is confirmed on the full sets.
 
-Buckets of a band may be large. Their members are first compared with one
-pivot each, in two rounds with different pivots; what that links needs no
-further comparison. Where a bucket still holds several components, the members
-outside its largest one are compared with all of that one's members in the
-bucket, block against block, and then with each other. No candidate is left out.
+Buckets of a band may be large. Their members are first compared with two
+pivots each; what that links needs no further comparison. Where a bucket still
+holds several components, the members outside its largest one are compared
+with all of that one's members in the bucket, block against block, and then
+with each other. No candidate is left out.
 """
 
 from __future__ import annotations
@@ -256,11 +256,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes.join(involved, "rep", "left_semi").select("rep", "n_shingles", *SKETCH)
     )
 
-    found = None
-    for pivot in ("pivot_0", "pivot_1"):
-        pairs = members.select(F.col("rep").alias("a"), F.col(pivot).alias("b")).where("a <> b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = _joined(found, _next_links(_between(pairs, found), sketches, texts))
+    pivots = F.explode(F.array("pivot_0", "pivot_1"))
+    pairs = members.select(F.col("rep").alias("a"), pivots.alias("b")).where("a <> b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = _joined(None, _next_links(pairs, sketches, texts))
 
     # Buckets that still hold more than one component, with the largest of them.
     named = _named(members.select("bucket", "rep"), found)
@@ -332,16 +331,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return single.unionByName(repeated)
 
 
-def _between(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Only the pairs whose ends are not in one component yet."""
-    if found is None:
-        return pairs
-    for end in ("a", "b"):
-        known = found.select(F.col("node").alias(end), F.col("component").alias(f"in_{end}"))
-        pairs = pairs.join(known, end, "left").withColumn(f"in_{end}", F.coalesce(f"in_{end}", end))
-    return pairs.where("in_a <> in_b").select("a", "b")
-
-
 def _next_links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     left, right = sketches.alias("l"), sketches.alias("r")
     likely = (
