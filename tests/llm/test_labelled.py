@@ -99,3 +99,39 @@ def test_toxic_rows_are_dropped_with_all_columns(spark):
     assert left.columns == docs.columns and left.count() == len(ROWS)
     toxic = docs.limit(1).selectExpr("doc_id", "'vile slur' AS text")
     assert to.drop_toxic(toxic, model).count() == 0
+
+
+def test_planted_toxic_documents_go_on_a_small_sample(spark):
+    docs, labels = tables(spark, "/root/testdata/sf0.001")
+    model = to.fit(docs, labels)
+    plain = docs.where("lang = 'en'").join(labels.where("toxic = 0"), "doc_id", "left_semi").orderBy("doc_id").limit(6).collect()
+    planted = [(1000 + i, " ".join([*r["text"].split()[:60], "scum moron loser trash"])) for i, r in enumerate(plain)]
+    table = spark.createDataFrame(planted, "doc_id long, text string")
+    assert len(planted) == 6 and to.drop_toxic(table, model).count() == 0
+    scored = {r["doc_id"]: r for r in to.score_toxicity(docs, model).collect()}
+    assert scored[81]["predicted"] == 1 and len(scored[81]["neighbours"]) == to.K
+
+
+def test_cosines_are_those_over_all_words(spark):
+    docs, labels = tables(spark)
+    rows = [(r["doc_id"], r["text"], r["toxic"]) for r in docs.join(labels, "doc_id").where("doc_id < 150 and text is not null").collect()]
+    model = to.Model(rows)
+    words = [set(to.words_of(t)) for _, t, _ in rows]
+    assert set(model.columns) == set().union(*words)
+
+    def dense_vectors(texts):
+        out = np.zeros((len(texts), len(model.columns)))
+        for row, text in zip(out, texts):
+            for word in to.words_of(text):
+                if word in model.columns:
+                    row[model.columns[word]] += 1
+            row[row > 0] = 1 + np.log(row[row > 0])
+            row *= model.weights
+            row /= np.linalg.norm(row) or 1
+        return out
+
+    texts = [r["text"] or "" for r in docs.where("doc_id >= 150 and doc_id < 260").collect()] + ["", "zzz"]
+    every = dense_vectors(texts) @ dense_vectors([t for _, t, _ in rows]).T
+    cosines, at = model.index.nearest(model.vectors(texts), 9)
+    assert np.allclose(np.maximum(cosines, 0), -np.sort(-every, axis=1)[:, :9], atol=1e-5)
+    assert (at[-2:] == -1).all()

@@ -1,19 +1,20 @@
-"""Toxicity by the nearest labelled examples, found exactly with block-max postings.
-
-Examples and documents are unit TF-IDF vectors over words and word beginnings
-whose presence differs between the labels (log-likelihood ratio). Examples lie
-in blocks of similar vectors. For each term and block the index holds the
-greatest weight, so the sum over a document's terms bounds every cosine in the
-block; blocks are read in falling order of their bounds, and a document skips
-all blocks that cannot reach its k-th best example. The result is that of
-comparing with every example. Votes of the k nearest, weighted by cosine, are
-calibrated on the examples themselves, each one left out of its own vote.
+"""Toxicity by the nearest labelled examples, found exactly with postings of all words.
+
+Examples and documents are unit TF-IDF vectors over all words of the examples;
+each word also weighs as much as its presence differs between the labels
+(log-likelihood ratio), for over plain TF-IDF chance words decide. No word is
+left out, so a small sample has its vocabulary too. Words of many examples lie
+in a dense table, all others in postings; together they give the cosine with
+every example. Votes of the k nearest, weighted by cosine, are calibrated on
+the examples themselves, each one left out of its own vote.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,24 +25,15 @@ from tickwell.llm.tables import by_batch, filtered, id_and_text
 from tickwell.llm.words import words_of
 
 K = 15
+#: Queries are compared so many at a time.
 BLOCK = 64
-#: A term needs this log-likelihood ratio (about one chance in 100,000) and so many examples.
-LEAST_RATIO = 19.5
-LEAST_EXAMPLES = 3
-MOST_TERMS = 1_024
-BEGINNINGS = (4, 5)
+#: Words in this share of the examples lie in the dense table.
+DENSE_SHARE = 1 / 8
 #: Bounds of the sample: rows of each label, and bytes of all texts together.
 PER_CLASS = 3_000
 MAX_BYTES = 32 << 20
-WORDS_KEPT = 400_000
-BIN_BITS = 22
-ROUNDING = 1e-5
-
-
-def terms_of(word: bytes) -> list[str]:
-    """The word and, marked with a star, its beginnings."""
-    text = word.decode("utf-8", "replace")
-    return [text, *(text[:n] + "*" for n in BEGINNINGS if len(text) >= n)]
+#: Cosines are told apart, and ties seen, to so many digits.
+DIGITS = 6
 
 
 def ratio(with_: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -53,80 +45,139 @@ def ratio(with_: np.ndarray, of: np.ndarray) -> np.ndarray:
         for seen, all_seen in ((with_[label], found), (of[label] - with_[label], total - found)):
             expected = all_seen * of[label] / total
             out += 2 * seen * np.log(np.where(seen > 0, seen, 1) / np.where(expected > 0, expected, 1))
-    return out
+    return np.maximum(out, 0)
 
 
-def _term_counts(texts: list[str], labels: np.ndarray) -> dict[str, list[int]]:
-    """Texts of either label that have a term, for terms that can be in enough of them.
+class Rows(NamedTuple):
+    """Sparse vectors: those of row i are at ``starts[i]`` to ``starts[i + 1]``."""
 
-    Most terms occur once. A first pass counts hashed terms in a small array,
-    and only terms whose count there is high enough get an entry of their own.
-    """
-    bins = np.zeros(1 << BIN_BITS, dtype=np.int32)
-    mask = (1 << BIN_BITS) - 1
-    for text in texts:
-        terms = {t for w in set(words_of(text)) for t in terms_of(w)}
-        bins[np.unique(np.fromiter((hash(t) & mask for t in terms), np.int64, len(terms)))] += 1
-    counts: dict[str, list[int]] = {}
-    for text, label in zip(texts, labels.tolist()):
-        for term in {t for w in set(words_of(text)) for t in terms_of(w)}:
-            if bins[hash(term) & mask] >= LEAST_EXAMPLES:
-                counts.setdefault(term, [0, 0])[label] += 1
-    return counts
+    starts: np.ndarray
+    columns: np.ndarray
+    weights: np.ndarray
 
+    def __getitem__(self, rows: slice) -> Rows:
+        at, end = self.starts[rows.start], self.starts[min(rows.stop, len(self.starts) - 1)]
+        return Rows(self.starts[rows.start : rows.stop + 1] - at, self.columns[at:end], self.weights[at:end])
+
+    def of(self) -> np.ndarray:
+        """The row of each entry."""
+        return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+
+    def unit(self) -> Rows:
+        sums = np.bincount(self.of(), self.weights.astype(np.float64) ** 2, len(self.starts) - 1)
+        norms = np.sqrt(np.where(sums > 0, sums, 1))
+        return self._replace(weights=(self.weights / norms[self.of()]).astype(np.float32))
+
+    def any(self) -> np.ndarray:
+        return np.bincount(self.of(), self.weights > 0, len(self.starts) - 1) > 0
+
+
+def sparse(vectors: np.ndarray | Rows) -> Rows:
+    if not isinstance(vectors, np.ndarray):
+        return vectors
+    rows, columns = np.nonzero(vectors)
+    starts = np.searchsorted(rows, np.arange(len(vectors) + 1))
+    return Rows(starts, columns.astype(np.int32), vectors[rows, columns].astype(np.float32))
 
-class Index:
-    """Postings of unit vectors by block, with the greatest weight of each term in each block."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, labels: np.ndarray, block: int = BLOCK):
-        # Similar examples next to each other: by heaviest term, then by its weight.
-        order = np.lexsort((ids, -vectors.max(1), vectors.argmax(1))) if len(vectors) else np.arange(0)
+class Index:
+    """Unit vectors by word: a dense table of the words of many examples, postings of the others."""
+
+    def __init__(self, vectors: np.ndarray | Rows, ids: np.ndarray, labels: np.ndarray, block: int = BLOCK):
+        vectors = sparse(vectors)
+        # In order of id, so that of equal cosines the first place is that of the smaller id.
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(len(order), dtype=np.int32)
+        place[order] = np.arange(len(order))
         self.ids, self.labels = ids[order], labels[order].astype(np.float64)
-        vectors = vectors[order].astype(np.float32)
-        self.blocks = [slice(at, at + block) for at in range(0, len(vectors), block)]
-        self.maxima = np.array([vectors[b].max(0) for b in self.blocks], dtype=np.float32).T
-        # Of a block only the terms that occur in it are stored.
-        self.terms = [np.flatnonzero(vectors[b].any(0)) for b in self.blocks]
-        self.postings = [np.ascontiguousarray(vectors[b][:, t].T) for b, t in zip(self.blocks, self.terms)]
-
-    def nearest(self, queries: np.ndarray, k: int, skip: np.ndarray | None = None):
+        self.block = block
+        self.width = int(vectors.columns.max(initial=-1)) + 1
+        places = place[vectors.of()]
+        by_word = np.lexsort((places, vectors.columns))
+        self.places, self.weights = places[by_word], vectors.weights[by_word]
+        self.starts = np.searchsorted(vectors.columns[by_word], np.arange(self.width + 1))
+        self._table()
+
+    def _table(self) -> None:
+        sizes = np.diff(self.starts)
+        common = np.flatnonzero(sizes > max(1, DENSE_SHARE * len(self.ids)))
+        self.row = np.full(self.width, -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        self.table = np.zeros((len(common), len(self.ids)))
+        for row, word in enumerate(common.tolist()):
+            of = slice(self.starts[word], self.starts[word + 1])
+            self.table[row, self.places[of]] = self.weights[of]
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("row", "table")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._table()
+
+    @property
+    def blocks(self) -> list[slice]:
+        return [slice(at, at + self.block) for at in range(0, len(self.ids), self.block)]
+
+    @property
+    def terms(self) -> list[np.ndarray]:
+        """The words of each block of examples."""
+        words = np.repeat(np.arange(self.width), np.diff(self.starts))
+        return [np.unique(words[(self.places >= b.start) & (self.places < b.stop)]) for b in self.blocks]
+
+    @property
+    def postings(self) -> list[np.ndarray]:
+        """Weights of each block by word and example, written out."""
+        words, out = np.repeat(np.arange(self.width), np.diff(self.starts)), []
+        for b, terms in zip(self.blocks, self.terms):
+            at = np.flatnonzero((self.places >= b.start) & (self.places < b.stop))
+            out.append(np.zeros((len(terms), min(b.stop, len(self.ids)) - b.start), dtype=np.float32))
+            out[-1][np.searchsorted(terms, words[at]), self.places[at] - b.start] = self.weights[at]
+        return out
+
+    def cosines(self, queries: Rows) -> np.ndarray:
+        """Cosine of each query with every example."""
+        n, of = len(queries.starts) - 1, queries.of()
+        known = queries.columns < self.width
+        of, words, weights = of[known], queries.columns[known], queries.weights[known].astype(np.float64)
+        row = self.row[words]
+        dense = np.zeros((n, len(self.table)))
+        dense[of[row >= 0], row[row >= 0]] = weights[row >= 0]
+        of, words, weights = of[row < 0], words[row < 0], weights[row < 0]
+        # All places in the postings of all words of all queries, one after the other.
+        sizes = self.starts[words + 1] - self.starts[words]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[words] - ends + sizes, sizes)
+        keys = np.repeat(of * len(self.ids), sizes) + self.places[at]
+        sums = np.bincount(keys, np.repeat(weights, sizes) * self.weights[at], n * len(self.ids))
+        return dense @ self.table + sums.reshape(n, -1)
+
+    def nearest(self, queries: np.ndarray | Rows, k: int, skip: np.ndarray | None = None):
         """Cosines and positions of the ``k`` best examples of each query; ``skip`` leaves out one id each.
 
         Of equal cosines the smaller id comes first. Positions without an example are -1.
         """
-        n = len(queries)
+        queries = sparse(queries)
+        n = len(queries.starts) - 1
         best = np.full((n, k), -1.0, dtype=np.float32)
         at = np.full((n, k), -1, dtype=np.int64)
-        if not self.blocks or not n:
+        if not len(self.ids):
             return best, at
-        bounds = queries @ self.maxima + ROUNDING
-        bounds[bounds <= 2 * ROUNDING] = -2.0
-        by_bound = np.argsort(-bounds, axis=1, kind="stable")
-        for turn in range(len(self.blocks)):
-            block_of = by_bound[:, turn]
-            live = np.flatnonzero(bounds[np.arange(n), block_of] >= best[:, -1])
-            live = live[bounds[live, block_of[live]] > 0]
-            if not len(live):
-                break
-            for b in np.unique(block_of[live]):
-                rows = live[block_of[live] == b]
-                found = queries[np.ix_(rows, self.terms[b])] @ self.postings[b]
-                places = np.arange(self.blocks[b].start, self.blocks[b].start + found.shape[1])
-                if skip is not None:
-                    found[self.ids[places][None, :] == skip[rows][:, None]] = -1.0
-                found[found <= 0] = -1.0
-                both = np.concatenate([best[rows], found], axis=1)
-                where = np.concatenate([at[rows], np.broadcast_to(places, found.shape)], axis=1)
-                names = np.where(where >= 0, self.ids[where], np.iinfo(np.int64).max)
-                keep = np.lexsort((names, -both), axis=1)[:, :k]
-                best[rows] = np.take_along_axis(both, keep, axis=1)
-                at[rows] = np.take_along_axis(where, keep, axis=1)
-        at[best <= 0] = -1
+        for start in range(0, n, self.block):
+            found = np.round(self.cosines(queries[start : start + self.block]), DIGITS)
+            if skip is not None:
+                found[self.ids[None, :] == skip[start : start + self.block][:, None]] = 0
+            least = np.partition(found, -k, axis=1)[:, -k] if k <= found.shape[1] else np.zeros(len(found))
+            for i, (row, bound) in enumerate(zip(found, least), start):
+                places = np.flatnonzero((row >= bound) & (row > 0))
+                places = places[np.argsort(-row[places], kind="stable")][:k]
+                best[i, : len(places)] = row[places]
+                at[i, : len(places)] = places
         return best, at
 
 
 class Model:
-    """Selected terms, the index over the examples, and the calibration of votes."""
+    """Weights of the words, the index over the examples, and the calibration of votes."""
 
     def __init__(self, rows: list[tuple[int, str, int]], totals: list[int] | None = None, k: int = K):
         self.k = k
@@ -134,64 +185,56 @@ class Model:
         of = np.bincount(y, minlength=2).astype(float)
         zeros, ones = totals or of
         self.prior = (ones + 1) / (zeros + ones + 2)
-        self.columns: dict[str, int] = {}
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.columns: dict[bytes, int] = {}
         self.calibrate = None
         if not of.all():
             return
-        counts = _term_counts([text for _, text, _ in rows], y)
-        common = sorted(t for t, c in counts.items() if sum(c) >= LEAST_EXAMPLES)
-        if common:
-            with_ = np.array([counts[t] for t in common], dtype=float).T
-            gain = ratio(with_, of)
-            best = np.argsort(-gain, kind="stable")[:MOST_TERMS]
-            best = best[gain[best] >= LEAST_RATIO]
-            self.columns = {common[i]: j for j, i in enumerate(best)}
-            self.idf = np.log1p(len(rows) / with_.sum(0)[best])
-        if not self.columns:
-            return
+        bags = self._bags([text for _, text, _ in rows], learn=True)
+        with_ = np.array([np.bincount(bags.columns[y[bags.of()] == label], minlength=len(self.columns)) for label in (0, 1)])
+        self.weights = np.log1p(len(rows) / np.maximum(with_.sum(0), 1)) * ratio(with_.astype(float), of)
         ids = np.array([i for i, _, _ in rows], dtype=np.int64)
-        vectors = self.vectors([text for _, text, _ in rows])
-        told = vectors.any(1)
-        self.index = Index(vectors[told], ids[told], y[told])
-        cosines, at = self.index.nearest(vectors[told], k, skip=ids[told])
+        vectors = self._weighted(bags)
+        told = vectors.any()
+        if not told.any():
+            return
+        kept = np.flatnonzero(told)
+        # Rows without any weight have no entries.
+        vectors = Rows(np.append(vectors.starts[:-1][kept], vectors.starts[-1]), vectors.columns, vectors.weights)
+        self.index = Index(vectors, ids[told], y[told])
+        cosines, at = self.index.nearest(vectors, k, skip=ids[told])
         figures = self._figures(cosines, at)
         log_odds = shift(of, totals)
         self.calibrate = Logistic(figures, y[told].astype(float), ridge=0.5).moved(log_odds)
-        # Texts without any selected term have no neighbour; their share of toxic ones is their score
+        # Texts without any word of the examples have no neighbour; their share of toxic ones is their score
         # (with one more half as toxic as the sample, so that few such examples say little).
         rate = (y[~told].sum() + 0.5 * y.mean()) / ((~told).sum() + 1)
         odds = rate / (1 - rate) * math.exp(log_odds)
         self.silent = odds / (1 + odds)
 
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}}
-
-    def _unit(self, bags: list[dict[int, int]]) -> np.ndarray:
-        out = np.zeros((len(bags), len(self.columns)), dtype=np.float32)
-        for row, bag in zip(out, bags):
-            for column, n in bag.items():
-                row[column] = (1 + math.log(n)) * self.idf[column]
-        norms = np.sqrt((out.astype(np.float64) ** 2).sum(1))
-        return (out / np.where(norms > 0, norms, 1)[:, None]).astype(np.float32)
-
-    def _columns_of(self, word: bytes) -> tuple[int, ...]:
-        return tuple(self.columns[t] for t in terms_of(word) if t in self.columns)
-
-    def vectors(self, texts: list[str]) -> np.ndarray:
-        known, bags = self.known, []
+    def _bags(self, texts: list[str], learn: bool = False) -> Rows:
+        """Counts of known words; ``learn`` makes all words known."""
+        columns, counts, starts = [], [], [0]
         for text in texts:
-            words = words_of(text)
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            for word in set(words).difference(known):
-                known[word] = self._columns_of(word)
-            bag: dict[int, int] = {}
-            for columns in filter(None, map(known.__getitem__, words)):
-                for column in columns:
-                    bag[column] = bag.get(column, 0) + 1
-            bags.append(bag)
-        return self._unit(bags)
+            bag = Counter(words_of(text))
+            if learn:
+                for word in bag:
+                    self.columns.setdefault(word, len(self.columns))
+            found = [(self.columns[w], n) for w, n in bag.items() if w in self.columns]
+            found.sort()
+            columns.append(np.array([c for c, _ in found], dtype=np.int32))
+            counts.append(np.array([n for _, n in found], dtype=np.float32))
+            starts.append(starts[-1] + len(found))
+        none = [np.empty(0, np.int32)], [np.empty(0, np.float32)]
+        return Rows(np.array(starts), np.concatenate(columns or none[0]), np.concatenate(counts or none[1]))
+
+    def _weighted(self, bags: Rows) -> Rows:
+        weights = (1 + np.log(bags.weights)) * self.weights[bags.columns]
+        some = weights > 0
+        starts = np.append(0, np.cumsum(some))[bags.starts]
+        return Rows(starts, bags.columns[some], weights[some]).unit()
+
+    def vectors(self, texts: list[str]) -> Rows:
+        return self._weighted(self._bags(texts))
 
     def _figures(self, cosines: np.ndarray, at: np.ndarray) -> np.ndarray:
         weights = np.where(at >= 0, np.maximum(cosines, 0), 0).astype(np.float64)
@@ -204,9 +247,8 @@ class Model:
         """Scores, and as evidence the ids and cosines of the nearest examples."""
         if self.calibrate is None:
             return np.full(len(texts), self.prior), [[] for _ in texts], [[] for _ in texts]
-        vectors = self.vectors(texts)
-        cosines, at = self.index.nearest(vectors, self.k)
-        scores = np.where(vectors.any(1), self.calibrate(self._figures(cosines, at)), self.silent)
+        cosines, at = self.index.nearest(self.vectors(texts), self.k)
+        scores = np.where(at[:, 0] >= 0, self.calibrate(self._figures(cosines, at)), self.silent)
         ids = [[int(self.index.ids[p]) for p in row if p >= 0] for row in at]
         return scores, ids, [[float(c) for c in row[: len(i)]] for row, i in zip(cosines, ids)]
 
@@ -224,8 +266,8 @@ def score_toxicity(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, neighbours, cosines`` of every row.
 
-    Null texts count as empty; texts without any selected term get the share
-    of toxic ones among such examples and have no neighbours.
+    Null texts count as empty; texts without any word of the examples get
+    the share of toxic ones among such examples and have no neighbours.
     """
     schema = "doc_id long, score double, neighbours array<long>, cosines array<float>"
 
