@@ -135,3 +135,17 @@ def test_cosines_are_those_over_all_words(spark):
     cosines, at = model.index.nearest(model.vectors(texts), 9)
     assert np.allclose(np.maximum(cosines, 0), -np.sort(-every, axis=1)[:, :9], atol=1e-5)
     assert (at[-2:] == -1).all()
+
+
+@pytest.mark.parametrize("longest", [70_000, 9_000])
+def test_long_texts_do_not_end_the_sample(spark, longest):
+    from tickwell.llm.labelled import sample
+
+    rows = [(i, f"text {i} " * (longest // 5 if i % 4 == 0 else 3), i % 2) for i in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got, _ = sample(docs, labels, "toxic", 200, 60_000)
+    assert {i for i, _, _ in got} == {i for i in range(200) if zlib.crc32(str(i).encode()) % 5}
+    assert sum(len(t.encode()) for _, t, _ in got) <= 60_000
+    short = {i: t for i, t, _ in rows if i % 4}
+    assert all(short.get(i, t) == t for i, t, _ in got)

@@ -6,7 +6,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwell.llm.tables import written
+
 FOLDS = 5
+#: One text has at most this share of the bytes of a sample.
+TEXT_SHARE = 0.01
 
 
 def fold(id_col: Column | str) -> Column:
@@ -25,7 +29,8 @@ def sample(
 ) -> tuple[list[tuple[int, str, int]], list[int]]:
     """``(id, text, label)`` of some rows, and the number of all usable rows of label 0 and 1.
 
-    There are at most ``per_class`` rows of each label and ``max_bytes`` of text in all. Rows are taken in the order of a hash of their id, so the sample does not
+    There are at most ``per_class`` rows of each label and ``max_bytes`` of text in all. Texts above
+    ``TEXT_SHARE`` of that count with their beginning, so no row ends the sample. Rows are taken in the order of a hash of their id, so the sample does not
     depend on how the tables are stored; fold 0, null labels and empty texts
     are left out. Labels are chosen before texts are read: the texts are found
     by a broadcast of at most ``2 * per_class`` ids.
@@ -38,13 +43,18 @@ def sample(
     ids = chosen[0].unionByName(chosen[1])
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
     found = texts.where(F.length("_t") > 0).join(F.broadcast(ids), "_id")
+    # A character has at most four bytes.
+    most = int(max_bytes * TEXT_SHARE)
+    found = found.withColumn("_t", F.when(F.octet_length("_t") > most, F.substring("_t", 1, max(1, most // 4))).otherwise(F.col("_t")))
     found = found.groupBy("_id", "_y").agg(F.min("_t").alias("_t"))
-    # Both classes in turn, until the bytes are used up; the window sees the sample only.
+    found = written(found.withColumn("_n", F.octet_length("_t")))
+    # Both classes in turn, until the bytes are used up; the windows see ids and lengths of the sample only.
     turn = Window.partitionBy("_y").orderBy(key, "_id")
     order = Window.orderBy("_turn", "_y")
-    sized = found.withColumn("_turn", F.row_number().over(turn))
-    sized = sized.withColumn("_sum", F.sum(F.octet_length("_t")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = sized.where(F.col("_sum") <= max_bytes).orderBy("_turn", "_y").select("_id", "_t", "_y").collect()
+    sized = found.drop("_t").withColumn("_turn", F.row_number().over(turn))
+    sized = sized.withColumn("_sum", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = sized.where(F.col("_sum") <= max_bytes).select("_id", "_turn")
+    rows = found.join(F.broadcast(kept), "_id").orderBy("_turn", "_y").select("_id", "_t", "_y").collect()
     counted = usable.groupBy("_y").count().where(F.col("_y").isin(0, 1)).collect()
     totals = {r["_y"]: r["count"] for r in counted}
     return [(r["_id"], r["_t"], r["_y"]) for r in rows], [totals.get(y, 0) for y in (0, 1)]
