@@ -105,3 +105,34 @@ def test_question_and_answer_columns(spark):
     )
     found = leaks.find_leaks(docs, items, question_col="q", answer_col="a", item_text_col="q").collect()
     assert [r["doc_id"] for r in found] == [1]
+
+
+def test_items_without_an_answer_column_are_held_against_their_whole_text(spark):
+    words = [f"w{i}" for i in range(40)]
+    items = [(1, f"{' '.join(words[:24])}. {' '.join(words[24:28])}, inth. Er."), (2, f"{' '.join(words[10:34])}. {' '.join(words[34:])}.")]
+    body = items[0][1].rsplit(" ", 1)[0]
+    docs = [
+        (1, "before it " + body + " and what follows is something else"),  # all but the last fragment
+        (2, "before it " + items[0][1].replace("w26", "other")),  # one word changed
+        (3, "before it " + items[0][1].replace("Er.", "Ti.")),  # another fragment
+        (4, "before it " + items[1][1].replace("w37", "other")),  # one word of the last sentence changed
+        (5, "before it " + " ".join(words[:9])),  # too little
+        (6, "before it " + " ".join(words[10:34])),  # the question alone
+    ]
+    table = spark.createDataFrame(items, ITEMS)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in leaks.find_leaks(df, table).collect()}
+    assert {(1, 1), (2, 1), (3, 1), (4, 2)} <= found and not {d for d, _ in found} & {5, 6}
+    assert {r["doc_id"] for r in leaks.drop_leaks(df, table).collect()} == {5, 6}
+
+
+def test_words_in_order():
+    pick = random.Random(3)
+    for _ in range(200):
+        a, b = ([pick.choice([b"a", b"b", b"c", b"d"]) for _ in range(pick.randint(0, 12))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row, old = [0], row
+            for j, y in enumerate(b):
+                row.append(old[j] + 1 if x == y else max(old[j + 1], row[j]))
+        assert leaks.in_order(a, b) == row[-1]

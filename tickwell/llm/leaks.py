@@ -6,7 +6,9 @@ score that an item has with itself, so one threshold serves all items. The
 greatest weights of a passage's terms bound every score in a block; only
 blocks whose bound reaches the threshold are scored. Items found are then
 verified: enough of the word runs of their question and of their answer must
-stand in the passage.
+stand in the passage. Where an item has no answer of its own column, nearly
+all of its words in order are enough too, and if it ends in a fragment the
+runs of the whole item are compared.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 OVERLAP = 0.5
 RUN = 5
+#: An item without an answer column is also found by so much of its words, in order.
+NEARLY_ALL = 0.9
 LEAST_WORDS = 5
 ITEM_BLOCK = 8
 #: Items are indexed and searched so many at a time; more items take more passes over the texts.
@@ -56,10 +60,38 @@ def overlap(part: list[bytes], passage: list[bytes]) -> float:
     return len(wanted & runs(passage, size)) / len(wanted)
 
 
+def in_order(part: list[bytes], passage: list[bytes]) -> int:
+    """Most words of ``part`` that stand in the passage in the same order (bit-parallel)."""
+    places: dict[bytes, int] = {}
+    for i, word in enumerate(part):
+        places[word] = places.get(word, 0) | 1 << i
+    full = (1 << len(part)) - 1
+    open_ = full
+    for word in passage:
+        hit = open_ & places.get(word, 0)
+        open_ = (open_ + hit | open_ - hit) & full
+    return len(part) - open_.bit_count()
+
+
 class Item(NamedTuple):
     id: int | None
     question: list[bytes]
     answer: list[bytes]
+    #: Whether question and answer are columns of the table, not cut from one text.
+    told: bool = False
+    #: Whether the text ends in a sentence too short to be an answer.
+    fragment: bool = False
+
+    def stands(self, question: float, answer: float, passage: list[bytes], least: float) -> bool:
+        """Whether the passage has the item, given the overlaps of question and answer."""
+        if question >= least and answer >= least:
+            return True
+        if self.told:
+            return False
+        whole = overlap(self.words, passage)
+        if self.fragment and whole >= least:
+            return True
+        return whole > 0 and in_order(self.words, passage) >= max(least, NEARLY_ALL) * len(self.words)
 
     @property
     def words(self) -> list[bytes]:
@@ -141,7 +173,7 @@ class Index:
             question = overlap(item.question, words[start:end])
             answer = overlap(item.answer, words[start:end])
             found = (score, question, answer, start)
-            if question >= least and answer >= least and found[:3] > best.get(at, (0, 0, 0))[:3]:
+            if found[:3] > best.get(at, (0, 0, 0))[:3] and item.stands(question, answer, words[start:end], least):
                 best[at] = found
         return [(self.items[at].id, *found) for at, found in sorted(best.items())]
 
@@ -173,8 +205,10 @@ def indexes(
 
 def _item(item_id: int | None, parts: list[str]) -> Item:
     if len(parts) == 2:
-        return Item(item_id, words_of(parts[0]), words_of(parts[1]))
-    return Item(item_id, *question_and_answer(parts[0]))
+        return Item(item_id, words_of(parts[0]), words_of(parts[1]), told=True)
+    question, answer = question_and_answer(parts[0])
+    several = sum(1 for s in _SENTENCE.split(parts[0]) if words_of(s)) > 1
+    return Item(item_id, question, answer, fragment=several and len(answer) < RUN)
 
 
 def find_leaks(
