@@ -136,3 +136,22 @@ def test_words_in_order():
             for j, y in enumerate(b):
                 row.append(old[j] + 1 if x == y else max(old[j + 1], row[j]))
         assert leaks.in_order(a, b) == row[-1]
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    items = [(1, "Short one."), (2, "水の沸点は百度です。"), (3, "น้ำเดือดที่ร้อยองศา"), (4, "Paris"), (5, "月球"), (6, " .. "), (7, "a b c d")]
+    docs = [
+        (1, "this is a short one, is it"),
+        (2, "one short"),
+        (3, "前置きです水の沸点は百度です。続き"),
+        (4, "ก่อน น้ำเดือดที่ร้อยองศา หลัง"),
+        (5, "in paris, a b c e"),
+        (6, "关于月球的文章"),
+        (7, "关于月亮的文章 a b c d"),
+        (8, "水 comes to a boil"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = leaks.find_leaks(df, spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (3, 2), (4, 3), (5, 4), (6, 5), (7, 7)}
+    left = leaks.drop_leaks(df, spark.createDataFrame(items, ITEMS))
+    assert {r["doc_id"] for r in left.collect()} == {2, 8}

@@ -8,7 +8,8 @@ blocks whose bound reaches the threshold are scored. Items found are then
 verified: enough of the word runs of their question and of their answer must
 stand in the passage. Where an item has no answer of its own column, nearly
 all of its words in order are enough too, and if it ends in a fragment the
-runs of the whole item are compared.
+runs of the whole item are compared. Items too short for that are found by
+their exact word sequence.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.tables import by_batch, filtered, id_and_text
-from tickwell.llm.words import words_of
+from tickwell.llm.words import words_of as spaced_words
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -34,7 +35,14 @@ LEAST_WORDS = 5
 ITEM_BLOCK = 8
 #: Items are indexed and searched so many at a time; more items take more passes over the texts.
 ITEMS_AT_ONCE = 2_000
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
+#: Thai, Lao, Burmese, Khmer, kana and Han are written without spaces; each character is a word.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
+def words_of(text: str) -> list[bytes]:
+    """Words; of scripts without spaces, characters."""
+    return spaced_words(text if text.isascii() else _UNSPACED.sub(r" \1 ", text))
 
 
 def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
@@ -102,6 +110,11 @@ class Index:
     """BM25 postings of items, relative to each item's own score, with maxima by block."""
 
     def __init__(self, items: list[Item], block: int = ITEM_BLOCK):
+        #: Items under ``LEAST_WORDS`` words, by their first word.
+        self.short: dict[bytes, list[Item]] = {}
+        for item in items:
+            if 0 < len(item.words) < LEAST_WORDS:
+                self.short.setdefault(item.words[0], []).append(item)
         items = [i for i in items if len(i.words) >= LEAST_WORDS]
         # Items with the same rare words next to each other make blocks with small maxima elsewhere.
         self.items = sorted(items, key=lambda i: (sorted(i.words, key=len)[-3:], i.id or 0))
@@ -175,7 +188,16 @@ class Index:
             found = (score, question, answer, start)
             if found[:3] > best.get(at, (0, 0, 0))[:3] and item.stands(question, answer, words[start:end], least):
                 best[at] = found
-        return [(self.items[at].id, *found) for at, found in sorted(best.items())]
+        return [(self.items[at].id, *found) for at, found in sorted(best.items())] + self.short_leaks(words)
+
+    def short_leaks(self, words: list[bytes]) -> list[tuple]:
+        """The short items whose words stand in the text one after the other, at the first such place."""
+        first: dict[int, tuple] = {}
+        for start in [i for i, w in enumerate(words) if w in self.short] if self.short else []:
+            for item in self.short[words[start]]:
+                if words[start : start + len(item.words)] == item.words:
+                    first.setdefault(id(item), (item.id, 1.0, 1.0, 1.0, start))
+        return list(first.values())
 
 
 RESULT = (
@@ -227,8 +249,8 @@ def find_leaks(
 
     Columns as in ``RESULT``; texts without an item have no row. Question and
     answer come from their own columns if these are named, else from the text
-    of the item. Items of fewer than five words are too short to tell and are
-    not searched; null texts are empty. The items are a stated query set:
+    of the item. Items of fewer than five words are found by their exact word
+    sequence, items without any word are in no text; null texts are empty. The items are a stated query set:
     they are indexed ``ITEMS_AT_ONCE`` at a time.
     """
     texts = id_and_text(docs, id_col, text_col)
