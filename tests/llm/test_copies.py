@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -186,3 +187,22 @@ def test_repeats_on_messy_documents(spark):
     assert got == sorted(((i, *want[i, t or ""]) for i, t in docs), key=repr)
     assert repeats.remove_repeats(nothing(spark)).count() == 0
     assert repeats.remove_repeats(messy(spark), with_text=True).count() == len(ROWS)
+
+
+@pytest.mark.parametrize("most, held", [(0, 1 << 19), (4, 50)])
+def test_frequent_anchors_go_by_windows(spark, monkeypatch, most, held):
+    """No merging task gets more runs of an anchor than the bound, and the result stays."""
+    monkeypatch.setattr(repeats, "MOST_OF_ANCHOR", most)
+    monkeypatch.setattr(repeats, "WINDOWS_HELD", held)
+    merged, by_windows = repeats._suffix_runs, []
+    monkeypatch.setattr(repeats, "_suffix_runs", lambda texts, *x: by_windows.append(texts.selectExpr("sum(size(spans))").first()[0] or 0) or merged(texts, *x))
+    pick = random.Random(8)
+    line = "a line of sixty bytes that many documents share, and no more."
+    docs = repeated_docs()
+    for i in range(60):
+        around = ["".join(pick.choice("abcdefgh ") for _ in range(120)) for _ in range(2)]
+        docs.append((1_000 + i, around[0] + line + (around[1] if i % 3 else "the same end of every third document, as it is" + around[1])))
+    want = plain_repeats(docs)
+    got = rows(repeats.remove_repeats(spark.createDataFrame(docs, DOCS)))
+    assert got == sorted(((i, *want[i, t or ""]) for i, t in docs), key=repr)
+    assert most or by_windows == [0]

@@ -11,6 +11,8 @@ merges runs with a loser tree that never compares a known prefix again, and
 the shared lengths that come out say how far two runs agree to the right. A
 window at distance ``o`` before its anchor is repeated if an earlier one
 agrees in ``100 - o`` bytes from the anchor on and in ``o`` bytes before it.
+Runs of an anchor too frequent for one task are compared window by window
+instead, by hashes of 128 bits.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.llm.anchors import GRAM, window_runs
@@ -34,6 +36,9 @@ LENGTH = 100
 #: Suffixes that a task sorts at once, and that one merging task gets.
 RUN_SUFFIXES = 100_000
 PART_SUFFIXES = 20_000
+#: Anchors with more runs to compare go by windows, of which a task holds so many at a time.
+MOST_OF_ANCHOR = 20_000
+WINDOWS_HELD = 1 << 19
 MOST_STARTS = 1 << 19
 NULL_ID = -(1 << 63)
 _PLACE = struct.Struct("<qqqBB")
@@ -64,6 +69,8 @@ def _records(texts: DataFrame, length: int) -> DataFrame:
         for piece in pieces:
             parts = [window_runs(t.encode(), length) for t in piece["text"]]
             sizes = [len(p[0]) for p in parts]
+            if not any(sizes):
+                continue
             grams, whole, first, last, anchor = (np.concatenate(x) for x in zip(*parts))
             doc = np.repeat(piece["doc"].to_numpy(), sizes)
             tag = np.repeat(piece["tag"].to_numpy(), sizes)
@@ -80,7 +87,7 @@ def _records(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _sorted_out(records: DataFrame, partitions: int) -> DataFrame:
-    """``doc, tag, span, repeated``: runs with the bytes of an earlier run, and runs to be compared.
+    """``doc, tag, span, gram, repeated``: runs with the bytes of an earlier run, and runs to be compared.
 
     Rows arrive ordered by anchor, bytes and place. Only the last row seen and
     the first run of an anchor are remembered, however many rows it has. Runs
@@ -98,7 +105,7 @@ def _sorted_out(records: DataFrame, partitions: int) -> DataFrame:
             known = piece["known"].to_numpy(zero_copy_only=False)
             gram, whole, doc, tag, span = (piece[c].to_numpy() for c in ("gram", "whole", "doc", "tag", "span"))
             if known.any():
-                yield {c: x[known] for c, x in zip(("doc", "tag", "span"), (doc, tag, span))} | {"repeated": known[known]}
+                yield {c: x[known] for c, x in zip(("doc", "tag", "span", "gram"), (doc, tag, span, gram))} | {"repeated": known[known]}
                 gram, whole, doc, tag, span = (x[~known] for x in (gram, whole, doc, tag, span))
                 if not len(gram):
                     continue
@@ -118,25 +125,26 @@ def _sorted_out(records: DataFrame, partitions: int) -> DataFrame:
             starts = ~old_gram[heads]
             compared = ~starts
             compared[:-1] |= ~starts[1:]
-            out = [(doc[i], tag[i], span[i]) for i in heads[compared].tolist()]
+            out = [(doc[i], tag[i], span[i], gram[i]) for i in heads[compared].tolist()]
             if first is not None and len(heads) and not starts[0]:
                 out.append(first)
             if len(heads):
                 alone = bool(starts[-1])
                 i = heads[-1]
-                first = (doc[i], tag[i], span[i]) if alone else None
+                first = (doc[i], tag[i], span[i], gram[i]) if alone else None
             last = (gram[-1], whole[-1], doc[-1], tag[-1], span[-1])
             hit = np.flatnonzero(old_whole & ~again)
             n = len(out)
-            columns = [np.concatenate([np.array([o[c] for o in out], np.int64), x[hit]]) for c, x in enumerate((doc, tag, span))]
+            columns = [np.concatenate([np.array([o[c] for o in out], np.int64), x[hit]]) for c, x in enumerate((doc, tag, span, gram))]
             yield {
                 "doc": columns[0],
                 "tag": columns[1],
                 "span": columns[2],
+                "gram": columns[3],
                 "repeated": np.arange(n + len(hit)) >= n,
             }
 
-    return by_batch(ordered, "doc long, tag long, span long, repeated boolean", work)
+    return by_batch(ordered, "doc long, tag long, span long, gram long, repeated boolean", work)
 
 
 def _payload(doc: int, tag: int, anchor: int, before: int, more: int) -> bytes:
@@ -237,6 +245,54 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("part").applyInArrow(work, "doc long, tag long, span long")
 
 
+def _by_windows(texts: DataFrame, length: int) -> DataFrame:
+    """``doc, tag, span`` of the repeated windows of the runs in ``spans``, compared by hash.
+
+    Of equal windows at hand a task passes on the earliest and knows the others
+    to be repeated, so a window brings as many rows to its hash as tasks hold it.
+    """
+    names = ("high", "low", "doc", "tag", "start")
+
+    def work(pieces: Iterator[dict]) -> Iterator[dict]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        digests: list[bytes] = []
+        places: list[tuple[int, int, int]] = []
+
+        def flush() -> dict:
+            hashes = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            columns = [*hashes.T, *np.array(places, dtype=np.int64).T]
+            order = np.lexsort(columns[::-1])
+            columns = [c[order] for c in columns]
+            same = [np.append([False], c[1:] == c[:-1]) for c in columns]
+            equal, place = same[0] & same[1], same[2] & same[3] & same[4]
+            kept = ~(equal & place)  # another row of the same document
+            columns, equal = [c[kept] for c in columns], equal[kept]
+            digests.clear()
+            places.clear()
+            return dict(zip(names, columns)) | {"known": equal}
+
+        for piece in pieces:
+            for doc, tag, packed, spans in zip(*(piece[c].to_pylist() for c in ("doc", "tag", "packed", "spans"))):
+                raw = unpack(packed)
+                for span in spans:
+                    first, more = span >> 20, span & 1023
+                    for start in range(first, first + more + 1):
+                        digests.append(xxhash.xxh3_128_digest(raw[start : start + length]))
+                        places.append((doc, tag, start))
+                    if len(places) >= WINDOWS_HELD:
+                        yield flush()
+        if places:
+            yield flush()
+
+    schema = ", ".join(f"{n} long" for n in names) + ", known boolean"
+    windows = written(by_batch(texts, schema, work))
+    place = F.struct("doc", "tag", "start")
+    earliest = F.min(place).over(Window.partitionBy("high", "low"))
+    later = windows.where("not known").withColumn("later", place > earliest).where("later")
+    found = windows.where("known").select("doc", "tag", "start").unionByName(later.select("doc", "tag", "start"))
+    return found.select("doc", "tag", F.shiftleft("start", 20).alias("span"))
+
+
 def remove(raw: bytes, spans: list[int], length: int = LENGTH) -> tuple[bytes, int, int]:
     """What is left of a text, the number of removed bytes, and of maximal removed runs."""
     change = np.zeros(len(raw) + 2, dtype=np.int32)
@@ -283,11 +339,22 @@ def remove_repeats(
 
     # Texts are moved twice; packed they are half as large.
     texts = by_batch(keyed, "doc_id long, doc long, tag long, packed binary", packed)
-    wanted = runs.where("not repeated").groupBy("doc", "tag").agg(F.collect_list("span").alias("spans"))
-    count = runs.where("not repeated").count()
-    parts = max(1, -(-count // PART_SUFFIXES))
-    compared = texts.drop("doc_id").join(wanted, ["doc", "tag"])
-    found = written(_merged(_suffix_runs(compared, parts, length), length))
+    left = runs.where("not repeated")
+    frequent = left.groupBy(F.col("gram").alias("_gram")).count().where(F.col("count") > MOST_OF_ANCHOR)
+    # Few by their bound; read back from a file their size is known.
+    frequent = written(frequent.select("_gram"))
+    by_gram = F.col("gram") == F.col("_gram")
+
+    def with_spans(rows: DataFrame) -> DataFrame:
+        wanted = rows.groupBy("doc", "tag").agg(F.collect_list("span").alias("spans"))
+        return texts.drop("doc_id").join(wanted, ["doc", "tag"])
+
+    rare = left.join(F.broadcast(frequent), by_gram, "left_anti")
+    parts = max(1, -(-rare.count() // PART_SUFFIXES))
+    found = written(_merged(_suffix_runs(with_spans(rare), parts, length), length))
+    if not frequent.isEmpty():
+        hot = left.join(F.broadcast(frequent), by_gram, "left_semi")
+        found = found.unionByName(_by_windows(with_spans(hot), length))
 
     # From here on a span is its first start and 20 bits for further starts.
     whole = runs.where("repeated").select("doc", "tag", F.expr("(span & ~1048575L) | (span & 1023L)").alias("span"))
