@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from tests.llm.messy import ROWS, messy, nothing, rows
 from tickwell.llm import prefixcounts as pc
 from tickwell.llm import tokenfile as tf
-from tickwell.llm.bpe import Encoder
+from tickwell.llm.wordids import BatchEncoder
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = [" ", "  ", "\n", "\n\n", "\t", "\r", "a", "b", "The", "'s", "'re", "'", "1", "23", "ö", "é", "中", "　", "\xa0", "\x85"]
@@ -19,7 +20,7 @@ PARTS += ["!", "?!", ".", ",", "<|endoftext|>", "\x1c", "\x00", "🙂", "é", "
 
 @pytest.fixture(scope="module")
 def library():
-    encoder = Encoder(BPE)
+    encoder = BatchEncoder(BPE)
     return lambda text: encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -49,10 +50,16 @@ def test_segment_reads_any_range(width):
         assert segment.range(a, b).tolist() == ids[a:b].tolist()
 
 
-def test_chunks_encode_as_the_library_does(library):
-    encoder = Encoder(BPE, cache_limit=50)
-    for text in odd_texts(3_000, 1):
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library(text), repr(text)
+def test_batches_encode_as_the_library_does():
+    texts = [*odd_texts(3_000, 1), None, ""]
+    for plain in (False, True):
+        encoder = BatchEncoder(BPE, plain=plain, limit=50)
+        for at in range(0, len(texts), 300):
+            part = texts[at : at + 300]
+            ids, places = encoder.encode(pa.array(part))
+            for text, start, stop in zip(part, places, places[1:]):
+                want = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+                assert ids[start:stop].tolist() == want, repr(text)
 
 
 def test_token_file(spark, library, tmp_path):

@@ -1,15 +1,10 @@
-"""Token ids of whole texts by the tokenizers library, word by word."""
+"""What a byte-level BPE tokenizer file holds."""
 
 from __future__ import annotations
 
-import json
 import os
 from functools import lru_cache
 
-import numpy as np
-
-from tickwell.llm.chunks import ChunkCache, chunk_of, keys_of
-
 #: Characters of the printable byte alphabet of byte-level BPE.
 _KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -26,63 +21,3 @@ def load(path: str):
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
-
-
-class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids.
-
-    The cache holds up to twice ``cache_limit`` chunks of about 200 bytes each.
-    Texts are cut into chunks only if the tokenizer is a plain byte-level BPE
-    without normaliser; any other tokenizer gets whole texts.
-    """
-
-    def __init__(self, path: str, cache_limit: int = 500_000):
-        self.tokenizer = load(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
-        self.by_chunk = (
-            pre.get("type") == "ByteLevel"
-            and pre.get("use_regex", True)
-            and not pre.get("add_prefix_space")
-            and spec["model"]["type"] == "BPE"
-            and not spec.get("normalizer")
-        )
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.table = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
-        self.cache = ChunkCache(self._make, cache_limit)
-        self.width = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-
-    def ids(self, text: str) -> bytes:
-        keys = keys_of(text) if self.by_chunk else None
-        if keys is None or any(s in text for s in self.special):
-            return self._whole(text)
-        self.cache.trim()
-        return b"".join(map(self.cache.__getitem__, keys))
-
-    def _whole(self, text: str) -> bytes:
-        got = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(got, dtype="<u4").tobytes()
-
-    def _make(self, cache: ChunkCache, key: str) -> bytes:
-        if key.isalpha() and key.isascii():
-            return self._word("Ġ" + key)
-        if key[-1:] in (".", ",") and key[:-1].isalnum() and key.isascii():
-            return cache[key[:-1]] + cache["\0" + key[-1]]
-        if key[:1] == "\n" and key[1:].isalpha():
-            return cache["\n"] + cache["\0" + key[1:]]
-        if key.isalpha() and max(key) < "ɐ":
-            return self._word(" " + key)
-        if key[:1] == "\0" and key[1:].isalpha() and max(key) < "ɐ":
-            return self._word(key[1:])
-        return self._whole(chunk_of(key))
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one pre-token, by the model of the library alone."""
-        mapped = word if word[0] == "Ġ" else word.encode().decode("latin-1").translate(self.table)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)

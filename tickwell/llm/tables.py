@@ -43,18 +43,22 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def by_batch(
-    df: DataFrame, schema: str, work: Callable[[Iterator[dict]], Iterator[dict]]
+    df: DataFrame,
+    schema: str,
+    work: Callable[[Iterator[dict]], Iterator[dict]],
+    arrays: bool = False,
 ) -> DataFrame:
     """Run ``work`` on each partition; it gets and yields dicts of columns.
 
     Texts arrive in pieces of at most a few megabytes, so that a task never
-    holds more Python strings than those of one piece.
+    holds more Python strings than those of one piece; with ``arrays`` they
+    stay Arrow arrays.
     """
     fields = StructType.fromDDL(schema)
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in work(small_pieces(batches)):
+        for out in work(small_pieces(batches, arrays)):
             yield pa.RecordBatch.from_arrays(
                 [_column(out[f.name], f.type) for f in arrow], schema=arrow
             )
@@ -87,7 +91,7 @@ def _column(values, kind: pa.DataType) -> pa.Array:
 PIECE_BYTES = 4 << 20
 
 
-def small_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def small_pieces(batches: Iterator[pa.RecordBatch], arrays: bool = False) -> Iterator[dict]:
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -96,7 +100,7 @@ def small_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for at in range(0, n, step):
             piece = batch.slice(at, step)
             yield {
-                f.name: column.to_pylist() if _listed(f.type) else column
+                f.name: column.to_pylist() if _listed(f.type) and not arrays else column
                 for f, column in zip(piece.schema, piece.columns)
             }
 

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.bpe import encoder
 from tickwell.llm.tables import by_batch, fresh_path, id_and_text
+from tickwell.llm.wordids import batch_encoder
 
 MAGIC = b"TKW1"
 HEADER = struct.Struct("<4sHHIQ")
@@ -141,7 +141,7 @@ def write_tokens(
 ) -> None:
     """Encode whole texts and write them as packed segments in ascending order of id.
 
-    Null ids come first; rows of equal id are ordered by their text, and equal
+    Null ids come first; rows of equal id are ordered by a hash of their text, and equal
     rows are written as often as they occur. A null or empty text has the end
     id alone. Shards are ranges of ids, so a frequent source spreads over many;
     rows of one id that occurs very often stay in one shard, segment by segment.
@@ -151,21 +151,21 @@ def write_tokens(
     ordered = (
         id_and_text(docs, id_col, text_col)
         .repartitionByRange(shards, "doc_id", F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", "text")
+        .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     )
 
     def packed(pieces: Iterator[dict]) -> Iterator[dict]:
-        code = encoder(tokenizer)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        code = batch_encoder(tokenizer)
+        end = np.array([end_id], dtype="<u4")
         width = max(code.width, max(1, end_id.bit_length()))
         shard = TaskContext.get().partitionId()
         segment = first = held = 0
         doc_ids: list = []
         counts: list[int] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
 
         def row() -> dict:
-            ids = np.frombuffer(b"".join(parts), dtype="<u4")
+            ids = np.concatenate(parts)
             data = encode_segment(doc_ids, counts, ids, width)
             return {
                 "shard": [shard],
@@ -177,11 +177,11 @@ def write_tokens(
             }
 
         for piece in pieces:
-            for doc_id, text in zip(piece["doc_id"].to_pylist(), piece["text"]):
-                ids = code.ids(text) + end
+            ids, at = code.encode(piece["text"])
+            for doc_id, start, stop in zip(piece["doc_id"].to_pylist(), at, at[1:].tolist()):
                 doc_ids.append(doc_id)
-                parts.append(ids)
-                counts.append(len(ids) // 4)
+                parts += [ids[start:stop], end]
+                counts.append(stop - int(start) + 1)
                 held += counts[-1]
                 if held >= SEGMENT_IDS:
                     yield row()
@@ -190,7 +190,7 @@ def write_tokens(
         if doc_ids:
             yield row()
 
-    by_batch(ordered, TABLE, packed).write.option("compression", "zstd").parquet(path)
+    by_batch(ordered, TABLE, packed, arrays=True).write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:
