@@ -35,6 +35,64 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(f.component, d.doc_id)
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN found f ON f.node = d.doc_id
 """
 
+# Whole-number components by part (p), place within the part (d) and vector.
+_OP12_START = """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+size AS (SELECT max(len(v)) // 16 AS s FROM kept),
+comp AS (
+  SELECT vec_id, (i - 1) // s AS p, (i - 1) % s AS d, v[i] AS x
+  FROM kept, size, unnest(range(1, len(v) + 1)) AS t(i)
+),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+book0 AS (SELECT p, e, d, x FROM comp JOIN first USING (vec_id)),
+"""
+
+_OP12_NEAR = """
+far{r} AS (
+  SELECT c.vec_id, c.p, b.e, sum((c.x - b.x) * (c.x - b.x)) AS dist
+  FROM comp c JOIN book{r} b ON b.p = c.p AND b.d = c.d
+  GROUP BY c.vec_id, c.p, b.e
+),
+near{r} AS (
+  SELECT vec_id, p, best.dist AS dist, best.e AS e
+  FROM (SELECT vec_id, p, min(struct_pack(dist := dist, e := e)) AS best FROM far{r} GROUP BY vec_id, p)
+),
+"""
+
+_OP12_MOVE = """
+sums{r} AS (
+  SELECT c.p, n.e, c.d, sum(c.x) AS s, count(*) AS n
+  FROM comp c JOIN near{r} n ON n.vec_id = c.vec_id AND n.p = c.p
+  GROUP BY c.p, n.e, c.d
+),
+book{next} AS (
+  SELECT b.p, b.e, b.d, CASE WHEN s.n IS NULL THEN b.x ELSE CAST((s.s - ((s.s % s.n) + s.n) % s.n) // s.n AS BIGINT) END AS x
+  FROM book{r} b LEFT JOIN sums{r} s ON s.p = b.p AND s.e = b.e AND s.d = b.d
+),
+"""
+
+_OP12_END = """
+coded AS (
+  SELECT vec_id, string_agg(format('{:02x}', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error
+  FROM near2 GROUP BY vec_id
+),
+hash AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, d)) AS h FROM book2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), hash
+"""
+
+OP12 = (
+    _OP12_START
+    + "".join(_OP12_NEAR.format(r=r) + _OP12_MOVE.format(r=r, next=r + 1) for r in range(2))
+    + _OP12_NEAR.format(r=2)
+    + _OP12_END
+)
+
 ORACLE: dict[str, str] = {
     "op5_minhash_components": OP5,
+    "op12_trie_codes": OP12,
 }

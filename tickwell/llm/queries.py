@@ -1,10 +1,24 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
 import public_tokenizers
 
-from tickwell.llm import compression, fertility, leaks, licenses, mixing, neardup, prefixcounts, repeats, tokenfile, toxicity
+from tickwell.llm import (
+    alignment,
+    compression,
+    fertility,
+    leaks,
+    licenses,
+    mixing,
+    neardup,
+    packing,
+    prefixcounts,
+    repeats,
+    tokenfile,
+    toxicity,
+    vectorcodes,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,6 +87,21 @@ def op10_nearest_toxicity(spark, sf):
     return toxicity.score_toxicity(docs, toxicity.fit(docs, labels(spark, sf)))
 
 
+def op11_config_packing(spark, sf):
+    """All documents in sequences of 2048 tokens, each document ended by id 0."""
+    return packing.pack(documents(spark, sf), BYTE_BPE, 0)
+
+
+def op12_trie_codes(spark, sf):
+    """Codes of all vectors, with codebooks moved twice."""
+    return vectorcodes.vector_codes(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def op13_window_alignment(spark, sf):
+    """All documents in the tokens of both vocabularies, aligned."""
+    return alignment.align(documents(spark, sf), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES = {
     "op1_token_file": op1_token_file,
     "op2_temperature_mix": op2_temperature_mix,
@@ -84,4 +113,7 @@ QUERIES = {
     "op8_fertility_rules": op8_fertility_rules,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_nearest_toxicity": op10_nearest_toxicity,
+    "op11_config_packing": op11_config_packing,
+    "op12_trie_codes": op12_trie_codes,
+    "op13_window_alignment": op13_window_alignment,
 }

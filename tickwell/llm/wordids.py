@@ -58,6 +58,15 @@ def _borders() -> np.ndarray:
 KINDS, BORDERS = _kinds(), _borders()
 
 
+def gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``flat`` in the order of ``which``, and where each begins and the last ends."""
+    counts = sizes[which]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    places = np.repeat(begins[which] - ends[:-1], counts)
+    places += np.arange(len(places))
+    return flat[places], ends
+
+
 class BatchEncoder:
     """Encodes Arrow arrays of texts. With ``plain`` the strings of special
     tokens inside texts are ordinary text, else they become those tokens.
@@ -108,11 +117,8 @@ class BatchEncoder:
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
         begins = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(coded), "<u4")
-        counts = sizes[which]
-        ends = np.cumsum(counts)
-        places = np.repeat(begins[which] - (ends - counts), counts)
-        places += np.arange(len(places))
-        return flat[places], np.concatenate([[0], ends])[np.searchsorted(at, offsets)]
+        ids, ends = gathered(flat, begins, sizes, which)
+        return ids, ends[np.searchsorted(at, offsets)]
 
     def _cuts(self, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where the pieces begin, and the end of the last one."""
