@@ -173,6 +173,38 @@ def test_more_queries_than_a_task_should_hold(spark):
     assert got == {k: v for k, v in brute(d, q, 2, 0.2).items() if v}
 
 
+@pytest.mark.parametrize("side", [1, 3_000, 1 << 30])
+def test_grid_of_documents_and_queries(spark, monkeypatch, side):
+    monkeypatch.setattr(vc, "SENT_BYTES", 0)
+    monkeypatch.setattr(vc, "SIDE_BYTES", side)
+    monkeypatch.setattr(vc, "BLOCK", 64)
+    monkeypatch.setattr(vc, "HELD_HITS", 500)
+    d, docs = vectors_table(spark, 300, 8, 1, "id")
+    q, queries = vectors_table(spark, 120, 8, 2, "query_id")
+    odd = spark.createDataFrame([(900, [0.0] * 8), (901, None)], docs.schema)
+    got = found(vc.similar(docs.unionByName(odd).repartition(3), queries, 4, 0.2, batch=50))
+    assert got == {k: v for k, v in brute(d, q, 4, 0.2).items() if v}
+    none = docs.limit(0)
+    assert vc.similar(none, queries, 4, 0.2).count() == 0
+
+
+def test_sides_of_a_grid():
+    side = vc.SIDE_BYTES
+    assert vc.grid(100 * side, 3.5 * side, 1000) == (100, 4)
+    assert vc.grid(0, 1, 1) == (1, 1) and vc.grid(10, 9 * side, 5) == (1, 5)
+
+
+def test_many_queries_are_dealt_out_and_not_sent(spark):
+    unit = F.array(*[F.sin(F.col("id") + i) for i in range(32)])
+    queries = spark.range(60_000).select(F.col("id").alias("query_id"), unit.alias("embedding"))
+    docs = spark.range(5_000).select("id", unit.alias("embedding"))
+    plan = vc.similar(docs, queries, 5, 0.7)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "Broadcast" not in plan and "FlatMapCoGroupsInArrow" in plan
+    few = vc.similar(docs, queries.limit(50), 5, 0.7)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in few and "CoGroups" not in few
+
+
 def corpus(spark):
     rows = [
         (1, "stock report alpha", {"title": "Stock news", "date": "2024-06-30"}),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickwell.fixed_values import INDEX_LISTS, SIMILARITY_THRESHOLD, TOP_K, VECTOR_SIZE
 from tickwell.functions.text import clean_query, words
-from tickwell.session import keep
+from tickwell.session import keep, stored
 
 # Similarities that agree to this many digits count as equal, and the id
 # decides: the last bits of a product depend on the machine.
@@ -19,9 +20,11 @@ RANK_DIGITS = 9
 #: Vectors in a packed row of documents and of queries.
 BLOCK = 1024
 QUERY_BATCH = 1024
-#: Shares of the documents that queries are handed to, and in which hits are merged first.
-SHARES = 64
+#: Shares of the documents in which hits are merged first.
 MERGE_SHARES = 32
+#: Packed queries that may be sent to all tasks, and the side of a cell of the grid otherwise.
+SENT_BYTES = 8 << 20
+SIDE_BYTES = 128 << 20
 BOUND_SLACK = 1e-9
 
 
@@ -145,52 +148,84 @@ def _best(query_id, form, similarity, doc_id, limit):
 HELD_HITS = 1 << 20
 
 
+class _Hits:
+    """The best hits of each query over the pairs of blocks a task has seen."""
+
+    def __init__(self, threshold: float):
+        self.threshold, self.waiting = threshold, 0
+        self.found = [self.none()]
+
+    @staticmethod
+    def none() -> list[np.ndarray]:
+        return [np.empty(0, t) for t in (np.int64, np.int32, float, np.int64, np.int32)]
+
+    def add(self, docs: dict, queries: dict) -> None:
+        """Meet a block of documents with a block of queries."""
+        left = np.frombuffer(docs["vectors"], "<f8").reshape(docs["n"], -1)
+        right = np.frombuffer(queries["vectors"], "<f8").reshape(queries["n"], -1)
+        ids = np.frombuffer(docs["ids"], "<i8")
+        lengths = [np.sqrt((x * x).sum(axis=1)) for x in (right, left)]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sims = (right @ left.T) / np.outer(*lengths)
+        # NaN, from a zero vector, passes no comparison.
+        q, d = np.nonzero(sims > self.threshold)
+        asked = [np.frombuffer(queries[c], t) for c, t in (("ids", "<i8"), ("forms", "<i4"), ("limits", "<i4"))]
+        self.found.append(_best(asked[0][q], asked[1][q], sims[q, d], ids[d], asked[2][q]))
+        self.waiting += len(self.found[-1][0])
+        if self.waiting > HELD_HITS:
+            self.found, self.waiting = [self.merged()], 0
+
+    def merged(self) -> list[np.ndarray]:
+        return _best(*(np.concatenate(c) for c in zip(*self.found)))
+
+    def full(self) -> bool:
+        """Whether even the best hits are too many to hold."""
+        return not self.waiting and len(self.found[0][0]) > HELD_HITS
+
+    def rows(self) -> pa.RecordBatch:
+        q, f, s, d, limit = self.merged()
+        self.found, self.waiting = [self.none()], 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(q), pa.array(f), pa.array(d), pa.array(s), pa.array(limit)],
+            names=["query_id", "form", "id", "similarity", "limit"],
+        )
+
+
 def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
     """Hits of pairs of a block of documents and a block of queries; each task
     keeps the best of each query over all its pairs."""
 
     def score(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
+        hits = _Hits(threshold)
+        for batch in batches:
+            for row in batch.to_pylist():
+                hits.add(row, {c[2:]: row[c] for c in row if c.startswith("q_")})
+                if hits.full():
+                    yield hits.rows()
+        yield hits.rows()
 
-        empty = [np.empty(0, t) for t in (np.int64, np.int32, float, np.int64, np.int32)]
-        found, waiting = [empty], 0
+    return pairs.drop("key").mapInArrow(score, HITS)
 
-        def merged():
-            return _best(*(np.concatenate(c) for c in zip(*found)))
 
-        def rows(columns):
-            q, f, s, d, limit = columns
-            return pa.RecordBatch.from_arrays(
-                [pa.array(q), pa.array(f), pa.array(d), pa.array(s), pa.array(limit)],
-                names=["query_id", "form", "id", "similarity", "limit"],
-            )
+def _gridded(chunks: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
+    """Hits where blocks of documents and of queries of the same key meet in one task."""
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                docs = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], -1)
-                queries = np.frombuffer(row["q_vectors"], "<f8").reshape(row["q_n"], -1)
-                ids = np.frombuffer(row["ids"], "<i8")
-                lengths = [np.sqrt((x * x).sum(axis=1)) for x in (queries, docs)]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    sims = (queries @ docs.T) / np.outer(*lengths)
-                # NaN, from a zero vector, passes no comparison.
-                q, d = np.nonzero(sims > threshold)
-                asked = [np.frombuffer(row[c], t) for c, t in (("q_ids", "<i8"), ("q_forms", "<i4"), ("q_limits", "<i4"))]
-                found.append(_best(asked[0][q], asked[1][q], sims[q, d], ids[d], asked[2][q]))
-                waiting += len(found[-1][0])
-                if waiting > HELD_HITS:
-                    found, waiting = [merged()], 0
-                    if len(found[0][0]) > HELD_HITS:
-                        yield rows(found[0])
-                        found = [empty]
-        yield rows(merged())
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        hits, done = _Hits(threshold), []
+        asked = right.to_pylist()
+        for batch in left.to_batches(max_chunksize=1):
+            for docs in batch.to_pylist():
+                for queries in asked:
+                    hits.add(docs, queries)
+                if hits.full():
+                    done.append(hits.rows())
+        return pa.Table.from_batches([*done, hits.rows()])
 
-    return pairs.drop("key").mapInArrow(score, HITS)
+    return chunks.groupBy("key").cogroup(blocks.groupBy("of_key")).applyInArrow(score, HITS)
 
 
 def _joined(chunks: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Pairs of blocks of the same key; Spark chooses how by the sizes it finds."""
+    """Pairs of blocks of the same key."""
     named = blocks.withColumnsRenamed({c: f"q_{c}" for c in blocks.columns if c != "key"})
     return chunks.join(named, "key")
 
@@ -247,22 +282,45 @@ def similar(
     """Rows (query_id, id, similarity, rank): for every query the ``k``
     documents of greatest cosine similarity above ``threshold``.
 
-    Documents are packed where they are, ``BLOCK`` vectors a row, and queries
-    ``batch`` a row. Every block of queries is handed to every share of the
-    documents by an ordinary join, so Spark sends small query tables to the
-    documents and deals out both sides of large ones; nothing passes through
-    the driver, and documents are read once. A column ``top_k`` of ``queries``
-    overrides ``k`` where it is given and not 0. A column ``form`` tells
-    versions of one query apart and comes back in the result.
+    Vectors are packed, ``BLOCK`` documents and ``batch`` queries a row. The
+    packed queries are written, so their number and size are known. Up to
+    ``SENT_BYTES`` they are sent to the documents, which stay where they are.
+    More of them meet the documents in a grid: documents are dealt to rows and
+    queries to columns of about ``SIDE_BYTES`` each, and every cell of the grid
+    is a task of its own that gets both sides once. Nothing passes through the
+    driver. A column ``top_k`` of ``queries`` overrides ``k`` where it is given
+    and not 0. A column ``form`` tells versions of one query apart and comes
+    back in the result.
     """
     k = k or TOP_K
     wanted = _wanted(queries, k, query_id, query_vector)
-    blocks = _packed(wanted.withColumn("key", F.lit(0).cast("long")), batch).drop("key")
-    shares = F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))
-    blocks = blocks.withColumn("key", F.explode(shares))
-    table = _documents(docs, id, vector, F.lit(0).cast("long").alias("key"))
-    chunks = _packed(table, BLOCK).withColumn("key", F.pmod(F.xxhash64("ids"), F.lit(SHARES)))
-    return _result(_ranked(_scored(_joined(chunks, blocks), threshold)), queries)
+    zero = F.lit(0).cast("long")
+    blocks = stored(_packed(wanted.withColumn("key", zero), batch))
+    table = _documents(docs, id, vector, zero.alias("key"))
+    size = blocks.agg(F.count("*"), F.coalesce(F.sum(F.length("vectors")), F.lit(0)), F.max(F.length("vectors") / F.col("n")))
+    n, total, width = size.first()
+    if total <= SENT_BYTES:
+        # Measured, not estimated: so few bytes may be sent to every task.
+        pairs = _joined(_packed(table, BLOCK), F.broadcast(blocks))
+        return _result(_ranked(_scored(pairs, threshold)), queries)
+    # Counting reads no vectors.
+    rows, columns = grid(docs.count() * width, total, n)
+    place = F.pmod(F.xxhash64("ids"), F.lit(rows))
+    chunks = _packed(table, BLOCK).withColumn("_row", place)
+    chunks = chunks.withColumn("_column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+    turn = F.pmod(F.xxhash64("ids"), F.lit(columns))
+    blocks = blocks.withColumn("_column", turn)
+    blocks = blocks.withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+    key = (F.col("_row") * columns + F.col("_column")).cast("long")
+    chunks = chunks.withColumn("key", key).drop("_row", "_column")
+    blocks = blocks.withColumn("of_key", key).drop("key", "_row", "_column")
+    return _result(_ranked(_gridded(chunks, blocks, threshold)), queries)
+
+
+def grid(doc_bytes: float, query_bytes: float, query_blocks: int) -> tuple[int, int]:
+    """Rows (for documents) and columns (for queries) of a grid whose sides hold about ``SIDE_BYTES``."""
+    columns = min(query_blocks, max(1, math.ceil(query_bytes / SIDE_BYTES)))
+    return max(1, math.ceil(doc_bytes / SIDE_BYTES)), columns
 
 
 class Cells:
