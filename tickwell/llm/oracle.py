@@ -38,9 +38,9 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN found f ON f.node =
 # Whole-number components by part (p), place within the part (d) and vector.
 _OP12_START = """
 WITH kept AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 size AS (SELECT max(len(v)) // 16 AS s FROM kept),
 comp AS (
