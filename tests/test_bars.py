@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tickwell.operators import bars as br
 from tickwell.operators import stats
-from tickwell.operators.timeline import split, whole
+from tickwell.operators.dealt import deal
+from tickwell.operators.timeline import whole
 from tickwell.plans import series
 
 HEAD = "symbol string, ts timestamp, row_id long, close double, volume double"
@@ -142,8 +143,8 @@ def test_wide_gaps(spark):
     rows = [("b", f"2024-01-01 {m // 60:02d}:{m % 60:02d}:07", m, 1.0, 1.0) for m in range(0, 900, 3)]
     per_second = per_second.unionByName(
         br.bars(ticks(spark, rows), br.SECOND, prices=br.tick_prices("close", "volume")))
-    for size in (1, 1 << 20):
-        got = br.fixed_grid(per_second, br.SECOND, rows_per_chunk=size)
+    for parts in (1, 30):
+        got = br.fixed_grid(per_second, br.SECOND, parts=parts)
         counts = got.groupBy("symbol").agg(F.countDistinct("ts"), F.count("*"), F.sum("volume"), F.count("close"))
         assert sorted(tuple(r) for r in counts.collect()) == [
             ("a", 3601, 3601, 2.0, 2), ("b", 897 * 60 + 1, 897 * 60 + 1, 300.0, 300)]
@@ -175,7 +176,7 @@ def test_statistics_as_in_pandas(spark):
         "volatility_annualized": log.std() * np.sqrt(252) * 100,
     }
     df = spark.createDataFrame(pdf)
-    for t in (whole(df), split(df, rows_per_chunk=1)):
+    for t in (whole(df), deal(df, parts=20)):
         got = stats.ohlcv_stats(t).first().asDict()
         for name, value in want.items():
             assert got[name] == pytest.approx(value, rel=1e-9), name
@@ -185,7 +186,7 @@ def test_statistics_as_in_pandas(spark):
 def test_line_points_arrays_and_views(spark):
     rows = [("a", f"2024-01-01 0{h}:00:00", h, float(h), 1.0) for h in (3, 1, 2)]
     df = ticks(spark, rows)
-    points = series.line_points(split(df, rows_per_chunk=1), "close", "close").orderBy("x").collect()
+    points = series.line_points(deal(df, parts=2), "close", "close").orderBy("x").collect()
     assert [(p["x"], p["y"]) for p in points] == [(0, 1.0), (1, 2.0), (2, 3.0)]
     packed = series.as_arrays(df, ["close"]).first()
     assert packed["close"] == [1.0, 2.0, 3.0] and len(packed["dates"]) == 3

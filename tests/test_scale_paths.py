@@ -7,7 +7,7 @@ import pytest
 
 import workload.queries as wq
 from tests.compare import connect, difference
-from tickwell.operators import retrieval, timeline, vectors
+from tickwell.operators import dealt, retrieval, vectors
 from workload.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +31,7 @@ CUT = [
 
 @pytest.mark.parametrize("name", CUT)
 def test_cut_series(spark, con, monkeypatch, name):
-    monkeypatch.setattr(wq, "split", partial(timeline.split, rows_per_chunk=1))
+    monkeypatch.setattr(wq.dl, "deal", partial(dealt.deal, parts=60))
     assert same(spark, con, name) is None
 
 

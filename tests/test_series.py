@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tickwell.operators import dealt as dl
 from tickwell.operators import indicators as ind
 from tickwell.operators import timeline as tl
 from tickwell.operators.attach import attach
@@ -30,16 +31,16 @@ def spark_rows(spark, pdf):
     return df.withColumn("close", F.when(~F.isnan("close"), F.col("close")))
 
 
-def collect(t, columns):
-    out = t.rows().select("symbol", "ts", "row_id", *columns).toPandas()
-    out = out.sort_values(["symbol", "ts", "row_id"], ignore_index=True)
-    return out
+def collect(rows, columns):
+    out = rows.select("symbol", "ts", "row_id", *columns).toPandas()
+    return out.sort_values(["symbol", "ts", "row_id"], ignore_index=True)
 
 
-def layouts(df, lookback=0):
-    yield tl.whole(df)
-    for size in (1, 700):
-        yield tl.split(df, lookback=lookback, rows_per_chunk=size)
+def layouts(df, window, *steps):
+    """The same columns by windows, and along rows in few parts and in many."""
+    yield window(tl.whole(df)).rows()
+    for parts in (1, 3, 40):
+        yield dl.along(dl.deal(df, parts=parts), "close", *steps)
 
 
 def per_symbol(pdf, fn):
@@ -62,28 +63,27 @@ def series():
     return pdf
 
 
-def test_split_gives_every_row_once_and_a_full_run_in(spark, series):
-    df = spark_rows(spark, series)
-    t = tl.split(df, lookback=9, rows_per_chunk=1)
-    assert t.df.where(~F.col("_run_in")).count() == len(series)
-    per_chunk = t.df.groupBy("symbol", "_chunk").agg(
-        F.sum(F.col("_run_in").cast("int")).alias("run_in"), F.count("*").alias("n")
-    ).toPandas()
-    assert per_chunk["_chunk"].max() > 20
-    assert (per_chunk[per_chunk["_chunk"] > 0]["run_in"] >= 9).all()
-    assert per_chunk["n"].max() <= 100
+def test_parts_are_ranges_of_one_order(spark, series):
+    t = dl.deal(spark_rows(spark, series), parts=40)
+    rows = t.df.toPandas()
+    assert len(rows) == len(series) and t.rows().columns == ["symbol", "ts", "row_id", "close"]
+    per_part = rows.groupby("_part")
+    assert len(per_part) > 30 and per_part.size().max() < 400
+    # As they lie in the parts, one after the other, the rows are in order.
+    lying = rows.sort_values("_part", kind="stable", ignore_index=True)[["symbol", "ts", "row_id"]]
+    assert lying.equals(lying.sort_values(["symbol", "ts", "row_id"], kind="stable", ignore_index=True))
 
 
-def test_split_spreads_one_time_held_by_all_rows(spark):
+def test_one_time_held_by_all_rows_is_spread(spark):
     df = spark.range(5000).select(
         F.lit("a").alias("symbol"),
         F.lit("2024-01-01").cast("timestamp").alias("ts"),
         F.col("id").alias("row_id"),
         F.col("id").cast("double").alias("close"),
     )
-    t = tl.position(tl.split(df, rows_per_chunk=1), "x")
-    assert t.df.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 64
-    assert t.rows().where(F.col("x") != F.col("row_id")).count() == 0
+    t = dl.deal(df, parts=50)
+    assert t.df.groupBy("_part").count().agg(F.max("count")).first()[0] <= 400
+    assert dl.along(t, "close", dl.Position("x")).where(F.col("x") != F.col("row_id")).count() == 0
 
 
 def test_rows_without_a_name_are_a_series(spark):
@@ -92,35 +92,75 @@ def test_rows_without_a_name_are_a_series(spark):
         F.lit("2024-01-01").cast("timestamp").alias("ts"),
         F.col("id").alias("row_id"),
     )
-    t = tl.position(tl.split(df, rows_per_chunk=1), "x")
+    rows = dl.along(dl.deal(df, parts=20), "row_id", dl.Position("x"), dl.Previous("before"))
     base = F.when(F.col("symbol") == "A", 0).otherwise(200)
-    assert t.rows().count() == 500
-    assert t.rows().where(F.col("x") != F.col("row_id") - base).count() == 0
+    assert rows.count() == 500
+    assert rows.where(F.col("x") != F.col("row_id") - base).count() == 0
+    assert rows.where("before is null").count() == 2 and rows.where("before <> row_id - 1").count() == 0
 
 
-@pytest.mark.parametrize("fan", [1, 2])
-@pytest.mark.parametrize("lookback", [0, 1, 5])
-def test_run_ins_across_coarse_cuts(spark, monkeypatch, fan, lookback):
-    monkeypatch.setattr(tl, "FAN", fan)
-    df = spark.range(6_000).select(
-        F.lit("A").alias("symbol"),
-        F.lit("2024-01-01").cast("timestamp").alias("ts"),
-        F.col("id").alias("row_id"),
+def test_a_table_without_names_is_one_series(spark):
+    df = spark.range(300).select(F.col("id").alias("ts"), F.col("id").cast("double").alias("close"))
+    rows = dl.along(dl.deal(df, (), ("ts",), parts=9), "close", dl.Position("x"), dl.Averages([7]))
+    assert rows.where("x <> ts or ma7 <> ts - 3").count() == 0 and rows.where("ma7 is null").count() == 6
+
+
+@pytest.mark.parametrize("parts", [1, 60])
+def test_border_rows_reach_over_short_parts(spark, parts):
+    # Parts of about five rows, windows of fifty.
+    df = spark.range(300).select(
+        F.lit("A").alias("symbol"), F.timestamp_seconds("id").alias("ts"), F.col("id").alias("row_id"),
         F.col("id").cast("double").alias("close"),
     )
-    t = tl.split(df, lookback=lookback, rows_per_chunk=100)
-    assert t.df.select("_chunk").distinct().count() > 30
-    back = F.lag("row_id", lookback).over(t.window())
-    rows = t.with_columns({"back": back}).rows() if lookback else t.rows().withColumn("back", F.col("row_id"))
-    assert rows.count() == 6_000
-    assert rows.where(F.col("row_id") >= lookback).where("back is null or back <> row_id - " + str(lookback)).count() == 0
+    rows = dl.along(dl.deal(df, parts=parts), "close", dl.Averages([50]))
+    assert rows.where("ma50 is null").count() == 49
+    assert rows.where("abs(ma50 - (close - 24.5)) > 1e-9").count() == 0
+
+
+def test_all_steps_in_one_pass(spark, series):
+    t = dl.deal(spark_rows(spark, series).withColumn("rsi", F.lit("old")), parts=12)
+    steps = [dl.Averages(), dl.Strength(), dl.Bands(), dl.Change(), dl.Convergence(), dl.Returns(), dl.Position("x")]
+    together = collect(dl.along(t, "close", *steps), [c for s in steps for c in s.columns])
+    for step in steps:
+        names = list(step.columns)
+        assert together[names].equals(collect(dl.along(t, "close", step), names)[names])
+
+
+def test_numbered(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    for parts in (1, 7):
+        rows, n = dl.numbered(df, ["k"], "place", parts)
+        assert n == 1000 and rows.where("place <> k").count() == 0 and rows.count() == 1000
+    rows, n = dl.numbered(df.limit(0), ["k"], "place", 3)
+    assert n == 0 and rows.count() == 0
+
+
+def test_no_rows(spark, series):
+    empty = spark_rows(spark, series).limit(0)
+    assert dl.along(dl.deal(empty, parts=4), "close", dl.Convergence(), dl.Averages()).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 5000])
+def test_recurrence(n):
+    rng = np.random.default_rng(n)
+    a, b, y = rng.random(n), rng.normal(size=(n, 2)), np.array([3.0, -1.0])
+    got, want = dl.recur(a, b, y), np.empty((n, 2))
+    for t in range(n):
+        want[t] = y = a[t] * y + b[t]
+    np.testing.assert_allclose(got, want, rtol=1e-10, atol=1e-12)
+
+
+def test_one_shuffle_for_any_number_of_indicators(spark, series):
+    t = dl.deal(spark_rows(spark, series), parts=4)
+    plan = dl.along(t, "close", dl.Averages(), dl.Convergence())._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
 
 
 def test_position(spark, series):
     df = spark_rows(spark, series)
     want = per_symbol(series, lambda c: pd.Series(range(len(c))))
-    for t in layouts(df):
-        check(collect(tl.position(t, "x"), ["x"])["x"], want)
+    for rows in layouts(df, lambda t: tl.position(t, "x"), dl.Position("x")):
+        check(collect(rows, ["x"])["x"], want)
 
 
 def test_rolling_indicators(spark, series):
@@ -137,9 +177,9 @@ def test_rolling_indicators(spark, series):
     want["rsi"] = per_symbol(dense, rsi)
     want["bb_upper"] = per_symbol(dense, lambda c: c.rolling(20).mean() + 2 * c.rolling(20).std())
     want["bb_lower"] = per_symbol(dense, lambda c: c.rolling(20).mean() - 2 * c.rolling(20).std())
-    for t in layouts(df, ind.LOOKBACK):
-        t = ind.bollinger(ind.rsi(ind.moving_averages(t)))
-        got = collect(t, list(want))
+    windows = lambda t: ind.bollinger(ind.rsi(ind.moving_averages(t)))
+    for rows in layouts(df, windows, dl.Bands(), dl.Strength(), dl.Averages()):
+        got = collect(rows, list(want))
         for name, expected in want.items():
             check(got[name], expected)
 
@@ -149,8 +189,9 @@ def test_rolling_needs_full_windows_of_values(spark):
     df = spark.createDataFrame(rows, "symbol string, row_id long, close double").withColumn(
         "ts", F.timestamp_seconds("row_id")
     )
-    got = collect(ind.moving_averages(tl.whole(df), periods=[3]), ["ma3"])["ma3"]
-    assert got.isna().tolist() == [True] * 5 + [False] and got.iloc[5] == 5
+    for rows in layouts(df, lambda t: ind.moving_averages(t, periods=[3]), dl.Averages([3])):
+        got = collect(rows, ["ma3"])["ma3"]
+        assert got.isna().tolist() == [True] * 5 + [False] and got.iloc[5] == 5
 
 
 def test_rsi_of_flat_and_rising(spark):
@@ -158,19 +199,20 @@ def test_rsi_of_flat_and_rising(spark):
     df = spark.createDataFrame(rows, "symbol string, row_id long, close double").withColumn(
         "ts", F.timestamp_seconds("row_id")
     )
-    got = collect(ind.rsi(tl.whole(df)), ["rsi"])
-    assert got[got.symbol == "flat"]["rsi"].isna().all()
-    up = got[got.symbol == "up"]["rsi"].to_numpy()
-    assert np.isnan(up[:13]).all() and (up[13:] == 100).all()
+    for rows in layouts(df, ind.rsi, dl.Strength()):
+        got = collect(rows, ["rsi"])
+        assert got[got.symbol == "flat"]["rsi"].isna().all()
+        up = got[got.symbol == "up"]["rsi"].to_numpy()
+        assert np.isnan(up[:13]).all() and (up[13:] == 100).all()
 
 
 @pytest.mark.parametrize("span", [3, 9, 26, 200])
 def test_exponential_average_with_gaps(spark, series, span):
     df = spark_rows(spark, series)
     want = per_symbol(series, lambda c: c.ewm(span=span, adjust=False).mean())
-    for t in layouts(df):
-        got = collect(ind.exponential_average(t, "close", {"e": span}), ["e"])["e"]
-        check(got, want)
+    windows = lambda t: ind.exponential_average(t, "close", {"e": span})
+    for rows in layouts(df, windows, dl.Exponential({"e": span})):
+        check(collect(rows, ["e"])["e"], want)
 
 
 def test_exponential_average_small(spark):
@@ -182,8 +224,9 @@ def test_exponential_average_small(spark):
         df = spark.createDataFrame(rows, "symbol string, row_id long, close double").withColumn(
             "ts", F.timestamp_seconds("row_id")
         )
-        got = collect(ind.exponential_average(tl.whole(df), "close", {"e": 3}), ["e"])["e"]
-        check(got, pd.Series(want, dtype=float))
+        windows = lambda t: ind.exponential_average(t, "close", {"e": 3})
+        for rows in layouts(df, windows, dl.Exponential({"e": 3})):
+            check(collect(rows, ["e"])["e"], pd.Series(want, dtype=float))
 
 
 def test_macd(spark, series):
@@ -196,8 +239,8 @@ def test_macd(spark, series):
         "macd": per_symbol(series, macd),
         "macd_signal": per_symbol(series, lambda c: macd(c).ewm(span=9, adjust=False).mean()),
     }
-    for t in layouts(df):
-        got = collect(ind.macd(t), list(want))
+    for rows in layouts(df, ind.macd, dl.Convergence()):
+        got = collect(rows, list(want))
         for name, expected in want.items():
             check(got[name], expected)
 
@@ -206,8 +249,8 @@ def test_returns(spark, series):
     df = spark_rows(spark, series)
     simple = per_symbol(series, lambda c: c.ffill() / c.ffill().shift() - 1)
     log = per_symbol(series, lambda c: np.log(c / c.shift()))
-    for t in layouts(df):
-        got = collect(ind.returns(t), ["simple_return", "log_return"])
+    for rows in layouts(df, ind.returns, dl.Returns()):
+        got = collect(rows, ["simple_return", "log_return"])
         check(got["simple_return"], simple)
         check(got["log_return"], log)
 
@@ -217,8 +260,9 @@ def test_returns_fill_and_zero(spark):
     df = spark.createDataFrame(rows, "symbol string, row_id long, close double").withColumn(
         "ts", F.timestamp_seconds("row_id")
     )
-    got = collect(ind.returns(tl.whole(df)), ["simple_return"])["simple_return"]
-    check(got, pd.Series([None, 0, 2, -1, None], dtype=float))
+    for rows in layouts(df, ind.returns, dl.Returns()):
+        got = collect(rows, ["simple_return"])["simple_return"]
+        check(got, pd.Series([None, 0, 2, -1, None], dtype=float))
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
@@ -244,5 +288,6 @@ def test_long_exponential_average(spark):
     pdf.loc[pdf.row_id.between(7000, 8500), "close"] = np.nan
     df = spark_rows(spark, pdf)
     want = per_symbol(pdf, lambda c: c.ewm(span=26, adjust=False).mean())
-    for t in (tl.whole(df), tl.split(df, rows_per_chunk=5000)):
-        check(collect(ind.exponential_average(t, "close", {"e": 26}), ["e"])["e"], want)
+    windows = lambda t: ind.exponential_average(t, "close", {"e": 26})
+    for rows in layouts(df, windows, dl.Exponential({"e": 26})):
+        check(collect(rows, ["e"])["e"], want)

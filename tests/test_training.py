@@ -1,5 +1,7 @@
 from collections import Counter
 
+import pytest
+
 from tickwell.operators import training
 
 
@@ -9,22 +11,24 @@ def texts(spark):
 
 
 def test_vocabulary_by_frequency(spark):
-    for size in (1, 1 << 20):
-        vocab = training.vocabulary(texts(spark), rows_per_chunk=size)
+    for parts in (1, 4):
+        vocab = training.vocabulary(texts(spark), parts=parts)
         got = {r["token"]: r["token_id"] for r in vocab.collect()}
         assert got == {"a": 2, "the": 3, "cat": 4, "dog": 5, "zebra": 6}
 
 
 def test_large_vocabulary_is_numbered_without_gaps(spark):
     df = spark.range(3000).selectExpr("id", "concat('w', id % 1500, ' w', id % 7) as text")
-    vocab = training.vocabulary(df, rows_per_chunk=1)
+    vocab = training.vocabulary(df, parts=50)
     ids = sorted(r["token_id"] for r in vocab.collect())
     assert ids == list(range(2, 1502))
     counts = [r["n"] for r in vocab.orderBy("token_id").collect()]
     assert counts == sorted(counts, reverse=True)
 
 
-def test_sequences(spark):
+@pytest.mark.parametrize("sent", [0, training.SENT_BYTES])
+def test_sequences(spark, monkeypatch, sent):
+    monkeypatch.setattr(training, "SENT_BYTES", sent)
     vocab = training.vocabulary(texts(spark)).where("token != 'zebra'")
     got = {r["id"]: r for r in training.token_sequences(texts(spark), vocab, length=8).collect()}
     assert got[0]["input_ids"] == [3, 4, 3, 5, 0, 0, 0, 0]
@@ -33,12 +37,21 @@ def test_sequences(spark):
     assert got[1]["input_ids"] == [0] * 8 and got[1]["attention_mask"] == [0] * 8
     assert got[2]["input_ids"] == [2] * 8
     assert got[3]["input_ids"][0] == training.UNKNOWN
+    odd = spark.createDataFrame([(1, None)], "id long, text string")
+    row = training.token_sequences(odd, vocab.limit(0), length=3).first()
+    assert row["input_ids"] == row["attention_mask"] == [0] * 3
+
+
+def test_words_are_looked_up_where_the_texts_are(spark):
+    vocab = training.vocabulary(texts(spark))
+    plan = training.token_sequences(texts(spark), vocab)._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "Exchange" not in plan and "Generate" not in plan
 
 
 def test_batches(spark):
     df = spark.range(1003)
-    for size in (1, 1 << 20):
-        rows = training.shuffled_batches(df, epochs=2, seed=3, rows_per_chunk=size).collect()
+    for parts in (1, 20):
+        rows = training.shuffled_batches(df, epochs=2, seed=3, parts=parts).collect()
         orders = []
         for epoch in (0, 1):
             mine = sorted((r["batch"], r["slot"], r["id"]) for r in rows if r["epoch"] == epoch)

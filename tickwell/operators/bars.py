@@ -9,7 +9,8 @@ from tickwell.fixed_values import MAX_POINTS
 from tickwell.functions.numbers import exact_mean
 from tickwell.functions.order import micros, time_key
 from tickwell.operators.attach import attach
-from tickwell.operators.timeline import RUN_IN, Timeline, split, whole
+from tickwell.operators.dealt import Previous, along, deal
+from tickwell.operators.timeline import whole
 from tickwell.schema import need_columns, numeric_columns
 from tickwell.session import keep
 
@@ -161,18 +162,16 @@ def _bucketed(df, by, ts, row_id, points, weekly) -> tuple[DataFrame, list[str]]
     return rows, [*by, "_start", "_own", "_step"]
 
 
-def fill_gaps(t: Timeline, values: list[str], zero: list[str]) -> DataFrame:
+def fill_gaps(table: DataFrame, before: Column, values: list[str], zero: list[str]) -> DataFrame:
     """Add the empty buckets between the buckets of every series.
 
-    ``t`` has a row per series and ``_start``; ``_step`` is the distance of
-    buckets, null for series to be left alone. Sums are 0 in empty buckets,
-    all else null. Every bucket brings the empty ones since the bucket before.
+    ``table`` has a row per series and ``_start``, ``before`` is the bucket
+    before; ``_step`` is the distance of buckets, null for series to be left
+    alone. Sums are 0 in empty buckets, all else null. Every bucket brings the
+    empty ones since the bucket before.
     """
     step, start = F.col("_step"), F.col("_start")
-    table = t.df.withColumn("_from", F.lag("_start").over(t.window()) + step)
-    if RUN_IN in table.columns:
-        table = table.where(~F.col(RUN_IN))
-    table = table.withColumn("_from", F.coalesce("_from", "_start"))
+    table = table.withColumn("_from", F.coalesce(before + step, start))
     # Two steps keep the arrays short however wide a gap is; a series without
     # a step keeps its single start.
     width = F.coalesce(step, F.lit(1))
@@ -187,6 +186,11 @@ def fill_gaps(t: Timeline, values: list[str], zero: list[str]) -> DataFrame:
     return table.withColumns(filled).drop("_from", "_slot")
 
 
+def _bucket_before(table: DataFrame, by: list[str]) -> Column:
+    """For resampled series, whose length is limited."""
+    return F.lag("_start").over(whole(table, by, ("_start",)).window())
+
+
 def _finished(table: DataFrame, by: list[str], values: list[str]) -> DataFrame:
     return table.select(
         *by,
@@ -215,7 +219,7 @@ def auto_bars(
     rows, bucket = _bucketed(df, by, ts, row_id, points, weekly=False)
     table = rows.groupBy(*bucket).agg(*_ohlcv(ts, row_id, prices))
     if gaps:
-        table = fill_gaps(whole(table, by, ("_start",)), values, zero=["volume"])
+        table = fill_gaps(table, _bucket_before(table, by), values, zero=["volume"])
     return _finished(table, by, values)
 
 
@@ -256,7 +260,7 @@ def resample(
     table = rows.groupBy(*bucket).agg(*[c.alias(v) for v, c in merged.items()])
     if gaps:
         zero = values if aggregation == "sum" else []
-        table = fill_gaps(whole(table, by, ("_start",)), values, zero)
+        table = fill_gaps(table, _bucket_before(table, by), values, zero)
     return _finished(table, by, values)
 
 
@@ -266,11 +270,12 @@ def fixed_grid(
     by=("symbol",),
     ts: str = "ts",
     zero=("volume",),
-    rows_per_chunk: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Add the empty buckets between the first and the last bar of a series."""
+    """Add the empty buckets between the first and the last bar of a series of any length."""
     by = list(by)
     values = [c for c in table.columns if c not in (*by, ts)]
     table = table.withColumn("_start", micros(ts)).withColumn("_step", F.lit(width).cast("bigint"))
-    t = split(keep(table), by, ("_start",), lookback=1, rows_per_chunk=rows_per_chunk)
-    return fill_gaps(t, values, list(zero)).select(*by, moment(F.col("_start")).alias(ts), *values)
+    # Microseconds of a date are whole numbers of fewer than 53 bits.
+    rows = along(deal(table, by, ("_start",), parts), "_start", Previous("_before"))
+    return fill_gaps(rows, F.col("_before"), values, list(zero)).select(*by, moment(F.col("_start")).alias(ts), *values)

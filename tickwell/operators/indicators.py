@@ -1,9 +1,7 @@
-"""Technical indicators over the rows of each series.
+"""Technical indicators over short series, as windows.
 
-Every function takes a ``Timeline`` and adds columns. Those that look back a
-fixed number of rows need a run-in of that length (``LOOKBACK`` covers them
-all); the exponential average and the returns carry their state from chunk to
-chunk and are given timelines without a run-in.
+Every function takes a ``Timeline`` and adds columns. The same indicators
+along series of any length are the steps of ``dealt``.
 """
 
 from __future__ import annotations
@@ -23,9 +21,8 @@ from tickwell.fixed_values import (
     MOVING_AVERAGES,
     RSI_ROWS,
 )
-from tickwell.operators.timeline import RUN_IN, Timeline, earlier, fill_forward, join_chunks
+from tickwell.operators.timeline import Timeline, fill_forward
 
-LOOKBACK = max(*MOVING_AVERAGES, RSI_ROWS + 1, BOLLINGER_ROWS) - 1
 # Weights below exp(-40) vanish in double precision.
 BLOCK = 40.0
 
@@ -122,18 +119,15 @@ def exponential_average(t: Timeline, column: str, spans: dict[str, int]) -> Time
 
     y starts at the first value; each later value moves it by a share that
     grows with the number of rows since the value before it; rows without a
-    value keep y. Within a chunk the average starts anew; the difference that
-    makes fades exponentially, and is added back from the chunk summaries.
+    value keep y.
     """
-    if RUN_IN in t.df.columns:
-        raise ValueError("the exponential average takes a timeline without run-in")
     w = t.window()
     x = F.col(column)
     df = t.df.withColumn("_n", F.row_number().over(w))
     df = df.withColumn("_prev", F.last(F.when(x.isNotNull(), F.col("_n")), True).over(t.before()))
     gap = F.col("_n") - F.col("_prev")
     later = x.isNotNull() & F.col("_prev").isNotNull()
-    # Rows before the first value of the chunk.
+    # Rows before the first value.
     df = df.withColumn("_blank", x.isNull() & F.col("_prev").isNull())
     shares = {}
     for name, span in spans.items():
@@ -142,56 +136,11 @@ def exponential_average(t: Timeline, column: str, spans: dict[str, int]) -> Time
         share = F.when(later, -F.expm1(-F.col(fade))).otherwise(1.0)
         df = df.withColumn(add, F.when(x.isNotNull(), share * x).otherwise(0.0))
         shares[f"_{name}"] = (fade, add)
-    df = decay_sums(df, t.keys, list(t.order), shares)
+    df = decay_sums(df, list(t.by), list(t.order), shares)
     df = df.drop(*[c for pair in shares.values() for c in pair])
-    if not t.chunked:
-        for name in spans:
-            df = df.withColumn(name, F.when(~F.col("_blank"), F.col(f"_{name}"))).drop(
-                f"_{name}", f"_{name}_t"
-            )
-        return replace(t, df=df.drop("_n", "_prev", "_blank"))
-
-    # Computed twice: for the summaries, which read only keys, order and value, and for the result.
-    t = replace(t, df=df)
-    known = F.when(x.isNotNull(), F.col("_n"))
-    chunks = df.groupBy(*t.keys).agg(
-        F.max("_n").alias("_rows"),
-        F.min(known).alias("_lead"),
-        F.max(known).alias("_end"),
-        F.min_by(column, known).alias("_x"),
-        *[F.max_by(f"_{s}", "_n").alias(f"_{s}_y") for s in spans],
-        *[F.max(f"_{s}_t").alias(f"_{s}_h") for s in spans],
-    )
-    up_to = earlier(t)
-    chunks = chunks.withColumn("_offset", F.coalesce(F.sum("_rows").over(up_to), F.lit(0)))
-    chunks = chunks.withColumn(
-        "_seen", F.last(F.col("_offset") + F.col("_end"), ignorenulls=True).over(up_to)
-    )
-    gap = F.col("_offset") + F.col("_lead") - F.col("_seen")
-    carried = ["_x", "_seen"]
-    for name, span in spans.items():
-        link = f"_{name}_link"
-        chunks = chunks.withColumn(link, _fade(gap, 2.0 / (span + 1)))
-        fade = F.when(gap.isNotNull(), F.col(f"_{name}_h") + F.col(link)).otherwise(0.0)
-        chunks = chunks.withColumn("_fade", fade)
-        start = F.when(gap.isNotNull(), F.col("_x") * F.exp(-F.col("_fade"))).otherwise(0.0)
-        add = F.when(F.col("_lead").isNotNull(), F.col(f"_{name}_y") - start).otherwise(0.0)
-        chunks = chunks.withColumn("_add", add)
-        fading = {f"_{name}_s": ("_fade", "_add")}
-        chunks = decay_sums(chunks, list(t.by), ["_chunk"], fading)
-        chunks = chunks.withColumn(f"_{name}_in", F.last(f"_{name}_s").over(up_to))
-        carried += [link, f"_{name}_in"]
-    t = join_chunks(t, chunks, carried)
-    df = t.df
     for name in spans:
-        local, total, arrived = (F.col(f"_{name}{s}") for s in ("", "_t", "_in"))
-        shift = F.exp(-F.col(f"_{name}_link") - total) * (arrived - F.col("_x"))
-        value = F.when(F.col("_seen").isNull(), F.when(~F.col("_blank"), local)).otherwise(
-            F.when(F.col("_blank"), arrived).otherwise(local + shift)
-        )
-        df = df.withColumn(name, value)
-    gone = [c for c in df.columns if c not in t.keys and c.startswith("_")]
-    return replace(t, df=df.drop(*gone))
+        df = df.withColumn(name, F.when(~F.col("_blank"), F.col(f"_{name}"))).drop(f"_{name}", f"_{name}_t")
+    return replace(t, df=df.drop("_n", "_prev", "_blank"))
 
 
 def macd(t: Timeline, close: str = "close") -> Timeline:
@@ -204,8 +153,6 @@ def macd(t: Timeline, close: str = "close") -> Timeline:
 def returns(t: Timeline, close: str = "close") -> Timeline:
     """Simple returns over forward-filled values and log returns over the
     values as they are; a previous value of zero gives null."""
-    if RUN_IN in t.df.columns:
-        raise ValueError("returns take a timeline without run-in")
     t = fill_forward(t, close, "_fill")
     simple = F.try_divide(F.col("_fill"), F.col("_fill_before")) - 1
     log = F.ln(F.try_divide(F.col(close), F.col("_fill_previous")))

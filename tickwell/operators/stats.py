@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickwell.fixed_values import TRADING_DAYS
 from tickwell.functions.numbers import exact_mean
 from tickwell.functions.order import time_key
+from tickwell.operators.dealt import Dealt, Returns, along
 from tickwell.operators.indicators import returns
 from tickwell.operators.timeline import Timeline
 from tickwell.schema import numeric_columns
@@ -48,12 +49,11 @@ def series_stats(
     )
 
 
-def ohlcv_stats(t: Timeline, row_id: str | None = "row_id") -> DataFrame:
+def ohlcv_stats(t: Timeline | Dealt, row_id: str | None = "row_id") -> DataFrame:
     """Summary, price and return statistics of OHLCV rows."""
-    t = returns(t)
+    rows = along(t, "close", Returns()) if isinstance(t, Dealt) else returns(t).rows()
     key = time_key(t.order[0], row_id)
     first, last = F.min_by("close", key), F.max_by("close", key)
-    rows = t.rows()
     mean, std = F.avg("simple_return"), F.stddev_samp("simple_return")
     year = math.sqrt(TRADING_DAYS)
     return rows.groupBy(*t.by).agg(

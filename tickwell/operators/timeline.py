@@ -1,12 +1,7 @@
-"""Ordered series cut into chunks, so that no series has to fit into one task.
-
-Row windows over a series need its rows in order. Partitioning the window by
-the series alone puts a whole series into one task, which is right for short
-series and ruinous for one that holds a third of a huge table. ``split`` cuts
-every series at keys taken from a small hash-chosen set of its rows: each
-chunk then goes to a task of its own, together with a run-in of at least
-``lookback`` rows before it. What reaches further back than the run-in is
-carried over through one summary row per chunk.
+"""Windows over short series, one task per series.
+
+This is for series of a proven small length, such as bars whose number per
+series is limited. Series of any length are dealt out: see ``dealt``.
 """
 
 from __future__ import annotations
@@ -16,16 +11,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.functions.order import order_key
-from tickwell.operators.attach import attach, join_on
 from tickwell.schema import need_columns
-from tickwell.session import stored
-
-ROWS_PER_CHUNK = 1 << 20
-MARKS = 64
-#: Chunks between two coarse cuts.
-FAN = 256
-CHUNK, RUN_IN, ALL, PART = "_chunk", "_run_in", "_all", "_part"
 
 
 @dataclass(frozen=True)
@@ -35,14 +21,9 @@ class Timeline:
     df: DataFrame
     by: tuple[str, ...]
     order: tuple[str, ...]
-    chunked: bool = False
-
-    @property
-    def keys(self) -> list[str]:
-        return [*self.by, CHUNK] if self.chunked else list(self.by)
 
     def window(self, *more: str):
-        return Window.partitionBy(*self.keys, *more).orderBy(*self.order)
+        return Window.partitionBy(*self.by, *more).orderBy(*self.order)
 
     def last_rows(self, n: int):
         return self.window().rowsBetween(1 - n, 0)
@@ -57,155 +38,19 @@ class Timeline:
         return replace(self, df=self.df.withColumns(columns))
 
     def rows(self) -> DataFrame:
-        """The rows of the series, without run-ins and helper columns."""
-        df = self.df
-        if RUN_IN in df.columns:
-            df = df.where(~F.col(RUN_IN))
-        return df.drop(*[c for c in df.columns if c.startswith("_")])
+        """The rows of the series, without helper columns."""
+        return self.df.drop(*[c for c in self.df.columns if c.startswith("_")])
 
 
 def whole(df: DataFrame, by=("symbol",), order=("ts", "row_id")) -> Timeline:
-    """One window partition per series: for series of a proven small length,
-    such as bars whose number per series is limited."""
+    """One window partition per series."""
     need_columns(df, *by, *order)
     return Timeline(df, tuple(by), tuple(order))
 
 
-def split(
-    df: DataFrame,
-    by=("symbol",),
-    order=("ts", "row_id"),
-    lookback: int = 0,
-    rows_per_chunk: int | None = None,
-) -> Timeline:
-    """Cut every series into chunks of about ``rows_per_chunk`` rows, by
-    default a million, or more where the run-in is long.
-
-    ``order`` has to tell all rows of a series apart; rows without a name are
-    a series of their own. Without ``by`` the table is one series. The cut
-    keys come from rows chosen by hash, so a repeated task finds the same
-    cuts; results do not depend on where they lie.
-
-    Chosen rows are numbered and rows find their chunk in two steps, so that
-    neither the choice nor the search sees all cuts of a long series: first
-    among the few coarse cuts of the series, then among the cuts between two
-    of these.
-    """
-    by, order = tuple(by), tuple(order)
-    need_columns(df, *by, *order)
-    if not by:
-        # One series, by a key that is always 0 but not a constant to join on.
-        by, df = (ALL,), df.withColumn(ALL, F.pmod(F.xxhash64(*order), F.lit(1)))
-    # A chunk holds exactly `marks` chosen rows, the run-in of the next chunk
-    # the last `lookback` of them: hence never fewer rows than asked for.
-    marks = max(MARKS, 8 * lookback)
-    rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK * marks // MARKS
-    one_in = max(1, rows_per_chunk // marks)
-    lot, key = F.xxhash64(*by, *order), F.struct(*order)
-    chosen = df.where(F.pmod(lot, F.lit(one_in)) == 0).select(*by, *order)
-    wide = chosen.where(F.pmod(lot, F.lit(one_in * marks * FAN)) == 0)
-    coarse = wide.groupBy(*by).agg(F.array_sort(F.collect_list(key)).alias("_coarse"))
-    coarse = stored(coarse)
-
-    def parted(rows: DataFrame) -> DataFrame:
-        rows = join_on(rows, coarse, list(by), "left", null_safe=True)
-        return rows.withColumn(PART, _at_or_before("_coarse", key)).drop("_coarse")
-
-    # The number of a chosen row: those of the parts before, and its place in its own.
-    chosen = parted(chosen)
-    parts = chosen.groupBy(*by, PART).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    total = F.sum("_n").over(Window.partitionBy(*by))
-    parts = parts.withColumn("_total", F.floor(total / marks)).drop("_n")
-    inside = F.row_number().over(Window.partitionBy(*by, PART).orderBy(*order))
-    ranked = join_on(chosen.withColumn("_rank", inside), parts, [*by, PART], "inner", null_safe=True)
-    turn = F.pmod(F.col("_rank") + F.col("_offset"), F.lit(marks))
-    tail = (marks - lookback) % marks
-    # A part holds about FAN cuts, so these arrays stay short however long the series is.
-    cuts = ranked.groupBy(*by, PART, "_offset", "_total").agg(
-        F.array_sort(F.collect_list(F.when(turn == 0, key))).alias("_cuts"),
-        F.array_sort(F.collect_list(F.when(turn == tail, key))).alias("_tails"),
-    )
-    df = attach(parted(df), cuts, [*by, PART])
-    chunk = F.floor(F.col("_offset") / marks) + _at_or_before("_cuts", key)
-    df = df.withColumn(CHUNK, F.coalesce(chunk, F.lit(0)).cast("long"))
-    if lookback:
-        tails = F.floor((F.col("_offset") + (marks - tail)) / marks) + _at_or_before("_tails", key)
-        # Between a tail and its cut there is one more tail than cuts.
-        in_tail = (tails > F.col(CHUNK)) & (F.col(CHUNK) < F.col("_total"))
-        here = F.struct(F.col(CHUNK).alias("c"), F.lit(False).alias("r"))
-        ahead = F.struct((F.col(CHUNK) + 1).alias("c"), F.lit(True).alias("r"))
-        places = F.when(in_tail, F.array(here, ahead)).otherwise(F.array(here))
-        df = (
-            df.withColumn("_place", F.explode(places))
-            .withColumn(CHUNK, F.col("_place.c"))
-            .withColumn(RUN_IN, F.col("_place.r"))
-            .drop("_place")
-        )
-    df = df.drop(PART, "_offset", "_total", "_cuts", "_tails")
-    return Timeline(df, by, order, chunked=True)
-
-
-def _at_or_before(cuts: str, key: Column) -> Column:
-    """How many entries of a sorted array are at or before ``key``, by binary search; 0 for no array."""
-    span = F.size(cuts)
-    start = F.struct(F.lit(0).alias("lo"), span.alias("hi"))
-
-    def halve(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        right = F.get(F.col(cuts), mid) <= key
-        return F.when(
-            acc["lo"] < acc["hi"],
-            F.struct(
-                F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"),
-                F.when(right, acc["hi"]).otherwise(mid).alias("hi"),
-            ),
-        ).otherwise(acc)
-
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(span + F.lit(1))).cast("int") + 1)
-    found = F.aggregate(steps, start, halve, lambda acc: acc["lo"])
-    return F.when(F.coalesce(span, F.lit(0)) > 0, found).otherwise(0)
-
-
-def carry(t: Timeline, summary: dict[str, Column], carried: dict[str, Column]) -> Timeline:
-    """Hand values from chunk to chunk.
-
-    ``summary`` are aggregates, one row per chunk; ``carried`` are window
-    expressions over the earlier chunks of the series, built with ``earlier``.
-    """
-    chunks = t.df.groupBy(*t.keys).agg(*[c.alias(n) for n, c in summary.items()])
-    return join_chunks(t, chunks.withColumns(carried), list(carried))
-
-
-def earlier(t: Timeline):
-    """The summary rows of the earlier chunks of the same series."""
-    return (
-        Window.partitionBy(*t.by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-
-
-def join_chunks(t: Timeline, chunks: DataFrame, columns: list[str]) -> Timeline:
-    """Add columns of the chunk summaries; the many rows do not move for it."""
-    chunks = chunks.select(*t.keys, *columns)
-    return replace(t, df=attach(t.df, chunks, t.keys))
-
-
 def position(t: Timeline, name: str) -> Timeline:
     """Number the rows of every series from 0."""
-    if not t.chunked:
-        return t.with_columns({name: F.row_number().over(t.window()).cast("bigint") - 1})
-    t = carry(
-        t,
-        {"_rows": F.count(F.lit(1))},
-        {"_offset": F.coalesce(F.sum("_rows").over(earlier(t)), F.lit(0))},
-    )
-    return replace(
-        t,
-        df=t.df.withColumn(
-            name, F.col("_offset") + F.row_number().over(t.window()) - 1
-        ).drop("_offset"),
-    )
+    return t.with_columns({name: F.row_number().over(t.window()).cast("bigint") - 1})
 
 
 def fill_forward(t: Timeline, value: str, name: str) -> Timeline:
@@ -213,28 +58,5 @@ def fill_forward(t: Timeline, value: str, name: str) -> Timeline:
     non-null ``value``, ``name_before`` the same for the row before, and
     ``name_previous`` the value of the row before, null or not."""
     known = F.last(value, ignorenulls=True).over(t.so_far())
-    before, previous = f"{name}_before", f"{name}_previous"
-    if not t.chunked:
-        t = t.with_columns({name: known, previous: F.lag(value).over(t.window())})
-        return t.with_columns({before: F.lag(name).over(t.window())})
-    place = order_key(t.df, t.order)
-    t = carry(
-        t,
-        {
-            "_known": F.max_by(value, F.when(F.col(value).isNotNull(), place)),
-            "_end": F.max_by(value, place),
-        },
-        {
-            "_filled": F.last("_known", ignorenulls=True).over(earlier(t)),
-            "_ended": F.last("_end").over(earlier(t)),
-        },
-    )
-    t = t.with_columns({name: F.coalesce(known, F.col("_filled"))})
-    first = F.row_number().over(t.window()) == 1
-    t = t.with_columns(
-        {
-            before: F.coalesce(F.lag(name).over(t.window()), F.col("_filled")),
-            previous: F.when(first, F.col("_ended")).otherwise(F.lag(value).over(t.window())),
-        }
-    )
-    return replace(t, df=t.df.drop("_filled", "_ended"))
+    t = t.with_columns({name: known, f"{name}_previous": F.lag(value).over(t.window())})
+    return t.with_columns({f"{name}_before": F.lag(name).over(t.window())})

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.fixed_values import BATCH_SIZE, SEQUENCE_LENGTH
 from tickwell.functions.text import first_words, words
 from tickwell.operators.attach import attach
-from tickwell.operators.timeline import position, split
-from tickwell.session import keep
+from tickwell.operators.dealt import numbered
+from tickwell.session import keep, stored
 
 PAD, UNKNOWN, FIRST_ID = 0, 1, 2
+#: A vocabulary that may be sent to every task, in bytes of words and their numbers.
+SENT_BYTES = 64 << 20
 
 
-def vocabulary(
-    df: DataFrame, text: str = "text", rows_per_chunk: int | None = None
-) -> DataFrame:
+def vocabulary(df: DataFrame, text: str = "text", parts: int | None = None) -> DataFrame:
     """Words of all texts with their counts and ids, frequent words first."""
     counts = (
         df.select(F.explode(words(F.lower(F.col(text)))).alias("token"))
@@ -25,11 +26,8 @@ def vocabulary(
         .withColumn("rarity", -F.col("n"))
     )
     # One row per word: far smaller than the texts, which are read only once.
-    counts = keep(counts)
-    t = split(counts, by=(), order=("rarity", "token"), rows_per_chunk=rows_per_chunk)
-    return position(t, "place").rows().select(
-        "token", "n", (F.col("place") + FIRST_ID).cast("int").alias("token_id")
-    )
+    placed, _ = numbered(keep(counts), ["rarity", "token"], "place", parts)
+    return placed.select("token", "n", (F.col("place") + FIRST_ID).cast("int").alias("token_id"))
 
 
 def token_sequences(
@@ -43,8 +41,46 @@ def token_sequences(
 
     Longer texts are cut, shorter ones padded; labels repeat the ids, pads
     included. Words outside the vocabulary get the id for unknown ones.
+
+    The vocabulary is written and measured. Up to ``SENT_BYTES`` it is sent
+    to the texts, whose words are looked up array by array where they are; a
+    larger one is joined to the words.
     """
     first = first_words(F.lower(F.col(text)), length)
+    words = stored(vocab.select("token", "token_id"))
+    n, size = words.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
+    if size + 8 * n > SENT_BYTES:
+        return _joined(df, words, id, first, length)
+    found = df.select(id, _looked_up(words.toArrow(), length)(first).alias("_ids"))
+    return found.select(id, "_ids.input_ids", "_ids.attention_mask", F.col("_ids.input_ids").alias("labels"))
+
+
+def _looked_up(words: pa.Table, length: int):
+    """A function of word arrays; ``words`` are few enough for a task."""
+    tokens, numbers = words.column("token").combine_chunks(), words.column("token_id").to_numpy()
+
+    @F.arrow_udf("struct<input_ids:array<int>,attention_mask:array<int>>")
+    def numbered_words(texts: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        rows = len(texts)
+        counts = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(pc.index_in(texts.flatten(), value_set=tokens), -1).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(rows), counts)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        ids = np.full((rows, length), PAD, dtype=np.int32)
+        ids[row, place] = np.where(at < 0, UNKNOWN, numbers[at]) if len(numbers) else UNKNOWN
+        mask = (np.arange(length)[None, :] < counts[:, None]).astype(np.int32)
+        ends = pa.array(np.arange(0, rows * length + 1, length, dtype=np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (ids, mask)]
+        return pa.StructArray.from_arrays(lists, names=["input_ids", "attention_mask"])
+
+    return numbered_words
+
+
+def _joined(df: DataFrame, vocab: DataFrame, id: str, first: Column, length: int) -> DataFrame:
     tokens = df.select(id, F.posexplode_outer(first).alias("pos", "token"))
     numbered = attach(tokens, vocab, ["token"])
     number = F.coalesce("token_id", F.lit(UNKNOWN))
@@ -75,18 +111,19 @@ def shuffled_batches(
     id: str = "id",
     seed: int = 0,
     size: int = BATCH_SIZE,
-    rows_per_chunk: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """(epoch, batch, slot, id): all rows in a new order every epoch, cut into
     batches. The order follows from ids, epoch and seed alone."""
     key = F.md5(F.concat_ws("|", F.col(id).cast("string"), F.col("epoch").cast("string"), F.lit(str(seed))))
     rows = df.select(id, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     rows = rows.withColumn("draw", key)
-    t = split(rows, by=("epoch",), order=("draw", id), rows_per_chunk=rows_per_chunk)
-    numbered = position(t, "place").rows()
-    return numbered.select(
+    placed, total = numbered(rows, ["epoch", "draw", id], "place", parts)
+    # Every epoch has all rows.
+    place = F.col("place") - F.col("epoch") * F.lit(total // epochs)
+    return placed.select(
         "epoch",
-        F.floor(F.col("place") / size).alias("batch"),
-        F.pmod("place", F.lit(size)).alias("slot"),
+        F.floor(place / size).alias("batch"),
+        F.pmod(place, F.lit(size)).alias("slot"),
         id,
     )

@@ -9,6 +9,7 @@ from tickwell.fixed_values import MAX_POINTS
 from tickwell.operators.bars import auto_bars, resample
 from tickwell.operators.indicators import all_indicators
 from tickwell.operators.stats import ohlcv_stats, series_stats, unpivot
+from tickwell.operators.dealt import Dealt, Position, along
 from tickwell.operators.timeline import Timeline, position, whole
 from tickwell.session import keep
 
@@ -42,9 +43,9 @@ def timeseries_view(
     )
 
 
-def line_points(t: Timeline, value: str, name: str) -> DataFrame:
+def line_points(t: Timeline | Dealt, value: str, name: str) -> DataFrame:
     """Points (series, name, x, y) of a line chart, x counting the rows."""
-    numbered = position(t, "x").rows()
+    numbered = along(t, value, Position("x")) if isinstance(t, Dealt) else position(t, "x").rows()
     return numbered.select(*t.by, F.lit(name).alias("name"), "x", F.col(value).alias("y"))
 
 

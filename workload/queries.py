@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tickwell.functions import numbers as nm
 from tickwell.functions import text as tx
 from tickwell.operators import bars as br
+from tickwell.operators import dealt as dl
 from tickwell.operators import indicators as ind
 from tickwell.operators import quality, retrieval, stats, training, vectors
 from tickwell.operators.attach import attach
-from tickwell.operators.timeline import split, whole
+from tickwell.operators.timeline import whole
 from tickwell.plans import answers, reports, series
 from tickwell.schema import METRICS, OHLCV, RATIOS
 from tickwell.session import shared_folder, stored
@@ -23,8 +24,6 @@ from workload import adapters as ad
 THRESHOLD = 0.6
 LABEL_THRESHOLD = 0.3
 METRIC_LIMIT = 400_000.0
-# So small that the given tables are cut as long series are on a cluster.
-CHUNK_ROWS = 512
 CENTS = {"price": 2}
 VALUES = ["price", "settled"]
 
@@ -71,33 +70,24 @@ def series_stats(spark, sf):
     return rounded(series.timeseries_view(ad.daily(spark, sf), "mean", exact=CENTS)[1])
 
 
-def _long_series(spark, sf, lookback=0):
-    return split(ad.ticks(spark, sf).drop("volume"), lookback=lookback, rows_per_chunk=CHUNK_ROWS)
+def _long_series(spark, sf):
+    return dl.deal(ad.ticks(spark, sf).drop("volume"))
 
 
-def moving_averages(spark, sf):
-    return rounded(ind.moving_averages(_long_series(spark, sf, ind.LOOKBACK)).rows())
-
-
-def rsi_14(spark, sf):
-    return rounded(ind.rsi(_long_series(spark, sf, ind.LOOKBACK)).rows())
-
-
-def bollinger_20(spark, sf):
-    return rounded(ind.bollinger(_long_series(spark, sf, ind.LOOKBACK)).rows())
-
-
-def price_changes(spark, sf):
-    return rounded(ind.difference(_long_series(spark, sf, 1)).rows())
-
+def _along(*steps, digits=6):
+    def run(spark, sf):
+        return rounded(dl.along(_long_series(spark, sf), "close", *steps), digits=digits)
 
-def macd(spark, sf):
-    # Thousands of steps in another order of summation: compare four digits.
-    return rounded(ind.macd(_long_series(spark, sf)).rows(), digits=4)
+    return run
 
 
-def returns(spark, sf):
-    return rounded(ind.returns(_long_series(spark, sf)).rows())
+moving_averages = _along(dl.Averages())
+rsi_14 = _along(dl.Strength())
+bollinger_20 = _along(dl.Bands())
+price_changes = _along(dl.Change())
+# Thousands of steps in another order of summation: compare four digits.
+macd = _along(dl.Convergence(), digits=4)
+returns = _along(dl.Returns())
 
 
 def bar_indicators(spark, sf):
@@ -125,7 +115,7 @@ def ohlcv_stats(spark, sf):
 
 def tick_stats(spark, sf):
     t = ad.ticks(spark, sf).withColumns({"high": F.col("close"), "low": F.col("close")})
-    return rounded(stats.ohlcv_stats(split(t, rows_per_chunk=CHUNK_ROWS)))
+    return rounded(stats.ohlcv_stats(dl.deal(t)))
 
 
 def price_range(spark, sf):
@@ -522,7 +512,7 @@ def answer_context(spark, sf):
 
 def token_sequences(spark, sf):
     docs = ad.texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    rows = training.token_sequences(docs, training.vocabulary(docs, rows_per_chunk=CHUNK_ROWS))
+    rows = training.token_sequences(docs, training.vocabulary(docs))
     return rows.select(
         "id",
         F.size("input_ids").alias("length"),
@@ -534,7 +524,7 @@ def token_sequences(spark, sf):
 
 def token_batches(spark, sf):
     docs = ad.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
-    return training.shuffled_batches(docs, epochs=3, seed=42, rows_per_chunk=CHUNK_ROWS)
+    return training.shuffled_batches(docs, epochs=3, seed=42)
 
 
 def document_store_new_ids(spark, sf):
