@@ -78,42 +78,57 @@ class Aligner:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a = Vocabulary(byte_level_tokens(self.encoder.tokenizer))
         self.b = Vocabulary(piece_tokens(self.model))
+        self.names = [str(i) for i in range(max(len(self.a.sizes), len(self.b.sizes)))]
+        self.marked = [name + mark for mark in (",", "|", ";", "") for name in self.names]
         self.limit, self.known = known, {}
 
-    # -- One window --
-
-    def window(self, key: bytes) -> tuple[int, int, str, bytes]:
-        """Groups, links, the groups as text, and the linked pairs of a window of ids."""
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) >= self.limit:
-                self.known.clear()
-            found = self.known[key] = self._aligned(np.frombuffer(key, "<u4"))
-        return found
-
-    def _aligned(self, ids: np.ndarray) -> tuple[int, int, str, bytes]:
-        n = int(ids[0])
-        a, b = ids[1 : n + 1].tolist(), ids[n + 1 :].tolist()
-        groups, pairs = [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = int(self.a.sizes[a[0]]), int(self.b.sizes[b[0]])
-        while True:
-            if end_a == end_b:
-                own_a, own_b = a[first_a : i + 1], b[first_b : j + 1]
-                groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-                pairs += [x << 32 | y for x in own_a for y in own_b]
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    break
-                first_a, first_b = i, j
-                end_a, end_b = end_a + int(self.a.sizes[a[i]]), end_b + int(self.b.sizes[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += int(self.a.sizes[a[i]])
-            else:
-                j += 1
-                end_b += int(self.b.sizes[b[j]])
-        return len(groups), len(pairs), ";".join(groups), np.array(pairs, dtype="<i8").tobytes()
+    # -- Windows --
+
+    def aligned(self, keys: list[bytes]) -> list[tuple[int, int, str, bytes]]:
+        """Groups, links, the groups as text, and the linked pairs of windows of ids."""
+        if len(self.known) >= self.limit:
+            self.known.clear()
+        new = [key for key in keys if key not in self.known]
+        if new:
+            self.known |= zip(new, self._new(new))
+        return [self.known[key] for key in keys]
+
+    def _new(self, keys: list[bytes]) -> list[tuple[int, int, str, bytes]]:
+        """Different windows aligned side by side, in arrays over all their tokens."""
+        flat = np.frombuffer(b"".join(keys), "<u4").astype(np.int64)
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys)) >> 2
+        starts = np.cumsum(sizes) - sizes
+        count_a = flat[starts]
+        count_b = sizes - 1 - count_a
+        a, first_a = gathered(flat, starts + 1, count_a, np.arange(len(keys)))
+        b, first_b = gathered(flat, starts + 1 + count_a, count_b, np.arange(len(keys)))
+        # Both sides of a window have the same bytes, so all windows can lie in one row.
+        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        ended = np.zeros(int(ends_a[-1]) + 1, dtype=np.int8)
+        ended[ends_a] += 1
+        ended[ends_b] += 2
+        closes_a, closes_b = ended[ends_a] == 3, ended[ends_b] == 3
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        begin_a, begin_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        # Every token of a group with every one of the other side.
+        others, at = gathered(b, begin_b, in_b, group_a)
+        pairs = np.repeat(a, in_b[group_a]) << 32 | others
+        links = at[first_a]
+        groups = np.concatenate([[0], np.cumsum(closes_a)])[first_a]
+        # As text: each token with the mark after it, group by group.
+        before = np.cumsum(in_a + in_b) - (in_a + in_b)
+        shown = np.empty(len(a) + len(b), dtype=np.int64)
+        shown[before[group_a] + np.arange(len(a)) - begin_a[group_a]] = a + len(self.names) * np.where(closes_a, 1, 0)
+        mark = np.where(closes_b, 2, 0)
+        mark[first_b[1:] - 1] = 3
+        shown[(before + in_a)[group_b] + np.arange(len(b)) - begin_b[group_b]] = b + len(self.names) * mark
+        words = list(map(self.marked.__getitem__, shown.tolist()))
+        raw = pairs.astype("<i8").tobytes()
+        tokens = (first_a + first_b).tolist()
+        texts = ["".join(words[x:y]) for x, y in zip(tokens, tokens[1:])]
+        parts = [raw[8 * x : 8 * y] for x, y in zip(links.tolist(), links[1:].tolist())]
+        return list(zip(np.diff(groups).tolist(), np.diff(links).tolist(), texts, parts))
 
     # -- Many texts --
 
@@ -209,13 +224,10 @@ class _Block:
     def add(self, align: Aligner, doc_ids: list, texts: pa.Array) -> None:
         self.bytes += texts.nbytes
         n_a, n_b, keys, which, at = align.windows(texts)
-        numbers = np.empty(len(keys), dtype=np.int64)
-        for k, key in enumerate(keys):
-            number = self.numbers.get(key)
-            if number is None:
-                number = self.numbers[key] = len(self.entries)
-                self.entries.append(align.window(key))
-            numbers[k] = number
+        fresh = [key for key in keys if key not in self.numbers]
+        self.numbers |= zip(fresh, range(len(self.entries), len(self.entries) + len(fresh)))
+        self.entries += align.aligned(fresh)
+        numbers = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
         which = numbers[which]
         shown = [self.entries[n][2] for n in numbers.tolist()]
         by_number = dict(zip(numbers.tolist(), shown))

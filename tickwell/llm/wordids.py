@@ -11,6 +11,7 @@ once. Ids of the texts are then gathered by index.
 from __future__ import annotations
 
 import json
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -166,7 +167,7 @@ class BatchEncoder:
             ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
 
 @lru_cache(maxsize=2)
