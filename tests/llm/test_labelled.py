@@ -40,13 +40,6 @@ def test_toxicity_on_held_out_rows(spark):
     assert pairs[pairs[:, 1] == 0, 0].sum() == 0
 
 
-def dense(index, width):
-    out = np.zeros((len(index.ids), width), dtype=np.float32)
-    for block, terms, table in zip(index.blocks, index.terms, index.postings):
-        out[block.start : block.start + table.shape[1], terms] = table.T
-    return out
-
-
 @pytest.mark.parametrize("k", [1, 7, 40])
 def test_nearest_are_exact(k):
     rng = np.random.default_rng(k)
@@ -57,11 +50,31 @@ def test_nearest_are_exact(k):
     index = to.Index(vectors, np.arange(230)[::-1].copy(), rng.integers(0, 2, 230), block=16)
     queries = np.concatenate([vectors[:20], np.zeros((1, 25), np.float32)])
     cosines, at = index.nearest(queries, k)
-    every = queries @ dense(index, 25).T
-    want = -np.sort(-np.where(every > 0, every, -1), axis=1)[:, :k]
-    assert np.allclose(np.where(cosines > 0, cosines, -1), want, atol=1e-6)
+    every = np.round(queries.astype(float) @ vectors.astype(float).T, to.DIGITS)
+    of = np.arange(230)[::-1]
+    for row, found, places in zip(every, cosines, at):
+        # Of equal cosines the smaller id comes first.
+        order = [i for i in np.lexsort((of, -row)) if row[i] > 0][:k]
+        assert index.ids[places[places >= 0]].tolist() == of[order].tolist()
+        assert np.allclose(found[: len(order)], row[order], atol=1e-6)
     assert (at[-1] == -1).all()
-    assert all(len(set(row[row >= 0])) == (row >= 0).sum() for row in at)
+
+
+def test_blocks_below_the_kth_cosine_are_skipped():
+    rng = np.random.default_rng(4)
+    # Examples on twenty subjects with words of their own, and a few words that all share.
+    vectors = np.zeros((2_000, 220), np.float32)
+    subject = rng.integers(0, 20, 2_000)
+    for i, s in enumerate(subject):
+        vectors[i, 10 * s : 10 * s + 10] = rng.random(10)
+        vectors[i, 200:] = rng.random(20) * 0.05
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    index = to.Index(vectors, np.arange(2_000), subject % 2, block=32)
+    cosines, at = index.nearest(vectors[:300], 15)
+    every = np.round(vectors[:300].astype(float) @ vectors.astype(float).T, to.DIGITS)
+    assert np.allclose(cosines, -np.sort(-every, axis=1)[:, :15], atol=2e-6)
+    assert index.skipped + index.scored == 300 * index.n_blocks
+    assert index.skipped > 0.8 * 300 * index.n_blocks
 
 
 @pytest.mark.parametrize(

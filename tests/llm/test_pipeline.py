@@ -85,7 +85,7 @@ def test_run_is_all_stages(spark, stages):
 
 def test_all_queries_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= queries().keys()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) & set(oracle_sql())))

@@ -27,7 +27,23 @@ def sample(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[list[tuple[int, str, int]], list[int]]:
-    """``(id, text, label)`` of some rows, and the number of all usable rows of label 0 and 1.
+    """The rows of ``sample_table`` as ``(id, text, label)``, and the numbers of all."""
+    rows, totals = sample_table(docs, labels, label, per_class, max_bytes, id_col, text_col)
+    ordered = rows.orderBy("_turn", "_y").select("_id", "_t", "_y").collect()
+    return [tuple(r) for r in ordered], totals
+
+
+def sample_table(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    per_class: int,
+    max_bytes: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[DataFrame, list[int]]:
+    """``_id, _t, _y, _turn``: id, text, label and place of some rows, and the
+    number of all usable rows of label 0 and 1.
 
     There are at most ``per_class`` rows of each label and ``max_bytes`` of text in all. Texts above
     ``TEXT_SHARE`` of that count with their beginning, so no row ends the sample. Rows are taken in the order of a hash of their id, so the sample does not
@@ -54,10 +70,10 @@ def sample(
     sized = found.drop("_t").withColumn("_turn", F.row_number().over(turn))
     sized = sized.withColumn("_sum", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     kept = sized.where(F.col("_sum") <= max_bytes).select("_id", "_turn")
-    rows = found.join(F.broadcast(kept), "_id").orderBy("_turn", "_y").select("_id", "_t", "_y").collect()
+    rows = found.join(F.broadcast(kept), "_id").select("_id", "_t", "_y", "_turn")
     counted = usable.groupBy("_y").count().where(F.col("_y").isin(0, 1)).collect()
     totals = {r["_y"]: r["count"] for r in counted}
-    return [(r["_id"], r["_t"], r["_y"]) for r in rows], [totals.get(y, 0) for y in (0, 1)]
+    return rows, [totals.get(y, 0) for y in (0, 1)]
 
 
 def shift(in_sample: np.ndarray, in_all: list[int] | None) -> float:

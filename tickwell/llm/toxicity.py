@@ -1,32 +1,42 @@
-"""Toxicity by the nearest labelled examples, found exactly with postings of all words.
+"""Toxicity by the nearest labelled examples, found exactly with a block-max index of all words.
 
 Examples and documents are unit TF-IDF vectors over all words of the examples;
 each word also weighs as much as its presence differs between the labels
 (log-likelihood ratio), for over plain TF-IDF chance words decide. No word is
-left out, so a small sample has its vocabulary too. Words of many examples lie
-in a dense table, all others in postings; together they give the cosine with
-every example. Votes of the k nearest, weighted by cosine, are calibrated on
-the examples themselves, each one left out of its own vote.
+left out, so a small sample has its vocabulary too.
+
+Examples lie in blocks, and each word has its greatest weight in each block.
+These bound the cosines of a text with all examples of a block: the blocks of
+highest bound are scored first and give the k-th best cosine; of the others
+only those are scored whose bound reaches it. Words of many examples lie in a
+dense table, all others in postings by word and block. Votes of the k nearest,
+weighted by cosine, are calibrated on the examples themselves, each one left
+out of its own vote.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.labelled import Logistic, fold, sample, shift
+from tickwell.llm.labelled import Logistic, fold, sample_table, shift
 from tickwell.llm.tables import by_batch, filtered, id_and_text
 from tickwell.llm.words import words_of
 
 K = 15
-#: Queries are compared so many at a time.
-BLOCK = 64
+#: Examples in a block, queries that are compared at a time, and blocks that are scored first.
+BLOCK = 128
+QUERIES = 64
+FIRST_BLOCKS = 4
 #: Words in this share of the examples lie in the dense table.
 DENSE_SHARE = 1 / 8
 #: Bounds of the sample: rows of each label, and bytes of all texts together.
@@ -81,76 +91,57 @@ def sparse(vectors: np.ndarray | Rows) -> Rows:
 
 
 class Index:
-    """Unit vectors by word: a dense table of the words of many examples, postings of the others."""
+    """Unit vectors by word and block, with the greatest weight of each word in each block.
+
+    ``scored`` and ``skipped`` count pairs of a query and a block.
+    """
 
     def __init__(self, vectors: np.ndarray | Rows, ids: np.ndarray, labels: np.ndarray, block: int = BLOCK):
         vectors = sparse(vectors)
-        # In order of id, so that of equal cosines the first place is that of the smaller id.
-        order = np.argsort(ids, kind="stable")
+        # Alike examples share blocks, so that bounds are tight: first by label, then by their heaviest word.
+        of = vectors.of()
+        heaviest = np.full(len(ids), -1, dtype=np.int64)
+        by_weight = np.lexsort((vectors.weights, of))
+        ends = np.cumsum(np.bincount(of, minlength=len(ids)))
+        some = np.diff(np.append(0, ends)) > 0
+        heaviest[some] = vectors.columns[by_weight[ends[some] - 1]]
+        order = np.lexsort((ids, heaviest, labels))
         place = np.empty(len(order), dtype=np.int32)
         place[order] = np.arange(len(order))
         self.ids, self.labels = ids[order], labels[order].astype(np.float64)
-        self.block = block
+        self.block, self.n_blocks = block, -(-len(order) // block)
         self.width = int(vectors.columns.max(initial=-1)) + 1
-        places = place[vectors.of()]
+        places = place[of]
         by_word = np.lexsort((places, vectors.columns))
-        self.places, self.weights = places[by_word], vectors.weights[by_word]
-        self.starts = np.searchsorted(vectors.columns[by_word], np.arange(self.width + 1))
-        self._table()
+        self.words, self.places, self.weights = (x[by_word] for x in (vectors.columns, places, vectors.weights))
+        self._tables()
 
-    def _table(self) -> None:
-        sizes = np.diff(self.starts)
-        common = np.flatnonzero(sizes > max(1, DENSE_SHARE * len(self.ids)))
+    def _tables(self) -> None:
+        starts = np.searchsorted(self.words, np.arange(self.width + 1))
+        common = np.flatnonzero(np.diff(starts) > max(1, DENSE_SHARE * len(self.ids)))
         self.row = np.full(self.width, -1, dtype=np.int32)
         self.row[common] = np.arange(len(common))
-        self.table = np.zeros((len(common), len(self.ids)))
+        self.table = np.zeros((len(common), self.n_blocks * self.block))
         for row, word in enumerate(common.tolist()):
-            of = slice(self.starts[word], self.starts[word + 1])
+            of = slice(starts[word], starts[word + 1])
             self.table[row, self.places[of]] = self.weights[of]
+        self.table_best = self.table.reshape(len(common), self.n_blocks, self.block).max(axis=2)
+        # Cells: the postings of one word in one block lie together.
+        cell = self.words.astype(np.int64) * self.n_blocks + self.places // self.block
+        begins = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.cell_starts = np.append(begins, len(cell))
+        self.cell_block = self.places[begins] // self.block
+        self.cell_best = np.maximum.reduceat(self.weights, begins) if len(begins) else np.empty(0, np.float32)
+        self.word_cells = np.searchsorted(self.words[begins], np.arange(self.width + 1))
+        self.scored = self.skipped = 0
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("row", "table")}
+        kept = ("ids", "labels", "block", "n_blocks", "width", "words", "places", "weights")
+        return {k: self.__dict__[k] for k in kept}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self._table()
-
-    @property
-    def blocks(self) -> list[slice]:
-        return [slice(at, at + self.block) for at in range(0, len(self.ids), self.block)]
-
-    @property
-    def terms(self) -> list[np.ndarray]:
-        """The words of each block of examples."""
-        words = np.repeat(np.arange(self.width), np.diff(self.starts))
-        return [np.unique(words[(self.places >= b.start) & (self.places < b.stop)]) for b in self.blocks]
-
-    @property
-    def postings(self) -> list[np.ndarray]:
-        """Weights of each block by word and example, written out."""
-        words, out = np.repeat(np.arange(self.width), np.diff(self.starts)), []
-        for b, terms in zip(self.blocks, self.terms):
-            at = np.flatnonzero((self.places >= b.start) & (self.places < b.stop))
-            out.append(np.zeros((len(terms), min(b.stop, len(self.ids)) - b.start), dtype=np.float32))
-            out[-1][np.searchsorted(terms, words[at]), self.places[at] - b.start] = self.weights[at]
-        return out
-
-    def cosines(self, queries: Rows) -> np.ndarray:
-        """Cosine of each query with every example."""
-        n, of = len(queries.starts) - 1, queries.of()
-        known = queries.columns < self.width
-        of, words, weights = of[known], queries.columns[known], queries.weights[known].astype(np.float64)
-        row = self.row[words]
-        dense = np.zeros((n, len(self.table)))
-        dense[of[row >= 0], row[row >= 0]] = weights[row >= 0]
-        of, words, weights = of[row < 0], words[row < 0], weights[row < 0]
-        # All places in the postings of all words of all queries, one after the other.
-        sizes = self.starts[words + 1] - self.starts[words]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[words] - ends + sizes, sizes)
-        keys = np.repeat(of * len(self.ids), sizes) + self.places[at]
-        sums = np.bincount(keys, np.repeat(weights, sizes) * self.weights[at], n * len(self.ids))
-        return dense @ self.table + sums.reshape(n, -1)
+        self._tables()
 
     def nearest(self, queries: np.ndarray | Rows, k: int, skip: np.ndarray | None = None):
         """Cosines and positions of the ``k`` best examples of each query; ``skip`` leaves out one id each.
@@ -163,18 +154,72 @@ class Index:
         at = np.full((n, k), -1, dtype=np.int64)
         if not len(self.ids):
             return best, at
-        for start in range(0, n, self.block):
-            found = np.round(self.cosines(queries[start : start + self.block]), DIGITS)
-            if skip is not None:
-                found[self.ids[None, :] == skip[start : start + self.block][:, None]] = 0
+        for start in range(0, n, QUERIES):
+            found = self._found(queries[start : start + QUERIES], k, None if skip is None else skip[start : start + QUERIES])
             least = np.partition(found, -k, axis=1)[:, -k] if k <= found.shape[1] else np.zeros(len(found))
             for i, (row, bound) in enumerate(zip(found, least), start):
                 places = np.flatnonzero((row >= bound) & (row > 0))
-                places = places[np.argsort(-row[places], kind="stable")][:k]
+                places = places[np.lexsort((self.ids[places], -row[places]))][:k]
                 best[i, : len(places)] = row[places]
                 at[i, : len(places)] = places
         return best, at
 
+    def _found(self, queries: Rows, k: int, skip: np.ndarray | None) -> np.ndarray:
+        """Cosines with the examples of all blocks that can hold one of the ``k`` best; 0 with those of others."""
+        n, of = len(queries.starts) - 1, queries.of()
+        known = queries.columns < self.width
+        of, words, weights = of[known], queries.columns[known], queries.weights[known].astype(np.float64)
+        row = self.row[words]
+        dense = np.zeros((n, len(self.table)))
+        dense[of[row >= 0], row[row >= 0]] = weights[row >= 0]
+        of, words, weights = of[row < 0], words[row < 0], weights[row < 0]
+        # All cells of all rare words of all queries, one after the other.
+        sizes = self.word_cells[words + 1] - self.word_cells[words]
+        cells = _ranges(self.word_cells[words], sizes)
+        of, weights = np.repeat(of, sizes), np.repeat(weights, sizes)
+        blocks = self.cell_block[cells]
+        keys = of * self.n_blocks + blocks
+        bounds = np.bincount(keys, weights * self.cell_best[cells], n * self.n_blocks).astype(float).reshape(n, -1)
+        bounds += dense @ self.table_best
+        # Cosines are rounded, so a bound is a little too high.
+        bounds = np.where(bounds > 0, bounds + 10.0**-DIGITS, 0)
+        first = np.zeros((n, self.n_blocks), dtype=bool)
+        m = min(FIRST_BLOCKS, self.n_blocks)
+        np.put_along_axis(first, np.argpartition(-bounds, m - 1, axis=1)[:, :m], True, axis=1)
+        first &= bounds > 0
+        found = np.zeros((n, self.n_blocks * self.block))
+
+        def score(wanted: np.ndarray) -> None:
+            asked = wanted.ravel()[keys]
+            own, begins = cells[asked], self.cell_starts[cells[asked]]
+            sizes = self.cell_starts[own + 1] - begins
+            at = _ranges(begins, sizes)
+            place = np.repeat(of[asked] * found.shape[1], sizes) + self.places[at]
+            found.ravel()[:] += np.bincount(place, np.repeat(weights[asked], sizes) * self.weights[at], found.size)
+            for block in np.flatnonzero(wanted.any(axis=0)).tolist():
+                rows, columns = np.flatnonzero(wanted[:, block]), slice(block * self.block, (block + 1) * self.block)
+                found[rows, columns] += dense[rows] @ self.table[:, columns]
+            self.scored += int(wanted.sum())
+
+        score(first)
+        seen = np.round(found[:, : len(self.ids)], DIGITS)
+        if skip is not None:
+            seen[self.ids[None, :] == skip[:, None]] = 0
+        last = np.partition(seen, -k, axis=1)[:, -k] if k <= seen.shape[1] else np.zeros(n)
+        rest = ~first & (bounds >= last[:, None]) & (bounds > 0)
+        score(rest)
+        self.skipped += int((~first & ~rest).sum())
+        found = np.round(found[:, : len(self.ids)], DIGITS)
+        if skip is not None:
+            found[self.ids[None, :] == skip[:, None]] = 0
+        return found
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, so many of each, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - ends + sizes, sizes)
+
 
 class Model:
     """Weights of the words, the index over the examples, and the calibration of votes."""
@@ -253,13 +298,41 @@ class Model:
         return scores, ids, [[float(c) for c in row[: len(i)]] for row, i in zip(cosines, ids)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:
-    return Model(*sample(docs, labels, label, per_class, max_bytes))
+class Packed:
+    """A model as bytes; each worker opens it once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.name = data, hashlib.sha256(data).hexdigest()
+
+    def opened(self) -> Model:
+        if self.name not in _OPEN:
+            _OPEN.clear()
+            _OPEN[self.name] = pickle.loads(self.data)
+        return _OPEN[self.name]
+
+    def score(self, texts: list[str]) -> tuple[np.ndarray, list[list[int]], list[list[float]]]:
+        return self.opened().score(texts)
+
+
+_OPEN: dict[str, Model] = {}
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Packed:
+    """The model of a bounded sample, built by one task; the driver only hands it on."""
+    rows, totals = sample_table(docs, labels, label, per_class, max_bytes)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(examples, totals))], pa.binary())], names=["model"])
+
+    # A table of a bounded size.
+    ordered = rows.coalesce(1).sortWithinPartitions("_turn", "_y").select("_id", "_t", "_y")
+    return Packed(bytes(ordered.mapInArrow(build, "model binary").first()["model"]))
 
 
 def score_toxicity(
     docs: DataFrame,
-    model: Model,
+    model: Model | Packed,
     threshold: float = 0.5,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -287,6 +360,6 @@ def score_toxicity(
     )
 
 
-def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, model: Model | Packed, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold, with all their columns."""
     return filtered(docs, text_col, lambda texts: model.score(texts)[0] < threshold)
