@@ -311,3 +311,37 @@ def test_document_store(spark, tmp_path):
     assert back.select("id").distinct().count() == 8
     with pytest.raises(Exception, match="does not have 3 values"):
         tables.append_documents(corpus(spark), path, AS_OF, size=3)
+
+
+def test_interleaved_appends_have_ids_of_their_own(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "docs")
+    docs = corpus(spark).drop("id").repartition(3)
+    numbers = []
+
+    def during_another(session, at):
+        """A second append begins and ends before the first one writes."""
+        own = reserve(session, at)
+        numbers.append(own)
+        if len(numbers) == 1:
+            tables.append_documents(docs, path, AS_OF)
+        return own
+
+    reserve = tables.reserve
+    monkeypatch.setattr(tables, "reserve", during_another)
+    tables.append_documents(docs, path, AS_OF)
+    monkeypatch.undo()
+    seen = tables.append_documents(corpus(spark), path, AS_OF)
+    back = tables.read_documents(spark, path)
+    assert sorted(numbers) == [1, 2] and seen.get["rows"] == 4
+    assert back.count() == 12 and back.select("id").distinct().count() == 12
+    assert back.where(f"id < {1 << 44}").count() == 4
+    with pytest.raises(Exception, match="given by the table"):
+        tables.append_documents(back.where(f"id >= {1 << 44}"), path, AS_OF)
+
+
+def test_an_append_reads_nothing_of_the_table(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    tables.append_documents(corpus(spark), path, AS_OF)
+    for file in (tmp_path / "docs").glob("*.parquet"):
+        file.write_bytes(b"not a table any more")
+    assert tables.append_documents(corpus(spark).drop("id"), path, AS_OF).get["rows"] == 4

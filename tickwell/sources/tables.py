@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +33,7 @@ def append_reports(reports: DataFrame, path: str) -> Observation:
     Rows are gathered by fiscal year into files of an even size: years that
     are too large for one task are cut up, small ones put together.
     """
-    reports = with_ids(reports, first_free_id(reports.sparkSession, path, reports))
+    reports = with_ids(reports, reserve(reports.sparkSession, path))
     reports, seen = counted(reports, "loaded")
     reports.hint("rebalance", "fiscal_year").write.mode("append").partitionBy(
         "fiscal_year"
@@ -84,26 +83,50 @@ def export_training(reports: DataFrame, path: str) -> Observation:
     return seen
 
 
-def first_free_id(spark: SparkSession, path: str, given: DataFrame | None = None) -> int:
-    """One more than the largest id of a stored table and of the rows to be added."""
-    ids = []
-    try:
-        ids.append(spark.read.schema("id bigint").parquet(path))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    if given is not None and "id" in given.columns:
-        ids.append(given.select(F.col("id").cast("bigint")))
-    if not ids:
-        return 0
-    largest = reduce(DataFrame.unionByName, ids).agg(F.max("id")).first()[0]
-    return 0 if largest is None else max(0, largest + 1)
+#: Bits of a new id: the number of the append, of the task that writes the row, and of the row in it.
+APPEND_BITS, TASK_BITS, ROW_BITS = 19, 20, 24
+LEDGER = "_ids"
 
 
-def with_ids(rows: DataFrame, start: int) -> DataFrame:
-    """Rows without an id get one of their own from ``start`` on, copies included."""
-    own = F.monotonically_increasing_id() + F.lit(start)
-    return rows.withColumn("id", F.coalesce("id", own) if "id" in rows.columns else own)
+def reserve(spark: SparkSession, path: str) -> int:
+    """A number for an append to the table at ``path`` that no other append gets.
+
+    Numbers are empty files in a folder of the table; a file is created only
+    if it is not there, so of two appends that try the same number one goes on
+    to the next. Nothing of the table is read. A number whose append fails is
+    lost, not used again.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path, LEDGER)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    taken = [int(f.getPath().getName()) for f in files.listStatus(folder)]
+    number = max(taken, default=0) + 1
+    while not files.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(number))):
+        number += 1
+    if number >= 1 << APPEND_BITS:
+        raise ValueError(f"no more than {(1 << APPEND_BITS) - 1} appends to one table")
+    return number
+
+
+def with_ids(rows: DataFrame, append: int) -> DataFrame:
+    """Rows without an id get one of their own, copies included.
+
+    A new id is made of the number of the append, the task and the row, so no
+    two are equal and none is less than 2 ** 44; ids that are given have to be.
+    """
+    least = 1 << (TASK_BITS + ROW_BITS)
+    # Spark numbers rows by the partition and, in 33 bits, by the row in it.
+    number = F.monotonically_increasing_id()
+    task, row = F.shiftright(number, 33), number.bitwiseAND(F.lit((1 << 33) - 1))
+    fits = (task < 1 << TASK_BITS) & (row < 1 << ROW_BITS)
+    many = F.raise_error(F.lit(f"a task may write {1 << ROW_BITS} rows without an id: deal them out further"))
+    own = F.when(fits, F.lit(append * least) + F.shiftleft(task, ROW_BITS) + row).otherwise(many)
+    if "id" not in rows.columns:
+        return rows.withColumn("id", own)
+    given = F.col("id").cast("bigint")
+    high = F.raise_error(F.lit(f"ids from {least} on are given by the table"))
+    return rows.withColumn("id", F.when(given.isNull(), own).when(given < least, given).otherwise(high))
 
 
 def append_documents(docs: DataFrame, path: str, as_of: str, size: int | None = None):
@@ -115,7 +138,7 @@ def append_documents(docs: DataFrame, path: str, as_of: str, size: int | None =
         wrong = F.raise_error(F.lit(f"a vector does not have {size} values"))
         vector = F.when(F.size("embedding") == size, vector).otherwise(wrong)
     empty = F.create_map().cast("map<string,string>")
-    docs = with_ids(docs, first_free_id(docs.sparkSession, path, docs))
+    docs = with_ids(docs, reserve(docs.sparkSession, path))
     docs, seen = counted(docs, "added")
     docs.select(
         "id",
