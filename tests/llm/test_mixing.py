@@ -91,3 +91,11 @@ def test_messy_documents(spark):
     assert ids[8] == 2 and ids[9] == 2 and ids[None] == 2
     assert mixing.mix(nothing(spark)).count() == 0
     assert mixing.mix(nothing(spark), budget=None, target_entropy=0.9).count() == 0
+
+
+def test_a_mix_can_be_mixed_again(spark):
+    first = mixing.mix(corpus(spark, {"a": 30, "b": 10}).withColumnRenamed("text", "body"), budget=None, text_col="body")
+    again = mixing.mix(first, budget=None, text_col="body")
+    names = [f"mix_{c}" for c in ("epoch", "block", "tokens", "place")]
+    assert again.columns == [*first.columns, *(f"_{c}" for c in names)]
+    assert again.select(*first.columns).distinct().count() == first.count()

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.tables import written
+from tickwell.llm.tables import unused, written
 
 BLOCK_DOCS = 8_192
 #: Steps that one aggregate decides, and how many aggregates are made.
@@ -139,6 +139,7 @@ def mix(
     source_col: str = "source",
     id_col: str = "doc_id",
     tokens: Column | None = None,
+    text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, each as often as its source's weight asks for, with their place in the mix.
 
@@ -147,13 +148,14 @@ def mix(
     Added columns: ``mix_epoch`` (0 for the first use of a text), ``mix_block``
     (block of the permutation), ``mix_tokens``, and ``mix_place``, from 0 to 1:
     in its order sources alternate by their weights. Columns of ``docs`` keep
-    their names. A null source is a source of its own; sources without any
+    their names; where they have one of these, the added column gets a leading
+    underscore more. A null source is a source of its own; sources without any
     token have no weight, and their rows are left out, except where no source
     is cut. Equal rows are used alike.
     """
-    count = word_count() if tokens is None else tokens
+    count = word_count(text_col) if tokens is None else tokens
     names = docs.columns
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.xxhash64(text_col).cast("string")))
     base = docs.select(
         F.struct(*[F.col(c) for c in names]).alias("_row"),
         F.col(source_col).cast("string").alias("_source"),
@@ -221,8 +223,8 @@ def mix(
     )
     return full.unionByName(cut).select(
         *[F.col("_row")[c].alias(c) for c in names],
-        F.col("_epoch").alias("mix_epoch"),
-        F.col("_block").alias("mix_block"),
-        F.col("_tokens").alias("mix_tokens"),
-        F.least(place, F.lit(1.0)).alias("mix_place"),
+        F.col("_epoch").alias(unused("mix_epoch", docs)),
+        F.col("_block").alias(unused("mix_block", docs)),
+        F.col("_tokens").alias(unused("mix_tokens", docs)),
+        F.least(place, F.lit(1.0)).alias(unused("mix_place", docs)),
     )
