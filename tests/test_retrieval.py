@@ -8,6 +8,7 @@ from tickwell.functions import text as tx
 from tickwell.operators import retrieval as rt
 from tickwell.operators import vectors as vc
 from tickwell.plans import answers
+from tickwell.session import stored
 from tickwell.sources import tables
 
 AS_OF = "2024-07-01 12:00:00"
@@ -151,8 +152,8 @@ def test_search_with_own_depths(spark):
     assert got[0] == brute(d, q, 2, -1.0)[0]
 
 
-@pytest.mark.parametrize("probes", [1, 3, 8])
-def test_cells_find_all(spark, probes):
+@pytest.mark.parametrize("probes, side", [(1, 1 << 20), (3, 1_000), (100, 1 << 20)])
+def test_cells_find_all(spark, monkeypatch, probes, side):
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(8, 16)) * 3
     d = centres[rng.integers(0, 8, 800)] + rng.normal(size=(800, 16))
@@ -162,8 +163,33 @@ def test_cells_find_all(spark, probes):
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id long, embedding array<double>")
     placed, cells = vc.assign_cells(docs, lists=8)
     assert placed.count() == 801
-    got = found(vc.similar_in_cells(placed, cells, queries, 5, 0.1, probes=probes, batch=7))
+    monkeypatch.setattr(vc, "BLOCK", 20)
+    monkeypatch.setattr(vc, "SIDE_BYTES", side)
+    packed = stored(vc.pack_cells(placed, cells, parts=5))
+    assert packed.agg(F.sum("n")).first()[0] == 800 and packed.count() >= 40
+    got = found(vc.similar_in_cells(packed, cells, queries, 5, 0.1, probes=probes, batch=7))
     assert got == {k: v for k, v in brute(d, q, 5, 0.1).items() if v}
+    none = vc.similar_in_cells(packed, cells, queries.limit(0), 5, 0.1)
+    assert none.count() == 0 and none.columns == ["query_id", "id", "similarity", "rank"]
+
+
+def test_a_crowded_cell_is_spread(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    # Half of all vectors around one centre.
+    d = np.concatenate([rng.normal(size=(1, 8)) * 4 + rng.normal(size=(1_000, 8)), rng.normal(size=(1_000, 8))])
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(d)], "id long, embedding array<double>")
+    placed, cells = vc.assign_cells(docs, lists=4)
+    monkeypatch.setattr(vc, "BLOCK", 50)
+    packed = stored(vc.pack_cells(placed, cells, parts=10).withColumn("part", F.spark_partition_id()))
+    most = packed.groupBy("cell").agg(F.sum("n").alias("n"), F.countDistinct("part").alias("parts"), F.count("*").alias("blocks"))
+    crowded = most.orderBy(F.desc("n")).first()
+    assert crowded["n"] >= 900 and crowded["parts"] >= 4 and crowded["blocks"] >= 15
+    # Blocks of a cell lie one behind the other, so their bounds differ.
+    spans = packed.where(F.col("cell") == crowded["cell"]).orderBy("low").select("low", "high").collect()
+    assert all(a["high"] <= b["low"] + 1e-12 for a, b in zip(spans, spans[1:]))
+    q = d[:30]
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id long, embedding array<double>")
+    assert found(vc.similar_in_cells(packed.drop("part"), cells, queries, 3, 0.2)) == brute(d, q, 3, 0.2)
 
 
 def test_more_queries_than_a_task_should_hold(spark):

@@ -95,14 +95,17 @@ def with_vectors(docs: DataFrame, vectors: DataFrame, id: str, vector_id: str) -
 
 HITS = "query_id long, form int, id long, similarity double, limit int"
 PACKED = "key long, n int, ids binary, forms binary, limits binary, vectors binary"
+BETWEEN = "low double, high double"
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
     """Rows ``(key, id, form, limit, vector)`` as blocks of at most ``size`` of one key.
 
     Rows must be ordered by key within their partition. A block is one row, so
-    joining blocks pairs up as many vectors at once, and a task holds few of them.
+    joining blocks pairs up as many vectors at once, and a task holds few of
+    them. Rows with an ``angle`` make blocks that say between which angles they lie.
     """
+    angled = "angle" in rows.columns
 
     def pack(batches: Iterator) -> Iterator:
         import numpy as np
@@ -120,17 +123,17 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
                 part = batch.slice(a, b - a)
                 vectors = np.asarray(part.column("vector").flatten(), dtype="<f8")
                 numbers = [part.column(c).to_numpy() for c in ("id", "form", "limit")]
-                out.append((int(keys[a]), int(b - a), *(x.tobytes() for x in (*numbers, vectors))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in zip(*out)],
-                names=["key", "n", "ids", "forms", "limits", "vectors"],
-            ).cast(schema)
+                span = part.column("angle").to_numpy() if angled else None
+                between = (float(span.min()), float(span.max())) if angled else ()
+                out.append((int(keys[a]), int(b - a), *(x.tobytes() for x in (*numbers, vectors)), *between))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=schema.names).cast(schema)
 
     schema = pa.schema(
         [("key", pa.int64()), ("n", pa.int32())]
         + [(c, pa.binary()) for c in ("ids", "forms", "limits", "vectors")]
+        + [(c, pa.float64()) for c in ("low", "high") if angled]
     )
-    return rows.mapInArrow(pack, PACKED)
+    return rows.mapInArrow(pack, f"{PACKED}, {BETWEEN}" if angled else PACKED)
 
 
 def _best(query_id, form, similarity, doc_id, limit):
@@ -324,89 +327,136 @@ def grid(doc_bytes: float, query_bytes: float, query_blocks: int) -> tuple[int,
 
 
 class Cells:
-    """Centres of a k-means clustering of unit vectors, as many as ``lists`` says,
-    and a table ``(cell, radius)``: the greatest angle of a cell's vectors from its centre."""
+    """Centres of a k-means clustering of unit vectors, as many as ``lists`` says."""
 
-    def __init__(self, centres: np.ndarray, radii: DataFrame):
+    def __init__(self, centres: np.ndarray):
         self.centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-        self.radii = radii
 
-    def angles(self, wanted: DataFrame) -> DataFrame:
-        """``(key, angle, place)`` of all cells for each row: ``place`` counts from the nearest."""
+    def angles(self, vector: str) -> Column:
+        """The angles of a vector to all centres."""
         centres = self.centres
 
-        @F.arrow_udf("array<struct<key:bigint,angle:double,place:int>>")
+        @F.arrow_udf("array<double>")
         def measured(vectors: pa.Array) -> pa.Array:
             import numpy as np
             import pyarrow as pa
 
-            matrix = np.asarray(vectors.flatten(), dtype=float).reshape(len(vectors), centres.shape[1])
-            lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-            unit = matrix / np.where(lengths > 0, lengths, 1)
-            angles = np.arccos(np.clip(unit @ centres.T, -1, 1))
-            order = np.argsort(angles, axis=1, kind="stable")
-            place = np.empty_like(order)
-            np.put_along_axis(place, order, np.arange(angles.shape[1])[None, :], axis=1)
+            angles = np.arccos(np.clip(_units(vectors, centres.shape[1]) @ centres.T, -1, 1))
             n, cells = angles.shape
-            rows = pa.StructArray.from_arrays(
-                [
-                    pa.array(np.tile(np.arange(cells, dtype=np.int64), n)),
-                    pa.array(angles.ravel()),
-                    pa.array(place.ravel().astype(np.int32)),
-                ],
-                names=["key", "angle", "place"],
-            )
-            return pa.ListArray.from_arrays(pa.array(np.arange(0, n * cells + 1, cells, dtype=np.int32)), rows)
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, n * cells + 1, cells, dtype=np.int32)), pa.array(angles.ravel()))
 
-        usable = wanted.where(F.col("vector").isNotNull())
-        return usable.withColumn("_cell", F.explode(measured("vector"))).select("*", "_cell.*").drop("_cell")
+        return measured(vector)
 
+    def angle(self, vector: str, cell: str) -> Column:
+        """The angle of a vector to the centre of its cell."""
+        centres = self.centres
 
-def similar_in_cells(
+        @F.arrow_udf("double")
+        def measured(vectors: pa.Array, cell: pa.Array) -> pa.Array:
+            import numpy as np
+            import pyarrow as pa
+
+            own = centres[cell.to_numpy(zero_copy_only=False)]
+            return pa.array(np.arccos(np.clip((_units(vectors, centres.shape[1]) * own).sum(axis=1), -1, 1)))
+
+        return measured(vector, cell)
+
+
+def _units(vectors: pa.Array, size: int) -> np.ndarray:
+    matrix = np.asarray(vectors.flatten(), dtype=float).reshape(len(vectors), size)
+    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(lengths > 0, lengths, 1)
+
+
+def pack_cells(
     placed: DataFrame,
     cells: Cells,
+    id: str = "id",
+    vector: str = "embedding",
+    cell: str = "cell",
+    parts: int | None = None,
+) -> DataFrame:
+    """Blocks of up to ``BLOCK`` vectors of one cell, to be written before they are searched.
+
+    The vectors of a cell are dealt by ranges of their angle to its centre, so
+    a crowded cell lies in many parts and many blocks, each with the angles
+    between which its vectors lie. Vectors of zeros are in no block.
+    """
+    parts = parts or int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = _documents(placed, id, vector, F.col(cell).cast("long").alias("key")).where("key >= 0")
+    table = table.withColumn("angle", cells.angle("vector", "key"))
+    keys = ["key", "angle", "id"]
+    blocks = _packed(table.repartitionByRange(parts, *keys).sortWithinPartitions(*keys), BLOCK)
+    return blocks.select(F.col("key").alias("cell"), F.monotonically_increasing_id().alias("block"), *blocks.columns[1:])
+
+
+#: Blocks that are searched first, and how many times more after them, before all that are left.
+PROBES, TIER = 4, 8
+
+
+def similar_in_cells(
+    packed: DataFrame,
+    cells: Cells,
     queries: DataFrame,
     k: int | None = TOP_K,
     threshold: float = SIMILARITY_THRESHOLD,
-    id: str = "id",
-    vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "embedding",
-    cell: str = "cell",
-    probes: int = 4,
+    probes: int = PROBES,
     batch: int = QUERY_BATCH,
 ) -> DataFrame:
-    """The rows of ``similar``, found cell by cell.
-
-    The ``probes`` cells nearest to a query are searched first and give its
-    k-th best similarity. No vector of a cell can be nearer than its centre by
-    more than the cell's radius, so a further cell is searched only if the
-    bound that follows reaches both the threshold and that similarity.
+    """The rows of ``similar``, found block by block in the written table of ``pack_cells``.
+
+    A query at angle t to a centre is at least low - t and t - high away from
+    the vectors of a block of that cell. The blocks that can reach the
+    threshold are searched in tiers, best bound first: after each tier the
+    k-th best similarity of a query takes away the blocks whose bound is below
+    it. Bounds are rows of numbers; vectors of queries go to the blocks they
+    are to be compared with, and a block that many queries ask for gets them
+    in columns of about ``SIDE_BYTES``.
     """
     k = k or TOP_K
-    wanted = _wanted(queries, k, query_id, query_vector)
-    asked = cells.angles(wanted)
-    radii = cells.radii.select(F.col("cell").cast("long").alias("key"), "radius")
+    wanted = stored(_wanted(queries, k, query_id, query_vector).where(F.col("vector").isNotNull()))
+    names = ["id", "form"]
+    angles = wanted.select(*names, F.posexplode(cells.angles("vector")).alias("cell", "angle"))
     # Rounding must not hide the last hit: a bound is a little too high.
-    bound = F.cos(F.greatest(F.lit(0.0), F.col("angle") - F.col("radius"))) + BOUND_SLACK
-    asked = asked.join(radii, "key").withColumn("bound", bound)
-    asked = asked.where(F.col("bound") > threshold)
-    table = _documents(placed, id, vector, F.col(cell).cast("long").alias("key"))
-    chunks = _packed(table.repartition("key").sortWithinPartitions("key"), BLOCK)
+    away = F.greatest(F.lit(0.0), F.col("low") - F.col("angle"), F.col("angle") - F.col("high"))
+    pairs = angles.join(packed.select("cell", "block", "low", "high"), "cell")
+    pairs = pairs.withColumn("bound", F.cos(away) + BOUND_SLACK).where(F.col("bound") > threshold)
+    turn = F.row_number().over(Window.partitionBy(*names).orderBy(F.desc("bound"), "block"))
+    pairs = stored(pairs.select(*names, "block", "bound", turn.alias("turn")))
+    size = wanted.agg(F.coalesce(F.sum(8 * F.size("vector")), F.lit(0))).first()[0]
+    columns = max(1, math.ceil(size / SIDE_BYTES))
 
     def searched(part: DataFrame) -> DataFrame:
-        rows = part.select("key", "id", "form", "limit", "vector")
-        blocks = _packed(rows.repartition("key").sortWithinPartitions("key"), batch)
-        return _scored(_joined(chunks, blocks), threshold)
-
-    near = _ranked(searched(asked.where(F.col("place") < probes)))
-    last = near.where(F.col("rank") == F.col("limit")).select(
-        F.col("query_id").alias("_q"), F.col("form").alias("_f"), F.col("similarity").alias("_last")
-    )
-    far = asked.where(F.col("place") >= probes)
-    far = far.join(last, (F.col("id") == F.col("_q")) & (F.col("form") == F.col("_f")), "left")
-    far = far.where(F.col("_last").isNull() | (F.col("bound") >= F.col("_last")))
-    return _result(_ranked(near.drop("rank").unionByName(searched(far))), queries)
+        key = F.col("block") * columns
+        rows = part.join(wanted, names).withColumn("key", key + F.pmod(F.xxhash64("id"), F.lit(columns)))
+        rows = rows.select("key", *names, "limit", "vector")
+        asked = _packed(rows.repartition("key").sortWithinPartitions("key"), batch).withColumnRenamed("key", "of_key")
+        blocks = packed.join(part.select("block").distinct(), "block", "left_semi")
+        every = F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))
+        blocks = blocks.withColumn("_column", every).withColumn("key", key + F.col("_column"))
+        return _gridded(blocks.select("key", "n", "ids", "vectors"), asked, threshold)
+
+    hits, begin = None, 0
+    for width in (probes, TIER * probes, None):
+        part = pairs.where(F.col("turn") > begin)
+        if width is not None:
+            part = part.where(F.col("turn") <= begin + width)
+        if hits is not None:
+            last = hits.where(F.col("rank") == F.col("limit")).select(
+                F.col("query_id").alias("id"), "form", F.col("similarity").alias("_last")
+            )
+            part = part.join(last, names, "left").where(F.col("_last").isNull() | (F.col("bound") >= F.col("_last")))
+        part = stored(part.select(*names, "block"))
+        if part.isEmpty():
+            break
+        found = searched(part)
+        hits = stored(_ranked(found if hits is None else found.unionByName(hits.drop("rank"))))
+        begin += width or 0
+    if hits is None:
+        hits = _ranked(packed.sparkSession.createDataFrame([], HITS))
+    return _result(hits, queries)
 
 
 def unit_vector(vector: Column) -> Column:
@@ -429,7 +479,7 @@ def assign_cells(
     Documents with a zero vector are no hit of any query and get cell -1.
     """
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
     unit = unit_vector(F.col(vector))
     usable = F.col(vector).isNotNull() & ~F.exists(unit, lambda x: x.isNull())
@@ -441,19 +491,6 @@ def assign_cells(
     model = KMeans(
         k=lists, seed=seed, maxIter=10, featuresCol="_point", predictionCol="cell"
     ).fit(points if train is None else points_of(train))
-    centres = np.array(model.clusterCenters())
-    placed = model.transform(points)
-    normed = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-
-    @F.arrow_udf("double")
-    def angle(vectors: pa.Array, cell: pa.Array) -> pa.Array:
-        import numpy as np
-        import pyarrow as pa
-
-        matrix = np.asarray(vectors.flatten(), dtype=float).reshape(len(vectors), normed.shape[1])
-        own = normed[cell.to_numpy(zero_copy_only=False)]
-        return pa.array(np.arccos(np.clip((matrix * own).sum(axis=1), -1, 1)))
-
-    radii = placed.groupBy("cell").agg(F.max(angle(vector_to_array("_point"), "cell")).alias("radius"))
+    placed = model.transform(points).drop("_point")
     rest = docs.where(~F.coalesce(usable, F.lit(False))).withColumn("cell", F.lit(-1))
-    return placed.drop("_point").unionByName(rest), Cells(centres, radii)
+    return placed.unionByName(rest), Cells(np.array(model.clusterCenters()))

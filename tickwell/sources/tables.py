@@ -156,7 +156,6 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.DOCUMENT).parquet(path)
 
 
-def write_cells(placed: DataFrame, path: str) -> None:
-    """Documents by cell, so that a search reads only the cells it looks into;
-    crowded cells are cut into several files."""
-    placed.hint("rebalance", "cell").write.mode("errorifexists").partitionBy("cell").parquet(path)
+def write_cells(packed: DataFrame, path: str) -> None:
+    """Packed blocks by cell, so that a search reads only the cells it looks into."""
+    packed.write.mode("errorifexists").partitionBy("cell").parquet(path)

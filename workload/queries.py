@@ -375,9 +375,9 @@ def ivf_search(spark, sf):
     """The vectors nearest to the label means, searched cell by cell."""
     path = f"{_scratch(spark)}/cells"
     placed, cells = vectors.assign_cells(ad.table(spark, sf, "embeddings"), lists=20)
-    tables.write_cells(placed, path)
+    tables.write_cells(vectors.pack_cells(placed, cells, id="vec_id"), path)
     hits = vectors.similar_in_cells(
-        spark.read.parquet(path), cells, label_centres(spark, sf), 5, LABEL_THRESHOLD, id="vec_id",
+        spark.read.parquet(path), cells, label_centres(spark, sf), 5, LABEL_THRESHOLD,
         query_id="label", query_vector="centre",
     )
     return rounded(hits.withColumnRenamed("query_id", "label"))
