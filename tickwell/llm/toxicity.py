@@ -322,8 +322,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     rows, totals = sample_table(docs, labels, label, per_class, max_bytes)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(examples, totals))], pa.binary())], names=["model"])
+        examples = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
+        packed = pickle.dumps(Model(examples, totals))
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["model"])
 
     # A table of a bounded size.
     ordered = rows.coalesce(1).sortWithinPartitions("_turn", "_y").select("_id", "_t", "_y")
