@@ -317,6 +317,31 @@ def test_answers(spark):
     assert got[1]["prompt"].endswith("Analysis:") and got[1]["context"] in got[1]["prompt"]
 
 
+def test_answers_with_long_series(spark):
+    from datetime import datetime, timedelta
+
+    start = datetime(2024, 1, 1)
+    tick = lambda i: {c: float(i % 97) for c in ("open", "high", "low", "close", "volume")}
+    long = [(start + timedelta(minutes=17 * i), tick(i)) for i in range(700)]
+    late = [(start + timedelta(minutes=17 * i), tick(i)) for i in range(700, 1_500)]
+    other = [(t, {"b": 1.0, "a": 2.0}) for t, _ in long[:30]]
+    hits = records(spark, [
+        (1, 2, 11, "second", {}, 0.5, late), (1, 1, 10, "first", {}, 0.9, long), (2, 1, 12, "third", {}, 0.4, long),
+        (3, 1, 13, "fourth", {}, 0.4, other), (4, 1, 14, "fifth", {}, 0.4, []),
+    ])
+    queries = spark.createDataFrame([(i, "trend") for i in range(1, 6)], "query_id long, query string")
+    rows = hits.select("query_id", "position", F.posexplode("financial_data").alias("pos", "r"))
+    rows = rows.select("query_id", "r.ts", (F.col("position") * 10_000 + F.col("pos")).cast("long").alias("row_id"), "r.fields")
+    for points in (1000, 20, 5_000):
+        want = {r["query_id"]: r["summary"] for r in answers.summaries(rows, answers.classify(rows), points).collect()}
+        got = {r["query_id"]: r["context"] for r in answers.answer_contexts(queries, hits, AS_OF, points).collect()}
+        assert sorted(want) == [1, 2, 3]
+        for i in range(1, 6):
+            assert ("Financial Data Summary:\n" in got[i]) == (i in want)
+            # Maps from Python come without an order of their own, but have one here.
+            assert i not in want or f"Financial Data Summary:\n{want[i]}\n" in got[i]
+
+
 def test_mixed_records_are_no_ohlcv(spark):
     full = {"open": 1.0, "high": 1.0, "low": 1.0, "close": None, "volume": 1.0}
     less = {k: v for k, v in full.items() if k != "volume"}

@@ -10,26 +10,11 @@ from tickwell.functions import text as tx
 from tickwell.operators.bars import auto_bars, resample
 from tickwell.operators.stats import price_range
 from tickwell.schema import OHLCV
-from tickwell.session import keep
+from tickwell.session import stored
 
 SOURCES = "array<struct<title: string, date: string, source: string, relevance: string>>"
 
 
-def attached_series(hits: DataFrame, series: str = "financial_data") -> DataFrame:
-    """All records attached to the hits of a query, one row each.
-
-    Records are structs of a time ``ts`` and a map ``fields``.
-    """
-    records = hits.select("query_id", "position", F.posexplode(series).alias("pos", "record"))
-    return records.select(
-        "query_id",
-        "record.ts",
-        # A query has few hits, and a document far fewer records than this.
-        (F.col("position") * F.lit(1 << 32) + F.col("pos")).cast("bigint").alias("row_id"),
-        "record.fields",
-    )
-
-
 def has_ohlcv_fields(fields: Column) -> Column:
     wanted = F.array(*[F.lit(c) for c in OHLCV])
     return F.size(F.array_intersect(F.map_keys(fields), wanted)) == len(OHLCV)
@@ -126,31 +111,76 @@ def newest_dates(hits: DataFrame, as_of: str) -> DataFrame:
     return newest.withColumn("freshness", tx.freshness(F.col("newest"), now))
 
 
-def answer_contexts(queries: DataFrame, hits: DataFrame, as_of: str) -> DataFrame:
+def _of_query(hits: DataFrame) -> DataFrame:
+    """(query_id, hits, records): one row per query with all its context needs.
+
+    A query has few hits, at most twice the depth of the search, and a hit
+    brings its records in one array, so a row holds what its hits held.
+    """
+    columns = ("position", "content", "metadata", "similarity", "financial_data")
+    by_position = lambda x, y: (x["position"] - y["position"]).cast("int")
+    rows = hits.groupBy("query_id").agg(F.collect_list(F.struct(*columns)).alias("hits"))
+    rows = rows.withColumn("hits", F.array_sort("hits", by_position))
+    none = F.array().cast(hits.schema["financial_data"].dataType)
+    series = F.transform("hits", lambda h: F.coalesce(h["financial_data"], none))
+    return rows.select(
+        "query_id",
+        F.transform("hits", lambda h: F.struct(*[h[c].alias(c) for c in columns[1:-1]])).alias("hits"),
+        F.flatten(series).alias("records"),
+    )
+
+
+def _summary(names: str, points: int) -> Column:
+    """The text of ``summaries`` from an array of records; null where it has to be resampled."""
+    times = F.transform("records", lambda r: r["ts"])
+    span = {"first": tx.shown_time(F.array_min(times)), "last": tx.shown_time(F.array_max(times))}
+    closes = F.transform("records", lambda r: r["fields"]["close"])
+    price = tx.fill(
+        fixed.PRICE_SUMMARY,
+        **span,
+        low=tx.plain_money(F.array_min(closes)),
+        high=tx.plain_money(F.array_max(closes)),
+    )
+    series = tx.fill(fixed.SERIES_SUMMARY, metrics=F.array_join(names, ", "), **span)
+    text = F.when(F.col("is_ohlcv"), price).when(~F.col("is_ohlcv") & (F.size(names) > 0), series)
+    return F.when(F.size("records") <= points, text)
+
+
+def answer_contexts(queries: DataFrame, hits: DataFrame, as_of: str, points: int = fixed.MAX_POINTS) -> DataFrame:
     """One row per query: context, prompt, charts, sources and metadata.
 
     ``hits`` come from ``retrieve`` and carry ``financial_data``. Queries
-    without hits get a context of the query alone.
+    without hits get a context of the query alone. Hits and records of a query
+    come together in one grouping, and all texts are made from its row; only
+    series of more than ``points`` records are taken out of it, to be
+    resampled as tables.
     """
-    hits = keep(hits)
-    records = attached_series(hits)
-    classes = classify(records)
-    drawn = charts(classes, records).groupBy("query_id").agg(
-        in_order("place", tx.chart_description(F.col("name")), "\n").alias("charts"),
-        F.array_sort(F.collect_list("name")).alias("visualizations"),
-    )
-    sources = F.array_sort(
-        F.collect_list(
-            F.struct("position", source_record(F.col("metadata"), F.col("similarity")).alias("s"))
-        )
+    table = stored(_of_query(hits))
+    fields = F.transform("records", lambda r: F.coalesce(F.map_keys(r["fields"]), F.array().cast("array<string>")))
+    kinds = F.transform("records", lambda r: has_ohlcv_fields(r["fields"]))
+    found = table.withColumns({"is_ohlcv": F.array_min(kinds), "names": F.array_distinct(F.flatten(fields))})
+    found = found.withColumn("summary", _summary("names", points))
+    large = table.where(F.size("records") > points)
+    if not large.isEmpty():
+        rows = large.select("query_id", F.posexplode("records").alias("pos", "record"))
+        rows = rows.select("query_id", "record.ts", F.col("pos").cast("bigint").alias("row_id"), "record.fields")
+        texts = summaries(rows, classify(rows), points).withColumnRenamed("summary", "_text")
+        found = found.join(texts, "query_id", "left").withColumn("summary", F.coalesce("summary", "_text"))
+    drawn = F.when(F.col("is_ohlcv"), F.array(*map(F.lit, fixed.OHLCV_CHARTS))).when(
+        ~F.col("is_ohlcv") & (F.size("names") > 0), F.transform("names", tx.chart_name)
     )
-    found = hits.groupBy("query_id").agg(
-        in_order("position", F.col("content"), "\n").alias("contents"),
-        F.transform(sources, lambda x: x["s"]).alias("sources"),
+    now = F.lit(as_of).cast("timestamp")
+    newest = F.array_max(F.transform("hits", lambda h: tx.iso_time(h["metadata"]["date"])))
+    found = found.withColumn("drawn", drawn).select(
+        "query_id",
+        "summary",
+        F.array_join(F.transform("hits", lambda h: h["content"]), "\n").alias("contents"),
+        F.transform("hits", lambda h: source_record(h["metadata"], h["similarity"])).alias("sources"),
+        F.array_join(F.transform("drawn", tx.chart_description), "\n").alias("charts"),
+        F.array_sort("drawn").alias("visualizations"),
+        tx.freshness(newest, now).alias("freshness"),
     )
-    table = queries.select("query_id", "query")
-    for part in (found, newest_dates(hits, as_of), summaries(records, classes), drawn):
-        table = table.join(part, "query_id", "left")
+    table = queries.select("query_id", "query").join(found, "query_id", "left")
 
     def section(heading: str, body: str) -> Column:
         return F.when(F.col(body).isNotNull(), F.concat(F.lit(heading + "\n"), F.col(body)))
