@@ -91,6 +91,16 @@ def test_every_prefix(library):
         assert counter.counts(text).tolist() == want, repr(text)
 
 
+@pytest.mark.parametrize("limit", [0, 1, 3, 7, 1000])
+def test_budgets_of_many_texts(limit):
+    counter = pc.PrefixCounter(BPE, cache_limit=50)
+    texts = [*odd_texts(900, 4), "", "It's the 3rd 'reading' of naïve, überlange words!!", "word " * 50]
+    got = counter.budgets(pa.array(texts, pa.large_string()), limit)
+    counts = [counter.counts(t) for t in texts]
+    assert got[0].tolist() == [int(c[-1]) if len(c) else 0 for c in counts]
+    assert got[1].tolist() == [pc.longest_within(c, limit) for c in counts]
+
+
 def test_budgets(spark, library):
     got = rows(pc.token_budgets(messy(spark), BPE, limit=10).select("doc_id", "n_bytes", "n_tokens", "over_limit"))
     want = []

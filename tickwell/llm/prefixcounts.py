@@ -20,11 +20,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tickwell.llm.bpe import byte_alphabet, load
 from tickwell.llm.chunks import ChunkCache, chunk_of, keys_of
 from tickwell.llm.tables import by_batch, id_and_text
+from tickwell.llm.wordids import LONGEST_KEPT, BatchEncoder
 
 NEVER = 1 << 60
 #: Entries kept of prefixes and of pairs of tokens, and the longest prefix kept.
@@ -33,6 +36,7 @@ KNOWN_LENGTH = 24
 #: A word and the marks after it, which are a pre-token of their own.
 _MARKED = re.compile(r"([^\W\d_]+)([.,!?;:|)]+)")
 _RUNS = re.compile(r"\s{2,}")
+_BLANKS = r"[\t-\r ][\t-\r ]"
 #: Endings that the split pattern takes as one piece, though their first two characters are not.
 _ENDINGS = ("'re", "'ve", "'ll")
 
@@ -64,6 +68,9 @@ class PrefixCounter:
         self.starts: dict[str, list] = {}
         self.stops: dict[str, list] = {}
         self.cache = ChunkCache(self._chunk, cache_limit)
+        self.batch, self.limit = BatchEncoder(path), cache_limit
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     # -- Borders between tokens --
 
@@ -228,6 +235,72 @@ class PrefixCounter:
         return np.concatenate(done)
 
 
+    # -- Many texts --
+
+    def budgets(self, texts: pa.Array, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of every text, and the characters of its longest prefix of at most ``limit`` tokens.
+
+        Texts are cut where every prefix has a border between pre-tokens too, and
+        each different piece is counted once. Only prefixes that end in a run of
+        white space go beyond a piece, so texts with such runs are counted whole.
+        """
+        rows = len(texts)
+        tokens, chars = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        whole = self.batch.whole_texts(texts) | pc.match_substring_regex(texts, _BLANKS).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(whole).tolist():
+            counts = self.counts(texts[i].as_py())
+            tokens[i], chars[i] = (counts[-1] if len(counts) else 0), longest_within(counts, limit)
+        plain = np.flatnonzero(~whole)
+        pieces, which, first = self.batch.pieces(texts.take(pa.array(plain)))
+        if not pieces:
+            return tokens, chars
+        counted = self._counted(pieces)
+        sizes = np.fromiter(map(len, counted), np.int64, len(counted)) >> 2
+        flat = np.frombuffer(b"".join(counted), "<u4")
+        ends = np.cumsum(sizes)
+        # Sums of tokens and characters before each piece, over all texts.
+        sums = [np.concatenate([[0], np.cumsum(x[which])]) for x in (flat[ends - 1].astype(np.int64), sizes)]
+        starts, stops = first[:-1], first[1:]
+        tokens[plain] = sums[0][stops] - sums[0][starts]
+        chars[plain] = sums[1][stops] - sums[1][starts]
+        for i in np.flatnonzero(tokens[plain] > limit).tolist():
+            # The last piece with room before it; every piece has a token at least.
+            base = int(sums[0][starts[i]])
+            j = int(np.searchsorted(sums[0][starts[i] : stops[i]], base + limit)) - 1 + int(starts[i])
+            if j < starts[i]:
+                chars[plain[i]] = 0
+                continue
+            own = which[j]
+            inside = longest_within(flat[ends[own] - sizes[own] : ends[own]], base + limit - int(sums[0][j]))
+            chars[plain[i]] = int(sums[1][j] - sums[1][starts[i]]) + inside
+        return tokens, chars
+
+    def _counted(self, pieces: list[bytes]) -> list[bytes]:
+        """Counts after each character of pieces."""
+        for known in (self.fits, self.known):
+            if len(known) > KNOWN_LIMIT:
+                known.clear()
+        if len(self.newer) > self.limit:
+            self.newer, self.older = {}, self.newer
+        newer, older, out = self.newer, self.older, []
+        for piece in pieces:
+            counts = newer.get(piece)
+            if counts is None:
+                counts = older.get(piece)
+                if counts is None:
+                    text = piece.decode()
+                    word = text[1:] if text[:1] == " " else text
+                    letters = word.isalpha() and (word.isascii() or max(word) < "ɐ")
+                    found = self.pre_token(text) if letters and not word.isascii() else None
+                    if letters and found is None:
+                        found = self.piece(text.replace(" ", "Ġ"))
+                    counts = array("I", self._split(text) if found is None else found).tobytes()
+                if len(piece) <= LONGEST_KEPT:
+                    newer[piece] = counts
+            out.append(counts)
+        return out
+
+
 @lru_cache(maxsize=2)
 def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
@@ -281,18 +354,14 @@ def token_budgets(
     def work(pieces: Iterator[dict]) -> Iterator[dict]:
         count = counter(tokenizer)
         for piece in pieces:
-            texts = piece["text"]
-            tokens, fits = [], []
-            for text in texts:
-                counts = count.counts(text)
-                tokens.append(int(counts[-1]) if len(counts) else 0)
-                fits.append(longest_within(counts, limit))
+            texts = piece["text"].cast(pa.large_string())
+            tokens, fits = count.budgets(texts, limit)
             yield {
                 "doc_id": piece["doc_id"],
-                "n_bytes": [len(t.encode()) for t in texts],
+                "n_bytes": pc.binary_length(texts),
                 "n_tokens": tokens,
-                "over_limit": [n > limit for n in tokens],
+                "over_limit": tokens > limit,
                 "fit_chars": fits,
             }
 
-    return by_batch(id_and_text(docs, id_col, text_col), schema, work)
+    return by_batch(id_and_text(docs, id_col, text_col), schema, work, arrays=True)

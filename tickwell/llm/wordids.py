@@ -102,24 +102,31 @@ class BatchEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins and the last one ends;
         a null text is empty."""
-        texts = texts.cast(pa.large_string()).fill_null("")
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        first, last = int(offsets[0]), int(offsets[-1])
-        offsets = offsets - first
-        if last == first:
+        pieces, which, first = self.pieces(texts)
+        if not pieces:
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[first:last]
-        at = self._cuts(texts, data, offsets)
-        pieces = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)]
-        ).dictionary_encode()
-        which = pieces.indices.to_numpy()
-        coded = self._ids_of(pieces.dictionary.to_pylist())
+        coded = self._ids_of(pieces)
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
         begins = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(coded), "<u4")
         ids, ends = gathered(flat, begins, sizes, which)
-        return ids, ends[np.searchsorted(at, offsets)]
+        return ids, ends[first]
+
+    def pieces(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The different pieces of all texts, which of them follow each other, and
+        where those of each text begin and the last end."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        begin, end = int(offsets[0]), int(offsets[-1])
+        offsets = offsets - begin
+        if begin == end:
+            return [], np.empty(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[begin:end]
+        at = self._cuts(texts, data, offsets)
+        found = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)]
+        ).dictionary_encode()
+        return found.dictionary.to_pylist(), found.indices.to_numpy(), np.searchsorted(at, offsets)
 
     def _cuts(self, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where the pieces begin, and the end of the last one."""
@@ -134,12 +141,13 @@ class BatchEncoder:
             before = np.append(False, blank[:-1])
             cut[:-1] |= blank & ~(before & after)
             cut[1:] |= blank & ~after & (data != 32)
-            for doubtful in np.flatnonzero(self._whole_texts(texts)):
+            for doubtful in np.flatnonzero(self.whole_texts(texts)):
                 cut[offsets[doubtful] : offsets[doubtful + 1]] = False
         cut[offsets] = True
         return np.flatnonzero(cut)
 
-    def _whole_texts(self, texts: pa.Array) -> np.ndarray:
+    def whole_texts(self, texts: pa.Array) -> np.ndarray:
+        """The texts that are not cut."""
         found = pc.match_substring_regex(texts, _DOUBTFUL)
         for special in self.special:
             found = pc.or_(found, pc.match_substring(texts, special))
