@@ -2,7 +2,9 @@ import math
 import random
 from collections import Counter
 
-from tests.llm.messy import ROWS, messy, nothing
+import pytest
+
+from tests.llm.messy import ROWS, messy, nothing, rows
 from tickwell.llm import leaks
 
 ITEMS = "item_id long, text string"
@@ -155,3 +157,26 @@ def test_short_items_and_unspaced_scripts(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (3, 2), (4, 3), (5, 4), (6, 5), (7, 7)}
     left = leaks.drop_leaks(df, spark.createDataFrame(items, ITEMS))
     assert {r["doc_id"] for r in left.collect()} == {2, 8}
+
+
+def test_scores_do_not_depend_on_the_number_of_indexes(spark, monkeypatch):
+    def item(i):
+        return " ".join([f"subject{i % 40} asks about thing{i} and part{i % 7}", "often " * (i % 5), f"so. Answer {i} is word{i * 31 % 97} here now."])
+
+    items = spark.createDataFrame([(i, item(i)) for i in range(2_001)], "item_id long, text string")
+    docs = [(i, " ".join([f"before {i}", item(i * 20), f"and after {i}"])) for i in range(60)]
+    docs += [(100 + i, " ".join(item(i * 30).split()[:-2]) + " more than this") for i in range(30)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    several = rows(leaks.find_leaks(docs, items))
+    monkeypatch.setattr(leaks, "ITEMS_AT_ONCE", 10_000)
+    assert several == rows(leaks.find_leaks(docs, items)) and len(several) >= 60
+
+
+@pytest.mark.parametrize("slice_terms", [1, 50])
+def test_bounds_by_slices(monkeypatch, slice_terms):
+    items = [leaks._item(i, [f"question number{i} of topic{i % 3} is long enough. The answer is value{i} exactly so."]) for i in range(30)]
+    index = leaks.Index(items, block=4)
+    words = leaks.words_of(" ".join(f"filler{i} " * 9 + b" ".join(items[i % 30].words).decode() for i in range(90)))
+    whole = list(index.search(words, 0.6))
+    monkeypatch.setattr(leaks, "SLICE_TERMS", slice_terms)
+    assert list(index.search(words, 0.6)) == whole and len({j for *_, j, _ in whole}) == 30

@@ -15,6 +15,7 @@ their exact word sequence.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.tables import by_batch, filtered, id_and_text
+from tickwell.llm.tables import by_batch, filtered, id_and_text, written
 from tickwell.llm.words import words_of as spaced_words
 
 K1, B = 1.2, 0.75
@@ -35,6 +36,8 @@ LEAST_WORDS = 5
 ITEM_BLOCK = 8
 #: Items are indexed and searched so many at a time; more items take more passes over the texts.
 ITEMS_AT_ONCE = 2_000
+#: Terms of passages whose bounds are held at once.
+SLICE_TERMS = 1 << 15
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
 #: Thai, Lao, Burmese, Khmer, kana and Han are written without spaces; each character is a word.
 _UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
@@ -106,10 +109,30 @@ class Item(NamedTuple):
         return self.question + self.answer
 
 
+class Statistics(NamedTuple):
+    """Of all items that are indexed, in whichever index: how many there are, their
+    mean and greatest number of words, and how many hold each word."""
+
+    n: int
+    mean: float
+    longest: int
+    frequency: dict[bytes, int]
+
+    @classmethod
+    def of(cls, items: list[Item]) -> Statistics:
+        lengths = [len(i.words) for i in items if len(i.words) >= LEAST_WORDS]
+        held = Counter(w for i in items if len(i.words) >= LEAST_WORDS for w in set(i.words))
+        return cls(len(lengths), sum(lengths) / len(lengths) if lengths else 1.0, max(lengths, default=1), held)
+
+
 class Index:
-    """BM25 postings of items, relative to each item's own score, with maxima by block."""
+    """BM25 postings of items, relative to each item's own score, with maxima by block.
+
+    Without ``statistics`` the items are all there are.
+    """
 
-    def __init__(self, items: list[Item], block: int = ITEM_BLOCK):
+    def __init__(self, items: list[Item], block: int = ITEM_BLOCK, statistics: Statistics | None = None):
+        statistics = statistics or Statistics.of(items)
         #: Items under ``LEAST_WORDS`` words, by their first word.
         self.short: dict[bytes, list[Item]] = {}
         for item in items:
@@ -119,15 +142,14 @@ class Index:
         # Items with the same rare words next to each other make blocks with small maxima elsewhere.
         self.items = sorted(items, key=lambda i: (sorted(i.words, key=len)[-3:], i.id or 0))
         self.columns = {w: j for j, w in enumerate(sorted({w for i in items for w in i.words}))}
-        n, mean = len(items), np.mean([len(i.words) for i in items]) if items else 1.0
+        n = len(items)
         found: list[dict[int, float]] = []
-        frequency = np.zeros(len(self.columns))
         for item in self.items:
             ids, counts = np.unique([self.columns[w] for w in item.words], return_counts=True)
-            frequency[ids] += 1
-            room = K1 * (1 - B + B * len(item.words) / mean)
+            room = K1 * (1 - B + B * len(item.words) / statistics.mean)
             found.append(dict(zip(ids.tolist(), (counts * (K1 + 1) / (counts + room)).tolist())))
-        idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
+        frequency = np.array([statistics.frequency[w] for w in self.columns], dtype=float)
+        idf = np.log1p((statistics.n - frequency + 0.5) / (frequency + 0.5))
         # Row 0 stands for words that no item has.
         self.maxima = np.zeros((len(self.columns) + 1, -(-n // block)), dtype=np.float32)
         self.rows: list[np.ndarray] = []
@@ -147,7 +169,7 @@ class Index:
             self.postings.append(table)
         self.block = block
         #: Every run of words as long as the longest item lies within one passage.
-        self.stride = max((len(i.words) for i in self.items), default=1)
+        self.stride = statistics.longest
 
     def search(self, words: list[bytes], threshold: float) -> Iterator[tuple[int, int, int, float]]:
         """Start and end of a passage, position and relative score of each item that reaches the threshold.
@@ -169,13 +191,20 @@ class Index:
         of, terms = keys // size, keys % size
         passages, first = np.unique(of, return_index=True)
         ends = np.append(first[1:], len(keys))
-        bounds = np.add.reduceat(self.maxima[terms], first, axis=0)
-        for i, b in zip(*np.nonzero(bounds >= threshold - 1e-4)):
-            table = self.postings[b]
-            scores = table[self.rows[b][terms[first[i] : ends[i]]]].sum(0)
-            start = int(passages[i]) * self.stride
-            for j in np.flatnonzero(scores >= threshold - 1e-6):
-                yield start, start + 2 * self.stride, int(b * self.block + j), round(float(scores[j]), 6)
+        # However long the text is, bounds are held for some passages at a time.
+        slices = np.searchsorted(ends, np.arange(SLICE_TERMS, len(keys) + SLICE_TERMS, SLICE_TERMS))
+        for begin, stop in zip(np.append(0, slices), np.append(slices, len(passages))):
+            if begin == stop:
+                continue
+            at = slice(first[begin], ends[stop - 1])
+            bounds = np.add.reduceat(self.maxima[terms[at]], first[begin:stop] - first[begin], axis=0)
+            for i, b in zip(*np.nonzero(bounds >= threshold - 1e-4)):
+                i += begin
+                table = self.postings[b]
+                scores = table[self.rows[b][terms[first[i] : ends[i]]]].sum(0)
+                start = int(passages[i]) * self.stride
+                for j in np.flatnonzero(scores >= threshold - 1e-6):
+                    yield start, start + 2 * self.stride, int(b * self.block + j), round(float(scores[j]), 6)
 
     def leaks(self, text: str, threshold: float, least: float) -> list[tuple]:
         """``(item, score, question overlap, answer overlap, passage start)`` of each verified item."""
@@ -212,7 +241,11 @@ def indexes(
     question_col: str | None = None,
     answer_col: str | None = None,
 ) -> Iterator[Index]:
-    """An index for every ``ITEMS_AT_ONCE`` items; at least one, if an empty one."""
+    """An index for every ``ITEMS_AT_ONCE`` items; at least one, if an empty one.
+
+    Scores and passages are those of one index over all items: what they depend
+    on besides the item itself is summed up over all items first.
+    """
     parts = [F.col(c).cast("string") for c in (question_col, answer_col) if c] or [F.col(item_text_col).cast("string")]
     table = items.select(
         F.col(item_id_col).cast("long").alias("item_id"),
@@ -220,9 +253,30 @@ def indexes(
     )
     blocks = max(1, -(-table.count() // ITEMS_AT_ONCE))
     numbered = table.withColumn("block", F.pmod(F.xxhash64("item_id", "parts"), F.lit(blocks)))
-    for b in range(blocks):
+
+    def part(b: int) -> list[Item]:
         rows = numbered.where(F.col("block") == b).orderBy("item_id", "parts").collect()
-        yield Index([_item(r["item_id"], r["parts"]) for r in rows])
+        return [_item(r["item_id"], r["parts"]) for r in rows]
+
+    if blocks == 1:
+        yield Index(part(0))
+        return
+
+    def words(pieces: Iterator[dict]) -> Iterator[dict]:
+        for piece in pieces:
+            found = [_item(None, texts).words for texts in piece["parts"].to_pylist()]
+            yield {"block": piece["block"], "n": list(map(len, found)), "words": [list(set(w)) for w in found]}
+
+    counted = by_batch(numbered.select("block", "parts"), "block long, n long, words array<binary>", words)
+    counted = written(counted.where(F.col("n") >= LEAST_WORDS))
+    n, mean, longest = counted.agg(F.count("*"), F.avg("n"), F.max("n")).first()
+    held = counted.select("block", F.explode("words").alias("word"))
+    frequency = written(held.groupBy("word").agg(F.count("*").alias("n")))
+    for b in range(blocks):
+        # No more words than the items of one index have.
+        own = frequency.join(held.where(F.col("block") == b).select("word").distinct(), "word").collect()
+        of_all = Statistics(n, mean or 1.0, longest or 1, {bytes(r["word"]): r["n"] for r in own})
+        yield Index(part(b), statistics=of_all)
 
 
 def _item(item_id: int | None, parts: list[str]) -> Item:
