@@ -147,20 +147,23 @@ def documents(spark, sf, vectors: bool = True) -> DataFrame:
     return docs.select(*columns)
 
 
-def user_series(spark, sf, users: DataFrame | None = None) -> DataFrame:
-    """Daily bars per user as records (ts, fields); users whose number divides
-    by three have no volume. ``users`` (id) names the users that are needed."""
+def user_series(
+    spark, sf, users: DataFrame | None = None, crews: int | None = None, width: int = DAY
+) -> DataFrame:
+    """Bars per user as records (ts, fields); users whose number divides by
+    three have no volume. ``users`` (id) names the users that are needed;
+    with ``crews`` users are taken together by the rest of their number."""
     events = table(spark, sf, "events")
     if users is not None:
         events = events.join(users, F.col("user_id") == F.col("id"), "left_semi")
     events = events.select(
-        "user_id",
+        (F.col("user_id") % crews if crews else F.col("user_id")).alias("user_id"),
         "ts",
         F.col("event_id").alias("row_id"),
         F.col("value").alias("close"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"),
     )
-    days = bars(events, DAY, by=["user_id"], prices=PRICES)
+    days = bars(events, width, by=["user_id"], prices=PRICES)
     four = [x for c in ("open", "high", "low", "close") for x in (F.lit(c), F.col(c))]
     fields = F.when(F.col("user_id") % 3 == 0, F.create_map(*four)).otherwise(
         F.create_map(*four, F.lit("volume"), F.col("volume"))
@@ -168,12 +171,12 @@ def user_series(spark, sf, users: DataFrame | None = None) -> DataFrame:
     return days.select("user_id", "ts", fields.alias("fields"))
 
 
-def attached_records(spark, sf, users: DataFrame | None = None) -> DataFrame:
-    """(user_id, financial_data): a user's daily bars in one array of records,
-    one record per day, so their number is limited by the calendar."""
-    by_time = lambda a, b: F.datediff(a["ts"], b["ts"])
+def attached_records(spark, sf, users: DataFrame | None = None, **series) -> DataFrame:
+    """(user_id, financial_data): the bars of a user or crew in one array of records,
+    one record per day or hour, so their number is limited by the calendar."""
+    by_time = lambda a, b: F.sign(F.unix_seconds(a["ts"].cast("timestamp")) - F.unix_seconds(b["ts"].cast("timestamp"))).cast("int")
     records = F.array_sort(F.collect_list(F.struct("ts", "fields")), by_time)
-    return user_series(spark, sf, users).groupBy("user_id").agg(records.alias("financial_data"))
+    return user_series(spark, sf, users, **series).groupBy("user_id").agg(records.alias("financial_data"))
 
 
 def queries(spark, sf) -> DataFrame:

@@ -407,14 +407,44 @@ user_days AS (
   FROM user_ticks GROUP BY user_id, date_trunc('day', ts))"""
 
 # A collection is shown from its resampled rows; as no query has more than a
-# thousand records, these are the records themselves.
-CONTEXT = f"""{FILTERED}, {scored('chosen')}, {USER_DAYS},
+# thousand daily records, these are the records themselves.
+DAILY_CLASSES = f"""{USER_DAYS},
 records AS (
   SELECT r.query_id, r.position, u.* FROM ranked r JOIN user_days u ON r.id = u.user_id),
 classes AS (
   SELECT query_id, bool_and(full_bar) AS is_ohlcv, min(ts) AS first_date, max(ts) AS last_date,
     min(close) AS low_close, max(close) AS high_close, bool_or(full_bar) AS any_volume
-  FROM records GROUP BY query_id),
+  FROM records GROUP BY query_id)"""
+
+# Hourly records of a tenth of all users per hit: thousands for most queries.
+HOURLY_CLASSES = f"""{USER_DAYS},
+crew_hours AS (
+  SELECT user_id % 10 AS crew, date_trunc('hour', ts) AS ts, (user_id % 10) % 3 <> 0 AS full_bar, {ohlcv('close', 'volume')}
+  FROM user_ticks GROUP BY user_id % 10, date_trunc('hour', ts)),
+records AS (
+  SELECT r.query_id, row_number() OVER (PARTITION BY r.query_id ORDER BY r.position, c.ts) - 1 AS row_id, c.*
+  FROM ranked r JOIN crew_hours c ON r.id % 10 = c.crew),
+kinds AS (
+  SELECT query_id, bool_and(full_bar) AS is_ohlcv, bool_or(full_bar) AS any_volume FROM records GROUP BY query_id),
+price_rows AS (
+  SELECT query_id AS symbol, ts, row_id, close, volume FROM records JOIN kinds USING (query_id) WHERE is_ohlcv),
+time_rows AS (
+  SELECT query_id AS symbol, ts, row_id, 0.0 AS v FROM records JOIN kinds USING (query_id) WHERE NOT is_ohlcv),
+price_spans AS (
+  SELECT symbol, min(ts) AS f, max(ts) AS l, min(close) AS low, max(close) AS high
+  FROM (WITH {resampled('price_rows', ohlcv('close', 'volume'), OHLCV, ['volume'], 1000, False)} SELECT * FROM final)
+  GROUP BY symbol),
+time_spans AS (
+  SELECT symbol, min(ts) AS f, max(ts) AS l
+  FROM (WITH {resampled('time_rows', 'max(v) AS v', ['v'], [], 1000, True)} SELECT * FROM final)
+  GROUP BY symbol),
+classes AS (
+  SELECT k.*, coalesce(p.f, t.f) AS first_date, coalesce(p.l, t.l) AS last_date, p.low AS low_close, p.high AS high_close
+  FROM kinds k LEFT JOIN price_spans p ON p.symbol = k.query_id LEFT JOIN time_spans t ON t.symbol = k.query_id)"""
+
+
+def context(classes: str) -> str:
+    return f"""{FILTERED}, {scored('chosen')}, {classes},
 texts AS (
   SELECT query_id,
     CASE WHEN is_ohlcv THEN 'Price data available from ' || strftime(first_date, '%Y-%m-%d %H:%M:%S')
@@ -443,6 +473,7 @@ joined AS (
   FROM queries q LEFT JOIN grouped g ON q.query_id = g.query_id
   LEFT JOIN texts t ON q.query_id = t.query_id)"""
 
+
 CENTRES = """means AS (
   SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS mean
   FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
@@ -720,12 +751,6 @@ titles AS (SELECT * FROM (VALUES
         "SELECT user_id, CAST(place AS INTEGER) AS place, name, title FROM choice JOIN titles ON is_ohlcv = kind",
     ),
     "metric_projection": plain(METRICS_CTE, f"SELECT {rnds(*METRICS)} FROM yearly_facts"),
-    "answer_context": plain(
-        CONTEXT,
-        f"""SELECT query_id, context, md5('{_quoted(PROMPT_HEAD)}' || context || '{_quoted(PROMPT_TAIL)}') AS prompt_md5,
-  array_to_string(list_sort(names), ',') AS visualizations, coalesce(sources, '') AS sources,
-  '{AS_OF}' AS timestamp, {QUERY_TYPE} AS query_type, {FRESHNESS} AS data_freshness FROM joined""",
-    ),
     "token_sequences": plain(
         TOKENS,
         "SELECT id, CAST(512 AS INTEGER) AS length, CAST(n AS INTEGER) AS tokens, ids AS input_ids, ids AS labels FROM padded",
@@ -747,3 +772,13 @@ FROM docs d LEFT JOIN (
         "SELECT md5(content) AS content_md5, 2 * count(*) AS rows, 2 * count(*) AS ids FROM docs GROUP BY 1",
     ),
 }
+
+ORACLE |= {
+    name: plain(
+        context(classes),
+        f"""SELECT query_id, context, md5('{_quoted(PROMPT_HEAD)}' || context || '{_quoted(PROMPT_TAIL)}') AS prompt_md5,
+  array_to_string(list_sort(names), ',') AS visualizations, coalesce(sources, '') AS sources,
+  '{AS_OF}' AS timestamp, {QUERY_TYPE} AS query_type, {FRESHNESS} AS data_freshness FROM joined""",
+    )
+    for name, classes in (("answer_context", DAILY_CLASSES), ("answer_long_series", HOURLY_CLASSES))
+}

@@ -24,6 +24,7 @@ from workload import adapters as ad
 THRESHOLD = 0.6
 LABEL_THRESHOLD = 0.3
 METRIC_LIMIT = 400_000.0
+CREWS = 10
 CENTS = {"price": 2}
 VALUES = ["price", "settled"]
 
@@ -492,7 +493,16 @@ def answer_context(spark, sf):
     hits = stored(_retrieved(spark, sf))
     # Only the events of users that were hit are read into series.
     records = ad.attached_records(spark, sf, hits.select("id").distinct())
-    hits = hits.join(records.withColumnRenamed("user_id", "id"), "id", "left")
+    return _answers(spark, sf, hits.join(records.withColumnRenamed("user_id", "id"), "id", "left"))
+
+
+def answer_long_series(spark, sf):
+    """Every hit brings the hourly series of a tenth of the users: a query has more than a thousand records."""
+    hits = _retrieved(spark, sf).withColumn("user_id", F.col("id") % CREWS)
+    return _answers(spark, sf, hits.join(ad.attached_records(spark, sf, crews=CREWS, width=br.HOUR), "user_id", "left"))
+
+
+def _answers(spark, sf, hits):
     table = answers.answer_contexts(ad.queries(spark, sf), hits, ad.AS_OF)
     source = lambda s: F.concat_ws("|", s["title"], s["date"], s["source"], s["relevance"])
     return table.select(
@@ -616,6 +626,7 @@ QUERIES = {
     "series_classify": series_classify,
     "chart_choice": chart_choice,
     "answer_context": answer_context,
+    "answer_long_series": answer_long_series,
     "token_sequences": token_sequences,
     "token_batches": token_batches,
     "document_store_round_trip": document_store_round_trip,
