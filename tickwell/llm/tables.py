@@ -67,9 +67,13 @@ def by_batch(
 
 
 def filtered(
-    df: DataFrame, text_col: str, keep: Callable[[list[str]], Iterable[bool]]
+    df: DataFrame,
+    text_col: str,
+    keep: Callable[[list[str]], Iterable[bool]],
+    done: Callable[[], None] = lambda: None,
 ) -> DataFrame:
-    """The rows whose text ``keep`` accepts, with all their columns; null texts are passed as empty."""
+    """The rows whose text ``keep`` accepts, with all their columns; null texts are passed as empty.
+    ``done`` is called at the end of each task."""
     schema = df.schema
     at = df.columns.index(text_col)
 
@@ -80,6 +84,7 @@ def filtered(
                 piece = batch.slice(start, step)
                 texts = ["" if t is None else t for t in piece.column(at).to_pylist()]
                 yield piece.filter(pa.array(list(keep(texts)), type=pa.bool_()))
+        done()
 
     return df.mapInArrow(run, schema)
 

@@ -299,7 +299,7 @@ class Model:
 
 
 class Packed:
-    """A model as bytes; each worker opens it once."""
+    """A model as bytes; each task opens it once."""
 
     def __init__(self, data: bytes):
         self.data, self.name = data, hashlib.sha256(data).hexdigest()
@@ -313,6 +313,11 @@ class Packed:
     def score(self, texts: list[str]) -> tuple[np.ndarray, list[list[int]], list[list[float]]]:
         return self.opened().score(texts)
 
+    @staticmethod
+    def close() -> None:
+        """A worker goes on with other work and should not hold the model."""
+        _OPEN.clear()
+
 
 _OPEN: dict[str, Model] = {}
 
@@ -349,6 +354,7 @@ def score_toxicity(
         for piece in pieces:
             scores, ids, cosines = model.score(piece["text"])
             yield {"doc_id": piece["doc_id"], "score": scores, "neighbours": ids, "cosines": cosines}
+        Packed.close()
 
     rows = by_batch(id_and_text(docs, id_col, text_col), schema, work)
     return rows.select(
@@ -363,4 +369,4 @@ def score_toxicity(
 
 def drop_toxic(docs: DataFrame, model: Model | Packed, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold, with all their columns."""
-    return filtered(docs, text_col, lambda texts: model.score(texts)[0] < threshold)
+    return filtered(docs, text_col, lambda texts: model.score(texts)[0] < threshold, Packed.close)

@@ -76,7 +76,7 @@ class BatchEncoder:
     remembered. A tokenizer of another kind gets whole texts.
     """
 
-    def __init__(self, path: str, plain: bool = False, limit: int = 400_000):
+    def __init__(self, path: str, plain: bool = False, limit: int = 250_000):
         self.tokenizer = load(path)
         if plain:
             from tokenizers import Tokenizer
