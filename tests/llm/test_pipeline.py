@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline as cp
 from __spark_entry__ import oracle_sql, queries
 from tests.compare import connect, difference
+from tests.llm.messy import messy, nothing
 from tests.llm.test_copies import plain_components
 from tickwell.llm import leaks, toxicity
 from tickwell.llm.bpe import load
@@ -91,3 +92,19 @@ def test_all_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(set(QUERIES) & set(oracle_sql())))
 def test_query_against_sql(spark, name):
     assert difference(spark, connect(SF), SF, queries()[name], oracle_sql()[name]) is None
+
+
+def test_run_on_messy_and_empty_tables(spark, tmp_path):
+    labels = [(i, i % 2, (i + 1) % 2) for i in range(1, 11)] + [(None, 1, 1), (3, None, None)]
+    items = [(1, "Which animal jumps over the lazy dog in this text? The quick brown fox."), (None, None), (2, "")]
+    for name, rows in (("messy", True), ("empty", False)):
+        folder = tmp_path / name
+        docs = messy(spark) if rows else nothing(spark)
+        docs.write.parquet(str(folder / "documents.parquet"))
+        table = spark.createDataFrame(labels if rows else [], "doc_id long, quality int, toxic int")
+        table.write.parquet(str(folder / "labels.parquet"))
+        table = spark.createDataFrame(items if rows else [], "item_id long, text string")
+        table.write.parquet(str(folder / "benchmark.parquet"))
+        got = [r["doc_id"] for r in cp.run(spark, str(folder)).collect()]
+        # Rows of no id have no copies; of near copies and equal ids one stays.
+        assert bool(got) == rows and (not rows or set(got) >= {None, 6, 7, 8, 10})

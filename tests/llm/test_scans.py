@@ -119,3 +119,62 @@ def test_scripts():
     assert [fe.script_of(t) for t in ("plain", "Übergröße", "привет мир", "中文字", "한국어", "ελλάδα")] == [
         "latin", "latin", "cyrillic", "han", "hangul", "greek",
     ]
+
+
+def random_template(pick, depth=0):
+    """A template, and the same as a regular expression over words that each begin with a space."""
+    text, pattern = [], ""
+    for _ in range(pick.randint(1, 4)):
+        kind = pick.choice(["word", "word", "any", "optional"] if depth < 2 else ["word", "any"])
+        if kind == "word":
+            word = pick.choice("abc")
+            text.append(word)
+            pattern += f" {word}"
+        elif kind == "any":
+            n = pick.randint(1, 2)
+            text.append(f"<<any {n}>>")
+            pattern += rf"(?: \S+){{0,{n}}}"
+        else:
+            inner, expression = random_template(pick, depth + 1)
+            text.append(f"<<optional>>{inner}<<end>>")
+            pattern += f"(?:{expression})?"
+    return " ".join(text), pattern
+
+
+def test_automata_match_what_regular_expressions_match():
+    pick = random.Random(7)
+    matched = 0
+    for _ in range(300):
+        template, pattern = random_template(pick)
+        automaton, expression = li.Automaton(template), re.compile(pattern)
+        for _ in range(20):
+            words = [pick.choice("abcd") for _ in range(pick.randint(0, 9))]
+            for start in range(len(words)):
+                ends = [e for e in range(start + 1, len(words) + 1) if expression.fullmatch(" " + " ".join(words[start:e]))]
+                got = automaton.longest([w.encode() for w in words], start)
+                assert got == max(ends, default=None), (template, words, start)
+                matched += got is not None
+    assert matched > 1_000
+
+
+def test_verdicts_against_plain_bands(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = [r.asDict() for r in fe.quality_rules(docs, PIECES).collect()]
+    limits = {}
+    for band in {r["band"] for r in found}:
+        own = [r for r in found if r["band"] == band and r["n_words"] >= fe.LEAST_WORDS]
+        for name, (margin, _) in fe.MARGINS.items():
+            values = sorted(r[name] for r in own)
+            if values:
+                low, high = (values[max(0, -(-len(values) * q // 4) - 1)] for q in (1, 3))
+                limits[band, name] = (low, high, max((high - low) * fe.REACH, margin))
+    for r in found:
+        failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
+        outside = False
+        for name, (_, sides) in fe.MARGINS.items():
+            if r[name] is not None and (r["band"], name) in limits:
+                low, high, room = limits[r["band"], name]
+                room *= max(1.0, (fe.STEADY_TOKENS / r["n_vocab_tokens"]) ** 0.5)
+                outside |= r[name] > high + room or (sides == "both" and r[name] < low - room)
+        assert r["base_failed"] == failed and r["kept"] == (not failed and not outside), r
+    assert 0.5 < sum(r["kept"] for r in found) / len(found) < 1

@@ -333,7 +333,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 
     # A table of a bounded size.
     ordered = rows.coalesce(1).sortWithinPartitions("_turn", "_y").select("_id", "_t", "_y")
-    return Packed(bytes(ordered.mapInArrow(build, "model binary").first()["model"]))
+    built = ordered.mapInArrow(build, "model binary").first()
+    # A table without any rows may have no part at all, and so no task.
+    return Packed(bytes(built["model"]) if built else pickle.dumps(Model([], totals)))
 
 
 def score_toxicity(
