@@ -67,10 +67,10 @@ def test_parts_are_ranges_of_one_order(spark, series):
     t = dl.deal(spark_rows(spark, series), parts=40)
     rows = t.df.toPandas()
     assert len(rows) == len(series) and t.rows().columns == ["symbol", "ts", "row_id", "close"]
-    per_part = rows.groupby("_part")
+    per_part = rows.groupby(dl.PART)
     assert len(per_part) > 30 and per_part.size().max() < 400
     # As they lie in the parts, one after the other, the rows are in order.
-    lying = rows.sort_values("_part", kind="stable", ignore_index=True)[["symbol", "ts", "row_id"]]
+    lying = rows.sort_values(dl.PART, kind="stable", ignore_index=True)[["symbol", "ts", "row_id"]]
     assert lying.equals(lying.sort_values(["symbol", "ts", "row_id"], kind="stable", ignore_index=True))
 
 
@@ -82,7 +82,7 @@ def test_one_time_held_by_all_rows_is_spread(spark):
         F.col("id").cast("double").alias("close"),
     )
     t = dl.deal(df, parts=50)
-    assert t.df.groupBy("_part").count().agg(F.max("count")).first()[0] <= 400
+    assert t.df.groupBy(dl.PART).count().agg(F.max("count")).first()[0] <= 400
     assert dl.along(t, "close", dl.Position("x")).where(F.col("x") != F.col("row_id")).count() == 0
 
 

@@ -40,7 +40,7 @@ from tickwell.fixed_values import (
 from tickwell.schema import need_columns
 from tickwell.session import keep
 
-PART, VALUE = "_part", "_value"
+PART, VALUE = "_dealt_part", "_dealt_value"
 
 
 @dataclass(frozen=True)

@@ -424,7 +424,7 @@ def similar_in_cells(
     pairs = angles.join(packed.select("cell", "block", "low", "high"), "cell")
     pairs = pairs.withColumn("bound", F.cos(away) + BOUND_SLACK).where(F.col("bound") > threshold)
     turn = F.row_number().over(Window.partitionBy(*names).orderBy(F.desc("bound"), "block"))
-    pairs = stored(pairs.select(*names, "block", "bound", turn.alias("turn")))
+    pairs = stored(pairs.select(*names, "cell", "block", "bound", turn.alias("turn")))
     size = wanted.agg(F.coalesce(F.sum(8 * F.size("vector")), F.lit(0))).first()[0]
     columns = max(1, math.ceil(size / SIDE_BYTES))
 
@@ -433,7 +433,8 @@ def similar_in_cells(
         rows = part.join(wanted, names).withColumn("key", key + F.pmod(F.xxhash64("id"), F.lit(columns)))
         rows = rows.select("key", *names, "limit", "vector")
         asked = _packed(rows.repartition("key").sortWithinPartitions("key"), batch).withColumnRenamed("key", "of_key")
-        blocks = packed.join(part.select("block").distinct(), "block", "left_semi")
+        # By cell as well: Spark leaves out the files of cells that nobody asks for.
+        blocks = packed.join(part.select("cell", "block").distinct(), ["cell", "block"], "left_semi")
         every = F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))
         blocks = blocks.withColumn("_column", every).withColumn("key", key + F.col("_column"))
         return _gridded(blocks.select("key", "n", "ids", "vectors"), asked, threshold)
@@ -448,7 +449,7 @@ def similar_in_cells(
                 F.col("query_id").alias("id"), "form", F.col("similarity").alias("_last")
             )
             part = part.join(last, names, "left").where(F.col("_last").isNull() | (F.col("bound") >= F.col("_last")))
-        part = stored(part.select(*names, "block"))
+        part = stored(part.select(*names, "cell", "block"))
         if part.isEmpty():
             break
         found = searched(part)
