@@ -427,6 +427,7 @@ def similar_in_cells(
     pairs = stored(pairs.select(*names, "cell", "block", "bound", turn.alias("turn")))
     size = wanted.agg(F.coalesce(F.sum(8 * F.size("vector")), F.lit(0))).first()[0]
     columns = max(1, math.ceil(size / SIDE_BYTES))
+    most = pairs.agg(F.coalesce(F.max("turn"), F.lit(0))).first()[0]
 
     def searched(part: DataFrame) -> DataFrame:
         key = F.col("block") * columns
@@ -441,6 +442,8 @@ def similar_in_cells(
 
     hits, begin = None, 0
     for width in (probes, TIER * probes, None):
+        if begin >= most:
+            break
         part = pairs.where(F.col("turn") > begin)
         if width is not None:
             part = part.where(F.col("turn") <= begin + width)
@@ -449,12 +452,9 @@ def similar_in_cells(
                 F.col("query_id").alias("id"), "form", F.col("similarity").alias("_last")
             )
             part = part.join(last, names, "left").where(F.col("_last").isNull() | (F.col("bound") >= F.col("_last")))
-        part = stored(part.select(*names, "cell", "block"))
-        if part.isEmpty():
-            break
-        found = searched(part)
+        found = searched(stored(part.select(*names, "cell", "block")))
         hits = stored(_ranked(found if hits is None else found.unionByName(hits.drop("rank"))))
-        begin += width or 0
+        begin = most if width is None else begin + width
     if hits is None:
         hits = _ranked(packed.sparkSession.createDataFrame([], HITS))
     return _result(hits, queries)
