@@ -200,6 +200,29 @@ def test_landed_files_to_report_table(spark, tmp_path):
     assert "Alpha (CIK: 0000000001)" in row["text_content"]
 
 
+def test_bundled_files_to_report_table(spark, tmp_path):
+    from workload import queries
+
+    n = 400
+    docs = spark.range(n).select(F.lpad(F.col("id").cast("string"), 10, "0").alias("cik"), F.lit(facts_doc(
+        Revenues=usd({"end": "2023", "val": 8}), NetIncomeLoss=usd({"end": "2023", "val": 2}))).alias("doc"))
+    facts = queries._land(docs.unionByName(spark.sql("select null cik, '{}' doc")), str(tmp_path / "facts"))
+    names = docs.where("cast(cik as int) % 4 = 0").withColumn("doc", F.to_json(F.struct(F.concat(F.lit("N"), "cik").alias("name"))))
+    subs = queries._land(names, str(tmp_path / "subs"))
+    # Files and folders do not become more with the companies.
+    assert len(list((tmp_path / "facts").iterdir())) + len(list((tmp_path / "subs").iterdir())) < 100
+    entries = F.create_map(F.col("cik"), F.struct(F.col("cik").alias("cik_str"), F.lit("T").alias("ticker"), F.lit("C").alias("title")))
+    listed = docs.where("cast(cik as int) != 7").select("cik", F.to_json(entries).alias("doc"))
+    directory = filings.bundle(listed.withColumnRenamed("cik", "file"), str(tmp_path / "directory"))
+    table = str(tmp_path / "table")
+    reports.load_landed(spark, directory, facts, subs, table, AS_OF, companies=None, bundled=True)
+    back = {int(r["cik"]): r for r in tables.read_reports(spark, table).collect()}
+    assert sorted(back) == [i for i in range(n) if i != 7]
+    assert back[8]["company_name"] == "N0000000008" and back[9]["company_name"] == "Company 0000000009"
+    assert back[9]["profit_margin"] == 0.25
+    assert filings.company_files(spark, facts, bundled=True).where("cik = '0000000000'").count() == 2
+
+
 def test_times_show_a_fraction_where_there_is_one(spark):
     from tickwell.functions.text import shown_time
 

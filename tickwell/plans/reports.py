@@ -86,15 +86,16 @@ def load_landed(
     table: str,
     as_of: str,
     companies: int | None = COMPANY_LIMIT,
+    bundled: bool = False,
 ) -> Observation:
     """Landed files to the report table: the first companies of the directory,
     or all for None, their latest facts and names, checked, with ratios, text
-    and vector."""
-    listed = filings.company_directory(filings.json_files(spark, directory))
+    and vector. ``bundled`` files were landed by ``filings.bundle``."""
+    listed = filings.company_directory(filings.json_files(spark, directory, bundled=bundled))
     wanted = filings.first_companies(listed, companies) if companies else listed
     wanted = wanted.select("cik")
-    parsed = filings.parse_facts(filings.company_files(spark, facts))
+    parsed = filings.parse_facts(filings.company_files(spark, facts, bundled=bundled))
     parsed = parsed.join(wanted, "cik", "left_semi")
-    names = filings.parse_submissions(filings.company_files(spark, submissions))
+    names = filings.parse_submissions(filings.company_files(spark, submissions, bundled=bundled))
     finished = finished_reports(parsed, names, as_of)
     return append_reports(stored_reports(finished, as_of), table)

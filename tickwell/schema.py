@@ -17,6 +17,7 @@ COMPANY_FACTS = (
     "units: map<string, array<struct<end: string, val: string>>>>>>>"
 )
 SUBMISSIONS = "struct<name: string>"
+LANDED_FILE = "file string, doc string"
 METRIC_RECORD = ", ".join(f"{m} double" for m in METRICS)
 REPORT_RECORD = (
     "cik string, company_name string, filing_type string, filing_date timestamp, "

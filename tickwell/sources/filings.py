@@ -10,18 +10,27 @@ from tickwell.fixed_values import COMPANY_LIMIT, CONCEPTS, TAXONOMY, UNKNOWN_COM
 from tickwell.functions.numbers import full_cik
 
 
-def json_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """One row (file, doc) per JSON file."""
+def bundle(files: DataFrame, path: str) -> str:
+    """Land JSON files, rows (file, doc) of name and text, many to a bundle:
+    a file and a folder for each of them take longer than all other work."""
+    files.select(F.col("file").cast("string"), "doc").write.mode("errorifexists").parquet(path)
+    return path
+
+
+def json_files(spark: SparkSession, *paths: str, bundled: bool = False) -> DataFrame:
+    """One row (file, doc) per JSON file, or per file in the bundles of ``bundle``."""
+    if bundled:
+        return spark.read.schema(schema.LANDED_FILE).parquet(*paths)
     return spark.read.text(list(paths), wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc")
     )
 
 
-def company_files(spark: SparkSession, *paths: str) -> DataFrame:
+def company_files(spark: SparkSession, *paths: str, bundled: bool = False) -> DataFrame:
     """JSON files named after their company, or folders so named with one file
-    each, as Spark writes them: rows (cik, doc)."""
+    each, as Spark writes them, or bundles of such files: rows (cik, doc)."""
     number = F.regexp_extract("file", r"CIK(\d+)\.json(?:/[^/]+)?$", 1)
-    return json_files(spark, *paths).select(full_cik(number).alias("cik"), "doc")
+    return json_files(spark, *paths, bundled=bundled).select(full_cik(number).alias("cik"), "doc")
 
 
 def company_directory(docs: DataFrame, file: str = "file", doc: str = "doc") -> DataFrame:
