@@ -42,6 +42,23 @@ def test_sequences(spark, monkeypatch, sent):
     assert row["input_ids"] == row["attention_mask"] == [0] * 3
 
 
+def test_only_rare_words_of_a_large_vocabulary_move(spark, monkeypatch):
+    rows = [(i % 5, " ".join(["common", "usual"] * 20 + [f"rare{i}", "common", "strange"])) for i in range(200)]
+    df = spark.createDataFrame([*rows, (7, None), (8, "")], "id long, text string")
+    vocab = training.vocabulary(df).where("token != 'strange'")
+    want = sorted(map(tuple, training.token_sequences(df, vocab, length=48).collect()))
+    monkeypatch.setattr(training, "SENT_BYTES", 100)
+    got = training.token_sequences(df, vocab, length=48)
+    # Ids that repeat stay rows of their own.
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 202
+    # The words that move are those left over, and those in no vocabulary.
+    looked = []
+    kept = training._with_others
+    monkeypatch.setattr(training, "_with_others", lambda df, *others: looked.append(df) or kept(df, *others))
+    training.token_sequences(df, vocab, length=48)
+    assert looked[0].selectExpr("sum(size(_found.others))").first()[0] <= 400
+
+
 def test_words_are_looked_up_where_the_texts_are(spark):
     vocab = training.vocabulary(texts(spark))
     plan = training.token_sequences(texts(spark), vocab)._jdf.queryExecution().toString()
