@@ -1,5 +1,7 @@
 """Query texts, vectors, search, filters, re-ranking and answers."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +103,40 @@ def test_hash_vectors(spark):
     assert rows[3] == rows[0]
 
 
+def test_counting_words_holds_little_more_than_the_vectors(spark, monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    caught, known = [], F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: caught.append(f) or known(kind)(f))
+    vc.hash_vector(F.col("t"))
+    rng = np.random.default_rng(1)
+    rows = [rng.integers(0, 384, n).tolist() if n else None for n in rng.integers(0, 40, 4000)]
+    buckets = pa.array(rows, pa.list_(pa.int32()))
+    tracemalloc.start()
+    got = caught[0](buckets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.3 * 4000 * 384 * 8
+    for i in range(0, 4000, 7):
+        counts = np.bincount(rows[i] or [], minlength=384)
+        assert np.allclose(got[i].values.to_numpy(), counts / max(np.linalg.norm(counts), 1))
+
+
+def test_documents_are_not_packed_for_few_queries(spark):
+    """A batch of packed documents joined to queries holds all vectors of a task."""
+    docs = spark.range(3000).selectExpr("id", "if(id = 5, null, array(cos(id), sin(id))) as embedding")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "query_id long, embedding array<double>")
+    hits = vc.similar(docs.coalesce(1), queries, k=3, threshold=0.5)
+    assert "Join" not in hits._jdf.queryExecution().executedPlan().toString()
+    got = {(r["query_id"], r["rank"]): r["id"] for r in hits.collect()}
+    for q, f in ((1, math.cos), (2, math.sin)):
+        best = sorted((i for i in range(3000) if i != 5), key=lambda i: (-round(f(i), 9), i))[:3]
+        assert [got[q, r] for r in (1, 2, 3)] == best
+
+
 def test_cosine(spark):
     pair = lambda a, b: vc.cosine(F.array(*map(F.lit, a)), F.array(*map(F.lit, b)))
     assert one(spark, pair([1.0, 2.0], [2.0, 4.0])) == pytest.approx(1)

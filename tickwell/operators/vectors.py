@@ -20,6 +20,8 @@ RANK_DIGITS = 9
 #: Vectors in a packed row of documents and of queries.
 BLOCK = 1024
 QUERY_BATCH = 1024
+#: Texts whose words are counted at a time.
+COUNTED = 256
 #: Shares of the documents in which hits are merged first.
 MERGE_SHARES = 32
 #: Packed queries that may be sent to all tasks, and the side of a cell of the grid otherwise.
@@ -47,13 +49,17 @@ def hash_vector(text: Column, size: int = VECTOR_SIZE) -> Column:
         import numpy as np
         import pyarrow as pa
 
-        numbers = buckets.fill_null([])
-        rows = len(numbers)
-        sizes = np.diff(np.asarray(numbers.offsets))
-        place = np.repeat(np.arange(rows) * size, sizes) + np.asarray(numbers.flatten())
-        counts = np.bincount(place, minlength=rows * size).astype(float).reshape(rows, size)
-        lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-        unit = counts / np.where(lengths > 0, lengths, 1.0)
+        rows = len(buckets)
+        unit = np.empty((rows, size))
+        # Only the vectors themselves are as many as the batch has rows.
+        for a in range(0, rows, COUNTED):
+            numbers = buckets.slice(a, COUNTED).fill_null([])
+            n = len(numbers)
+            sizes = np.diff(np.asarray(numbers.offsets))
+            place = np.repeat(np.arange(n) * size, sizes) + np.asarray(numbers.flatten())
+            counts = np.bincount(place, minlength=n * size).astype(float).reshape(n, size)
+            lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            np.divide(counts, np.where(lengths > 0, lengths, 1.0), out=unit[a : a + n])
         ends = np.arange(0, rows * size + 1, size, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(unit.ravel()))
 
@@ -118,15 +124,15 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
             keys = batch.column("key").to_numpy()
             starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
             cuts = [c for a, b in zip(starts, starts[1:]) for c in range(a, b, size)] + [len(keys)]
-            out = []
+            # One block at a time: a batch of them is as large as its vectors.
             for a, b in zip(cuts, cuts[1:]):
                 part = batch.slice(a, b - a)
                 vectors = np.asarray(part.column("vector").flatten(), dtype="<f8")
                 numbers = [part.column(c).to_numpy() for c in ("id", "form", "limit")]
                 span = part.column("angle").to_numpy() if angled else None
                 between = (float(span.min()), float(span.max())) if angled else ()
-                out.append((int(keys[a]), int(b - a), *(x.tobytes() for x in (*numbers, vectors)), *between))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=schema.names).cast(schema)
+                row = (int(keys[a]), int(b - a), *(x.tobytes() for x in (*numbers, vectors)), *between)
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
 
     schema = pa.schema(
         [("key", pa.int64()), ("n", pa.int32())]
@@ -194,20 +200,33 @@ class _Hits:
         )
 
 
-def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Hits of pairs of a block of documents and a block of queries; each task
-    keeps the best of each query over all its pairs."""
+def _scored(table: DataFrame, queries: pa.Table, threshold: float) -> DataFrame:
+    """Hits of documents with blocks of queries that every task gets; each task
+    keeps the best of each query over all its documents.
+
+    Documents are taken from their batch a block at a time. They are not
+    packed before: joined to packed queries, a batch would hold the vectors of
+    all documents of a task.
+    """
 
     def score(batches: Iterator) -> Iterator:
-        hits = _Hits(threshold)
+        import numpy as np
+
+        hits, asked = _Hits(threshold), queries.to_pylist()
         for batch in batches:
-            for row in batch.to_pylist():
-                hits.add(row, {c[2:]: row[c] for c in row if c.startswith("q_")})
+            if batch.column("vector").null_count:
+                batch = batch.filter(batch.column("vector").is_valid())
+            for a in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(a, BLOCK)
+                vectors = np.asarray(part.column("vector").flatten(), dtype="<f8")
+                docs = {"n": part.num_rows, "ids": part.column("id").to_numpy(), "vectors": vectors}
+                for block in asked:
+                    hits.add(docs, block)
                 if hits.full():
                     yield hits.rows()
         yield hits.rows()
 
-    return pairs.drop("key").mapInArrow(score, HITS)
+    return table.select("id", "vector").mapInArrow(score, HITS)
 
 
 def _gridded(chunks: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
@@ -227,12 +246,6 @@ def _gridded(chunks: DataFrame, blocks: DataFrame, threshold: float) -> DataFram
     return chunks.groupBy("key").cogroup(blocks.groupBy("of_key")).applyInArrow(score, HITS)
 
 
-def _joined(chunks: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Pairs of blocks of the same key."""
-    named = blocks.withColumnsRenamed({c: f"q_{c}" for c in blocks.columns if c != "key"})
-    return chunks.join(named, "key")
-
-
 def _wanted(queries: DataFrame, k: int, query_id: str, query_vector: str) -> DataFrame:
     versions = "form" in queries.columns
     asked = F.coalesce(F.col("top_k"), F.lit(0)) if "top_k" in queries.columns else F.lit(0)
@@ -287,11 +300,11 @@ def similar(
 
     Vectors are packed, ``BLOCK`` documents and ``batch`` queries a row. The
     packed queries are written, so their number and size are known. Up to
-    ``SENT_BYTES`` they are sent to the documents, which stay where they are.
+    ``SENT_BYTES`` they are sent to the documents, which stay as they are.
     More of them meet the documents in a grid: documents are dealt to rows and
     queries to columns of about ``SIDE_BYTES`` each, and every cell of the grid
-    is a task of its own that gets both sides once. Nothing passes through the
-    driver. A column ``top_k`` of ``queries`` overrides ``k`` where it is given
+    is a task of its own that gets both sides once. Only queries that are sent
+    pass through the driver. A column ``top_k`` of ``queries`` overrides ``k`` where it is given
     and not 0. A column ``form`` tells versions of one query apart and comes
     back in the result.
     """
@@ -304,8 +317,8 @@ def similar(
     n, total, width = size.first()
     if total <= SENT_BYTES:
         # Measured, not estimated: so few bytes may be sent to every task.
-        pairs = _joined(_packed(table, BLOCK), F.broadcast(blocks))
-        return _result(_ranked(_scored(pairs, threshold)), queries)
+        sent = blocks.select("n", "ids", "forms", "limits", "vectors").toArrow()
+        return _result(_ranked(_scored(table, sent, threshold)), queries)
     # Counting reads no vectors.
     rows, columns = grid(docs.count() * width, total, n)
     place = F.pmod(F.xxhash64("ids"), F.lit(rows))
