@@ -115,6 +115,17 @@ def test_bands_reject_what_lies_outside(spark):
     assert all(kept[i] for i in range(200))
 
 
+def test_texts_without_tokens_get_verdicts(spark):
+    plain = " ".join(f"word{i}" for i in range(40))
+    docs = [(i, plain, "en") for i in range(30)] + [(100, "", "en"), (101, None, "en"), (102, " \n\t ", "en"), (103, "", None)]
+    table = fe.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string"), PIECES)
+    found = {r["doc_id"]: r for r in table.collect()}
+    assert len(found) == len(docs) and all(found[i]["kept"] for i in range(30))
+    for i in range(100, 104):
+        assert found[i]["n_vocab_tokens"] == 0 and found[i]["chars_per_token"] is None
+        assert found[i]["base_failed"] and not found[i]["kept"]
+
+
 def test_scripts():
     assert [fe.script_of(t) for t in ("plain", "Übergröße", "привет мир", "中文字", "한국어", "ελλάδα")] == [
         "latin", "latin", "cyrillic", "han", "hangul", "greek",

@@ -227,7 +227,7 @@ def quality_rules(docs: DataFrame, vocabulary_path: str, reach: float = REACH, *
     """
     table = written(figures(docs, vocabulary_path, **columns))
     rows = table.join(F.broadcast(bands(table, reach)), "band", "left")
-    wider = F.greatest(F.lit(1.0), F.sqrt(STEADY_TOKENS / F.col("n_vocab_tokens")))
+    wider = F.greatest(F.lit(1.0), F.sqrt(F.try_divide(F.lit(STEADY_TOKENS), F.col("n_vocab_tokens"))))
     inside = F.lit(True)
     for name, (_, sides) in MARGINS.items():
         room = F.col(f"{name}_room") * wider
